@@ -17,7 +17,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table, texts
@@ -187,13 +187,17 @@ def redact(docs: DataFrame) -> DataFrame:
     return out
 
 
+def _count(kind: str) -> Column:
+    return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_pii(table(spark, sf_dir, "documents"))
     said = lambda a: F.array_join(F.transform(a, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     base = F.filter("spans", lambda s: s["kind"].isin(*KINDS[:4]))
     return found.select(
         "doc_id",
-        *(F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS[:4]),
+        *(_count(k).alias(f"n_{k}") for k in KINDS[:4]),
         F.sha2(F.encode(said(base), "UTF-8"), 256).alias("base_sha256"),
         said(F.col("spans")).alias("spans"),
         F.coalesce(F.array_max(F.transform("spans", lambda s: s["score"])), F.lit(0.0)).alias("max_score"),
