@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from .pii import op6_pii
 from .repetition import op3_repetition
+from .toxicity import op4_toxicity
 
 QUERIES = {
     "op3_repetition": op3_repetition,
+    "op4_toxicity": op4_toxicity,
     "op6_pii": op6_pii,
 }
 ORACLE_SQL: dict[str, str] = {}
