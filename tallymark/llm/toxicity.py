@@ -1,6 +1,6 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-A linear classifier over the distinct words of a text, trained in numpy from confirmed toxic examples and unlabelled
+A linear classifier over the distinct words of a text and their beginnings, trained in numpy from confirmed toxic examples and unlabelled
 text. The risk of the positives is weighted by the class prior, and the part of the unlabelled risk that the positives
 explain is subtracted; where that difference turns negative, as it does once the model overfits, the step goes the
 other way. Labels of non-toxic rows are never read, except that their number gives the class prior.
@@ -29,12 +29,16 @@ from .common import table, texts
 DIM = 1 << 18
 POSITIVES = 4000
 UNLABELLED = 12000
+#: Letters of the word beginnings that are features of their own.
+STEMS = (6, 5, 4)
 _WORD = re.compile(r"[^\W\d_]+")
 
 
 def features(text: str) -> np.ndarray:
-    """Hash buckets of the text's distinct words, ascending."""
-    words = {w.encode() for w in _WORD.findall(text.lower())}
+    """Hash buckets of the text's distinct words and of their beginnings, which inflected forms share; ascending."""
+    words = set(_WORD.findall(text.lower()))
+    for k in STEMS:
+        words |= {w[:k] + "-" for w in words if len(w) > k}
     return np.unique(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) % np.uint64(DIM)).astype(np.int32)
 
 
@@ -57,10 +61,15 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
-def nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = 300, rate: float = 0.05, decay: float = 2e-4, least_df: int = 8) -> tuple[np.ndarray, float]:
-    """Weights and bias. A bucket takes part if least_df positives have it; the loss is logistic, the optimiser Adam."""
-    df = np.bincount(np.concatenate([*positive, np.empty(0, np.int32)]).astype(np.int64), minlength=DIM)
-    used = (df >= min(least_df, max(2, len(positive) // 10))).nonzero()[0]
+def nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = 200, rate: float = 0.05, decay: float = 5e-4, least_df: float = 0.005, least_lift: float = 3.0) -> tuple[np.ndarray, float]:
+    """Weights and bias; the loss is logistic, the optimiser Adam.
+
+    A bucket takes part if a share least_df of the positives (5 at least, 2 of few) have it, least_lift times the share
+    of the unlabelled texts that do.
+    """
+    df, free = (np.bincount(np.concatenate([*rows, np.empty(0, np.int32)]).astype(np.int64), minlength=DIM) for rows in (positive, unlabelled))
+    common = df >= max(min(5, max(2, len(positive) // 10)), least_df * len(positive))
+    used = (common & (df * len(unlabelled) >= least_lift * free * len(positive))).nonzero()[0]
     place = np.full(DIM, -1)
     place[used] = np.arange(used.size)
     p, u = (Rows([(x := place[r])[x >= 0] for r in rows]) for rows in (positive, unlabelled))
