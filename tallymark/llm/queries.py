@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .bitplanes import op8_bitplanes
+from .packing import op10_packing
 from .pii import op6_pii
 from .repetition import op3_repetition
 from .toxicity import op4_toxicity
@@ -10,5 +12,7 @@ QUERIES = {
     "op3_repetition": op3_repetition,
     "op4_toxicity": op4_toxicity,
     "op6_pii": op6_pii,
+    "op8_bitplanes": op8_bitplanes,
+    "op10_packing": op10_packing,
 }
 ORACLE_SQL: dict[str, str] = {}
