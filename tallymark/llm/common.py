@@ -48,7 +48,7 @@ def bitmap(df: DataFrame, column: str, bits: int = BITMAP_BITS) -> np.ndarray:
     spot = F.pmod(F.col(column), F.lit(bits))
     rows = (
         df.where(F.col(column).isNotNull())
-        .select(F.shiftright(spot, 6).alias("word"), F.shiftleft(F.lit(1).cast("long"), F.pmod(spot, F.lit(64)).cast("int")).alias("bit"))
+        .select(F.shiftright(spot, 6).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(spot, F.lit(64)).cast("int")).alias("bit"))
         .groupBy("word")
         .agg(F.bit_or("bit").alias("bits"))
         .toArrow()

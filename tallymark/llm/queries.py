@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from .bitplanes import op8_bitplanes
+from .minhash import op1_minhash
 from .packing import op10_packing
 from .pii import op6_pii
 from .repetition import op3_repetition
 from .toxicity import op4_toxicity
 
 QUERIES = {
+    "op1_minhash": op1_minhash,
     "op3_repetition": op3_repetition,
     "op4_toxicity": op4_toxicity,
     "op6_pii": op6_pii,
