@@ -7,10 +7,12 @@ from .minhash import op1_minhash
 from .packing import op10_packing
 from .pii import op6_pii
 from .repetition import op3_repetition
+from .substrings import op2_substrings
 from .toxicity import op4_toxicity
 
 QUERIES = {
     "op1_minhash": op1_minhash,
+    "op2_substrings": op2_substrings,
     "op3_repetition": op3_repetition,
     "op4_toxicity": op4_toxicity,
     "op6_pii": op6_pii,
