@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from .archive import op7_warc
 from .bitplanes import op8_bitplanes
 from .minhash import op1_minhash
+from .neighbours import op5_neighbours
 from .packing import op10_packing
 from .pii import op6_pii
 from .repetition import op3_repetition
@@ -15,7 +17,9 @@ QUERIES = {
     "op2_substrings": op2_substrings,
     "op3_repetition": op3_repetition,
     "op4_toxicity": op4_toxicity,
+    "op5_neighbours": op5_neighbours,
     "op6_pii": op6_pii,
+    "op7_warc": op7_warc,
     "op8_bitplanes": op8_bitplanes,
     "op10_packing": op10_packing,
 }
