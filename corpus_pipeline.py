@@ -1,15 +1,63 @@
-"""From raw documents to packed training sequences, in stages."""
+"""From raw documents to packed training sequences, in stages.
+
+Each stage takes (spark, docs, sf_dir) and gives back a DataFrame; all but the last keep the columns of documents.
+Nulls, repeated rows and empty tables are as the operators' modules define them. Rows that share a doc_id are one
+document to the near-duplicate stage, which keeps one of them.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from tallymark.llm import minhash, mixing, packing, pii, tokens, toxicity
+from tallymark.llm.common import table, written
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.without_toxic(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Word shingles of five, similarity 0.8 or more; the smallest doc_id of a group stays."""
+    judged = minhash.near_duplicates(docs, k=5, percent=80).where("doc_id is not null")
+    judged = written(judged.groupBy("doc_id").agg(F.count("*").alias("rows"), F.first("kept").alias("kept")).where("not kept or rows > 1"), "judged")
+    out = docs.join(judged.where("not kept"), docs["doc_id"].cast("long") == judged["doc_id"], "left_anti")
+    if judged.where("kept").head(1):
+        order = Window.partitionBy("doc_id").orderBy("text")
+        out = out.withColumn("_row", F.when(F.col("doc_id").isNull(), 1).otherwise(F.row_number().over(order))).where("_row = 1").drop("_row")
+    return out
+
+
+def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pii.redact(docs)
+
+
+def to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows repeated until the languages' words are at the target weights; none is lost."""
+    return mixing.repeated(docs, table(spark, sf_dir, "labels"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.packed(docs, tokens.public("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("toxicity", without_toxic),
+    ("near_duplicates", one_of_each_group),
+    ("personal_data", redacted),
+    ("mixing", to_weights),
+    ("packing", packed),
+]
 
-STAGES: list = []
+#: The stages train models, hash and tokenize, which SQL can't express; tests/llm compares them with plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    docs = table(spark, sf_dir, "documents")
+    for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = written(docs, name)
     return docs

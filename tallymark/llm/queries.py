@@ -5,6 +5,7 @@ from __future__ import annotations
 from .archive import op7_warc
 from .bitplanes import op8_bitplanes
 from .minhash import op1_minhash
+from .mixing import op9_mixing
 from .neighbours import op5_neighbours
 from .packing import op10_packing
 from .pii import op6_pii
@@ -21,6 +22,7 @@ QUERIES = {
     "op6_pii": op6_pii,
     "op7_warc": op7_warc,
     "op8_bitplanes": op8_bitplanes,
+    "op9_mixing": op9_mixing,
     "op10_packing": op10_packing,
 }
 ORACLE_SQL: dict[str, str] = {}
