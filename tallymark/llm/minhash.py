@@ -7,10 +7,11 @@
 3. The signatures of a pair are compared in batches of BATCH. With a uniform prior, the posterior probability that the
    similarity reaches the threshold is a binomial tail of the matches so far; below MISS the pair is dropped.
 4. Survivors are verified on their full shingle sets, and the links' connected components taken.
-5. A bucket whose members are then still in different components has pairs that step 2 didn't compare. Its members
-   outside the component of its smallest doc_id meet all its members, in blocks of BLOCK by BLOCK inside workers, by the
-   test of step 3; survivors go through step 4 again. So no candidate pair of different components is left out, and no
-   bucket is ever held or written out pair by pair.
+5. A bucket whose members are then still in different components has pairs that step 2 didn't compare. The members of
+   such buckets are gathered by the component of the bucket's smallest doc_id, each once. There the outsiders, members
+   of other components, meet all members in blocks of BLOCK by BLOCK inside workers, by the test of step 3 and then on
+   full sets; what leaves a worker is one link for each outsider and component. So no candidate pair of different
+   components is left out, and no bucket is ever held whole or written out pair by pair.
 
 A pair at the threshold 0.8 shares no band with probability (1 - 0.8^ROWS)^BANDS = 3e-6.
 
@@ -137,36 +138,44 @@ def _pruned(need: list[tuple[int, int]]):
     return run
 
 
-def _across(need: list[tuple[int, int]]):
-    """Of buckets' blocks, sorted by block: the surviving pairs of outsiders and members of other components."""
+def _across(need: list[tuple[int, int]], percent: int):
+    """Of components' blocks, sorted by block: for each outsider one link to every other component that it has one to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in by_key(batches, ["key", "lb", "rb"], 2048):
+        for rows in by_key(batches, ["home", "lb", "rb"], 512):
             ids, label, left = (rows.column(c).to_numpy() for c in ("id", "label", "is_left"))
-            sig = _matrix(rows.column("sig"))
+            sets = [np.array(s, np.int64).view(np.uint64) for s in rows.column("set").to_pylist()]
+            sig = np.stack([signature(s) for s in sets])
             cut = np.zeros(len(ids), bool)
-            cut[0] = True
-            for c in ("key", "lb", "rb"):
+            for c in ("home", "lb", "rb"):
                 v = rows.column(c).to_numpy()
                 cut[1:] |= v[1:] != v[:-1]
-            starts = cut.nonzero()[0].tolist()
-            a, b = [], []
+            starts = [0, *cut.nonzero()[0].tolist()]
+            links = []
             for s, e in zip(starts, [*starts[1:], len(ids)], strict=True):
-                mine, other = s + left[s:e].nonzero()[0], s + (~left[s:e]).nonzero()[0]
-                if mine.size and other.size:
-                    i, j = (label[mine][:, None] != label[other]).nonzero()
-                    for at in range(0, i.size, 8192):
-                        x, y = mine[i[at : at + 8192]], other[j[at : at + 8192]]
-                        ok = survives(sig[x], sig[y], need)
-                        a.append(ids[x[ok]])
-                        b.append(ids[y[ok]])
-            if a:
-                a, b = np.concatenate(a), np.concatenate(b)
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+                other = s + (~left[s:e]).nonzero()[0]
+                for i in (s + left[s:e].nonzero()[0]).tolist():
+                    near = other[label[other] != label[i]]
+                    near = near[survives(np.broadcast_to(sig[i], (near.size, SIZE)), sig[near], need)]
+                    if near.size:
+                        near = near[linked(sets[i], [sets[j] for j in near], percent)]
+                        links += [(ids[i], ids[near[j]]) for j in np.unique(label[near], return_index=True)[1]]
+            if links:
+                x = np.sort(np.array(links), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1])], names=["a", "b"])
 
     return run
 
 
+def linked(one: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of the other sets reach the similarity with this one, all of each read."""
+    size = np.fromiter(map(len, others), np.int64, len(others))
+    flat = np.concatenate(others)
+    hit = one[np.minimum(np.searchsorted(one, flat), one.size - 1)] == flat
+    both = np.add.reduceat(hit, np.cumsum(size) - size, dtype=np.int64)
+    return 100 * both >= percent * (one.size + size - both)
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each row of docs (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long"), "text")
@@ -186,17 +195,19 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     buckets = bands.groupBy("key").agg(F.min("id").alias("pivot"), F.count("*").alias("n")).where("n > 1")
     members = written(bands.join(buckets, "key").select("key", "id", "pivot", "n"), "buckets")
 
+    def full_sets(ids: DataFrame) -> DataFrame:
+        """id and whole set of the documents with these ids (id)."""
+        wanted = docs.sparkSession.sparkContext.broadcast(bitmap(ids, "id"))
+        full = docs.where("doc_id is not null").mapInArrow(_sets(k, wanted), "id long, set array<long>")
+        return written(full.join(ids.distinct(), "id", "left_semi"), "sets")
+
     def verified(pairs: DataFrame) -> DataFrame:
         """Links among pairs (a, b), by their full sets."""
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("id"))
-        wanted = docs.sparkSession.sparkContext.broadcast(bitmap(ends, "id"))
-        full = docs.where("doc_id is not null").mapInArrow(_sets(k, wanted), "id long, set array<long>")
-        full = full.join(ends.distinct(), "id", "left_semi")
-        full = written(full, "sets")
+        full = full_sets(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))))
         left, right = full.select(F.col("id").alias("a"), F.col("set").alias("sa")), full.select(F.col("id").alias("b"), F.col("set").alias("sb"))
         both = F.size(F.array_intersect("sa", "sb")).cast("long")
-        linked = pairs.join(left, "a").join(right, "b").withColumn("both", both)
-        return written(linked.where(100 * F.col("both") >= percent * (F.size("sa") + F.size("sb") - F.col("both"))).select("a", "b"), "verified")
+        paired = pairs.join(left, "a").join(right, "b").withColumn("both", both)
+        return written(paired.where(100 * F.col("both") >= percent * (F.size("sa") + F.size("sb") - F.col("both"))).select("a", "b"), "verified")
 
     star = members.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
     sig = sigs.select("id", "sig")
@@ -210,18 +221,17 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     placed = members.join(found.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "pivot", "n", label)
     home = placed.where("id = pivot").groupBy("key").agg(F.first("label").alias("home"))
     apart = placed.where("n > 2").groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key").join(home, "key")
-    rest = placed.join(apart, "key")
-    counts = rest.groupBy("key").agg(F.count("*").alias("all"), F.count_if(F.col("label") != F.col("home")).alias("out"))
-    rest = written(rest.join(counts, "key"), "apart")
-    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
-    spot = lambda n: F.pmod(F.xxhash64("id"), blocks(n)).cast("int")
-    left = rest.where("label <> home").select("key", "id", "label", F.lit(True).alias("is_left"), spot("out").alias("lb"), F.explode(F.sequence(F.lit(0), blocks("all") - 1)).alias("rb"))
-    right = rest.select("key", "id", "label", F.lit(False).alias("is_left"), spot("all").alias("rb"), F.explode(F.sequence(F.lit(0), blocks("out") - 1)).alias("lb"))
-    both = left.unionByName(right).join(sig, "id").select("key", "lb", "rb", "id", "label", "is_left", "sig")
-    across = both.repartition("key", "lb", "rb").sortWithinPartitions("key", "lb", "rb").mapInArrow(_across(need), "a long, b long").distinct()
-    more = written(across.join(tested, ["a", "b"], "left_anti"), "across")
-    if more.head(1):
-        more = verified(more)
+    rest = placed.join(apart, "key").select("home", "id", "label").distinct()
+    counts = rest.groupBy("home").agg(F.count("*").alias("all"), F.count_if(F.col("label") != F.col("home")).alias("out"))
+    rest = written(rest.join(counts, "home"), "apart")
+    if rest.head(1):
+        blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+        spot = lambda n: F.pmod(F.xxhash64("id"), blocks(n)).cast("int")
+        left = rest.where("label <> home").select("home", "id", "label", F.lit(True).alias("is_left"), spot("out").alias("lb"), F.explode(F.sequence(F.lit(0), blocks("all") - 1)).alias("rb"))
+        right = rest.select("home", "id", "label", F.lit(False).alias("is_left"), spot("all").alias("rb"), F.explode(F.sequence(F.lit(0), blocks("out") - 1)).alias("lb"))
+        both = left.unionByName(right).join(full_sets(rest.select("id")), "id").select("home", "lb", "rb", "id", "label", "is_left", "set")
+        key = ["home", "lb", "rb"]
+        more = written(both.repartition(*key).sortWithinPartitions(*key).mapInArrow(_across(need, percent), "a long, b long").distinct(), "across")
         if more.head(1):
             found = written(components(links.unionByName(more)), "components")
 
