@@ -1,6 +1,8 @@
-"""The reference-style queries by name, with their SQL."""
+"""The library's queries by name, with their SQL."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from . import names, places, records, records_sql
+
+QUERIES = {**places.QUERIES, **names.QUERIES, **records.QUERIES}
+ORACLE_SQL = {**places.ORACLE_SQL, **names.ORACLE_SQL, **records_sql.ORACLE_SQL}
