@@ -35,6 +35,14 @@ def _letters() -> tuple[str, str, dict[str, str]]:
     return "".join(src), "".join(dst), longer
 
 
+@lru_cache
+def _marked_letters() -> tuple[str, str]:
+    """Letters of any script whose canonical decomposition is one letter and marks, and those letters."""
+    found = [(chr(c), unicodedata.normalize("NFD", chr(c))) for c in range(0xC0, 0x2000)]
+    found = [(c, d[0]) for c, d in found if len(d) > 1 and all(map(unicodedata.combining, d[1:]))]
+    return "".join(c for c, _ in found), "".join(d for _, d in found)
+
+
 def unaccented(x: ColumnOrName) -> Column:
     """Latin letters without their marks, ligatures spelled out, combining marks removed."""
     src, dst, longer = _letters()
@@ -84,7 +92,7 @@ def search_key(x: ColumnOrName) -> Column:
     out = F.lower(F.coalesce(_col(x), F.lit("")))
     for a, b in (("ß", "ss"), ("ø", "o"), ("đ", "d"), ("ł", "l"), ("æ", "ae"), ("œ", "oe"), ("ı", "i"), ("þ", "th"), ("ð", "d")):
         out = F.replace(out, F.lit(a), F.lit(b))
-    return _squeezed(unaccented(out), r"[^\p{L}\p{N}]+")
+    return _squeezed(unaccented(F.translate(out, *_marked_letters())), r"[^\p{L}\p{N}]+")
 
 
 def words(key: ColumnOrName) -> Column:
@@ -336,7 +344,7 @@ def urls_in(x: ColumnOrName) -> Column:
 def holds_card_number(x: ColumnOrName) -> Column:
     """Whether 13 to 19 digits, spaces or hyphens between them, pass the Luhn check."""
     runs = F.regexp_extract_all(F.coalesce(_col(x), F.lit("")), F.lit(r"((?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9]))"), 1)
-    return F.exists(runs, lambda r: F.luhn_check(F.regexp_replace(r, "[^0-9]", "")))
+    return F.exists(runs, lambda r: F.call_function("luhn_check", F.regexp_replace(r, "[^0-9]", "")))
 
 
 def labels_in_order(labels: ColumnOrName, languages: list[str]) -> Column:
