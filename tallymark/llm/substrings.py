@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +36,7 @@ from .common import bitmap, by_key, in_bitmap, mixed, table, texts, windows, wor
 
 WINDOW = 50
 ANCHOR = 8
-LARGE = 2000
+LARGE = 8192
 #: Suffixes that a worker lays out at a time.
 AT_ONCE = 16384
 
@@ -147,24 +148,45 @@ def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _long_prefixes(large):
-    """The windows of large prefixes: 128 bits of hash, doc_id, row and place."""
+    """The suffixes of large partitions: 128 bits of hash of all the words that the anchor stands for, doc_id, row, the
+    first window, and 128 bits of hash of each window."""
+    names = ["p1", "p2", "doc_id", "row", "first", "h1", "h2"]
+    kinds = [pa.int64()] * 5 + [pa.list_(pa.int64())] * 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[] for _ in names]
             for doc, row, text in zip(batch.column("doc_id").to_pylist(), batch.column("row").to_pylist(), texts(batch), strict=True):
                 h = word_hashes(text.encode().split())
                 prefix, _, first, last = kept_suffixes(h)
                 own = in_bitmap(large.value, prefix)
                 if own.any():
-                    starts = np.concatenate([np.arange(f, x + 1) for f, x in zip(first[own], last[own], strict=True)])
-                    for col, x in zip(out, (windows(h, WINDOW)[starts], windows(mixed(~h), WINDOW)[starts], np.full(starts.size, doc), np.full(starts.size, row), starts), strict=True):
-                        col.append(x.astype(np.int64) if x.dtype != np.uint64 else x.view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*c, np.empty(0, np.int64)])) for c in out], names=["h1", "h2", "doc_id", "row", "start"])
+                    w1, w2 = windows(h, WINDOW).view(np.int64), windows(mixed(~h), WINDOW).view(np.int64)
+                    for f, x in zip(first[own].tolist(), last[own].tolist(), strict=True):
+                        p = np.frombuffer(xxhash.xxh3_128_digest(h[f : x + WINDOW].tobytes()), np.int64).tolist()
+                        for col, v in zip(out, (*p, doc, row, f, w1[f : x + 1], w2[f : x + 1]), strict=True):
+                            col.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=names)
 
     return run
 
 
+def _long_repeats(whole: DataFrame) -> DataFrame:
+    """doc_id, row, start and end of what goes from large partitions.
+
+    Suffixes with equal words are one node: all but those of its smallest doc_id go whole, and only the latter's windows
+    are set out one by one, so copies of a text or a passage weigh no more than one.
+    """
+    least = whole.groupBy("p1", "p2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+    later = whole.select("p1", "p2", "doc_id", "row", "first", F.size("h1").alias("n")).join(least.where("least < most"), ["p1", "p2"]).where("doc_id > least")
+    out = later.select("doc_id", "row", F.col("first").alias("start"), (F.col("first") + F.col("n") + WINDOW - 1).alias("end"))
+    ones = whole.join(least, ["p1", "p2"]).where("doc_id = least").select("doc_id", "row", "first", F.posexplode(F.arrays_zip("h1", "h2")).alias("at", "h"))
+    ones = ones.select("doc_id", "row", (F.col("first") + F.col("at")).alias("start"), "h.*")
+    deep = ones.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most")
+    later = ones.join(deep, ["h1", "h2"]).where("doc_id > least").select("doc_id", "row", "start", (F.col("start") + WINDOW).alias("end"))
+    return out.unionByName(later).select("doc_id", "row", F.col("start").cast("int"), F.col("end").cast("int"))
+
+
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """doc_id, row (a hash of the text) and the word intervals start to end (exclusive) that go; they may overlap."""
     spark = docs.sparkSession
@@ -177,10 +199,8 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     small = docs.mapInArrow(_suffixes(repeated, large), "prefix long, doc_id long, row long, first int, at int, words binary")
     out = small.repartition("prefix").sortWithinPartitions("prefix").mapInArrow(_subtrees, "doc_id long, row long, start int, end int")
     if big.any():
-        whole = docs.mapInArrow(_long_prefixes(large), "h1 long, h2 long, doc_id long, row long, start long")
-        least = whole.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most")
-        later = whole.join(least, ["h1", "h2"]).where("doc_id > least")
-        out = out.unionByName(later.select("doc_id", "row", F.col("start").cast("int"), (F.col("start") + WINDOW).cast("int").alias("end")))
+        kind = "p1 long, p2 long, doc_id long, row long, first long, h1 array<long>, h2 array<long>"
+        out = out.unionByName(_long_repeats(written(docs.mapInArrow(_long_prefixes(large), kind), "large")))
     return out
 
 
