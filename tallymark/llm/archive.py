@@ -222,4 +222,4 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "warc")
     write_warc(table(spark, sf_dir, "pages"), path)
-    return read_warc(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "record_id", "date")
+    return read_warc(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

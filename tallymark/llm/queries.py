@@ -7,12 +7,15 @@ from .bitplanes import op8_bitplanes
 from .minhash import op1_minhash
 from .mixing import op9_mixing
 from .neighbours import op5_neighbours
+from .oracle import ORACLE_SQL
 from .packing import op10_packing
 from .pii import op6_pii
 from .repetition import op3_repetition
 from .substrings import op2_substrings
 from .toxicity import op4_toxicity
 
+__all__ = ["ORACLE_SQL", "QUERIES"]
+
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_substrings": op2_substrings,
@@ -25,4 +28,3 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_packing": op10_packing,
 }
-ORACLE_SQL: dict[str, str] = {}

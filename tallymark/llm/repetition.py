@@ -1,7 +1,7 @@
 """Quality rules from repetition coverage.
 
 Rolling hashes of several n-gram lengths, in numpy, mark the words that stand in an n-gram found twice or more in the
-same text; what counts is the share of the text's word characters that they cover, and the share in repeated lines.
+same text; what counts is the share of the words' bytes that they cover, and the share of characters in repeated lines.
 
 Defined cases: null or wordless texts have zero counts, fail the base rule and are not kept; repeated rows are judged
 row by row; a null doc_id stays null; columns other than doc_id and text are ignored; an empty table gives an empty
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table, texts, windows, word_hashes
 
-#: Largest share of word characters that may lie inside repeated n-grams, by n-gram length in words (fixed values).
+#: Largest share of the words' bytes that may lie inside repeated n-grams, by n-gram length in words (fixed values).
 MOST_COVERED = {5: 0.40, 6: 0.38, 8: 0.36, 10: 0.34}
 #: Largest share of word characters that may lie in lines equal to an earlier one.
 MOST_IN_LINES = 0.30
@@ -99,4 +99,5 @@ def repetition_rules(docs: DataFrame) -> DataFrame:
 
 
 def op3_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repetition_rules(table(spark, sf_dir, "documents"))
+    out = repetition_rules(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
