@@ -13,7 +13,9 @@ from ..operators import summary as A
 from ..sources import files as S
 from ..sources import markup as M
 from ..sources import remote as N
-from .places import customers, read, suppliers
+from .places import _C as _CUSTOMERS
+from .places import _S as _SUPPLIERS
+from .places import _hav, customers, read, suppliers
 
 
 def _clubs(spark: SparkSession, d: str) -> DataFrame:
@@ -222,6 +224,8 @@ ORACLE_SQL = {
         coalesce(bool_and(rank='deprecated') FILTER (snaktype='value' AND value<10), false) AS a, bool_or(rank='preferred') AS p, count(*) FILTER (rank='preferred' AND snaktype='value') AS tp, count(*) FILTER (rank='normal' AND snaktype='value') AS tn FROM s GROUP BY id)
         SELECT id, CASE WHEN b THEN 'B' WHEN c THEN 'C' WHEN a THEN 'A' ELSE '?' END AS shape, CAST(CASE WHEN p THEN tp ELSE tn END AS INTEGER) AS truthy FROM g WHERE n>0""",
     "existence_flags": "SELECT c_custkey AS id, c_custkey%13=0 AS person, c_custkey%17=0 AS gone FROM customer",
+    "places_around": f"""WITH {_SUPPLIERS}, {_CUSTOMERS}, p AS (SELECT s_suppkey, c_custkey, {_hav("c_lat", "c_lon", "lat", "lon")} AS m FROM s, c WHERE c_custkey%10=0),
+        r AS (SELECT *, row_number() OVER (PARTITION BY s_suppkey ORDER BY m, c_custkey) AS k FROM p WHERE m <= 30000) SELECT s_suppkey, c_custkey, round(m, 1) AS metres FROM r WHERE k = 1""",
     "union_aggregate": """WITH u AS (SELECT o_custkey%30 AS "group", o_custkey AS id, o_orderstatus AS a, NULL AS b FROM orders UNION ALL SELECT c_custkey%40, c_custkey, 'Z', CASE WHEN c_custkey%40>20 THEN c_mktsegment END FROM customer)
         SELECT "group", count(DISTINCT id) AS ids, min(a) AS a, min(b) AS b FROM u GROUP BY 1 HAVING count(DISTINCT id)>=5 AND min(b) IS NOT NULL""",
     "tagged_items": f"WITH {_ST} SELECT value, s.id, rank, snaktype, o_orderstatus AS label FROM s LEFT JOIN orders ON o_orderkey=s.id AND o_orderkey%2=0 WHERE value<6",

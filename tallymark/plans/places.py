@@ -47,7 +47,7 @@ def _hav(a: str, b: str, c: str, d: str) -> str:
 
 def near_me(spark: SparkSession, d: str) -> DataFrame:
     rows = suppliers(spark, d).join(read(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(read(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    return near_me_list(rows, "lat", "lon", "tier", "s_name", HOME, 900).select("s_suppkey", "s_name", "n_name", "r_name", "tier", "km")
+    return near_me_list(rows, "lat", "lon", "tier", "s_name", HOME, 3000).select("s_suppkey", "s_name", "n_name", "r_name", "tier", "km")
 
 
 def near_me_page(spark: SparkSession, d: str) -> DataFrame:
@@ -145,7 +145,7 @@ QUERIES = {f.__name__: f for f in (near_me, near_me_page, nearest_within_radius,
 _KM = f"floor({_hav(str(HOME[0]), str(HOME[1]), 'lat', 'lon')}/1000*1.25 + 0.5)"
 ORACLE_SQL = {
     "near_me": f"""WITH {_S} SELECT s_suppkey, s_name, n_name, r_name, tier, CAST({_KM} AS BIGINT) AS km FROM s JOIN nation ON s_nationkey = n_nationkey
-        JOIN region ON n_regionkey = r_regionkey WHERE {_KM} <= 900 ORDER BY km, tier, s_name LIMIT 50""",
+        JOIN region ON n_regionkey = r_regionkey WHERE {_KM} <= 3000 ORDER BY km, tier, s_name LIMIT 50""",
     "near_me_page": f"WITH {_S} SELECT s_suppkey, tier, CAST({_KM} AS BIGINT) AS km FROM s WHERE tier IN (1,2) AND {_KM} <= 1500 ORDER BY km, tier, s_name LIMIT 10 OFFSET 10",
     "nearest_within_radius": f"""WITH {_S}, {_C}, p AS (SELECT c_custkey, s_suppkey, {_hav('c_lat', 'c_lon', 'lat', 'lon')} AS m FROM c, s),
         r AS (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY m, s_suppkey) AS k FROM p WHERE m <= 60000)
