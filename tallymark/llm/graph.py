@@ -27,7 +27,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         joined = links.join(least, "u")
         links = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct()
         links = written(links, "links")
-        now = links.agg(F.count("*").alias("n"), F.sum(F.hash("u", "v").cast("decimal(38,0)")).alias("h")).first()
+        now = links.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if now == was:
             break
         was = now
