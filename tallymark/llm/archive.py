@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_dir, table, written
+from .common import shared_dir, small_batches, table, written
 
 #: The field names of the two versions' URL lines (fixed values).
 ARC_FIELDS = {
@@ -181,7 +181,7 @@ def _convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def write_warc(pages: DataFrame, path: str, least_bytes: int = 0, file_records: int = 4000) -> None:
     """pages (page_id, url, html) as gzipped WARC files in the folder path."""
-    pages = pages.select(F.col("page_id").cast("long"), "url", "html")
+    pages = small_batches(pages).select(F.col("page_id").cast("long"), "url", "html")
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
     key = F.sha1(payload).alias("sha")
     known = pages.where(F.col("page_id").isNotNull() & (F.length(payload) >= least_bytes)).select("page_id", key)
@@ -214,8 +214,8 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """A row for each record of the gzipped WARC files, digests checked; length and digest are of the full payload."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")  # a row is a whole file
-    files = spark.read.format("binaryFile").load(path).select("content")
+    # a row is a whole file here: one at a time
+    files = small_batches(spark.read.format("binaryFile").load(path).select("content"), 1)
     return files.mapInArrow(_read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, record_id string, date string")
 
 

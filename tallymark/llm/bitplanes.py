@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shared_dir, table, texts, written
+from .common import shared_dir, small_batches, table, texts, written
 from .tokens import coder, public
 
 MAGIC = b"TMBP"
@@ -140,15 +140,14 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end: int = END, kind:
         if ids:
             yield flush()
 
-    dealt = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(F.col("doc_id")).sortWithinPartitions("doc_id", "text")
+    dealt = small_batches(docs).select(F.col("doc_id").cast("long"), "text").repartitionByRange(F.col("doc_id")).sortWithinPartitions("doc_id", "text")
     rows = dealt.mapInArrow(run, "value binary").select(F.col("value").cast("string"))
     rows.write.option("lineSep", "\n").option("maxRecordsPerFile", FILE_SEGMENTS).text(path)
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame:
     # a row is a whole file here: one at a time
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
-    return spark.read.format("binaryFile").load(path).select("content")
+    return small_batches(spark.read.format("binaryFile").load(path).select("content"), 1)
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:

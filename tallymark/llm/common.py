@@ -19,8 +19,13 @@ BATCH_ROWS = 512
 BITMAP_BITS = 1 << 26
 
 
+def small_batches(df: DataFrame, rows: int = BATCH_ROWS) -> DataFrame:
+    """df, with the session sending Python workers so many rows at a time: texts may be very long."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bitmap, by_key, in_bitmap, mixed, table, texts, word_hashes, written
+from .common import bitmap, by_key, in_bitmap, mixed, small_batches, table, texts, word_hashes, written
 from .graph import components
 
 BANDS, ROWS = 32, 5
@@ -178,7 +178,7 @@ def linked(one: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarra
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each row of docs (doc_id, text)."""
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    docs = small_batches(docs).select(F.col("doc_id").cast("long"), "text")
     need = least_matches(percent / 100)
     sketches = written(docs.mapInArrow(_sketch(k), "doc_id long, n_shingles long, digest binary, sig binary"), "sketches")
 

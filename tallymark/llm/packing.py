@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, texts, written
+from .common import small_batches, table, texts, written
 from .tokens import coder, public
 
 CAPACITY = 1024
@@ -55,7 +55,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int =
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _PIECE)
+    return small_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _PIECE)
 
 
 def best_fit(sizes: np.ndarray, capacity: int) -> list[list[int]]:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, texts
+from .common import small_batches, table, texts
 
 KINDS = ("email", "ip", "card", "phone", "iban", "secret")
 LEAST = 0.6
@@ -168,7 +168,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
             rows = [[{"kind": KINDS[k], "start": s, "end": e, "score": score(t, s, KINDS[k], e)} for s, k, e in spans_of(t)[1]] for t in texts(batch)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(rows, kind)], names=["doc_id", "spans"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id long, spans {_SPANS}")
+    return small_batches(docs).select("doc_id", "text").mapInArrow(run, f"doc_id long, spans {_SPANS}")
 
 
 def redact(docs: DataFrame) -> DataFrame:
@@ -181,7 +181,7 @@ def redact(docs: DataFrame) -> DataFrame:
             new = [None if t is None else redacted(t) for t in batch.column(at).to_pylist()]
             yield batch.set_column(at, batch.schema.field(at), pa.array(new, batch.schema.field(at).type))
 
-    out = docs.mapInArrow(run, schema)
+    out = small_batches(docs).mapInArrow(run, schema)
     if "n_chars" in schema.names:
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(schema["n_chars"].dataType))
     return out

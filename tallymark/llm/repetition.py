@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import table, texts, windows, word_hashes
+from .common import small_batches, table, texts, windows, word_hashes
 
 #: Largest share of the words' bytes that may lie inside repeated n-grams, by n-gram length in words (fixed values).
 MOST_COVERED = {5: 0.40, 6: 0.38, 8: 0.36, 10: 0.34}
@@ -95,7 +95,7 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repetition_rules(docs: DataFrame) -> DataFrame:
     """A row of counts and the verdict for each row of docs (doc_id, text)."""
-    return docs.select("doc_id", "text").mapInArrow(_judge, SCHEMA)
+    return small_batches(docs).select("doc_id", "text").mapInArrow(_judge, SCHEMA)
 
 
 def op3_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bitmap, by_key, in_bitmap, mixed, table, texts, windows, word_hashes, written
+from .common import bitmap, by_key, in_bitmap, mixed, small_batches, table, texts, windows, word_hashes, written
 
 WINDOW = 50
 ANCHOR = 8
@@ -222,7 +222,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 for each row of docs (doc_id, text)."""
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    docs = small_batches(docs).select(F.col("doc_id").cast("long"), "text")
     spans = repeated_passages(docs).groupBy("doc_id", "row").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     keyed = docs.withColumn("row", F.xxhash64("text")).join(spans, ["doc_id", "row"], "left")
     return keyed.select("doc_id", "text", "spans").mapInArrow(_cut, "doc_id long, n_words long, n_removed long, kept_sha256 string")

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, texts
+from .common import small_batches, table, texts
 
 DIM = 1 << 18
 POSITIVES = 4000
@@ -118,7 +118,7 @@ def train(docs: DataFrame, labels: DataFrame, class_prior: float | None = None)
     free = docs.where(F.col("doc_id").isNotNull() & (fold() != 0)).select("doc_id", F.lit(0).alias("toxic")).orderBy(*order).limit(UNLABELLED)
     # both sides are bounded by the two parameters
     chosen = F.broadcast(pos.unionByName(free))
-    got = docs.select("doc_id", "text").join(chosen, "doc_id").mapInArrow(_buckets, "toxic int, ids array<int>").toArrow()
+    got = small_batches(docs).select("doc_id", "text").join(chosen, "doc_id").mapInArrow(_buckets, "toxic int, ids array<int>").toArrow()
     toxic = got.column("toxic").to_numpy()
     ids = got.column("ids").combine_chunks()
     at, flat = ids.offsets.to_numpy(), ids.values.to_numpy()
@@ -142,7 +142,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(_scores(texts(batch), w, b), pa.float64())], names=["doc_id", "score"])
 
-    out = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
+    out = small_batches(docs).select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
     return out.select("doc_id", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
@@ -155,7 +155,7 @@ def without_toxic(docs: DataFrame, model: tuple[np.ndarray, float], threshold: f
         for batch in batches:
             yield batch.filter(pa.array(_scores(texts(batch), w, b) < threshold, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
