@@ -61,13 +61,21 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
+def _counts(rows: list[np.ndarray]) -> np.ndarray:
+    """How many rows have each bucket; a few rows at a time, as the driver's memory is small."""
+    out = np.zeros(DIM, np.int64)
+    for i in range(0, len(rows), 256):
+        out += np.bincount(np.concatenate(rows[i : i + 256]), minlength=DIM)
+    return out
+
+
 def nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = 200, rate: float = 0.05, decay: float = 5e-4, least_df: float = 0.005, least_lift: float = 3.0) -> tuple[np.ndarray, float]:
     """Weights and bias; the loss is logistic, the optimiser Adam.
 
     A bucket takes part if a share least_df of the positives (5 at least, 2 of few) have it, least_lift times the share
     of the unlabelled texts that do.
     """
-    df, free = (np.bincount(np.concatenate([*rows, np.empty(0, np.int32)]).astype(np.int64), minlength=DIM) for rows in (positive, unlabelled))
+    df, free = _counts(positive), _counts(unlabelled)
     common = df >= max(min(5, max(2, len(positive) // 10)), least_df * len(positive))
     used = (common & (df * len(unlabelled) >= least_lift * free * len(positive))).nonzero()[0]
     place = np.full(DIM, -1)
