@@ -184,15 +184,16 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
     # equal sets: linked through the smallest id; rows of one doc_id with different sets are linked by being one node
     real = sketches.where("doc_id is not null and digest is not null")
-    first = real.groupBy("digest").agg(F.min("doc_id").alias("id"))
-    same = real.select("doc_id", "digest").join(first, "digest").where("doc_id <> id").select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
-    same = written(same, "same")
-    sigs = written(real.join(first, "digest").where("doc_id = id").select("id", "sig"), "signatures")
+    copies = written(real.groupBy("digest").agg(F.min("doc_id").alias("id"), F.count("*").alias("n")).where("n > 1").select("digest", "id"), "copies")
+    same = written(real.select("doc_id", "digest").join(copies, "digest").where("doc_id <> id").select(F.col("id").alias("a"), F.col("doc_id").alias("b")), "same")
+    one = real.join(copies, "digest", "left").where("id is null or doc_id = id")
+    sigs = written(one.select(F.col("doc_id").alias("id"), "sig"), "signatures")
 
     # a node that has several different sets takes part with each of them
     band = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band")
     bands = sigs.select("id", "sig", band).select("id", F.xxhash64("band", F.expr(f"substring(sig, band * {4 * ROWS} + 1, {4 * ROWS})")).alias("key"))
-    buckets = bands.groupBy("key").agg(F.min("id").alias("pivot"), F.count("*").alias("n")).where("n > 1")
+    # written first, so that the join with a common key can be split or, where there are few, broadcast
+    buckets = written(bands.groupBy("key").agg(F.min("id").alias("pivot"), F.count("*").alias("n")).where("n > 1"), "keys")
     members = written(bands.join(buckets, "key").select("key", "id", "pivot", "n"), "buckets")
 
     def full_sets(ids: DataFrame) -> DataFrame:
