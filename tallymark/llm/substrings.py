@@ -149,9 +149,10 @@ def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _long_prefixes(large):
     """The suffixes of large partitions: 128 bits of hash of all the words that the anchor stands for, doc_id, row, the
-    first window, and 128 bits of hash of each window."""
-    names = ["p1", "p2", "doc_id", "row", "first", "h1", "h2"]
-    kinds = [pa.int64()] * 5 + [pa.list_(pa.int64())] * 2
+    first windows, and 128 bits of hash of each window. Suffixes of one text with equal words are one row with several
+    first windows, so a text that repeats a line thousands of times has few rows."""
+    names = ["p1", "p2", "doc_id", "row", "firsts", "h1", "h2"]
+    kinds = [pa.int64()] * 4 + [pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -162,9 +163,15 @@ def _long_prefixes(large):
                 own = in_bitmap(large.value, prefix)
                 if own.any():
                     w1, w2 = windows(h, WINDOW).view(np.int64), windows(mixed(~h), WINDOW).view(np.int64)
+                    places: dict[bytes, list[int]] = {}
+                    counts: dict[bytes, int] = {}
                     for f, x in zip(first[own].tolist(), last[own].tolist(), strict=True):
-                        p = np.frombuffer(xxhash.xxh3_128_digest(h[f : x + WINDOW].tobytes()), np.int64).tolist()
-                        for col, v in zip(out, (*p, doc, row, f, w1[f : x + 1], w2[f : x + 1]), strict=True):
+                        p = xxhash.xxh3_128_digest(h[f : x + WINDOW].tobytes())
+                        places.setdefault(p, []).append(f)
+                        counts[p] = x + 1 - f
+                    for p, firsts in places.items():
+                        f, x = firsts[0], firsts[0] + counts[p]
+                        for col, v in zip(out, (*np.frombuffer(p, np.int64).tolist(), doc, row, firsts, w1[f:x], w2[f:x]), strict=True):
                             col.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=names)
 
@@ -172,23 +179,24 @@ def _long_prefixes(large):
 
 
 def _long_repeats(whole: DataFrame) -> DataFrame:
-    """doc_id, row, start and end of what goes from large partitions.
+    """doc_id, row, starts and length of what goes from large partitions.
 
     Suffixes with equal words are one node: all but those of its smallest doc_id go whole, and only the latter's windows
     are set out one by one, so copies of a text or a passage weigh no more than one.
     """
     least = whole.groupBy("p1", "p2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    later = whole.select("p1", "p2", "doc_id", "row", "first", F.size("h1").alias("n")).join(least.where("least < most"), ["p1", "p2"]).where("doc_id > least")
-    out = later.select("doc_id", "row", F.col("first").alias("start"), (F.col("first") + F.col("n") + WINDOW - 1).alias("end"))
-    ones = whole.join(least, ["p1", "p2"]).where("doc_id = least").select("doc_id", "row", "first", F.posexplode(F.arrays_zip("h1", "h2")).alias("at", "h"))
-    ones = ones.select("doc_id", "row", (F.col("first") + F.col("at")).alias("start"), "h.*")
+    later = whole.select("p1", "p2", "doc_id", "row", "firsts", F.size("h1").alias("n")).join(least.where("least < most"), ["p1", "p2"]).where("doc_id > least")
+    out = later.select("doc_id", "row", F.col("firsts").alias("starts"), (F.col("n") + WINDOW - 1).alias("length"))
+    ones = whole.join(least, ["p1", "p2"]).where("doc_id = least").select("doc_id", "row", "firsts", F.posexplode(F.arrays_zip("h1", "h2")).alias("at", "h"))
+    ones = ones.select("doc_id", "row", "firsts", "at", "h.*")
     deep = ones.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most")
-    later = ones.join(deep, ["h1", "h2"]).where("doc_id > least").select("doc_id", "row", "start", (F.col("start") + WINDOW).alias("end"))
-    return out.unionByName(later).select("doc_id", "row", F.col("start").cast("int"), F.col("end").cast("int"))
+    later = ones.join(deep, ["h1", "h2"]).where("doc_id > least")
+    starts = F.expr("transform(firsts, f -> f + at)")
+    return out.unionByName(later.select("doc_id", "row", starts.alias("starts"), F.lit(WINDOW).alias("length")))
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
-    """doc_id, row (a hash of the text) and the word intervals start to end (exclusive) that go; they may overlap."""
+    """doc_id, row (a hash of the text) and the runs of words that go, starts and the length of each; they may overlap."""
     spark = docs.sparkSession
     docs = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("row"))
     counts = docs.select("doc_id", "text").mapInArrow(_count, "prefix long, doc_id long").groupBy("prefix").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("n"))
@@ -198,8 +206,9 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     large = spark.sparkContext.broadcast(big)
     small = docs.mapInArrow(_suffixes(repeated, large), "prefix long, doc_id long, row long, first int, at int, words binary")
     out = small.repartition("prefix").sortWithinPartitions("prefix").mapInArrow(_subtrees, "doc_id long, row long, start int, end int")
+    out = out.select("doc_id", "row", F.array("start").alias("starts"), (F.col("end") - F.col("start")).alias("length"))
     if big.any():
-        kind = "p1 long, p2 long, doc_id long, row long, first long, h1 array<long>, h2 array<long>"
+        kind = "p1 long, p2 long, doc_id long, row long, firsts array<int>, h1 array<long>, h2 array<long>"
         out = out.unionByName(_long_repeats(written(docs.mapInArrow(_long_prefixes(large), kind), "large")))
     return out
 
@@ -211,8 +220,9 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = text.encode().split()
             edge = np.zeros(len(words) + 1, np.int64)
             for s in spans or ():
-                edge[s["start"]] += 1
-                edge[s["end"]] -= 1
+                at = np.array(s["starts"])
+                np.add.at(edge, at, 1)
+                np.add.at(edge, at + s["length"], -1)
             off = np.cumsum(edge[:-1]) > 0
             n.append(len(words))
             gone.append(int(off.sum()))
@@ -223,7 +233,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def without_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 for each row of docs (doc_id, text)."""
     docs = small_batches(docs).select(F.col("doc_id").cast("long"), "text")
-    spans = repeated_passages(docs).groupBy("doc_id", "row").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    spans = repeated_passages(docs).groupBy("doc_id", "row").agg(F.collect_list(F.struct("starts", "length")).alias("spans"))
     keyed = docs.withColumn("row", F.xxhash64("text")).join(spans, ["doc_id", "row"], "left")
     return keyed.select("doc_id", "text", "spans").mapInArrow(_cut, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
