@@ -40,7 +40,7 @@ def league_sizes(spark: SparkSession, d: str) -> DataFrame:
 def _statements(spark: SparkSession, d: str) -> DataFrame:
     k, n = F.col("l_orderkey"), F.col("l_linenumber")
     rank = F.when(n % 3 == 0, "preferred").when(n % 3 == 1, "normal").otherwise("deprecated")
-    return read(spark, d, "lineitem").where("l_orderkey < 3000").select(k.alias("id"), (F.col("l_suppkey") % 50).alias("value"), rank.alias("rank"), F.when((k + n) % 4 == 0, "novalue").otherwise("value").alias("snaktype"))
+    return read(spark, d, "lineitem").select(k.alias("id"), (F.col("l_suppkey") % 50).alias("value"), rank.alias("rank"), F.when((k + n) % 4 == 0, "novalue").otherwise("value").alias("snaktype"))
 
 
 def suppressed(spark: SparkSession, d: str) -> DataFrame:
@@ -83,7 +83,7 @@ def tagged_items(spark: SparkSession, d: str) -> DataFrame:
 
 
 def pointers_at(spark: SparkSession, d: str) -> DataFrame:
-    edges = read(spark, d, "lineitem").where("l_orderkey < 3000").select(F.col("l_orderkey").alias("source"), F.col("l_returnflag").alias("predicate"), F.col("l_partkey").alias("target"))
+    edges = read(spark, d, "lineitem").select(F.col("l_orderkey").alias("source"), F.col("l_returnflag").alias("predicate"), F.col("l_partkey").alias("target"))
     targets = read(spark, d, "part").where("p_size < 10").select(F.col("p_partkey").alias("target"))
     return N.pointers(edges, targets, ["A", "R"])
 
@@ -122,19 +122,19 @@ def parents_known(spark: SparkSession, d: str) -> DataFrame:
 
 
 def second_source(spark: SparkSession, d: str) -> DataFrame:
-    p = read(spark, d, "part").where("p_partkey < 400").select("p_partkey", "p_brand", "p_name")
+    p = read(spark, d, "part").select("p_partkey", "p_brand", "p_name")
     o = read(spark, d, "part").where("p_partkey % 9 = 0 and p_size < 30").select("p_brand", F.split("p_name", " ")[1].alias("other"))
     return J.confirmed_by(p, o.where("p_brand < 'Brand#3'"), "p_partkey", "p_brand", "p_name", "other").select("p_partkey", "second")
 
 
 def best_strength(spark: SparkSession, d: str) -> DataFrame:
-    p = read(spark, d, "part").where("p_partkey < 60").select("p_partkey", "p_name")
-    o = read(spark, d, "part").where("p_partkey between 60 and 90").select(F.col("p_partkey").alias("o"), F.col("p_name").alias("other"))
-    # sixty names against thirty-one, by their shared words
+    p = read(spark, d, "part").where("p_partkey % 3 < 2").select("p_partkey", "p_name")
+    o = read(spark, d, "part").where("p_partkey % 3 = 2").groupBy(F.col("p_name").alias("other")).agg(F.min("p_partkey").alias("o"))
+    # two thirds of the parts against the others: distinct names by their shared words
     words = lambda df, k, n: df.select("*", F.explode(F.split(n, " ")).alias("w"))
-    pairs = words(p, "p_partkey", "p_name").join(words(o, "o", "other"), "w").drop("w").distinct()
+    pairs = words(p.select("p_name").distinct(), "p_name", "p_name").join(words(o, "o", "other"), "w").drop("w").distinct()
     pairs = pairs.withColumn("strength", J.name_strength(F.split("p_name", " "), F.split("other", " "), F.array(F.lit("ring"))))
-    return J.best_strength(pairs, "p_partkey", "strength", "other", "o")
+    return p.join(J.best_strength(pairs, "p_name", "strength", "other", "o"), "p_name").select("p_partkey", "strength", "other")
 
 
 def table_cells(spark: SparkSession, d: str) -> DataFrame:
@@ -144,7 +144,7 @@ def table_cells(spark: SparkSession, d: str) -> DataFrame:
 
 
 def flattened_props(spark: SparkSession, d: str) -> DataFrame:
-    e = read(spark, d, "events").where("event_id < 2000").select("event_id", F.explode(T.flattened("props", 2)).alias("f"))
+    e = read(spark, d, "events").select("event_id", F.explode(T.flattened("props", 2)).alias("f"))
     return e.select("event_id", "f.path", "f.leaf")
 
 
@@ -179,13 +179,13 @@ def coverage_of_texts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def review_order(spark: SparkSession, d: str) -> DataFrame:
-    o = read(spark, d, "orders").where("o_orderkey < 1000")
+    o = read(spark, d, "orders")
     order = W.review_order("o_orderpriority", ["5-LOW", "1-URGENT"], "o_orderstatus", "o_orderkey")
     return o.select("o_orderkey", F.row_number().over(Window.orderBy(*order)).alias("place"))
 
 
 def bucket_order(spark: SparkSession, d: str) -> DataFrame:
-    o = read(spark, d, "orders").where("o_orderkey < 500").select("o_orderkey", "o_orderstatus", F.when(F.col("o_orderkey") % 3 == 0, "day").when(F.col("o_orderkey") % 3 == 1, "month").alias("precision"), F.when(F.col("o_orderkey") % 3 < 2, F.col("o_orderdate").cast("date")).alias("day"), (F.col("o_orderkey") % 10 == 0).alias("fav"))
+    o = read(spark, d, "orders").select("o_orderkey", "o_orderstatus", F.when(F.col("o_orderkey") % 3 == 0, "day").when(F.col("o_orderkey") % 3 == 1, "month").alias("precision"), F.when(F.col("o_orderkey") % 3 < 2, F.col("o_orderdate").cast("date")).alias("day"), (F.col("o_orderkey") % 10 == 0).alias("fav"))
     order = W.bucket_order("o_orderstatus", "o_orderkey", "precision", "day", "fav", F.lit("1998-06-30").cast("date"))
     return o.select("o_orderkey", F.row_number().over(Window.orderBy(*order)).alias("place"))
 
@@ -196,7 +196,7 @@ def country_order(spark: SparkSession, d: str) -> DataFrame:
 
 
 def layered_rules(spark: SparkSession, d: str) -> DataFrame:
-    c = read(spark, d, "customer").where("c_custkey < 200").select("c_custkey", "c_nationkey", "c_mktsegment")
+    c = read(spark, d, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     by_nation = read(spark, d, "nation").where("n_nationkey % 2 = 0").select(F.col("n_nationkey").alias("c_nationkey"), F.concat(F.lit("nation "), "n_name").alias("rule"))
     by_club = read(spark, d, "customer").where("c_custkey % 5 = 0").select("c_custkey", F.lit("club").alias("rule"))
     return R.layered({"country": by_nation, "club": by_club}, c, {"country": "c_nationkey", "club": "c_custkey"}).select("c_custkey", "rule", "layer")
@@ -204,7 +204,7 @@ def layered_rules(spark: SparkSession, d: str) -> DataFrame:
 
 def reviewed_proposals(spark: SparkSession, d: str) -> DataFrame:
     p = read(spark, d, "part").select(F.col("p_brand").alias("k"), F.col("p_name").alias("ref"), "p_partkey", F.when(F.col("p_size") > 20, "confident").otherwise("ambiguous").alias("verdict"))
-    rv = read(spark, d, "part").where("p_partkey % 40 = 0 and p_partkey < 800").groupBy(F.col("p_brand").alias("k"), F.col("p_name").alias("ref")).agg(F.when(F.min("p_partkey") % 80 == 0, "rejected").otherwise("held").alias("decision"))
+    rv = read(spark, d, "part").where("p_partkey % 40 = 0").groupBy(F.col("p_brand").alias("k"), F.col("p_name").alias("ref")).agg(F.when(F.min("p_partkey") % 80 == 0, "rejected").otherwise("held").alias("decision"))
     return R.reviewed(p, rv, "k", "ref").select("p_partkey", "verdict", "decision")
 
 

@@ -21,7 +21,7 @@ def _named(spark: SparkSession, d: str) -> DataFrame:
     """Parts with a second spelling of their names: upper case, hyphens, for some a legal form, year or marker more."""
     k = F.col("p_partkey")
     other = F.concat(F.upper(F.replace("p_name", F.lit(" "), F.lit("-"))), F.when(k % 3 == 0, F.lit(" Small")).otherwise(F.lit("")), F.when(k % 5 == 0, F.lit(" 1904")).otherwise(F.lit("")), F.when(k % 7 == 0, F.lit(" II")).otherwise(F.lit("")))
-    return read(spark, d, "part").where(k < 300).select("p_partkey", "p_brand", "p_name", other.alias("other"))
+    return read(spark, d, "part").select("p_partkey", "p_brand", "p_name", other.alias("other"))
 
 
 def name_core_join(spark: SparkSession, d: str) -> DataFrame:
@@ -116,19 +116,19 @@ def strengths(spark: SparkSession, d: str) -> DataFrame:
 
 
 def same_names(spark: SparkSession, d: str) -> DataFrame:
-    p = read(spark, d, "part").where("p_partkey < 500").withColumn("key", T.ascii_key("p_name"))
+    p = read(spark, d, "part").withColumn("key", T.ascii_key("p_name"))
     return same_name_notes(p, "p_partkey", "key", ["p_brand"]).select("p_partkey", F.size("others").alias("others"))
 
 
 def name_lists(spark: SparkSession, d: str) -> DataFrame:
-    p = read(spark, d, "part").where("p_partkey < 200").select("p_partkey", "p_brand", "p_name")
+    p = read(spark, d, "part").select("p_partkey", "p_brand", "p_name")
     one = read(spark, d, "part").where("p_partkey % 3 = 0").select("p_brand", F.col("p_type").alias("code"), F.split("p_name", " ")[0].alias("label")).distinct()
     two = read(spark, d, "part").where("p_partkey % 3 = 1").select("p_brand", F.col("p_type").alias("code"), F.split("p_name", " ")[1].alias("label")).distinct()
     return name_candidates(p, [one, two], "p_brand", "p_name").select("p_partkey", "code", "label", "source_order")
 
 
 def lost_in_translation(spark: SparkSession, d: str) -> DataFrame:
-    o = read(spark, d, "orders").where("o_orderkey < 2000").select("o_orderkey", F.concat(F.lit("Order "), F.col("o_custkey").cast("string"), F.lit(" of "), F.date_format("o_orderdate", "yyyy-MM-dd")).alias("src"))
+    o = read(spark, d, "orders").select("o_orderkey", F.concat(F.lit("Order "), F.col("o_custkey").cast("string"), F.lit(" of "), F.date_format("o_orderdate", "yyyy-MM-dd")).alias("src"))
     o = o.withColumn("dst", F.when(F.col("o_orderkey") % 4 == 0, F.regexp_replace("src", "[0-9]{4}-[0-9]{2}-[0-9]{2}", "?")).otherwise(F.col("src"))).withColumn("fp", F.when(F.col("o_orderkey") % 6 == 0, F.lit("00000000")).otherwise(T.fingerprint("src")))
     p = translation_problems("src", "dst", "fp")
     return o.select("o_orderkey", F.exists(p, lambda x: x == "day missing").alias("day_lost"), F.exists(p, lambda x: x == "stale").alias("stale"))

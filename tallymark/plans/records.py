@@ -44,7 +44,7 @@ def min_tier_ambiguous(spark: SparkSession, d: str) -> DataFrame:
 
 
 def distinct_places(spark: SparkSession, d: str) -> DataFrame:
-    li = read(spark, d, "lineitem").where("l_partkey < 200").select("l_partkey", "l_suppkey", F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("label"))
+    li = read(spark, d, "lineitem").select("l_partkey", "l_suppkey", F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("label"))
     return A.distinct_places(li, "l_partkey", "l_suppkey", "label").select("l_partkey", "places", "several")
 
 
@@ -53,7 +53,7 @@ def mode_with_ties(spark: SparkSession, d: str) -> DataFrame:
 
 
 def match_sides(spark: SparkSession, d: str) -> DataFrame:
-    m = read(spark, d, "lineitem").withColumn("ord", F.col("l_orderkey") * 10 + F.col("l_linenumber")).where("l_orderkey < 3000").groupBy("ord").agg(F.min("l_partkey").alias("home"), F.max("l_suppkey").alias("away"))
+    m = read(spark, d, "lineitem").withColumn("ord", F.col("l_orderkey") * 10 + F.col("l_linenumber")).groupBy("ord").agg(F.min("l_partkey").alias("home"), F.max("l_suppkey").alias("away"))
     m = m.withColumn("hn", F.concat(F.lit("h"), F.col("ord").cast("string"))).withColumn("an", F.concat(F.lit("a"), F.col("ord").cast("string")))
     return A.sides(m, "ord", ["home", "hn"], ["away", "an"], ["team", "name"]).where("team >= 100")
 
@@ -110,14 +110,14 @@ def overlay_sparse(spark: SparkSession, d: str) -> DataFrame:
 
 
 def hand_links(spark: SparkSession, d: str) -> DataFrame:
-    li = read(spark, d, "lineitem").where("l_orderkey < 2000").select(F.col("l_orderkey").alias("team"), (F.col("l_linenumber") % 2).alias("source"), (F.col("l_partkey") % 500).alias("club")).distinct()
+    li = read(spark, d, "lineitem").select(F.col("l_orderkey").alias("team"), (F.col("l_linenumber") % 2).alias("source"), (F.col("l_partkey") % 500).alias("club")).distinct()
     links, _ = R.unambiguous_links(li, "team", "source", "club")
-    hand = read(spark, d, "orders").where("o_orderkey < 2000 and o_orderkey % 20 = 0").select(F.col("o_orderkey").alias("team"), F.lit(0).alias("source"), (F.col("o_custkey") % 500).alias("club"), F.when(F.col("o_orderkey") % 40 == 0, "link").otherwise("reject").alias("action"))
+    hand = read(spark, d, "orders").where("o_orderkey % 20 = 0").select(F.col("o_orderkey").alias("team"), F.lit(0).alias("source"), (F.col("o_custkey") % 500).alias("club"), F.when(F.col("o_orderkey") % 40 == 0, "link").otherwise("reject").alias("action"))
     return R.hand_links(links, hand, "team", "source", "club")
 
 
 def ambiguous_links(spark: SparkSession, d: str) -> DataFrame:
-    li = read(spark, d, "lineitem").where("l_orderkey < 2000").select("l_orderkey", "l_returnflag", "l_suppkey").distinct()
+    li = read(spark, d, "lineitem").select("l_orderkey", "l_returnflag", "l_suppkey").distinct()
     _, reviews = R.unambiguous_links(li, "l_orderkey", "l_returnflag", "l_suppkey")
     return reviews
 
@@ -125,7 +125,7 @@ def ambiguous_links(spark: SparkSession, d: str) -> DataFrame:
 def scoped_pick(spark: SparkSession, d: str) -> DataFrame:
     c = read(spark, d, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     s = read(spark, d, "supplier").select("s_suppkey", "s_nationkey")
-    pairs = c.where("c_custkey < 300").join(s, (F.col("c_nationkey") == F.col("s_nationkey")) & (F.col("s_suppkey") % 4 == F.col("c_custkey") % 4))
+    pairs = c.join(s, (F.col("c_nationkey") == F.col("s_nationkey")) & (F.col("s_suppkey") % 4 == F.col("c_custkey") % 4))
     return J.disambiguated(pairs, "c_custkey", F.col("s_suppkey") % 3 == 0).select("c_custkey", "s_suppkey", "verdict")
 
 
@@ -138,7 +138,7 @@ def roster_cascade(spark: SparkSession, d: str) -> DataFrame:
 
 
 def change_tracking(spark: SparkSession, d: str) -> DataFrame:
-    o = read(spark, d, "orders").where("o_orderkey < 3000").withColumn("uid", F.col("o_orderkey").cast("string"))
+    o = read(spark, d, "orders").withColumn("uid", F.col("o_orderkey").cast("string"))
     h = F.substring(F.sha2(F.concat_ws("|", "o_orderstatus", "o_orderpriority"), 256), 1, 16)
     state = o.where("o_orderkey % 5 > 0").select("uid", F.when(F.col("o_orderkey") % 4 == 0, "old").otherwise(h).alias("hash"), F.lit("19980101").alias("dtstamp"), (F.col("o_orderkey") % 3).cast("int").alias("sequence"))
     return R.tracked(o.where("o_orderkey % 6 > 0").select("uid", h.alias("hash")), state, "uid", F.lit("19980630"))
@@ -153,18 +153,18 @@ def quarantine_orders(spark: SparkSession, d: str) -> DataFrame:
 
 
 def ref_integrity(spark: SparkSession, d: str) -> DataFrame:
-    li = read(spark, d, "lineitem").where("l_orderkey < 4000").select("l_orderkey", F.array((F.col("l_suppkey") * 2).cast("string"), F.col("l_suppkey").cast("string")).alias("refs"))
+    li = read(spark, d, "lineitem").select("l_orderkey", F.array((F.col("l_suppkey") * 2).cast("string"), F.col("l_suppkey").cast("string")).alias("refs"))
     dim = read(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("id"))
     return Q.dangling(li, F.col("refs"), dim, "id", "l_orderkey").distinct()
 
 
 def unused_dim(spark: SparkSession, d: str) -> DataFrame:
-    used = read(spark, d, "orders").where("o_orderkey < 3000").select(F.col("o_custkey").alias("c_custkey"))
+    used = read(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"))
     return J.missing(read(spark, d, "customer"), used, ["c_custkey"]).select("c_custkey")
 
 
 def used_dim(spark: SparkSession, d: str) -> DataFrame:
-    used = read(spark, d, "orders").where("o_orderkey < 3000").select(F.col("o_custkey").alias("c_custkey"))
+    used = read(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"))
     return J.present(read(spark, d, "customer"), used, ["c_custkey"]).select("c_custkey")
 
 
@@ -201,7 +201,7 @@ def date_precision(spark: SparkSession, d: str) -> DataFrame:
 
 
 def explode_days(spark: SparkSession, d: str) -> DataFrame:
-    o = _orders(spark, d).where("o_orderkey < 500")
+    o = _orders(spark, d)
     return o.select("o_orderkey", F.explode(D.days_of("day", F.date_add("day", (F.col("o_orderkey") % 6).cast("int")))).alias("on")).groupBy("on").agg(F.count("*").alias("n"))
 
 
@@ -213,7 +213,7 @@ def recurrence_next(spark: SparkSession, d: str) -> DataFrame:
 
 
 def aged_rows(spark: SparkSession, d: str) -> DataFrame:
-    o = _orders(spark, d).where("o_orderkey < 5000")
+    o = _orders(spark, d)
     note = F.concat(F.lit("Stand: "), F.when(F.col("o_orderkey") % 2 == 0, F.date_format("day", "dd.MM.yyyy")).otherwise(F.date_format("day", "MMM yyyy")))
     out = Q.aged_rows(o.withColumn("note", note).withColumn("refs", F.array((F.col("o_custkey") % 7).cast("string"))), F.col("refs"), spark.createDataFrame([("1", "14.10.1997; read 6 Nov 1999"), ("2", "undated, read 1 Jan 1994")], "id string, published string"), "id", "published", "o_orderkey", "note", _as_of())
     return out
@@ -234,12 +234,12 @@ def year_before(spark: SparkSession, d: str) -> DataFrame:
 
 
 def holiday_overlaps(spark: SparkSession, d: str) -> DataFrame:
-    o = _orders(spark, d).where("o_orderkey < 400").select("o_orderkey", F.col("day").cast("string").alias("s"), F.date_add("day", (F.col("o_orderkey") % 9 - 1).cast("int")).cast("string").alias("e"))
+    o = _orders(spark, d).select("o_orderkey", F.col("day").cast("string").alias("s"), F.date_add("day", (F.col("o_orderkey") % 9 - 1).cast("int")).cast("string").alias("e"))
     return Q.interval_problems(o, "s", "e", "o_orderkey")[2]
 
 
 def local_to_utc(spark: SparkSession, d: str) -> DataFrame:
-    e = read(spark, d, "events").where("event_id < 3000").withColumn("t", F.col("ts").cast("timestamp")).withColumn("z", F.when(F.col("user_id") % 3 == 0, "Europe/Bucharest")).withColumn("c", F.when(F.col("user_id") % 3 == 1, "GB"))
+    e = read(spark, d, "events").withColumn("t", F.col("ts").cast("timestamp")).withColumn("z", F.when(F.col("user_id") % 3 == 0, "Europe/Bucharest")).withColumn("c", F.when(F.col("user_id") % 3 == 1, "GB"))
     u = D.to_utc("t", "z", "c")
     return e.withColumn("u", u).select("event_id", F.col("u")["utc"].cast("timestamp_ntz").alias("utc"), F.col("u")["guessed"].alias("guessed"))
 
@@ -267,7 +267,7 @@ def renewals(spark: SparkSession, d: str) -> DataFrame:
 
 
 def shortlist(spark: SparkSession, d: str) -> DataFrame:
-    li = read(spark, d, "lineitem").where("l_orderkey < 3000").withColumn("level", F.floor(F.col("l_quantity") / 20))
+    li = read(spark, d, "lineitem").withColumn("level", F.floor(F.col("l_quantity") / 20))
     return W.shortlist(li, "l_orderkey", "level", F.col("l_returnflag") == "R").select("l_orderkey", "l_linenumber", "l_partkey", "level", "verdict")
 
 
@@ -312,7 +312,7 @@ def divisions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def shared_targets(spark: SparkSession, d: str) -> DataFrame:
-    p = read(spark, d, "part").where("p_partkey < 400").select(F.col("p_partkey").cast("string").alias("row"), F.concat_ws("|", "p_brand", "p_size").alias("target"))
+    p = read(spark, d, "part").select(F.col("p_partkey").cast("string").alias("row"), F.concat_ws("|", "p_brand", "p_size").alias("target"))
     return A.shared_target(p, "row", "target").select("row", F.size("others").alias("others")).where("others > 0")
 
 
