@@ -76,7 +76,7 @@ class Coder:
         return b"".join(map(self.words.__getitem__, text.split()))
 
     def _spaced_text(self, text: str) -> bytes:
-        if not text or len(text.split()) != text.count(" ") + text.count("\n") + 1 or any(c in text for c in _ODD):
+        if text.split() != text.replace("\n", " ").split(" "):  # a gap that isn't one space or line feed
             return self.whole(text)
         out, after = [], self.after_space.__getitem__
         for line in text.split("\n"):

@@ -267,3 +267,15 @@ def test_cached_ids_equal_the_library(spark, name):
     odd_texts = ["", "  a  b", "a\n\nb", "a\n \nb", "x's don't I'LL 12,3 é̃ <|endoftext|>", " lead", "trail ", "a b", "a\x1cb", "İSTANBUL ΣΑΣ ς", "tab\tx", "ªº µ Ünïcode", "a.\nB."]
     for t in odd_texts + [t for _, t in texts_of(spark)[:60]]:
         assert tokens.coder(path).encode(t) == np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_uneven_gaps_are_encoded_as_the_library_does(name):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(tokens.public(name))
+    random.seed(8)
+    odd_texts = ["x \ny\tz", "a \nb\u00a0c", "a\n\n\nb\tc\td", "\x85a  b", " a\tb", "a\x1cb  c"]
+    odd_texts += ["".join(random.choice("aé1. \n\n\t\u00a0\u2003\x1c\x85\r") for _ in range(random.randint(0, 12))) for _ in range(2000)]
+    for t in odd_texts:
+        assert tokens.coder(tokens.public(name)).encode(t) == np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), t
