@@ -119,7 +119,7 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end: int = END, kind:
     """The ids of docs (doc_id, text) in ascending order of doc_id, as files in the folder path."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, part, seg = coder(tokenizer).encode, TaskContext.get().partitionId(), 0
+        code, part, seg = coder(tokenizer, special=True).encode, TaskContext.get().partitionId(), 0
         tail = np.array([end], "<u4").tobytes()
         ids: list[str | None] = []
         held: list[bytes] = []

@@ -44,7 +44,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int =
     """Rows of _PIECE for each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = coder(tokenizer).encode
+        code = coder(tokenizer, special=True).encode
         tail = np.array([end], "<u4").tobytes()
         for batch in batches:
             rows = []

@@ -2,7 +2,8 @@
 
 A text is parted at places where the library's own pre-tokenizer always parts it, so that every piece is encoded by
 the library once and remembered. Texts and words outside the plain cases (double or rare white space, digits, letters
-beyond Latin-1) go to the library whole. Strings of special tokens count as ordinary text.
+beyond Latin-1) go to the library whole. Strings of special tokens count as ordinary text, or, with special, as those
+tokens, which is the library's default; texts that hold one then go to the library whole too.
 """
 
 from __future__ import annotations
@@ -46,9 +47,9 @@ def _bytes(ids) -> bytes:
 class Coder:
     """encode(text): the ids as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: bool = False):
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.tok.encode_special_tokens = not special
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.spaced = (spec["pre_tokenizer"] or {}).get("type") == "ByteLevel"  # a word takes the space before it along
@@ -56,11 +57,16 @@ class Coder:
         self.pieces = _Cache(self._piece)
         self.words = _Cache(lambda w: self._word(w, ""))
         self.after_space = _Cache(lambda w: self._word(w, " "))
-        self.encode = self._spaced_text if self.spaced else self._words_text
+        self.added = [t["content"] for t in spec["added_tokens"]]
+        self.parted = self._spaced_text if self.spaced else self._words_text
+        self.encode = self._special_text if special else self.parted
 
     def whole(self, text: str) -> bytes:
         return _bytes(self.tok.encode(text, add_special_tokens=False).ids)
 
+    def _special_text(self, text: str) -> bytes:
+        return self.whole(text) if any(t in text for t in self.added) else self.parted(text)
+
     def _piece(self, piece: str) -> bytes:
         return _bytes([t.id for t in self.tok.model.tokenize("".join(map(self.letters.__getitem__, piece.encode())))])
 
@@ -89,9 +95,9 @@ class Coder:
 
 
 @lru_cache(maxsize=4)
-def coder(path: str) -> Coder:
-    """One for each worker process and file."""
-    return Coder(path)
+def coder(path: str, special: bool = False) -> Coder:
+    """One for each worker process, file and reading of special tokens."""
+    return Coder(path, special)
 
 
 def public(name: str) -> str:

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallymark.llm import minhash, pii, repetition, substrings, tokens, toxicity
+from tallymark.llm import bitplanes, minhash, packing, pii, repetition, substrings, tokens, toxicity
 from tallymark.llm.common import windows
 
 SF = "/root/testdata/sf0.001"
@@ -279,3 +279,20 @@ def test_uneven_gaps_are_encoded_as_the_library_does(name):
     odd_texts += ["".join(random.choice("aé1. \n\n\t\u00a0\u2003\x1c\x85\r") for _ in range(random.randint(0, 12))) for _ in range(2000)]
     for t in odd_texts:
         assert tokens.coder(tokens.public(name)).encode(t) == np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), t
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_special_tokens_are_as_the_library_has_them(spark, tmp_path, name):
+    from tokenizers import Tokenizer
+
+    path = tokens.public(name)
+    tok = Tokenizer.from_file(path)
+    docs = [(i, t) for i, t in enumerate(["a <|endoftext|> b", "x<|endoftext|>", "<|startoftext|>\n<|ENDOFTEXT|>", "<|endoftext |>", "plain words, as ever."])]
+    want = {i: [*tok.encode(t, add_special_tokens=False).ids, 2] for i, t in docs}
+    for i, t in docs:
+        assert tokens.coder(path, special=True).encode(t) == np.array(want[i][:-1], "<u4").tobytes()
+    df = spark.createDataFrame([(*d, 0) for d in docs], "doc_id long, text string, part int")
+    bitplanes.write_ids(df, path, str(tmp_path / "x"))
+    assert {r["doc_id"]: r["ids"] for r in bitplanes.read_ids(spark, str(tmp_path / "x")).collect()} == want
+    rows = packing.pieces(df, path).collect()
+    assert {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in rows} == {i: (len(w), zlib.crc32(np.array(w, "<u4").tobytes())) for i, w in want.items()}
