@@ -2,8 +2,9 @@
 
 find_pii() gives every span with its kind, place, score and evidence; op6_pii() derives the digest columns.
 Kinds email, ip, card and phone are the base and are always reported. The added kinds are iban (confirmed by mod 97)
-and secret (a long token after a word such as password); an added span counts only with a score of LEAST or more and
-where no base span overlaps it.
+and secret (a token of eight or more characters after a word such as password, to its end, with the dots inside it); an
+added span counts only with a score of LEAST or more and where no base span overlaps it. Where a base span or an IBAN
+lies in a secret, what is left of the secret before, between and after them are spans of their own.
 
 Defined cases: a null text is an empty one; a null doc_id stays null; repeated rows are searched row by row; offsets
 count code points; an empty table gives an empty result. Every scan is linear in the text, so one very long text or
@@ -44,7 +45,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
-_SECRET = re.compile(r"(?i)(?<![a-z])(?:password|passwd|secret|token|api_?key)\s{0,3}[=:]\s{0,3}[\"']?([A-Za-z0-9_\-]{8,128})")
+_SECRET = re.compile(r"(?i)(?<![a-z])(?:password|passwd|secret|token|api_?key)\s{0,3}[=:]\s{0,3}[\"']?((?:[A-Za-z0-9_~+/=\-]|\.(?=[A-Za-z0-9_~+/=\-])){8,})")
 _NOT_DIGIT = re.compile(r"[^0-9]")
 
 
@@ -78,6 +79,28 @@ def iban_length(proposed: str) -> int:
     return 0
 
 
+def ibans(text: str) -> Iterator[tuple[int, int]]:
+    """The search goes on from the end of an IBAN, and from the next character of a proposal that is none."""
+    at = 0
+    while m := _IBAN.search(text, at):
+        n = iban_length(m[0])
+        if n:
+            yield m.start(), m.start() + n
+        at = m.start() + (n or 1)
+
+
+def left_clear(start: int, end: int, spans: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """The parts of start to end that none of spans (in order) overlaps."""
+    for x, _, y in spans:
+        if x >= end:
+            break
+        if start < x:
+            yield start, x
+        start = max(start, y)
+    if start < end:
+        yield start, end
+
+
 def emails(text: str) -> Iterator[tuple[int, int]]:
     """Leftmost matches of the email pattern, found from each @ so that long words cost no retries."""
     done, at = 0, text.find("@")
@@ -126,15 +149,13 @@ def added_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
     """Spans of the added kinds that their validator and score confirm, clear of the base ones and of each other."""
     if not _HAS_DIGIT.search(text):
         return []
-    found = [(m.start(), 4, m.start() + n) for m in _IBAN.finditer(text) if (n := iban_length(m[0]))]
+    clear = lambda s, e, spans: not any(s < y and x < e for x, _, y in spans)
+    out = [(s, 4, e) for s, e in ibans(text) if score(text, s, "iban", e) >= LEAST and clear(s, e, base)]
     for m in _SECRET.finditer(text):
-        if _HAS_DIGIT.search(m[1]):
-            found.append((m.start(1), 5, m.end(1)))
-    out: list[tuple[int, int, int]] = []
-    for s, k, e in sorted(found):
-        if score(text, s, KINDS[k], e) >= LEAST and not any(s < y and x < e for x, _, y in base) and not any(s < y and x < e for x, _, y in out):
-            out.append((s, k, e))
-    return out
+        s, e = m.span(1)
+        if _HAS_DIGIT.search(m[1]) and score(text, s, "secret", e) >= LEAST:
+            out += [(s, 5, e)] if clear(s, e, base + out) else [(x, 5, y) for x, y in left_clear(s, e, sorted(base + out)) if any(map(str.isalnum, text[x:y]))]
+    return sorted(out)
 
 
 def spans_of(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:

@@ -296,3 +296,18 @@ def test_special_tokens_are_as_the_library_has_them(spark, tmp_path, name):
     assert {r["doc_id"]: r["ids"] for r in bitplanes.read_ids(spark, str(tmp_path / "x")).collect()} == want
     rows = packing.pieces(df, path).collect()
     assert {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in rows} == {i: (len(w), zlib.crc32(np.array(w, "<u4").tobytes())) for i, w in want.items()}
+
+
+def test_added_kinds_are_found_whole():
+    added = lambda t: [(pii.KINDS[k], t[s:e]) for s, k, e in pii.spans_of(t)[1] if k > 3]
+    key = "a1B2" * 60
+    assert added(f"api_key={key}, next") == [("secret", key)] and pii.redacted(f"api_key={key}") == "api_key=[secret]"
+    assert added("token: eyJhbGci1.eyJzdWIi2.c2ln-_. End") == [("secret", "eyJhbGci1.eyJzdWIi2.c2ln-_")]
+    assert added("secret=SG.ab1/cd+ef== x") == [("secret", "SG.ab1/cd+ef==")]
+    assert added("password: abc.de1") == [] and added("secret: token: abcdefgh1") == [("secret", "abcdefgh1")]
+    two = "DE89 3704 0044 0532 0130 00 GB82 WEST 1234 5698 7654 32"
+    assert added(two) == [("iban", two[:27]), ("iban", two[28:])]
+    assert added("AB12 CDEF DE89 3704 0044 0532 0130 00") == [("iban", two[:27])]
+    assert pii.redacted("token=abcdefgh1.x@y.de.zz") == "token=[email]"
+    assert pii.redacted("token=abcdefghx-10.0.0.1-tail and") == "token=[secret][ip][secret] and"
+    assert pii.redacted("token=abcdefg-DE89 3704 0044 0532 0130 00 x") == "token=[secret][iban] x"
