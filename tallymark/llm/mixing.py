@@ -36,7 +36,7 @@ CLOSE = 1e-6
 
 
 def _buckets() -> Column:
-    words = F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), " "), lambda w: w != "")
+    words = F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[\x20\x09-\x0D]+"), lambda w: w != "")
     return F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int"))
 
 

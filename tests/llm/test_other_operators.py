@@ -208,3 +208,10 @@ def test_pipeline_stages(spark):
     assert packed.count() > 0 and packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 1024").count() == 0
     for _, stage in p.STAGES[:-1]:
         assert stage(spark, docs.where("false"), SF).count() == 0
+
+
+def test_mixing_parts_words_at_any_white_space(spark):
+    df = spark.createDataFrame([(1, "A\nb\tc d", "en"), (2, " a  b\r\nc\x0b\x0cd\n", "en"), (3, "a b c d", "en"), (4, "\n\t", "de"), (5, "e\u00a0f", "de")], "doc_id long, text string, lang string")
+    out = {r["doc_id"]: r for r in mixing.mixed(df, df.select("doc_id")).collect()}
+    assert [out[i]["words"] for i in range(1, 6)] == [4, 4, 4, 0, 1]
+    assert out[1]["p_en"] == out[2]["p_en"] == out[3]["p_en"] > 0.5
