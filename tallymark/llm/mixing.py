@@ -19,6 +19,7 @@ of other domains than the targets' are ignored; a table without words has all ra
 
 from __future__ import annotations
 
+import warnings
 from math import log
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -92,7 +93,7 @@ def rate(names: list[str], steps: list[list[float]]) -> Column:
 
 def fit(members: DataFrame, names: list[str], weights: list[float], keep_all: bool = False) -> list[list[float]]:
     """The steps' x for members (words and posteriors). The targets sum to all words, or with keep_all to as many as
-    the domain that is furthest over its weight needs to stay whole."""
+    the domain that is furthest over its weight needs to stay whole. Warns of the gap that is left after STEPS."""
     sums = lambda r: [F.sum(r * F.col("words") * F.col(n)).alias(f"s{k}") for k, n in enumerate(names)]
     pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
     first = members.agg(*sums(F.lit(1.0)), *(F.sum(F.col("words") * F.col(names[i]) * F.col(names[j])).alias(f"g{i}_{j}") for i, j in pairs)).first()
@@ -101,9 +102,13 @@ def fit(members: DataFrame, names: list[str], weights: list[float], keep_all: bo
     share = [w / sum(weights) for w in weights]
     whole = max(n / w for n, w in zip(now, share, strict=True) if w > 0) if keep_all else sum(now)
     steps: list[list[float]] = []
-    while len(steps) < STEPS:
+    while True:
         short = [w * whole - n for w, n in zip(share, now, strict=True)]
-        if sum(map(abs, short)) <= CLOSE * whole:
+        gap = sum(map(abs, short))
+        if gap <= CLOSE * whole:
+            break
+        if len(steps) == STEPS:
+            warnings.warn(f"the totals miss the targets by {gap / whole:.3g} of all words after {STEPS} steps", stacklevel=2)
             break
         steps.append(solve(g, short))
         got = members.agg(*sums(rate(names, steps))).first()

@@ -212,6 +212,20 @@ def test_pipeline_stages(spark):
 
 def test_mixing_parts_words_at_any_white_space(spark):
     df = spark.createDataFrame([(1, "A\nb\tc d", "en"), (2, " a  b\r\nc\x0b\x0cd\n", "en"), (3, "a b c d", "en"), (4, "\n\t", "de"), (5, "e\u00a0f", "de")], "doc_id long, text string, lang string")
-    out = {r["doc_id"]: r for r in mixing.mixed(df, df.select("doc_id")).collect()}
+    model = mixing.train(df, df.select("doc_id"), ["en", "de"], "lang")
+    out = {r["doc_id"]: r for r in mixing.with_posteriors(df, model, ["p_en", "p_de"]).collect()}
     assert [out[i]["words"] for i in range(1, 6)] == [4, 4, 4, 0, 1]
     assert out[1]["p_en"] == out[2]["p_en"] == out[3]["p_en"] > 0.5
+
+
+def test_mixing_tells_of_missed_targets(spark, monkeypatch):
+    import warnings
+
+    monkeypatch.setattr(mixing, "STEPS", 2)
+    mixed = spark.createDataFrame([(10, 1.0, 0.0), (10, 0.5, 0.5), (10, 0.0, 1.0)], "words long, p_a double, p_b double")
+    with pytest.warns(UserWarning, match=r"miss the targets by 0\.[0-9]+ of all words after 2 steps"):
+        mixing.fit(mixed, ["p_a", "p_b"], [1.0, 0.0])
+    apart = spark.createDataFrame([(10, 1.0, 0.0), (10, 0.0, 1.0)], "words long, p_a double, p_b double")
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", UserWarning)
+        mixing.fit(apart, ["p_a", "p_b"], [0.8, 0.2])
