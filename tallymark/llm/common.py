@@ -10,19 +10,23 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of text in one Arrow batch; a worker holds one batch at a time.
 BATCH_ROWS = 512
+#: Parts over which by_parts() deals the rows of a key.
+SALTS = 64
 #: Bits of a bitmap() that is broadcast: 8 MB, whatever the input.
 BITMAP_BITS = 1 << 26
 
 
-def small_batches(df: DataFrame, rows: int = BATCH_ROWS) -> DataFrame:
-    """df, with the session sending Python workers so many rows at a time: texts may be very long."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    return df
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of so many rows. Spark bounds a batch by its bytes (64 MB unless set); this bounds what a
+    worker makes of it at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,22 +36,47 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession, what: str) -> str:
     """A fresh folder name under spark.checkpoint.dir, which all executors see.
 
-    Where that setting is absent (tests, local runs) a temporary folder of this machine takes its place.
+    Where that setting is absent a local master takes a temporary folder of its machine; a cluster can't, so it raises.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = os.environ.get("TALLYMARK_SCRATCH") or tempfile.mkdtemp(prefix="tallymark-")
         os.environ["TALLYMARK_SCRATCH"] = root
     return f"{root.rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, what: str, codec: str = "zstd") -> DataFrame:
-    """df as a Parquet table in the shared folder: cuts the lineage, survives a lost executor."""
+def written(df: DataFrame, what: str, codec: str = "zstd", held: list[str] | None = None) -> DataFrame:
+    """df as a Parquet table in the shared folder: cuts the lineage, survives a lost executor. Its folder joins held."""
     path = shared_dir(df.sparkSession, what)
     df.write.option("compression", codec).parquet(path)
+    if held is not None:
+        held.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, held: list[str]) -> None:
+    """Deletes the folders in held, which nothing reads any more, and empties it."""
+    for path in held:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    held.clear()
+
+
+def by_parts(rows: DataFrame, key: list[str], spread: str, what: dict[str, Column], merged: dict[str, Column], where: str = "true") -> tuple[DataFrame, DataFrame]:
+    """Aggregates of a key, brought to its rows without dealing the rows by the key alone: a third of them may share it.
+
+    what aggregates a part of a key (its rows dealt by a hash of spread over SALTS parts), merged the parts' results.
+    Returns rows with the column _part, and for each key and part the results, of the keys that where selects: a join on
+    key and _part gives each row its key's results, and meets a share 1 / SALTS of the key's rows in a task.
+    """
+    dealt = rows.withColumn("_part", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
+    parts = dealt.groupBy(*key, "_part").agg(*(c.alias(n) for n, c in what.items()))
+    whole = parts.groupBy(*key).agg(*(c.alias(n) for n, c in merged.items())).where(where)
+    return dealt, parts.drop(*(n for n in what if n in merged)).join(whole, key)
+
+
 def bitmap(df: DataFrame, column: str, bits: int = BITMAP_BITS) -> np.ndarray:
     """A bit for pmod(value, bits) of every value: a filter of fixed size with false positives only."""
     spot = F.pmod(F.col(column), F.lit(bits))

@@ -5,30 +5,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import by_parts, removed, written
+
+
+def _with_least(links: DataFrame) -> DataFrame:
+    """Links with m, the smallest v of their u; a hub's links are dealt over parts, so no task has all of them."""
+    dealt, least = by_parts(links, ["u"], "v", {"m": F.min("v")}, {"m": F.min("m")})
+    return dealt.join(least, ["u", "_part"]).drop("_part")
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node and component (the smallest node reachable) for every node of a link; null ends are no links.
 
-    Each step joins on a node with one row of minima, so a hub is only a skewed join key, and each is written to the
-    shared folder. The number of steps grows with the logarithm of the longest chain.
+    Each step is written to the shared folder, and the one before is removed. The number of steps grows with the
+    logarithm of the longest chain.
     """
+    spark = edges.sparkSession
     links = edges.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
-    links = written(links, "links")
+    old: list[str] = []
+    links = written(links, "links", held=old)
     was = None
     while True:
+        now: list[str] = []
         # large star: every larger neighbour of u, and u's smallest neighbour or u itself
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        links = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = _with_least(both).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
+        large = written(large, "links", held=now)
         # small star: every smaller neighbour of u, and u itself
-        least = links.groupBy("u").agg(F.min("v").alias("m"))
-        joined = links.join(least, "u")
-        links = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        links = written(links, "links")
-        now = links.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if now == was:
+        near = _with_least(large)
+        links = near.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(large.groupBy("u").agg(F.min("v").alias("v"))).distinct()
+        removed(spark, old)
+        links = written(links, "links", held=old)
+        removed(spark, now)
+        state = links.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
+        if state == was:
             break
-        was = now
+        was = state
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

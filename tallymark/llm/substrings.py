@@ -1,20 +1,27 @@
-"""Repeated passages, by suffix trees over partitions of suffixes that share a prefix.
+"""Repeated passages, by suffix trees over partitions of suffixes that share a prefix of variable length.
 
 Words are symbols. A window is WINDOW consecutive words of a document; a word goes if a window over it also starts in
 a document with a smaller doc_id.
 
 1. Of the suffixes of a text only those are kept that start at an anchor: the ANCHOR-word sequence with the smallest
    hash (the leftmost of equals) in some window. Equal windows have the same anchor at the same place, so two equal
-   windows always show as two kept suffixes with a common prefix, each with the words before it.
-2. Suffixes are counted by their prefix of ANCHOR words. Those whose prefix is in one document only are dropped, by a
-   bitmap of fixed size that lets too many through rather than too few.
-3. A prefix with up to LARGE suffixes makes a partition that fits in memory: its subtree is laid out as the sorted
-   suffixes with the lengths of their common prefixes, and so are the reversed words before them. A node of depth d on
-   the right and one of depth e on the left with d + e = WINDOW are the deep nodes; below each, the smallest doc_id
-   stays and the others' words go. Adjacent windows join into maximal repeats.
-4. A prefix with more suffixes than that is extended to all WINDOW words. A node of that depth needs no subtree, only
-   its smallest doc_id, which is summed up before it is shuffled. So a passage in a third of all documents, or
-   thousands of copies of one text, meet in no task.
+   windows always show as two kept suffixes with a common prefix, each with the words before it. A suffix's context is
+   all the words of the windows that its anchor stands for.
+2. Prefixes of ANCHOR words are counted; a bitmap of fixed size, which lets too many through rather than too few, keeps
+   most suffixes out whose prefix is in one document only. Suffixes with equal contexts are one: all of them but those
+   of the smallest doc_id go whole. So copies of a text or a passage weigh no more than one from here on, and only
+   for contexts that differ under a prefix that several documents share are the words fetched.
+3. A prefix with more than LARGE contexts is extended. A window with e words before the anchor needs e words to the left
+   and WINDOW - e to the right; a partition for the windows with lo <= e <= hi shares the words from lo before the anchor
+   to WINDOW - hi after its start. Halving the range lo to hi gives two longer prefixes, one for each half, and so on
+   until a partition is small enough, or its prefix is one whole window: a node as deep as WINDOW, of which only the
+   smallest doc_id is needed.
+4. A partition fits in memory: its subtree is laid out as the sorted suffixes with the lengths of their common prefixes,
+   and so are the reversed words before them. A node of depth d on the right and one of depth e on the left with
+   d + e = WINDOW are the deep nodes; below each, the smallest doc_id stays and the others' words go. Adjacent windows
+   join into maximal repeats.
+
+Rows that share a prefix, a context or a text are never dealt by that alone where there may be many (by_parts).
 
 Defined cases: a null text has no words; texts shorter than a window lose nothing; equal doc_ids never remove from each
 other; rows with one doc_id and different texts are judged each by its own text; rows with a null doc_id lose nothing
@@ -32,12 +39,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bitmap, by_key, in_bitmap, mixed, small_batches, table, texts, windows, word_hashes, written
+from .common import bitmap, by_key, by_parts, in_bitmap, mixed, removed, sliced, table, texts, windows, word_hashes, written
 
 WINDOW = 50
 ANCHOR = 8
-LARGE = 8192
-#: Suffixes that a worker lays out at a time.
+#: Contexts of a partition that are laid out as one subtree.
+LARGE = 4096
+#: Contexts that a worker lays out at a time.
 AT_ONCE = 16384
 
 
@@ -64,31 +72,83 @@ def kept_suffixes(h: np.ndarray, window: int = WINDOW, anchor: int = ANCHOR) ->
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = [kept_suffixes(word_hashes(t.encode().split()))[0] for t in texts(batch)]
+    for batch in sliced(batches):
+        found = [np.unique(kept_suffixes(word_hashes(t.encode().split()))[0]) for t in texts(batch)]
         ids = np.repeat(batch.column("doc_id").to_numpy(), [f.size for f in found])
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*found, np.empty(0, np.int64)])), pa.array(ids, pa.int64())], names=["prefix", "doc_id"])
 
 
-def _suffixes(repeated, large):
-    """The suffixes of small partitions: prefix, doc_id, row, the first window, the anchor's place in the words, words."""
+_SUFFIX = "prefix long, context long, doc_id long, row long, firsts array<int>, at int, n int"
+
+
+def _suffixes(repeated):
+    """_SUFFIX: a text's suffixes under repeated prefixes: the prefix, a hash of the context, the places of the first
+    window (of several equal contexts), the anchor's place after it, and the number of windows."""
+    names = [x.split()[0] for x in _SUFFIX.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[list] = [[], [], [], [], [], []]
+        for batch in sliced(batches):
+            out: list[tuple] = []
             for doc, row, text in zip(batch.column("doc_id").to_pylist(), batch.column("row").to_pylist(), texts(batch), strict=True):
-                words = text.encode().split()
-                prefix, at, first, last = kept_suffixes(word_hashes(words))
-                for i in (in_bitmap(repeated.value, prefix) & ~in_bitmap(large.value, prefix)).nonzero()[0].tolist():
-                    f = int(first[i])
-                    for col, x in zip(out, (int(prefix[i]), doc, row, f, int(at[i]) - f, b" ".join(words[f : int(last[i]) + WINDOW])), strict=True):
-                        col.append(x)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["prefix", "doc_id", "row", "first", "at", "words"])
+                h = word_hashes(text.encode().split())
+                prefix, at, first, last = kept_suffixes(h)
+                own = in_bitmap(repeated.value, prefix).nonzero()[0]
+                if not own.size:
+                    continue
+                prefix, at, first, last = prefix[own], at[own], first[own], last[own]
+                # two windows cover the whole context, as it is shorter than both together
+                w = windows(h, WINDOW)
+                context = mixed(mixed(w[first] * np.uint64(0x9E3779B97F4A7C15) + w[last]) + (last - first).astype(np.uint64)).view(np.int64)
+                order = np.lexsort((context, prefix))
+                p, c = prefix[order], context[order]
+                starts = np.concatenate([[0], ((p[1:] != p[:-1]) | (c[1:] != c[:-1])).nonzero()[0] + 1])
+                one = order[starts]
+                out.append((prefix[one], context[one], np.full(one.size, doc), np.full(one.size, row), first[order].astype(np.int32), np.diff(np.append(starts, order.size)), (at - first)[one].astype(np.int32), (last - first + 1)[one].astype(np.int32)))
+            if out:
+                cols = [np.concatenate(c) for c in zip(*out, strict=True)]
+                firsts = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(cols[5])]), pa.int32()), pa.array(cols[4]))
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:4]), firsts, pa.array(cols[6]), pa.array(cols[7])], names=names)
 
     return run
 
 
+_ROW = "key long, lo int, hi int, prefix long, context long, doc_id long, at int, n int, words binary"
+_ROW_NAMES = [x.split()[0] for x in _ROW.split(", ")]
+_ROW_KINDS = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+
+
+def _rows(out: list[tuple]) -> pa.RecordBatch:
+    cols = list(zip(*out, strict=True)) or [()] * len(_ROW_NAMES)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, _ROW_KINDS, strict=True)], names=_ROW_NAMES)
+
+
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """_ROW for each place: the whole context of a suffix, to be partitioned by its prefix of ANCHOR words."""
+    for batch in sliced(batches):
+        out = []
+        for doc, text, places in zip(batch.column("doc_id").to_pylist(), texts(batch), batch.column("places").to_pylist(), strict=True):
+            words = text.encode().split()
+            for x in places:
+                f = x["first"]
+                out.append((x["prefix"], 0, WINDOW - ANCHOR, x["prefix"], x["context"], doc, x["at"], x["n"], b" ".join(words[f : f + x["n"] + WINDOW - 1])))
+        yield _rows(out)
+
+
+def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each row under the longer prefixes of the two halves of its range of windows, as far as it has windows there."""
+    for batch in sliced(batches, 4096):
+        out = []
+        for _, lo, hi, prefix, context, doc, at, n, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            words = text.split(b" ")
+            half = (lo + hi) // 2
+            for a, b in ((lo, half), (half + 1, hi)):
+                low, high = max(a, at - n + 1), min(b, at)
+                if low <= high:
+                    key = xxhash.xxh3_64_intdigest(b" ".join(words[at - a : at - b + WINDOW]), a * 64 + b) - (1 << 63)
+                    out.append((key, a, b, prefix, context, doc, high, high - low + 1, b" ".join(words[at - high : at - low + WINDOW])))
+        yield _rows(out)
+
+
 def _nodes(part: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The rows in the order of (part, symbols), and the common prefix of each with the one before (-1 in a new part)."""
     order = np.lexsort((*symbols.T[::-1], part))
@@ -134,87 +194,78 @@ def repeats(part: np.ndarray, doc: np.ndarray, at: np.ndarray, count: np.ndarray
     return out
 
 
+_FOUND = "prefix long, context long, low int, high int"
+
+
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows in by_key(batches, ["prefix"], AT_ONCE):
-        prefix, doc, ids, first, at = (rows.column(c).to_numpy() for c in ("prefix", "doc_id", "row", "first", "at"))
-        words = [word_hashes(w.split()) for w in rows.column("words").to_pylist()]
-        count = np.fromiter(map(len, words), np.int64, len(words)) - WINDOW + 1
-        hit = repeats(np.cumsum(np.concatenate([[0], prefix[1:] != prefix[:-1]])), doc, at, count, words)
+    """_FOUND: of each context the runs of windows that go, by the words before the anchor."""
+    for rows in by_key(batches, ["key"], AT_ONCE):
+        key, doc, at, n, prefix, context = (rows.column(c).to_numpy() for c in ("key", "doc_id", "at", "n", "prefix", "context"))
+        words = [word_hashes(w.split(b" ")) for w in rows.column("words").to_pylist()]
+        hit = repeats(np.cumsum(np.concatenate([[0], key[1:] != key[:-1]])), doc, at, n, words)
         edge = np.diff(np.pad(hit, ((0, 0), (1, 1))).astype(np.int8), axis=1)
         r, low = (edge == 1).nonzero()
         high = (edge == -1).nonzero()[1] - 1
-        place = (first + at)[r]
-        yield pa.RecordBatch.from_arrays([pa.array(doc[r]), pa.array(ids[r]), pa.array(place - high, pa.int32()), pa.array(place - low + WINDOW, pa.int32())], names=["doc_id", "row", "start", "end"])
-
-
-def _long_prefixes(large):
-    """The suffixes of large partitions: 128 bits of hash of all the words that the anchor stands for, doc_id, row, the
-    first windows, and 128 bits of hash of each window. Suffixes of one text with equal words are one row with several
-    first windows, so a text that repeats a line thousands of times has few rows."""
-    names = ["p1", "p2", "doc_id", "row", "firsts", "h1", "h2"]
-    kinds = [pa.int64()] * 4 + [pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[list] = [[] for _ in names]
-            for doc, row, text in zip(batch.column("doc_id").to_pylist(), batch.column("row").to_pylist(), texts(batch), strict=True):
-                h = word_hashes(text.encode().split())
-                prefix, _, first, last = kept_suffixes(h)
-                own = in_bitmap(large.value, prefix)
-                if own.any():
-                    w1, w2 = windows(h, WINDOW).view(np.int64), windows(mixed(~h), WINDOW).view(np.int64)
-                    places: dict[bytes, list[int]] = {}
-                    counts: dict[bytes, int] = {}
-                    for f, x in zip(first[own].tolist(), last[own].tolist(), strict=True):
-                        p = xxhash.xxh3_128_digest(h[f : x + WINDOW].tobytes())
-                        places.setdefault(p, []).append(f)
-                        counts[p] = x + 1 - f
-                    for p, firsts in places.items():
-                        f, x = firsts[0], firsts[0] + counts[p]
-                        for col, v in zip(out, (*np.frombuffer(p, np.int64).tolist(), doc, row, firsts, w1[f:x], w2[f:x]), strict=True):
-                            col.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=names)
-
-    return run
-
-
-def _long_repeats(whole: DataFrame) -> DataFrame:
-    """doc_id, row, starts and length of what goes from large partitions.
-
-    Suffixes with equal words are one node: all but those of its smallest doc_id go whole, and only the latter's windows
-    are set out one by one, so copies of a text or a passage weigh no more than one.
-    """
-    least = whole.groupBy("p1", "p2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    later = whole.select("p1", "p2", "doc_id", "row", "firsts", F.size("h1").alias("n")).join(least.where("least < most"), ["p1", "p2"]).where("doc_id > least")
-    out = later.select("doc_id", "row", F.col("firsts").alias("starts"), (F.col("n") + WINDOW - 1).alias("length"))
-    ones = whole.join(least, ["p1", "p2"]).where("doc_id = least").select("doc_id", "row", "firsts", F.posexplode(F.arrays_zip("h1", "h2")).alias("at", "h"))
-    ones = ones.select("doc_id", "row", "firsts", "at", "h.*")
-    deep = ones.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most")
-    later = ones.join(deep, ["h1", "h2"]).where("doc_id > least")
-    starts = F.expr("transform(firsts, f -> f + at)")
-    return out.unionByName(later.select("doc_id", "row", starts.alias("starts"), F.lit(WINDOW).alias("length")))
+        yield pa.RecordBatch.from_arrays([pa.array(prefix[r]), pa.array(context[r]), pa.array(low, pa.int32()), pa.array(high, pa.int32())], names=["prefix", "context", "low", "high"])
+
+
+def _below(rows: DataFrame, held: list[str]) -> DataFrame:
+    """_FOUND of the contexts in rows (_ROW): small partitions as subtrees, large ones under longer prefixes."""
+    found = None
+    for _ in range(WINDOW):
+        some = {"first": F.min("doc_id"), "last": F.max("doc_id"), "some": F.count("*")}
+        dealt, sizes = by_parts(rows, ["key", "lo", "hi"], "context", some, {"first": F.min("first"), "last": F.max("last"), "rows": F.sum("some")}, "first < last")
+        rows = written(dealt.join(sizes, ["key", "lo", "hi", "_part"]).select(*_ROW_NAMES, "first", "rows"), "partitions", held=held)
+        small = rows.where((F.col("rows") <= LARGE) & (F.col("lo") < F.col("hi"))).select(*_ROW_NAMES)
+        trees = small.repartition("key").sortWithinPartitions("key").mapInArrow(_subtrees, _FOUND)
+        whole = rows.where("lo = hi and doc_id > first").select("prefix", "context", F.col("lo").alias("low"), F.col("hi").alias("high"))
+        now = written(trees.unionByName(whole), "found", held=held)
+        found = now if found is None else found.unionByName(now)
+        large = rows.where((F.col("rows") > LARGE) & (F.col("lo") < F.col("hi"))).select(*_ROW_NAMES)
+        if not large.head(1):
+            return found
+        rows = written(large.mapInArrow(_extended, _ROW), "longer", held=held)
+    raise AssertionError("the range of windows is halved until it is one")
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """doc_id, row (a hash of the text) and the runs of words that go, starts and the length of each; they may overlap."""
-    spark = docs.sparkSession
+    spark, held = docs.sparkSession, []
     docs = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("row"))
-    counts = docs.select("doc_id", "text").mapInArrow(_count, "prefix long, doc_id long").groupBy("prefix").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("n"))
-    counts = written(counts.where("lo < hi").select("prefix", "n"), "prefixes")
+    counts = docs.select("doc_id", "text").mapInArrow(_count, "prefix long, doc_id long").groupBy("prefix").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+    counts = written(counts.where("lo < hi").select("prefix"), "prefixes", held=held)
     repeated = spark.sparkContext.broadcast(bitmap(counts, "prefix"))
-    big = bitmap(counts.where(F.col("n") > LARGE), "prefix")
-    large = spark.sparkContext.broadcast(big)
-    small = docs.mapInArrow(_suffixes(repeated, large), "prefix long, doc_id long, row long, first int, at int, words binary")
-    out = small.repartition("prefix").sortWithinPartitions("prefix").mapInArrow(_subtrees, "doc_id long, row long, start int, end int")
-    out = out.select("doc_id", "row", F.array("start").alias("starts"), (F.col("end") - F.col("start")).alias("length"))
-    if big.any():
-        kind = "p1 long, p2 long, doc_id long, row long, firsts array<int>, h1 array<long>, h2 array<long>"
-        out = out.unionByName(_long_repeats(written(docs.mapInArrow(_long_prefixes(large), kind), "large")))
+    suffixes = written(docs.mapInArrow(_suffixes(repeated), _SUFFIX), "suffixes", held=held)
+
+    # equal contexts: the smallest doc_id stands for them
+    key = ["prefix", "context"]
+    dealt, least = by_parts(suffixes, key, "doc_id", {"least": F.min("doc_id")}, {"least": F.min("least")})
+    placed = written(dealt.join(least, [*key, "_part"]).drop("_part"), "placed")
+    own = placed.where("doc_id = least")
+    one = own.groupBy(*key).agg(F.min("doc_id").alias("doc_id"), F.min(F.struct("row", F.element_at("firsts", 1).alias("first"), "at", "n")).alias("x"))
+    dealt, shared = by_parts(written(one, "contexts", held=held), ["prefix"], "context", {"lo": F.min("doc_id"), "hi": F.max("doc_id")}, {"lo": F.min("lo"), "hi": F.max("hi")}, "lo < hi")
+    one = dealt.join(shared.select("prefix", "_part"), ["prefix", "_part"]).select("doc_id", "x.row", F.struct(*key, "x.first", "x.at", "x.n").alias("place"))
+    places = written(one.groupBy("doc_id", "row").agg(F.collect_list("place").alias("places")), "places", held=held)
+    wanted = spark.sparkContext.broadcast(bitmap(places, "doc_id"))
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(in_bitmap(wanted.value, batch.column("doc_id").to_numpy())))
+
+    named = docs.mapInArrow(chosen, "doc_id long, text string, row long")
+    rows = written(named.join(places, ["doc_id", "row"]).select("doc_id", "text", "places").mapInArrow(_contexts, _ROW), "rows", held=held)
+    found = _below(rows, held)
+
+    later = placed.where("doc_id > least").select("doc_id", "row", F.col("firsts").alias("starts"), (F.col("n") + WINDOW - 1).alias("length"))
+    starts = F.expr("transform(firsts, f -> f + at - high)")
+    deep = own.join(found, key).select("doc_id", "row", starts.alias("starts"), (F.col("high") - F.col("low") + WINDOW).alias("length"))
+    out = written(later.unionByName(deep), "passages")
+    removed(spark, held)
     return out
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         n, gone, sha = [], [], []
         for text, spans in zip(texts(batch), batch.column("spans").to_pylist(), strict=True):
             words = text.encode().split()
@@ -232,8 +283,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 for each row of docs (doc_id, text)."""
-    docs = small_batches(docs).select(F.col("doc_id").cast("long"), "text")
-    spans = repeated_passages(docs).groupBy("doc_id", "row").agg(F.collect_list(F.struct("starts", "length")).alias("spans"))
+    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    spans = repeated_passages(docs).groupBy("doc_id", "row").agg(F.collect_set(F.struct("starts", "length")).alias("spans"))
     keyed = docs.withColumn("row", F.xxhash64("text")).join(spans, ["doc_id", "row"], "left")
     return keyed.select("doc_id", "text", "spans").mapInArrow(_cut, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
