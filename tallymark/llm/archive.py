@@ -9,21 +9,27 @@ and the names of the fields of every URL line:
 A record is a URL line, as many bytes as its last field declares, and a line feed. arc_records() reads both versions by
 the declared field names and lengths; to_warc() makes up what WARC wants and ARC lacks: a record id (a name-based UUID
 of address, date and payload digest), an ISO 8601 date, the record type and base32 SHA-1 digests of block and payload.
+The version block becomes a warcinfo record, an answer over http a response, anything else (dns, ftp) a resource.
 
-write_warc() writes a table of pages: each becomes an ARC record in memory, is parsed, converted, and written through
-Spark's text format (line separator CR LF, the end of a record), so files appear whole or not at all on any file system
-that Spark reaches. Of records with equal payloads of least_bytes or more the one with the largest page_id is the
-response; the others are revisit records, which refer to it and hold no payload.
+read_arc() reads ARC files, gzipped or not, as a table, and convert_arc() writes them as WARC. write_warc() does the
+same for a table of pages: each becomes an ARC record in memory, is parsed and converted. Files are written by Spark's
+text format, so they appear whole or not at all on any file system that Spark reaches. Each record is a gzip member of
+its own; the writer's line separator is an empty member. A file has FILE_RECORDS records at most, and fewer where long
+payloads would bring it over FILE_BYTES. Of records with equal payloads of least_bytes or more the one with the largest
+page_id is the response; the others are revisit records, which refer to it (WARC-Refers-To) and hold no payload.
 
 Defined cases: null html is an empty payload; a null url becomes "urn:page:<id>", and white space or line ends in a url
 are percent-coded; a null page_id has no page field and is read back as null, and its record is a response and revisits
-nothing; repeated rows with one page_id and one payload are all responses, none refers to itself; an empty table
-gives no records; extra columns are ignored. Where no two pages share a payload nothing is joined to the html.
+nothing; repeated rows with one page_id and one payload are all responses, none refers to itself, and as they are one
+capture they have one record id; ARC dates of fewer than 14 digits count from the start of the year, month or day they
+name; an empty table gives no records; extra columns are ignored. Where no two pages share a payload nothing is joined
+to the html.
 """
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import io
 import uuid
@@ -32,10 +38,10 @@ from collections.abc import Iterator
 from datetime import datetime, timezone
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_dir, table, written
+from .common import shared_dir, sliced, table, written
 
 #: The field names of the two versions' URL lines (fixed values).
 ARC_FIELDS = {
@@ -44,6 +50,11 @@ ARC_FIELDS = {
 }
 _NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:arc-to-warc")
 CRAWLED = datetime(2005, 1, 1, tzinfo=timezone.utc)
+#: A file's records at most, and the bytes of payload beyond which it has fewer.
+FILE_RECORDS = 4000
+FILE_BYTES = 256 << 20
+#: An empty gzip member.
+_NOTHING = gzip.compress(b"", mtime=0)
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 
 
@@ -67,25 +78,33 @@ def arc_file(version: int, name: str, records: list[tuple[str, str, datetime, st
 
 
 def arc_records(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(fields by name, body) of each record after the version block. Raises ValueError on a line that doesn't fit."""
-    file = io.BytesIO(content)
-    first = file.readline().split()
+    """(fields by name, body) of each record, the version block first. Raises ValueError on a line that doesn't fit."""
+    file = io.BytesIO(gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content)
+    line = file.readline()
+    first = line.split()
     if not first or not first[0].startswith(b"filedesc://"):
         raise ValueError("not an ARC file: no filedesc line")
-    version, names, *_ = file.read(int(first[-1])).split(b"\n") + [b""]
+    block = file.read(int(first[-1]))
+    version, names, *_ = block.split(b"\n") + [b""]
     if version.split()[:1] not in ([b"1"], [b"2"]):
         raise ValueError(f"ARC version {version!r}")
     fields = names.decode().split()
+    yield _fields(line, fields), block
     while line := file.readline():
         if not line.strip():
             continue
-        values = line.decode("utf-8", "surrogateescape").rstrip("\r\n").split(" ")
-        if len(values) != len(fields) or not values[-1].isdigit():
-            raise ValueError(f"{len(values)} fields where the version declares {len(fields)}")
-        body = file.read(size := int(values[-1]))
+        found = _fields(line, fields)
+        body = file.read(size := int(found["Archive-length"]))
         if len(body) != size:
             raise ValueError(f"record cut short: {len(body)} of {size} bytes")
-        yield dict(zip(fields, values, strict=True)), body
+        yield found, body
+
+
+def _fields(line: bytes, names: list[str]) -> dict[str, str]:
+    values = line.decode("utf-8", "surrogateescape").rstrip("\r\n").split(" ")
+    if len(values) != len(names) or not values[-1].isdigit():
+        raise ValueError(f"{len(values)} fields where the version declares {len(names)}")
+    return dict(zip(names, values, strict=True))
 
 
 def payload_of(response: bytes) -> tuple[bytes, bytes]:
@@ -94,31 +113,41 @@ def payload_of(response: bytes) -> tuple[bytes, bytes]:
     return (response[: end + 4], response[end + 4 :]) if end >= 0 else (b"", response)
 
 
-def record_id(url: str, date: str, payload_digest: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(_NAMESPACE, f'{url} {date} {payload_digest}')}>"
+def record_id(*said: object) -> str:
+    return f"<urn:uuid:{uuid.uuid5(_NAMESPACE, ' '.join(map(str, said)))}>"
+
+
+def iso_date(stamp: str) -> str:
+    """An ARC date of up to 14 digits; what it doesn't say starts at the beginning."""
+    digits = stamp[:14]
+    full = digits + "00010101000000"[len(digits) :]
+    return datetime.strptime(full, "%Y%m%d%H%M%S").strftime("%Y-%m-%dT%H:%M:%SZ")
+
+
+def kind_of(fields: dict[str, str]) -> str:
+    """The WARC type of an ARC record."""
+    scheme = fields["URL"].partition(":")[0].lower()
+    return "warcinfo" if scheme == "filedesc" else "response" if scheme in ("http", "https") else "resource"
 
 
-def to_warc(fields: dict[str, str], body: bytes, extra: dict[str, str] | None = None, refers: bool = False) -> bytes:
-    """A WARC 1.0 record, with the two line ends after it; refers makes it a revisit without payload."""
-    head, payload = payload_of(body)
+def to_warc(fields: dict[str, str], body: bytes, extra: dict[str, str] | None = None, refers: str | None = None, kind: str | None = None, name: object = "") -> bytes:
+    """A WARC 1.0 record, with the two line ends after it; refers, a record's id, makes it a revisit without payload."""
+    kind = kind or ("revisit" if refers else kind_of(fields))
+    head, payload = payload_of(body) if kind in ("response", "revisit") else (b"", body)
     found = digest(payload)
-    block = head if refers else body
-    stamp = fields["Archive-date"]
-    date = datetime.strptime(stamp[:14].ljust(14, "0"), "%Y%m%d%H%M%S").strftime("%Y-%m-%dT%H:%M:%SZ")
+    block = head if kind == "revisit" else body
     lines = {
-        "WARC-Type": "revisit" if refers else "response",
-        "WARC-Record-ID": record_id(fields["URL"] + str(extra or ""), stamp, found),
-        "WARC-Date": date,
-        "WARC-Target-URI": fields["URL"],
-        "WARC-IP-Address": fields["IP-address"],
-        "WARC-Payload-Digest": f"sha1:{found}",
+        "WARC-Type": kind,
+        "WARC-Record-ID": record_id(fields["URL"], fields["Archive-date"], found, name),
+        "WARC-Date": iso_date(fields["Archive-date"]),
+        **({"WARC-Filename": fields["URL"].partition("://")[2]} if kind == "warcinfo" else {"WARC-Target-URI": fields["URL"], "WARC-IP-Address": fields["IP-address"], "WARC-Payload-Digest": f"sha1:{found}"}),
         "WARC-Block-Digest": f"sha1:{digest(block)}",
-        "Content-Type": "application/http; msgtype=response",
-        **({"WARC-Profile": REVISIT_PROFILE} if refers else {}),
+        "Content-Type": "application/http; msgtype=response" if kind in ("response", "revisit") else fields["Content-type"],
+        **({"WARC-Profile": REVISIT_PROFILE, "WARC-Refers-To": refers} if kind == "revisit" else {}),
         **(extra or {}),
         "Content-Length": str(len(block)),
     }
-    return b"WARC/1.0\r\n" + "".join(f"{k}: {v}\r\n" for k, v in lines.items()).encode() + b"\r\n" + block + b"\r\n\r\n"
+    return b"WARC/1.0\r\n" + "".join(f"{k}: {v}\r\n" for k, v in lines.items()).encode("utf-8", "surrogateescape") + b"\r\n" + block + b"\r\n\r\n"
 
 
 def warc_records(file: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -163,39 +192,88 @@ class Unzipped(io.RawIOBase):
         return n
 
 
+def _page_url(url: str | None, page: int | None) -> str:
+    return url or f"urn:page:{page}"
+
+
 def _convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    stamp = CRAWLED.strftime("%Y%m%d%H%M%S")
+    for batch in sliced(batches):
         out = []
-        for page, url, html, refers in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html", "refers_to")), strict=True):
+        for page, url, html, refers, refers_url in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html", "refers_to", "refers_url")), strict=True):
             payload = (html or "").encode()
             response = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload) + payload
             version = 1 + (page or 0) % 2
-            arc = arc_file(version, "pages.arc", [(url or f"urn:page:{page}", "0.0.0.0", CRAWLED, "text/html", response)])  # noqa: S104
-            ((fields, body),) = arc_records(arc)
+            arc = arc_file(version, "pages.arc", [(_page_url(url, page), "0.0.0.0", CRAWLED, "text/html", response)])  # noqa: S104
+            _, (fields, body) = arc_records(arc)
             extra = ({} if page is None else {"X-Page-ID": str(page)}) | {"X-Payload-Length": str(len(payload))}
+            to = None
             if refers is not None:
                 extra["X-Refers-To-Page-ID"] = str(refers)
-            out.append(to_warc(fields, body, extra, refers is not None)[:-2])  # the writer adds the last line end
+                to = record_id(arc_url(_page_url(refers_url, refers)), stamp, digest(payload), refers)
+            out.append(gzip.compress(to_warc(fields, body, extra, to, "revisit" if to else "response", "" if page is None else page), 6, mtime=0))
         yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
 
 
-def write_warc(pages: DataFrame, path: str, least_bytes: int = 0, file_records: int = 4000) -> None:
-    """pages (page_id, url, html) as gzipped WARC files in the folder path."""
+def _put(members: DataFrame, path: str, file_records: int) -> None:
+    """Gzip members (value) as files, an empty member after each."""
+    out = members.select(F.col("value").cast("string")).write.option("encoding", "ISO-8859-1").option("lineSep", _NOTHING.decode("latin-1"))
+    out.option("maxRecordsPerFile", file_records).text(path)
+
+
+def write_warc(pages: DataFrame, path: str, least_bytes: int = 0, file_records: int = FILE_RECORDS) -> None:
+    """pages (page_id, url, html) as WARC files in the folder path, each record gzipped."""
     pages = pages.select(F.col("page_id").cast("long"), "url", "html")
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
-    key = F.sha1(payload).alias("sha")
-    known = pages.where(F.col("page_id").isNotNull() & (F.length(payload) >= least_bytes)).select("page_id", key)
-    shared = known.groupBy("sha").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1")
-    shared = written(shared.select("sha", "refers_to"), "shared-payloads")
-    # revisits only: a page that shares its payload and isn't the one referred to
+    seen = Observation()
+    known = pages.observe(seen, F.max(F.length(payload)).alias("longest")).where(F.length(payload) >= least_bytes).select("page_id", "url", F.sha1(payload).alias("sha"))
+    counted = known.groupBy("sha").agg(F.max("page_id").alias("refers_to"), F.max_by("url", F.struct("page_id", "url")).alias("refers_url"), F.count("page_id").alias("n")).where("n > 1")
+    shared = written(counted.select("sha", "refers_to", "refers_url"), "shared-payloads")
+    # revisits only: a page that shares its payload and isn't the one referred to; shared is written, so that a payload
+    # that very many pages have can be split in the join
     keyed = pages.withColumn("sha", F.sha1(payload)).join(shared, "sha", "left")
-    refers = F.when(F.col("page_id") != F.col("refers_to"), F.col("refers_to"))
-    rows = keyed.select("page_id", "url", "html", refers.alias("refers_to")).mapInArrow(_convert, "value binary")
-    rows.select(F.col("value").cast("string")).write.option("lineSep", "\r\n").option("compression", "gzip").option("maxRecordsPerFile", file_records).text(path)
+    other = F.col("page_id") != F.col("refers_to")
+    rows = keyed.select("page_id", "url", "html", F.when(other, F.col("refers_to")).alias("refers_to"), F.when(other, F.col("refers_url")).alias("refers_url"))
+    longest = seen.get["longest"] or 0
+    _put(rows.mapInArrow(_convert, "value binary"), path, max(1, min(file_records, FILE_BYTES // (longest + 1))))
+
+
+_ARC = "file string, url string, ip string, archive_date string, content_type string, record_type string, payload_bytes long, payload_digest string, body binary"
+
+
+def read_arc(spark: SparkSession, path: str) -> DataFrame:
+    """A row for each record of the ARC files at path, gzipped or not, their version blocks (record_type warcinfo) too. A
+    file is read in one task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [x.split()[0] for x in _ARC.split(", ")]
+        for batch in batches:
+            for file, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+                for f, body in arc_records(content.as_py()):
+                    kind = kind_of(f)
+                    payload = payload_of(body)[1] if kind == "response" else body
+                    row = (file, f["URL"], f["IP-address"], f["Archive-date"], f["Content-type"], kind, len(payload), digest(payload), body)
+                    yield pa.RecordBatch.from_arrays([pa.array([x]) for x in row], names=names)
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, _ARC)
+
+
+def convert_arc(spark: SparkSession, arc_path: str, path: str, file_records: int = FILE_RECORDS) -> None:
+    """The ARC files at arc_path as WARC files in the folder path, each record gzipped."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, 64):
+            out = []
+            for r in batch.to_pylist():
+                fields = {"URL": r["url"], "IP-address": r["ip"], "Archive-date": r["archive_date"], "Content-type": r["content_type"]}
+                out.append(gzip.compress(to_warc(fields, r["body"]), 6, mtime=0))
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
+
+    _put(read_arc(spark, arc_path).mapInArrow(run, "value binary"), path, file_records)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = {"page_id": pa.int64(), "payload_bytes": pa.int64(), "payload_digest": pa.string(), "record_type": pa.string(), "refers_to": pa.int64(), "url": pa.string(), "record_id": pa.string(), "date": pa.string()}
+    kinds = {"page_id": pa.int64(), "payload_bytes": pa.int64(), "payload_digest": pa.string(), "record_type": pa.string(), "refers_to": pa.int64(), "url": pa.string(), "record_id": pa.string(), "date": pa.string(), "refers_to_record": pa.string()}
     for batch in batches:
         for content in batch.column(0):
             rows = []
@@ -203,20 +281,21 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if fields["warc-block-digest"] != f"sha1:{digest(block)}":
                     raise ValueError(f"block of {fields['warc-record-id']} doesn't fit its digest")
                 number = lambda k, f=fields: int(f[k]) if k in f else None
-                size, sha = number("x-payload-length"), fields["warc-payload-digest"].removeprefix("sha1:")
-                if fields["warc-type"] == "response":
-                    payload = payload_of(block)[1]
+                kind = fields["warc-type"]
+                if kind == "revisit":
+                    size, sha = number("x-payload-length"), fields["warc-payload-digest"].removeprefix("sha1:")
+                else:
+                    payload = payload_of(block)[1] if kind == "response" else block
                     size, sha = len(payload), digest(payload)
-                rows.append((number("x-page-id"), size, sha, fields["warc-type"], number("x-refers-to-page-id"), fields["warc-target-uri"], fields["warc-record-id"], fields["warc-date"]))
+                rows.append((number("x-page-id"), size, sha, kind, number("x-refers-to-page-id"), fields.get("warc-target-uri"), fields["warc-record-id"], fields["warc-date"], fields.get("warc-refers-to")))
             cols = list(zip(*rows, strict=True)) or [()] * len(kinds)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds.values(), strict=True)], names=list(kinds))
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """A row for each record of the gzipped WARC files, digests checked; length and digest are of the full payload."""
-    # a row is a whole file here: one at a time
-    files = small_batches(spark.read.format("binaryFile").load(path).select("content"), 1)
-    return files.mapInArrow(_read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, record_id string, date string")
+    files = spark.read.format("binaryFile").load(path).select("content")
+    return files.mapInArrow(_read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, record_id string, date string, refers_to_record string")
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ Files are written and read by Spark's own text and binaryFile formats, so they c
 reaches, and a task that is run again leaves no half-written file.
 
 Defined cases: a null or empty text has the end id alone; null doc_ids come first; rows with equal doc_ids follow each
-other in the order of their texts; an empty table gives no segments and an empty result; extra columns are ignored.
+other in the order of their texts' hashes; an empty table gives no segments and an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shared_dir, table, texts, written
+from .common import shared_dir, sliced, table, texts, written
 from .tokens import coder, public
 
 MAGIC = b"TMBP"
@@ -129,7 +129,7 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end: int = END, kind:
             out = segment(part, seg, ids, [len(x) // 4 for x in held], np.frombuffer(b"".join(held), "<u4"), kind)
             return pa.RecordBatch.from_arrays([pa.array([out], pa.binary())], names=["value"])
 
-        for batch in batches:
+        for batch in sliced(batches):
             for doc, text in zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True):
                 ids.append(doc)
                 held.append(code(text) + tail)
@@ -140,14 +140,15 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end: int = END, kind:
         if ids:
             yield flush()
 
-    dealt = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(F.col("doc_id")).sortWithinPartitions("doc_id", "text")
+    # rows of one doc_id, or of none, are parted by their texts' hashes, and equal rows by the part they come from
+    keyed = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("hash"), F.spark_partition_id().alias("part"))
+    dealt = keyed.repartitionByRange("doc_id", "hash", "part").sortWithinPartitions("doc_id", "hash", "part").select("doc_id", "text")
     rows = dealt.mapInArrow(run, "value binary").select(F.col("value").cast("string"))
     rows.write.option("lineSep", "\n").option("maxRecordsPerFile", FILE_SEGMENTS).text(path)
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame:
-    # a row is a whole file here: one at a time
-    return small_batches(spark.read.format("binaryFile").load(path).select("content"), 1)
+    return spark.read.format("binaryFile").load(path).select("content")
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:

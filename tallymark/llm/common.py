@@ -77,6 +77,14 @@ def by_parts(rows: DataFrame, key: list[str], spread: str, what: dict[str, Colum
     return dealt, parts.drop(*(n for n in what if n in merged)).join(whole, key)
 
 
+def joined_by_parts(rows: DataFrame, key: str, spread: str, keys: DataFrame, side: DataFrame) -> DataFrame:
+    """rows joined to side on key, where a third of the rows may share one: a key's rows are dealt by spread over SALTS
+    parts, and side goes to the parts that there are. keys, a written table, has the key and spread of all rows."""
+    part = F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")
+    parts = keys.select(key, part.alias("_part")).distinct().join(side, key)
+    return rows.withColumn("_part", part).join(parts, [key, "_part"]).drop("_part")
+
+
 def bitmap(df: DataFrame, column: str, bits: int = BITMAP_BITS) -> np.ndarray:
     """A bit for pmod(value, bits) of every value: a filter of fixed size with false positives only."""
     spot = F.pmod(F.col(column), F.lit(bits))

@@ -7,11 +7,15 @@
 3. The signatures of a pair are compared in batches of BATCH. With a uniform prior, the posterior probability that the
    similarity reaches the threshold is a binomial tail of the matches so far; below MISS the pair is dropped.
 4. Survivors are verified on their full shingle sets, and the links' connected components taken.
-5. A bucket whose members are then still in different components has pairs that step 2 didn't compare. The members of
-   such buckets are gathered by the component of the bucket's smallest doc_id, each once. There the outsiders, members
-   of other components, meet all members in blocks of BLOCK by BLOCK inside workers, by the test of step 3 and then on
-   full sets; what leaves a worker is one link for each outsider and component. So no candidate pair of different
-   components is left out, and no bucket is ever held whole or written out pair by pair.
+5. A bucket whose members are then still in different components has pairs that step 2 didn't compare. In it the
+   outsiders, members of another component than its smallest doc_id's, meet all members in blocks of BLOCK by BLOCK
+   inside workers, by the test of step 3 on the signatures. Only for those that pass with somebody of their block are
+   the full sets fetched, to the blocks where they passed; what leaves a worker there is one link for each outsider and
+   component. So no candidate pair of different components is left out, and no bucket is held whole or written out
+   pair by pair.
+
+Rows that share a bucket, a smallest doc_id or a component are dealt over parts where they are joined by it (by_parts,
+joined_by_parts): one such key may have a third of all rows.
 
 A pair at the threshold 0.8 shares no band with probability (1 - 0.8^ROWS)^BANDS = 3e-6.
 
@@ -31,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bitmap, by_key, in_bitmap, mixed, small_batches, table, texts, word_hashes, written
+from .common import bitmap, by_key, by_parts, in_bitmap, joined_by_parts, mixed, removed, sliced, table, texts, word_hashes, written
 from .graph import components
 
 BANDS, ROWS = 32, 5
@@ -107,7 +111,7 @@ def _matrix(column) -> np.ndarray:
 
 def _sketch(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             n, digest, sig = [], [], []
             for text in texts(batch):
                 s = shingles(text, k)
@@ -121,7 +125,7 @@ def _sketch(k: int):
 
 def _sets(k: int, wanted):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             batch = batch.filter(pa.array(in_bitmap(wanted.value, batch.column("doc_id").to_numpy())))
             rows = [shingles(t, k).view(np.int64) for t in texts(batch)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, pa.list_(pa.int64()))], names=["id", "set"])
@@ -131,31 +135,58 @@ def _sets(k: int, wanted):
 
 def _pruned(need: list[tuple[int, int]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 4096):
             keep = survives(_matrix(batch.column("sig_a")), _matrix(batch.column("sig_b")), need)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
+_BLOCK_KEY = ["key", "lb", "rb"]
+
+
+def _blocks(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of rows sorted by block: the outsiders' and the members' places, block by block."""
+    left = rows.column("is_left").to_numpy()
+    cut = np.zeros(rows.num_rows, bool)
+    for c in _BLOCK_KEY:
+        v = rows.column(c).to_numpy()
+        cut[1:] |= v[1:] != v[:-1]
+    starts = [0, *cut.nonzero()[0].tolist()]
+    for s, e in zip(starts, [*starts[1:], rows.num_rows], strict=True):
+        yield s + left[s:e].nonzero()[0], s + (~left[s:e]).nonzero()[0]
+
+
+def _near(need: list[tuple[int, int]]):
+    """Of blocks: the rows whose signature passes the test with one of another component in their block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in by_key(batches, _BLOCK_KEY, 4096):
+            sig, label = _matrix(rows.column("sig")), rows.column("label").to_numpy()
+            hit = np.zeros(rows.num_rows, bool)
+            for outsiders, members in _blocks(rows):
+                for i in outsiders.tolist():
+                    near = members[label[members] != label[i]]
+                    near = near[survives(np.broadcast_to(sig[i], (near.size, SIZE)), sig[near], need)]
+                    hit[i] |= near.size > 0
+                    hit[near] = True
+            yield from rows.select([*_BLOCK_KEY, "id", "label", "is_left"]).filter(pa.array(hit)).to_batches()
+
+    return run
+
+
 def _across(need: list[tuple[int, int]], percent: int):
-    """Of components' blocks, sorted by block: for each outsider one link to every other component that it has one to."""
+    """Of blocks of rows with their sets: for each outsider one link to every other component that it has one to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in by_key(batches, ["home", "lb", "rb"], 512):
-            ids, label, left = (rows.column(c).to_numpy() for c in ("id", "label", "is_left"))
+        for rows in by_key(batches, _BLOCK_KEY, 512):
+            ids, label = rows.column("id").to_numpy(), rows.column("label").to_numpy()
             sets = [np.array(s, np.int64).view(np.uint64) for s in rows.column("set").to_pylist()]
             sig = np.stack([signature(s) for s in sets])
-            cut = np.zeros(len(ids), bool)
-            for c in ("home", "lb", "rb"):
-                v = rows.column(c).to_numpy()
-                cut[1:] |= v[1:] != v[:-1]
-            starts = [0, *cut.nonzero()[0].tolist()]
             links = []
-            for s, e in zip(starts, [*starts[1:], len(ids)], strict=True):
-                other = s + (~left[s:e]).nonzero()[0]
-                for i in (s + left[s:e].nonzero()[0]).tolist():
-                    near = other[label[other] != label[i]]
+            for outsiders, members in _blocks(rows):
+                for i in outsiders.tolist():
+                    near = members[label[members] != label[i]]
                     near = near[survives(np.broadcast_to(sig[i], (near.size, SIZE)), sig[near], need)]
                     if near.size:
                         near = near[linked(sets[i], [sets[j] for j in near], percent)]
@@ -178,64 +209,66 @@ def linked(one: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarra
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each row of docs (doc_id, text)."""
-    docs = small_batches(docs).select(F.col("doc_id").cast("long"), "text")
-    need = least_matches(percent / 100)
+    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    need, held = least_matches(percent / 100), []
     sketches = written(docs.mapInArrow(_sketch(k), "doc_id long, n_shingles long, digest binary, sig binary"), "sketches")
 
     # equal sets: linked through the smallest id; rows of one doc_id with different sets are linked by being one node
     real = sketches.where("doc_id is not null and digest is not null")
-    copies = written(real.groupBy("digest").agg(F.min("doc_id").alias("id"), F.count("*").alias("n")).where("n > 1").select("digest", "id"), "copies")
-    same = written(real.select("doc_id", "digest").join(copies, "digest").where("doc_id <> id").select(F.col("id").alias("a"), F.col("doc_id").alias("b")), "same")
+    copies = written(real.groupBy("digest").agg(F.min("doc_id").alias("id"), F.count("*").alias("n")).where("n > 1").select("digest", "id"), "copies", held=held)
+    # copies is written, so that the join with a common digest can be split or, where there are few, broadcast
+    same = written(real.select("doc_id", "digest").join(copies, "digest").where("doc_id <> id").select(F.col("id").alias("a"), F.col("doc_id").alias("b")), "same", held=held)
     one = real.join(copies, "digest", "left").where("id is null or doc_id = id")
-    sigs = written(one.select(F.col("doc_id").alias("id"), "sig"), "signatures")
+    sigs = written(one.select(F.col("doc_id").alias("id"), "sig"), "signatures", held=held)
 
     # a node that has several different sets takes part with each of them
     band = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band")
     bands = sigs.select("id", "sig", band).select("id", F.xxhash64("band", F.expr(f"substring(sig, band * {4 * ROWS} + 1, {4 * ROWS})")).alias("key"))
-    # written first, so that the join with a common key can be split or, where there are few, broadcast
-    buckets = written(bands.groupBy("key").agg(F.min("id").alias("pivot"), F.count("*").alias("n")).where("n > 1"), "keys")
-    members = written(bands.join(buckets, "key").select("key", "id", "pivot", "n"), "buckets")
+    buckets = written(bands.groupBy("key").agg(F.min("id").alias("pivot"), F.count("*").alias("n")).where("n > 1"), "keys", held=held)
+    members = written(bands.join(buckets, "key").select("key", "id", "pivot", "n"), "buckets", held=held)
 
     def full_sets(ids: DataFrame) -> DataFrame:
         """id and whole set of the documents with these ids (id)."""
         wanted = docs.sparkSession.sparkContext.broadcast(bitmap(ids, "id"))
         full = docs.where("doc_id is not null").mapInArrow(_sets(k, wanted), "id long, set array<long>")
-        return written(full.join(ids.distinct(), "id", "left_semi"), "sets")
+        return written(full.join(ids.distinct(), "id", "left_semi"), "sets", held=held)
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Links among pairs (a, b), by their full sets."""
         full = full_sets(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))))
-        left, right = full.select(F.col("id").alias("a"), F.col("set").alias("sa")), full.select(F.col("id").alias("b"), F.col("set").alias("sb"))
         both = F.size(F.array_intersect("sa", "sb")).cast("long")
-        paired = pairs.join(left, "a").join(right, "b").withColumn("both", both)
-        return written(paired.where(100 * F.col("both") >= percent * (F.size("sa") + F.size("sb") - F.col("both"))).select("a", "b"), "verified")
+        right = pairs.join(full.toDF("b", "sb"), "b")
+        paired = joined_by_parts(right, "a", "b", pairs, full.toDF("a", "sa")).withColumn("both", both)
+        return written(paired.where(100 * F.col("both") >= percent * (F.size("sa") + F.size("sb") - F.col("both"))).select("a", "b"), "verified", held=held)
 
-    star = members.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-    sig = sigs.select("id", "sig")
-    signed = star.join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b")
-    tested = written(signed.mapInArrow(_pruned(need), "a long, b long").distinct(), "tested")
+    star = written(members.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct(), "star", held=held)
+    signed = joined_by_parts(star.join(sigs.toDF("b", "sig_b"), "b"), "a", "b", star, sigs.toDF("a", "sig_a"))
+    tested = written(signed.mapInArrow(_pruned(need), "a long, b long").distinct(), "tested", held=held)
     links = same.unionByName(verified(tested))
     found = written(components(links), "components")
 
     # buckets whose members are still apart
-    label = F.coalesce("component", "id").alias("label")
-    placed = members.join(found.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "pivot", "n", label)
-    home = placed.where("id = pivot").groupBy("key").agg(F.first("label").alias("home"))
-    apart = placed.where("n > 2").groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key").join(home, "key")
-    rest = placed.join(apart, "key").select("home", "id", "label").distinct()
-    counts = rest.groupBy("home").agg(F.count("*").alias("all"), F.count_if(F.col("label") != F.col("home")).alias("out"))
-    rest = written(rest.join(counts, "home"), "apart")
+    placed = members.where("n > 2").join(found.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("label"))
+    placed = written(placed, "placed", held=held)
+    dealt, apart = by_parts(placed, ["key"], "id", {"p": F.min(F.struct("id", "label")), "l": F.min("label"), "h": F.max("label")}, {"home": F.min("p")["label"], "lo": F.min("l"), "hi": F.max("h")}, "lo < hi")
+    rest = written(dealt.join(apart.select("key", "_part", "home"), ["key", "_part"]).select("key", "home", "id", "label").distinct(), "apart", held=held)
     if rest.head(1):
+        dealt, sizes = by_parts(rest, ["key"], "id", {"a": F.count("*"), "o": F.count_if(F.col("label") != F.col("home"))}, {"all": F.sum("a"), "out": F.sum("o")})
+        rest = written(dealt.join(sizes.select("key", "_part", "all", "out"), ["key", "_part"]).join(sigs, "id"), "sized", held=held)
         blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
         spot = lambda n: F.pmod(F.xxhash64("id"), blocks(n)).cast("int")
-        left = rest.where("label <> home").select("home", "id", "label", F.lit(True).alias("is_left"), spot("out").alias("lb"), F.explode(F.sequence(F.lit(0), blocks("all") - 1)).alias("rb"))
-        right = rest.select("home", "id", "label", F.lit(False).alias("is_left"), spot("all").alias("rb"), F.explode(F.sequence(F.lit(0), blocks("out") - 1)).alias("lb"))
-        both = left.unionByName(right).join(full_sets(rest.select("id")), "id").select("home", "lb", "rb", "id", "label", "is_left", "set")
-        key = ["home", "lb", "rb"]
-        more = written(both.repartition(*key).sortWithinPartitions(*key).mapInArrow(_across(need, percent), "a long, b long").distinct(), "across")
+        every = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
+        left = rest.where("label <> home").select("key", "id", "label", "sig", F.lit(True).alias("is_left"), spot("out").alias("lb"), every("all").alias("rb"))
+        right = rest.select("key", "id", "label", "sig", F.lit(False).alias("is_left"), spot("all").alias("rb"), every("out").alias("lb"))
+        sorted_blocks = lambda df: df.repartition(*_BLOCK_KEY).sortWithinPartitions(*_BLOCK_KEY)
+        near = sorted_blocks(left.unionByName(right)).mapInArrow(_near(need), "key long, lb int, rb int, id long, label long, is_left boolean")
+        near = written(near, "near", held=held)
+        both = near.join(full_sets(near.select("id")), "id").select(*_BLOCK_KEY, "id", "label", "is_left", "set")
+        more = written(sorted_blocks(both).mapInArrow(_across(need, percent), "a long, b long").distinct(), "across", held=held)
         if more.head(1):
             found = written(components(links.unionByName(more)), "components")
 
+    removed(docs.sparkSession, held)
     out = sketches.select("doc_id", "n_shingles").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))

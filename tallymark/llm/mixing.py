@@ -14,7 +14,8 @@
 
 Defined cases: null and empty texts have no words, uniform posteriors and the rate that these give; a null doc_id has a
 rate like any other; repeated rows count each; without labelled documents all posteriors are uniform; labelled rows
-of other domains than the targets' are ignored; a table without words has all rates 1; extra columns are kept or ignored.
+of other domains than the targets' are ignored; a table without words has all rates 1; extra columns are kept, except
+that mixed() puts its own in the place of columns of their names.
 """
 
 from __future__ import annotations
@@ -34,6 +35,10 @@ BUCKETS = 1024
 CALIBRATED = 48
 STEPS = 40
 CLOSE = 1e-6
+#: A step that leaves more than this share of the gap is the last one.
+STALLED = 0.999
+#: With rates of 1 or more: the targets' sum over the least that leaves the largest domain whole.
+ROOM = 1.02
 
 
 def _buckets() -> Column:
@@ -84,59 +89,66 @@ def solve(g: list[list[float]], v: list[float]) -> list[float]:
     return [a[i][n] / a[i][i] for i in range(n)]
 
 
-def rate(names: list[str], steps: list[list[float]]) -> Column:
+def rate(names: list[str], steps: list[list[float]], least: float = 0.0) -> Column:
     out = F.lit(1.0)
     for x in steps:
-        out = F.greatest(F.lit(0.0), out + sum((F.col(n) * c for n, c in zip(names, x, strict=True)), F.lit(0.0)))
+        out = F.greatest(F.lit(least), out + sum((F.col(n) * c for n, c in zip(names, x, strict=True)), F.lit(0.0)))
     return out
 
 
 def fit(members: DataFrame, names: list[str], weights: list[float], keep_all: bool = False) -> list[list[float]]:
-    """The steps' x for members (words and posteriors). The targets sum to all words, or with keep_all to as many as
-    the domain that is furthest over its weight needs to stay whole. Warns of the gap that is left after STEPS."""
+    """The steps' x for members (words and posteriors). The targets sum to all words. With keep_all rates are 1 or more,
+    and the targets sum to ROOM times what the domain that is furthest over its weight needs to stay whole, as
+    documents of the other domains belong to that one a little too. Ends after STEPS, or where a step no longer
+    narrows the gap, and warns of what is left of it."""
     sums = lambda r: [F.sum(r * F.col("words") * F.col(n)).alias(f"s{k}") for k, n in enumerate(names)]
     pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
     first = members.agg(*sums(F.lit(1.0)), *(F.sum(F.col("words") * F.col(names[i]) * F.col(names[j])).alias(f"g{i}_{j}") for i, j in pairs)).first()
     g = [[first[f"g{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(len(names))] for i in range(len(names))]
     now = [first[f"s{k}"] or 0.0 for k in range(len(names))]
     share = [w / sum(weights) for w in weights]
-    whole = max(n / w for n, w in zip(now, share, strict=True) if w > 0) if keep_all else sum(now)
+    whole = ROOM * max(n / w for n, w in zip(now, share, strict=True) if w > 0) if keep_all else sum(now)
     steps: list[list[float]] = []
+    gap = float("inf")
     while True:
         short = [w * whole - n for w, n in zip(share, now, strict=True)]
-        gap = sum(map(abs, short))
+        before, gap = gap, sum(map(abs, short))
         if gap <= CLOSE * whole:
             break
-        if len(steps) == STEPS:
+        if len(steps) == STEPS or gap > STALLED * before:
             warnings.warn(f"the totals miss the targets by {gap / whole:.3g} of all words after {STEPS} steps", stacklevel=2)
             break
         steps.append(solve(g, short))
-        got = members.agg(*sums(rate(names, steps))).first()
+        got = members.agg(*sums(rate(names, steps, float(keep_all)))).first()
         now = [got[f"s{k}"] or 0.0 for k in range(len(names))]
     return steps
 
 
-def mixed(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None = None, column: str = "lang", keep_all: bool = False) -> DataFrame:
-    """docs with words, a posterior p_<domain> for each domain, and rate."""
-    weights = weights or WEIGHTS
+def _rated(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], column: str, keep_all: bool) -> tuple[DataFrame, list[str]]:
+    """row (the columns of docs), words, posteriors and rate, and the posteriors' names."""
     names = [f"p_{d}" for d in weights]
-    clash = {"words", "rate", *names} & set(docs.columns)
-    if clash:
-        raise ValueError(f"columns in the way: {sorted(clash)}")
     model = train(docs, labelled, list(weights), column)
     members = written(with_posteriors(docs.select("text"), model, names).select("words", *names), "members")
+    least = 1.0 if keep_all else 0.0
     steps = fit(members, names, list(weights.values()), keep_all)
-    return with_posteriors(docs, model, names).withColumn("rate", rate(names, steps))
+    rows = with_posteriors(docs.select(F.struct("*").alias("row"), "text"), model, names)
+    return rows.withColumn("rate", rate(names, steps, least)), names
+
+
+def mixed(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None = None, column: str = "lang") -> DataFrame:
+    """docs with words, a posterior p_<domain> for each domain, and rate, in the place of columns of these names."""
+    out, names = _rated(docs, labelled, weights or WEIGHTS, column, False)
+    new = ["words", *names, "rate"]
+    return out.select(*(F.col("row")[c].alias(c) for c in docs.columns if c not in new), *new)
 
 
 def repeated(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None = None, column: str = "lang") -> DataFrame:
     """The columns of docs, each row as often as its rate says: its whole part, and once more with the fraction's chance
-    by a hash of doc_id. The targets are set so that no domain shrinks, and each row stays at least once."""
-    names = docs.columns
-    out = mixed(docs, labelled, weights, column, keep_all=True)
-    chance = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("mixing")), F.lit(1_000_000)) / 1_000_000
+    by a hash of doc_id. Rates are 1 or more, so each row stays at least once."""
+    out, _ = _rated(docs, labelled, weights or WEIGHTS, column, True)
+    chance = F.pmod(F.xxhash64(F.col("row")["doc_id"], F.lit("mixing")), F.lit(1_000_000)) / 1_000_000
     times = F.greatest(F.lit(1), F.floor(F.col("rate") + chance).cast("int"))
-    return out.withColumn("_times", F.explode(F.sequence(F.lit(1), times))).select(*names)
+    return out.select("row", F.explode(F.sequence(F.lit(1), times))).select("row.*")
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

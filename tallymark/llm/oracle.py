@@ -31,14 +31,14 @@ def _grams(k: int) -> str:
 
 
 def _op3() -> str:
-    # shares of characters are those of UTF-8 bytes in the words, as the operator's; limits as repetition.py has them
-    over = " OR ".join(f"coalesce(c{k}.chars, 0) / bytes > {v}" for k, v in MOST_COVERED.items())
+    # limits as repetition.py has them
+    over = " OR ".join(f"coalesce(c{k}.chars, 0) / word_chars > {v}" for k, v in MOST_COVERED.items())
     joins = " ".join(f"LEFT JOIN c{k} ON c{k}.doc_id = d.doc_id" for k in MOST_COVERED)
-    return rf"""WITH w AS (SELECT doc_id, coalesce(text, '') AS t, {_WORDS.format("text")} AS w FROM documents), x AS (SELECT doc_id, i, strlen(word) AS s FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM w)),
+    return rf"""WITH w AS (SELECT doc_id, coalesce(text, '') AS t, {_WORDS.format("text")} AS w FROM documents), x AS (SELECT doc_id, i, length(word) AS s FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM w)),
     {", ".join(map(_grams, MOST_COVERED))},
     l AS (SELECT doc_id, line, count(*) AS n, length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS c FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM w) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY ALL),
     ll AS (SELECT doc_id, sum(n - 1) AS dup, sum((n - 1) * c) AS dup_chars FROM l GROUP BY 1),
-    d AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars, CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, strlen(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS bytes FROM w),
+    d AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars, CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols FROM w),
     v AS (SELECT d.*, coalesce(dup, 0)::BIGINT AS n_dup_lines, coalesce(c8.words, 0)::BIGINT AS n_repeat_words, coalesce(dup_chars, 0) AS dup_chars, {over} AS over FROM d LEFT JOIN ll ON ll.doc_id = d.doc_id {joins}),
     f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM v)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT over AND dup_chars / word_chars <= {MOST_IN_LINES} AS kept FROM f"""

@@ -3,8 +3,12 @@
 Documents become pieces of at most `capacity` tokens; only longer ones are cut, and their first piece takes the rest.
 Each leaf of the tree packs a bounded share of the pieces best-fit (largest first, into the fullest sequence with room).
 Sequences that are full but for `slack` tokens are done; the others go up as items, and each node above packs those of
-FAN nodes again, up to the root. A node sends up CARRY sequences at most, the emptiest; the fuller ones beyond that are
-done as they are, so no task's input grows with the corpus.
+FAN nodes again, up to the root.
+
+A node sends up CARRY sequences at most, the emptiest, so no task's input grows with the corpus. That loses none: best fit
+leaves one sequence of a node half full or less at most (two would have been one), and two that are more than half full
+never join. So what a node above can still join are its FAN small sequences at most with one each of the others, and
+for that the emptiest CARRY of each node below are more than enough.
 
 Defined cases: a null or empty text is the end id alone; null doc_ids are packed like others; repeated rows are packed
 once for each row; an empty table gives an empty result; extra columns are ignored.
@@ -20,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, texts, written
+from .common import sliced, table, texts, written
 from .tokens import coder, public
 
 CAPACITY = 1024
@@ -46,7 +50,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = coder(tokenizer, special=True).encode
         tail = np.array([end], "<u4").tobytes()
-        for batch in batches:
+        for batch in sliced(batches):
             rows = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True):
                 raw = memoryview(code(text) + tail)
@@ -109,7 +113,8 @@ def pack(found: DataFrame, capacity: int = CAPACITY, slack: int = SLACK) -> Data
     rest = found.where(F.col("length") < capacity)
     nodes = max(1, -(-rest.count() // LEAF))
     names = [x.split()[0] for x in _PIECE.split(", ")]
-    items = rest.select(F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(nodes)).cast("int").alias("node"), F.col("length").alias("used"), F.array(F.struct(*names)).alias("members"))
+    # by the row's number too, so that repeated rows don't share a leaf
+    items = rest.select(F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id()), F.lit(nodes)).cast("int").alias("node"), F.col("length").alias("used"), F.array(F.struct(*names)).alias("members"))
     level, done = 0, []
     schema = f"node int, sequence_id long, done boolean, used long, members {_MEMBERS}"
     while True:

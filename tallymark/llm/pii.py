@@ -1,29 +1,39 @@
 """Personal data: patterns propose spans, checksums confirm them, nearby words adjust the score.
 
 find_pii() gives every span with its kind, place, score and evidence; op6_pii() derives the digest columns.
-Kinds email, ip, card and phone are the base and are always reported. The added kinds are iban (confirmed by mod 97)
-and secret (a token of eight or more characters after a word such as password, to its end, with the dots inside it); an
-added span counts only with a score of LEAST or more and where no base span overlaps it. Where a base span or an IBAN
-lies in a secret, what is left of the secret before, between and after them are spans of their own.
+Kinds email, ip, card and phone are the base and are always reported, whatever their score. The added kinds count only
+with a score of LEAST or more, and only where no base span overlaps them:
+
+    iban     confirmed by mod 97; worth 0.8, so only words that speak against it (AGAINST) can take it out
+    secret   a token of eight or more characters with a digit that is given to a name such as password, to its end, with
+             the dots inside it; worth 0.7, so the same words take it out
+    key      a token of twenty or more letters and digits, of both cases, that nothing names; worth 0.45, so it counts
+             only near a word of CONTEXT such as token or credential
+    account  a run of eight to twelve digits that no checksum confirms; worth 0.4, only near a word such as account
+
+A word of CONTEXT within REACH code points adds 0.2, one of AGAINST takes 0.3. Where a base span or an IBAN lies in a
+secret, what is left of the secret before, between and after them are spans of their own.
 
 Defined cases: a null text is an empty one; a null doc_id stays null; repeated rows are searched row by row; offsets
-count code points; an empty table gives an empty result. Every scan is linear in the text, so one very long text or
-run of digits cannot stall a task.
+count code points; an empty table gives an empty result. Every scan is linear in the text, and overlaps are looked up
+by bisection, so one very long text or run of digits cannot stall a task.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, texts
+from .common import sliced, table, texts
 
-KINDS = ("email", "ip", "card", "phone", "iban", "secret")
+KINDS = ("email", "ip", "card", "phone", "iban", "secret", "key", "account")
 LEAST = 0.6
 REACH = 40  # code points before and after a span that are searched for context words
 
@@ -34,9 +44,22 @@ CONTEXT = {
     "card": ("card", "visa", "credit", "karte", "tarjeta", "carte"),
     "phone": ("phone", "tel", "call", "mobile", "telefon", "mobil"),
     "iban": ("iban", "bank", "account", "konto", "cuenta", "compte"),
-    "secret": ("password", "passwd", "secret", "token", "api_key", "apikey"),
+    "secret": ("login", "credential", "auth", "bearer", "private"),
+    "key": ("password", "secret", "token", "api", "key", "credential", "auth", "bearer"),
+    "account": ("account", "iban", "bank", "konto", "cuenta", "compte", "passport", "ssn", "tax id", "steuer"),
 }
-_NEAR = {k: re.compile("(?<![a-z])(?:" + "|".join(w) + ")", re.I) for k, w in CONTEXT.items()}
+#: Context words that speak against a span of any kind (fixed values).
+AGAINST = ("example", "sample", "dummy", "placeholder", "beispiel", "ejemplo", "exemple", "isbn", "checksum", "commit")
+#: What a kind's pattern and checksum are worth without any context.
+PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.8, "secret": 0.7, "key": 0.45, "account": 0.4}
+
+
+def _any_of(words: tuple[str, ...]) -> re.Pattern:
+    return re.compile("(?<![a-z])(?:" + "|".join(words) + ")", re.I)
+
+
+_NEAR = {k: _any_of(w) for k, w in CONTEXT.items()}
+_AGAINST = _any_of(AGAINST)
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -46,6 +69,8 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 _SECRET = re.compile(r"(?i)(?<![a-z])(?:password|passwd|secret|token|api_?key)\s{0,3}[=:]\s{0,3}[\"']?((?:[A-Za-z0-9_~+/=\-]|\.(?=[A-Za-z0-9_~+/=\-])){8,})")
+_KEY = re.compile(r"(?<![\w+/=.@-])(?=[\w+/-]*[0-9])(?=[\w+/-]*[A-Z])(?=[\w+/-]*[a-z])[A-Za-z0-9_+/-]{20,}={0,2}(?![\w@])", re.ASCII)
+_ACCOUNT = re.compile(r"(?<![\w.+-])[0-9]{8,12}(?![\w-]|\.[0-9])", re.ASCII)
 _NOT_DIGIT = re.compile(r"[^0-9]")
 
 
@@ -89,16 +114,26 @@ def ibans(text: str) -> Iterator[tuple[int, int]]:
         at = m.start() + (n or 1)
 
 
-def left_clear(start: int, end: int, spans: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
-    """The parts of start to end that none of spans (in order) overlaps."""
-    for x, _, y in spans:
-        if x >= end:
-            break
-        if start < x:
-            yield start, x
-        start = max(start, y)
-    if start < end:
-        yield start, end
+class Taken:
+    """Spans in order, to be asked which part of a text they leave."""
+
+    def __init__(self, spans: list[tuple[int, int, int]]):
+        self.starts = [s for s, _, _ in spans]
+        self.ends = [e for _, _, e in spans]
+        self.reach = list(accumulate(self.ends, max))  # never falls, so it can be bisected
+
+    def clear(self, start: int, end: int) -> bool:
+        before = bisect_left(self.starts, end)
+        return not before or self.reach[before - 1] <= start
+
+    def left(self, start: int, end: int) -> Iterator[tuple[int, int]]:
+        """The parts of start to end that no span overlaps."""
+        for i in range(bisect_right(self.reach, start), bisect_left(self.starts, end)):
+            if start < self.starts[i]:
+                yield start, self.starts[i]
+            start = max(start, self.ends[i])
+        if start < end:
+            yield start, end
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -139,23 +174,29 @@ _HAS_DIGIT = re.compile("[0-9]")
 
 
 def score(text: str, start: int, kind: str, end: int) -> float:
-    """What the pattern and its checksum are worth, more with a context word near."""
-    prior = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.8, "secret": 0.5}[kind]
-    near = _NEAR[kind].search(text, max(0, start - REACH), start) or _NEAR[kind].search(text, end, min(len(text), end + REACH))
-    return min(1.0, prior + 0.2 * bool(near))
+    """What the pattern and its checksum are worth, more with a context word near, less with one that speaks against."""
+    sides = ((max(0, start - REACH), start), (end, min(len(text), end + REACH)))
+    near = any(_NEAR[kind].search(text, a, b) for a, b in sides)
+    against = any(_AGAINST.search(text, a, b) for a, b in sides)
+    return round(max(0.0, min(1.0, PRIOR[kind] + 0.2 * near - 0.3 * against)), 2)
 
 
 def added_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Spans of the added kinds that their validator and score confirm, clear of the base ones and of each other."""
     if not _HAS_DIGIT.search(text):
         return []
-    clear = lambda s, e, spans: not any(s < y and x < e for x, _, y in spans)
-    out = [(s, 4, e) for s, e in ibans(text) if score(text, s, "iban", e) >= LEAST and clear(s, e, base)]
+    counts = lambda s, k, e: score(text, s, KINDS[k], e) >= LEAST
+    taken = Taken(base)
+    found = [(s, 4, e) for s, e in ibans(text) if taken.clear(s, e) and counts(s, 4, e)]
+    taken = Taken(sorted(base + found))
     for m in _SECRET.finditer(text):
         s, e = m.span(1)
-        if _HAS_DIGIT.search(m[1]) and score(text, s, "secret", e) >= LEAST:
-            out += [(s, 5, e)] if clear(s, e, base + out) else [(x, 5, y) for x, y in left_clear(s, e, sorted(base + out)) if any(map(str.isalnum, text[x:y]))]
-    return sorted(out)
+        if _HAS_DIGIT.search(m[1]) and counts(s, 5, e):
+            found += [(x, 5, y) for x, y in taken.left(s, e) if (x, y) == (s, e) or any(map(str.isalnum, text[x:y]))]
+    for k, pattern in ((6, _KEY), (7, _ACCOUNT)):
+        taken = Taken(sorted(base + found))
+        found += [(m.start(), k, m.end()) for m in pattern.finditer(text) if taken.clear(*m.span()) and counts(m.start(), k, m.end())]
+    return sorted(found)
 
 
 def spans_of(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
@@ -185,7 +226,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
-        for batch in batches:
+        for batch in sliced(batches):
             rows = [[{"kind": KINDS[k], "start": s, "end": e, "score": score(t, s, KINDS[k], e)} for s, k, e in spans_of(t)[1]] for t in texts(batch)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(rows, kind)], names=["doc_id", "spans"])
 
@@ -198,7 +239,7 @@ def redact(docs: DataFrame) -> DataFrame:
     at = schema.names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             new = [None if t is None else redacted(t) for t in batch.column(at).to_pylist()]
             yield batch.set_column(at, batch.schema.field(at), pa.array(new, batch.schema.field(at).type))
 

@@ -1,7 +1,7 @@
 """Quality rules from repetition coverage.
 
 Rolling hashes of several n-gram lengths, in numpy, mark the words that stand in an n-gram found twice or more in the
-same text; what counts is the share of the words' bytes that they cover, and the share of characters in repeated lines.
+same text; what counts is the share of the words' characters that they cover, and their share in repeated lines.
 
 Defined cases: null or wordless texts have zero counts, fail the base rule and are not kept; repeated rows are judged
 row by row; a null doc_id stays null; columns other than doc_id and text are ignored; an empty table gives an empty
@@ -16,9 +16,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import table, texts, windows, word_hashes
+from .common import sliced, table, texts, windows, word_hashes
 
-#: Largest share of the words' bytes that may lie inside repeated n-grams, by n-gram length in words (fixed values).
+#: Largest share of the words' characters that may lie inside repeated n-grams, by n-gram length in words (fixed values).
 MOST_COVERED = {5: 0.40, 6: 0.38, 8: 0.36, 10: 0.34}
 #: Largest share of word characters that may lie in lines equal to an earlier one.
 MOST_IN_LINES = 0.30
@@ -70,13 +70,12 @@ def measure(text: str) -> tuple:
     repeat, worst, share = 0, 0, 0.0
     if n:
         h = word_hashes(words)
-        size = np.fromiter(map(len, words), np.int64, n)
-        total = int(size.sum())
+        size = np.fromiter(map(len, words if len(data) == len(text) else map(bytes.decode, words)), np.int64, n)
         for k in MOST_COVERED:
             mark = covered(h, k)
             if k == 8:
                 repeat = int(mark.sum())
-            x = float(size[mark].sum()) / total
+            x = float(size[mark].sum()) / word_chars
             if worst == 0 or x / MOST_COVERED[k] > share / MOST_COVERED[worst]:
                 worst, share = k, x
     line_share = dup_chars / word_chars if word_chars else 0.0
@@ -87,7 +86,7 @@ def measure(text: str) -> tuple:
 
 def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds = [pa.int64()] * 5 + [pa.bool_(), pa.bool_(), pa.float64(), pa.int32(), pa.float64()]
-    for batch in batches:
+    for batch in sliced(batches):
         cols = list(zip(*map(measure, texts(batch)), strict=True)) or [()] * len(kinds)
         names = [x.split()[0] for x in SCHEMA.split(",")]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True))], names=names)

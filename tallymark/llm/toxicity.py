@@ -5,7 +5,8 @@ text. The risk of the positives is weighted by the class prior, and the part of
 explain is subtracted; where that difference turns negative, as it does once the model overfits, the step goes the
 other way. Labels of non-toxic rows are never read, except that their number gives the class prior.
 
-Training reads a bounded sample (POSITIVES and UNLABELLED texts, the smallest hashes of doc_id); scoring reads every
+Training reads a sample of the labelled rows, the smallest hashes of doc_id: `positives` of the toxic ones, and
+`unlabelled` of all of them without their labels. Both bounds are arguments, None takes every row; scoring reads every
 whole text. The weights, one float for each of DIM hash buckets, are all that is sent to the executors.
 
 Defined cases: null and empty texts get the score of a text without words; a null doc_id is scored and isn't held out;
@@ -24,9 +25,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, texts
+from .common import sliced, table, texts
 
 DIM = 1 << 18
+#: Labelled rows that training reads: toxic ones, and any, their labels unseen.
 POSITIVES = 4000
 UNLABELLED = 12000
 #: Letters of the word beginnings that are features of their own.
@@ -69,7 +71,7 @@ def _counts(rows: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = 200, rate: float = 0.05, decay: float = 5e-4, least_df: float = 0.005, least_lift: float = 3.0) -> tuple[np.ndarray, float]:
+def nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = 200, rate: float = 0.05, decay: float = 5e-4, least_df: float = 0.005, least_lift: float = 1.5) -> tuple[np.ndarray, float]:
     """Weights and bias; the loss is logistic, the optimiser Adam.
 
     A bucket takes part if a share least_df of the positives (5 at least, 2 of few) have it, least_lift times the share
@@ -109,32 +111,33 @@ def fold(doc_id: str = "doc_id") -> Column:
 
 
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         rows = [features(t) for t in texts(batch)]
         yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(rows, pa.list_(pa.int32()))], names=["toxic", "ids"])
 
 
-def train(docs: DataFrame, labels: DataFrame, class_prior: float | None = None) -> tuple[np.ndarray, float]:
+def train(docs: DataFrame, labels: DataFrame, class_prior: float | None = None, positives: int | None = POSITIVES, unlabelled: int | None = UNLABELLED) -> tuple[np.ndarray, float]:
     """The model from the rows of labels outside the held-out fold; class_prior None takes the share of toxic rows there."""
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold() != 0)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     said = known.agg(F.count("*").alias("n"), F.sum("toxic").alias("k")).first()
     if not said["k"]:
         return np.zeros(DIM), -60.0
     prior = class_prior or min(0.9, max(0.005, said["k"] / said["n"]))
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    pos = known.where("toxic = 1").select("doc_id", F.lit(1).alias("toxic")).orderBy(*order).limit(POSITIVES)
-    free = docs.where(F.col("doc_id").isNotNull() & (fold() != 0)).select("doc_id", F.lit(0).alias("toxic")).orderBy(*order).limit(UNLABELLED)
-    # both sides are bounded by the two parameters
-    chosen = F.broadcast(pos.unionByName(free))
+    least = lambda df, n: df if n is None else df.orderBy(F.xxhash64("doc_id"), F.col("doc_id")).limit(n)
+    pos = least(known.where("toxic = 1").select("doc_id", F.lit(1).alias("toxic")), positives)
+    free = least(known.select("doc_id", F.lit(0).alias("toxic")), unlabelled)
+    chosen = pos.unionByName(free)
+    if positives is not None and unlabelled is not None:
+        chosen = F.broadcast(chosen)  # as many rows as both bounds together
     got = docs.select("doc_id", "text").join(chosen, "doc_id").mapInArrow(_buckets, "toxic int, ids array<int>").toArrow()
     toxic = got.column("toxic").to_numpy()
     ids = got.column("ids").combine_chunks()
     at, flat = ids.offsets.to_numpy(), ids.values.to_numpy()
     rows = [flat[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
-    positive, unlabelled = ([r for r, t in zip(rows, toxic, strict=True) if t == k] for k in (1, 0))
-    if not positive or not unlabelled:
+    positive, free_rows = ([r for r, t in zip(rows, toxic, strict=True) if t == k] for k in (1, 0))
+    if not positive or not free_rows:
         return np.zeros(DIM), -60.0
-    return nnpu(positive, unlabelled, prior)
+    return nnpu(positive, free_rows, prior)
 
 
 def _scores(batch_texts: list[str], w: np.ndarray, b: float) -> np.ndarray:
@@ -147,7 +150,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, b = sent.value
-        for batch in batches:
+        for batch in sliced(batches):
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(_scores(texts(batch), w, b), pa.float64())], names=["doc_id", "score"])
 
     out = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
@@ -160,7 +163,7 @@ def without_toxic(docs: DataFrame, model: tuple[np.ndarray, float], threshold: f
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, b = sent.value
-        for batch in batches:
+        for batch in sliced(batches):
             yield batch.filter(pa.array(_scores(texts(batch), w, b) < threshold, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -85,12 +85,16 @@ def test_packing_defined_cases(spark):
     assert packing.packed(df.where("false"), tokens.public("byte_bpe_50k.json")).count() == 0
 
 
+def arc_of(version, *records):
+    return archive.arc_file(version, "a.arc", list(records))
+
+
 @pytest.mark.parametrize("version", [1, 2])
 def test_arc_versions_convert(version):
     body = b"HTTP/1.1 200 OK\r\n\r\nhello\nworld"
-    arc = archive.arc_file(version, "a.arc", [("http://a b/", "1.2.3.4", archive.CRAWLED, "text/html", body), ("http://c/", "1.2.3.4", archive.CRAWLED, "text/html", b"")])
-    (f, b), (_, e) = archive.arc_records(arc)
-    assert f["URL"] == "http://a%20b/" and b == body and e == b""
+    arc = arc_of(version, ("http://a b/", "1.2.3.4", archive.CRAWLED, "text/html", body), ("http://c/", "1.2.3.4", archive.CRAWLED, "text/html", b""))
+    (info, block), (f, b), (_, e) = archive.arc_records(arc)
+    assert f["URL"] == "http://a%20b/" and b == body and e == b"" and info["URL"] == "filedesc://a.arc" and block.startswith(b"%d 0" % version)
     ((h, block),) = archive.warc_records(io.BytesIO(archive.to_warc(f, b)))
     assert h["warc-date"] == "2005-01-01T00:00:00Z" and block == body
     assert h["warc-payload-digest"] == "sha1:" + base64.b32encode(hashlib.sha1(b"hello\nworld").digest()).decode()
@@ -98,6 +102,32 @@ def test_arc_versions_convert(version):
         list(archive.arc_records(arc[:-20]))
 
 
+def test_short_arc_dates():
+    assert [archive.iso_date(x) for x in ("2005", "200503", "20050314", "2005031415", "20050314150926")] == ["2005-01-01T00:00:00Z", "2005-03-01T00:00:00Z", "2005-03-14T00:00:00Z", "2005-03-14T15:00:00Z", "2005-03-14T15:09:26Z"]
+
+
+def test_arc_files_are_read_and_converted(spark, tmp_path):
+    import gzip
+
+    page = b"HTTP/1.1 200 OK\r\n\r\nhello"
+    one = arc_of(1, ("http://a/", "1.2.3.4", archive.CRAWLED, "text/html", page), ("dns:a", "1.2.3.4", archive.CRAWLED, "text/dns", b"a. 1 IN A 1.2.3.4"))
+    two = arc_of(2, ("https://b/\u00e9", "1.2.3.5", archive.CRAWLED, "text/html", page * 5000), ("ftp://c/x", "1.2.3.5", archive.CRAWLED, "text/plain", b""))
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "one.arc").write_bytes(one)
+    (tmp_path / "in" / "two.arc.gz").write_bytes(gzip.compress(two))
+    rows = archive.read_arc(spark, str(tmp_path / "in")).collect()
+    assert sorted((r["record_type"], r["url"]) for r in rows) == [("resource", "dns:a"), ("resource", "ftp://c/x"), ("response", "http://a/"), ("response", "https://b/\u00e9"), ("warcinfo", "filedesc://a.arc"), ("warcinfo", "filedesc://a.arc")]
+    archive.convert_arc(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    got = {(r["record_type"], r["url"]): r for r in archive.read_warc(spark, str(tmp_path / "out")).collect()}
+    assert len(got) == 5 and got["response", "http://a/"]["payload_bytes"] == 5 and got["warcinfo", None]["payload_bytes"] > 0
+    assert got["response", "http://a/"]["payload_digest"] == archive.digest(b"hello")
+    # each record can be unpacked alone, from where its member starts
+    data = next((tmp_path / "out").glob("part-*")).read_bytes()
+    starts = [i for i in range(len(data)) if data[i : i + 4] == b"\x1f\x8b\x08\x00"]
+    alone = [zlib.decompressobj(31).decompress(data[i:]) for i in starts]
+    assert sum(x.startswith(b"WARC/1.0") for x in alone) == len([x for x in alone if x]) >= 3
+
+
 def test_gzip_members_are_read_as_they_come():
     import gzip
 
@@ -115,29 +145,82 @@ def test_warc_round_trip_and_defined_cases(spark, tmp_path):
     by = {r["page_id"]: r for r in got}
     assert (by[1]["record_type"], by[1]["refers_to"], by[2]["record_type"]) == ("revisit", 2, "response")
     assert (by[3]["record_type"], by[3]["refers_to"], by[4]["record_type"]) == ("revisit", 4, "response") and by[3]["payload_bytes"] == 0
+    assert by[1]["refers_to_record"] == by[2]["record_id"] and by[3]["refers_to_record"] == by[4]["record_id"] and by[2]["refers_to_record"] is None
     assert by[None]["record_type"] == "response" and by[5]["payload_bytes"] == 18 and by[6]["payload_bytes"] == 6
     archive.write_warc(df.where("false"), str(tmp_path / "e"))
     assert archive.read_warc(spark, str(tmp_path / "e")).count() == 0
 
 
-def test_neighbours_reach_the_recall(spark, monkeypatch):
-    monkeypatch.setattr(neighbours, "SHARD", 700)
-    monkeypatch.setattr(neighbours, "BLOCK", 8)
-    g = np.random.default_rng(2)
-    x = g.standard_normal((2000, 64)).astype(np.float32)
-    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+def recall_of(got, ids, x):
+    hits = n = 0
+    for q, rows in got.items():
+        d = np.sqrt(((x - x[ids.tolist().index(q)]) ** 2).sum(1))
+        d[ids == q] = np.inf
+        by = dict(zip(ids.tolist(), d.tolist(), strict=True))
+        rows = sorted(rows, key=lambda r: r["rank"])
+        assert [r["rank"] for r in rows] == list(range(1, 11)) and [(r["score"], r["vec_id"]) for r in rows] == sorted((r["score"], r["vec_id"]) for r in rows)
+        assert all(abs(r["score"] - by[r["vec_id"]]) < 1e-12 for r in rows)
+        hits += sum(r["score"] <= np.sort(d)[9] + 1e-12 for r in rows)
+        n += 10
+    return hits / n
+
+
+def answers(df):
     got = {}
     for r in neighbours.nearest(df, F.col("vec_id") % 100 == 0).collect():
         got.setdefault(r["query_id"], []).append(r)
-    hits = 0
-    for q in range(0, 2000, 100):
-        d = np.sqrt(((x.astype(float) - x[q].astype(float)) ** 2).sum(1))
-        d[q] = np.inf
-        mine = sorted(got[q], key=lambda r: r["rank"])
-        assert [r["rank"] for r in mine] == list(range(1, 11))
-        assert all(r["score"] == d[r["vec_id"]] for r in mine) and [r["score"] for r in mine] == sorted(r["score"] for r in mine)
-        hits += len({r["vec_id"] for r in mine} & set(np.argsort(d)[:10].tolist()))
-    assert hits >= 0.9 * 200
+    return got
+
+
+def test_neighbours_reach_the_recall(spark, monkeypatch):
+    """Vectors without structure over several shards, then the given ones."""
+    monkeypatch.setattr(neighbours, "SHARD", 1500)
+    x = np.random.default_rng(2).standard_normal((5000, 64)).astype(np.float32)
+    got = answers(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>"))
+    assert len(got) == 50 and recall_of(got, np.arange(5000), x.astype(float)) >= 0.85
+    monkeypatch.undo()
+    given = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = given.select("vec_id", "embedding").collect()
+    got = answers(given)
+    assert len(got) == len([r for r in rows if r["vec_id"] % 100 == 0])
+    assert recall_of(got, np.array([r["vec_id"] for r in rows]), np.array([r["embedding"] for r in rows], float)) >= 0.9
+
+
+def test_neighbours_compare_a_share(monkeypatch):
+    """What is compared by exact distances, and that clustered vectors need less of it."""
+    g = np.random.default_rng(4)
+    centres = g.standard_normal((40, 64))
+    x = np.concatenate([c + 0.3 * g.standard_normal((100, 64)) for c in centres])
+    forest = neighbours.Forest(np.arange(4000), x)
+    for share, least in ((neighbours.CANDIDATES, 0.99), (0.05, 0.95)):
+        hits = 0
+        for q, near in zip(range(0, 4000, 100), forest.candidates(x[::100], share, 40), strict=True):
+            assert near.size <= share * 4000
+            d = ((x - x[q]) ** 2).sum(1)
+            hits += np.isin(np.argsort(d)[:11], near).sum()
+        assert hits >= least * 11 * 40
+    router = neighbours.Router(64, {int(c): int(n) for c, n in zip(*np.unique(neighbours_cells(x), return_counts=True), strict=True)}, 0, 0.3)
+    assert all(len(v) <= router.end for v in router.visits(x[:50]))
+
+
+def neighbours_cells(x):
+    return ((x @ neighbours.projections(neighbours.CELL_BITS, x.shape[1], neighbours._SEED).T > 0) << np.arange(neighbours.CELL_BITS - 1, -1, -1)).sum(axis=1)
+
+
+def test_leaves_hold_every_cell():
+    counts = {0: 5, 1: 5, 4: 1, 2048: 30, 4095: 2}
+    found = neighbours.leaves_of(counts, 6)
+    assert sum(n for *_, n in found) == 43 and (2048, 12, 30) in found
+    spans = sorted((p << (12 - n), (p + 1) << (12 - n)) for p, n, _ in found)
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:], strict=False))
+
+
+def test_neighbours_of_a_common_vector(spark, monkeypatch):
+    """More equal vectors than a shard holds; of equals the smaller vec_id."""
+    monkeypatch.setattr(neighbours, "SHARD", 50)
+    rows = [(i, [1.0, 2.0, 3.0]) for i in range(300)] + [(1000, [3.0, -1.0, 0.5])]
+    got = answers(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert all(r["score"] == 0 for q in (0, 100, 200) for r in got[q]) and len(got[1000]) == 10
 
 
 def test_neighbours_defined_cases(spark):
@@ -146,6 +229,8 @@ def test_neighbours_defined_cases(spark):
     df = spark.createDataFrame([(*r, 5) for r in rows], "vec_id long, embedding array<double>, rank int")
     got = [(r["query_id"], r["rank"], r["vec_id"]) for r in neighbours.nearest(df, F.col("vec_id") % 100 == 0).orderBy("rank").collect()]
     assert got == [(0, 1, 1), (0, 2, 2)]
+    twice = spark.createDataFrame([(0, [1.0, 0.0]), (0, [0.0, 2.0]), (1, [0.0, 1.0]), (2, [1.5, 0.0]), (2, [9.0, 0.0])], "vec_id long, embedding array<double>")
+    assert [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in neighbours.nearest(twice, F.col("vec_id") % 100 == 0).orderBy("rank").collect()] == [(0, 1, 2, 0.5), (0, 2, 1, 1.0)]
     assert neighbours.nearest(df.where("false"), F.col("vec_id") % 100 == 0).count() == 0
 
 
@@ -189,25 +274,128 @@ def test_mixing_defined_cases(spark):
     assert mixing.mixed(df.where("false"), none).count() == 0
 
 
-def test_pipeline_stages(spark):
+def test_rates_equal_a_plain_solver(spark):
+    """Posteriors from the model by hand, and the rates of projected steps in numpy."""
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    domains, weights = list(mixing.WEIGHTS), np.array(list(mixing.WEIGHTS.values()))
+    rows = mixing.mixed(docs, labels).collect()
+    model = np.array(mixing.train(docs, labels, domains, "lang"))
+    few = docs.limit(30).select("doc_id", "text", F.expr("transform(filter(split(lower(coalesce(text, '')), r'[\\x20\\x09-\\x0D]+'), w -> w != ''), w -> int(pmod(xxhash64(w), 1024)))").alias("b")).collect()
+    by = {r["doc_id"]: r for r in rows}
+    for r in few:
+        z = model[:, r["b"]].sum(axis=1) * min(1.0, mixing.CALIBRATED / max(1, len(r["b"])))
+        p = np.exp(z - z.max())
+        assert np.allclose([by[r["doc_id"]][f"p_{d}"] for d in domains], p / p.sum(), atol=1e-9)
+    p, t = np.array([[r[f"p_{d}"] for d in domains] for r in rows]), np.array([r["words"] for r in rows], float)
+    g, target, rate = (p * t[:, None]).T @ p, weights * t.sum(), np.ones(len(t))
+    for _ in range(60):
+        rate = np.maximum(0, rate + p @ np.linalg.solve(g, target - (rate * t) @ p))
+    assert np.allclose([r["rate"] for r in rows], rate, atol=1e-4)
+
+
+def test_mixing_keeps_or_replaces_clashing_columns(spark):
+    df = spark.createDataFrame([(i, "a b c", lang, "w", i, 0.5, i, [i]) for i, lang in enumerate(["en", "de", "fr", "es"] * 5)], "doc_id long, text string, lang string, words string, rate int, p_en double, row int, _buckets array<int>")
+    out = mixing.mixed(df, df.select("doc_id"))
+    assert dict(out.dtypes)["words"] == "bigint" and dict(out.dtypes)["rate"] == "double" and "row" in out.columns and "_buckets" in out.columns
+    back = mixing.repeated(df, df.select("doc_id"))
+    assert back.schema.names == df.schema.names and set(map(str, back.distinct().collect())) == set(map(str, df.collect()))
+
+
+def test_repeated_documents_meet_the_weights(spark):
+    docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    out = mixing.repeated(docs, labels)
+    assert out.select("doc_id").distinct().count() == docs.count()
+    posterior = mixing.mixed(docs, labels).select("doc_id", "words", *(f"p_{d}" for d in mixing.WEIGHTS))
+    total = out.select("doc_id").join(posterior, "doc_id").agg(F.sum("words").alias("n"), *(F.sum(F.col("words") * F.col(f"p_{d}")).alias(d) for d in mixing.WEIGHTS)).first()
+    for d, w in mixing.WEIGHTS.items():  # whole rows are drawn, so the shares come near the weights, not to them
+        assert abs(total[d] / total["n"] - w) < 0.03
+
+
+def test_pieces_hold_the_librarys_ids(spark):
+    from tokenizers import Tokenizer
+
+    path = tokens.public("byte_bpe_50k.json")
+    tok = Tokenizer.from_file(path)
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").limit(60).collect()] + [(-1, None), (-2, "word " * 20_000), (-3, "<|endoftext|>")]
+    rows = packing.packed(spark.createDataFrame(docs, "doc_id long, text string"), path).collect()
+    ids = {i: [*tok.encode(t or "", add_special_tokens=False).ids, 2] for i, t in docs}
+    for i, want in ids.items():
+        mine = sorted((r for r in rows if r["doc_id"] == i), key=lambda r: r["piece"])
+        assert [r["piece"] for r in mine] == list(range(len(mine))) and sum(r["length"] for r in mine) == len(want)
+        at = 0
+        for r in mine:
+            assert r["start"] == at and r["length"] <= 1024 and (r["piece"] == 0 or r["length"] == 1024)
+            assert r["ids_crc32"] == zlib.crc32(np.array(want[at : at + r["length"]], "<u4").tobytes())
+            at += r["length"]
+
+
+def test_equal_rows_dont_share_a_leaf(spark, monkeypatch):
+    monkeypatch.setattr(packing, "LEAF", 50)
+    seen = []
+    node = packing._node
+    monkeypatch.setattr(packing, "_node", lambda level, *a: seen.append(level) or node(level, *a))
+    got = packing.pack(spark.createDataFrame([(None, 0, 0, 600, 7)] * 400, packing._PIECE).repartition(4)).collect()
+    assert len({r["sequence_id"] for r in got}) == 400 and max(seen) > 0
+
+
+def test_pipeline_equals_plain_python(spark, tmp_path):
+    """Every stage on its own input against a plain version of it."""
     import corpus_pipeline as p
+    from tallymark.llm import pii, toxicity
+    from tests_plain import components as plain_components
+    from tests_plain import shingle_set
 
     docs = spark.read.parquet(f"{SF}/documents.parquet")
+    extra = spark.createDataFrame([(10**6, "x y z", "en", "s", 5), (10**6, "x y z", "en", "s", 5), (10**6, "other", "en", "s", 5), (None, None, None, None, None), (None, "a b c d e f", "en", "s", 1)], docs.schema)
+    rows = docs.unionByName(extra)
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
     names = [n for n, _ in p.STAGES]
     assert names == ["toxicity", "near_duplicates", "personal_data", "mixing", "packing"]
-    extra = spark.createDataFrame([(1, "x y z", "en", "s", 5), (1, "x y z", "en", "s", 5), (None, None, None, None, None)], docs.schema)
-    out = docs.unionByName(extra)
-    for name, stage in p.STAGES[:-1]:
-        was, out = out, stage(spark, out, SF)
-        assert out.columns == docs.columns, name
-        if name in ("near_duplicates", "personal_data"):
-            assert out.count() <= was.count()
-        if name == "near_duplicates":
-            assert out.where("doc_id = 1").count() <= 1
-    packed = p.STAGES[-1][1](spark, out, SF)
-    assert packed.count() > 0 and packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 1024").count() == 0
-    for _, stage in p.STAGES[:-1]:
-        assert stage(spark, docs.where("false"), SF).count() == 0
+    stage = dict(p.STAGES)
+
+    def kept(df, name):
+        path = str(tmp_path / name)
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
+    clean = kept(stage["toxicity"](spark, rows, SF), "clean")
+    w, b = toxicity.train(rows, labels)
+    toxic = {i for i, r in enumerate(rows.collect()) if w[toxicity.features(r["text"] or "")].sum() + b >= 0}
+    plain = [tuple(r) for i, r in enumerate(rows.collect()) if i not in toxic]
+    assert sorted(map(str, map(tuple, clean.collect()))) == sorted(map(str, plain)) and len(plain) < rows.count()
+
+    one = kept(stage["near_duplicates"](spark, clean, SF), "one")
+    sets = {}
+    for r in clean.collect():
+        sets.setdefault(r["doc_id"], []).append(shingle_set(r["text"], 5))
+    whole = {(i, k): s for i, ss in sets.items() if i is not None for k, s in enumerate(ss)}
+    for i, ss in sets.items():  # rows of one doc_id are one node
+        for k in range(1, len(ss)) if i is not None else ():
+            whole[i, k] = whole[i, k] or whole[i, 0]
+    group = plain_components(whole, 80)
+    want = {i for (i, k), (least, _) in group.items() if least == i and k == 0}
+    assert {r["doc_id"] for r in one.collect()} == want | {None} and one.where("doc_id is null").count() == 2
+    assert one.where("doc_id is not null").count() == len(want)
+
+    safe = kept(stage["personal_data"](spark, one, SF), "safe")
+    assert sorted(str((r["doc_id"], r["text"] and pii.redacted(r["text"]))) for r in one.collect()) == sorted(str((r["doc_id"], r["text"])) for r in safe.collect())
+
+    mixed_rows = kept(stage["mixing"](spark, safe, SF), "mixed")
+    assert mixed_rows.columns == docs.columns
+    assert mixed_rows.where("doc_id is not null").distinct().count() == safe.where("doc_id is not null").distinct().count()
+
+    sequences = stage["packing"](spark, mixed_rows, SF).collect()
+    bins = {}
+    for r in sorted(sequences, key=lambda r: r["offset"]):
+        assert r["offset"] == bins.get(r["sequence_id"], 0)
+        bins[r["sequence_id"]] = r["offset"] + r["length"]
+    assert max(bins.values()) <= 1024
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(tokens.public("byte_bpe_50k.json"))
+    assert sum(bins.values()) == sum(len(tok.encode(r["text"] or "", add_special_tokens=False).ids) + 1 for r in mixed_rows.collect())
+    for name in names:
+        assert stage[name](spark, docs.where("false"), SF).count() == 0
 
 
 def test_mixing_parts_words_at_any_white_space(spark):

@@ -2,11 +2,13 @@
 
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tests_plain import components, shingle_set
 
 from tallymark.llm import bitplanes, minhash, packing, pii, repetition, substrings, tokens, toxicity
 from tallymark.llm.common import windows
@@ -26,29 +28,6 @@ def texts_of(spark):
     return [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
 
 
-def components(sets, percent):
-    ids = sorted(sets)
-    root = {i: i for i in ids}
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    for n, i in enumerate(ids):
-        for j in ids[:n]:
-            both = len(sets[i] & sets[j])
-            if both and 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
-                a, b = sorted((find(i), find(j)))
-                root[b] = a
-    return {i: find(i) for i in ids}
-
-
-def shingle_set(text, k):
-    w = (text or "").encode().lower().split()
-    return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set()
-
-
 def test_near_duplicates_equal_brute_force(spark):
     random.seed(4)
     docs = texts_of(spark)[:80]
@@ -64,13 +43,40 @@ def test_near_duplicates_equal_brute_force(spark):
     assert all(r["kept"] == (r["component_id"] == i) and r["n_shingles"] == len(shingle_set(dict(docs)[i], 4)) for i, r in got.items())
 
 
+def same_first_band(sizes):
+    """Texts of nested word sets whose signatures agree in the first band, so that they surely share that bucket."""
+    for n in range(10_000):
+        words = [f"{n}w{i}" for i in range(max(sizes))]
+        sigs = [minhash.signature(minhash.shingles(" ".join(words[:k]), 1))[: minhash.ROWS].tolist() for k in sizes]
+        if all(x == sigs[0] for x in sigs):
+            return [" ".join(words[:k]) for k in sizes]
+    raise AssertionError("no such words")
+
+
 def test_outsiders_of_a_bucket_are_compared(spark, monkeypatch):
-    """With one band, buckets hold pairs that the smallest id's star doesn't verify."""
+    """One bucket whose smallest id has no link: the others' links come from the outsiders' blocks, or not at all."""
+    calls = []
     monkeypatch.setattr(minhash, "BANDS", 1)
-    a = [f"a{i}" for i in range(60)]
-    docs = [(1, " ".join(a[:40])), (2, " ".join(a[:50])), (3, " ".join(a[:54])), (4, " ".join(a[:52]))]
+    monkeypatch.setattr(minhash, "BLOCK", 2)
+    across = minhash._across
+    monkeypatch.setattr(minhash, "_across", lambda *a: calls.append(a) or across(*a))
+    docs = list(enumerate(same_first_band([40, 54, 57, 60, 85, 90]), 1))
+    sets = {i: shingle_set(t, 1) for i, t in docs}
     got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), k=1).collect()}
-    assert got[2] == got[3] == got[4]
+    assert got == components(sets, 80) == {1: 1, 2: 2, 3: 2, 4: 2, 5: 5, 6: 5} and len(calls) == 1
+
+
+def test_one_hub_with_many_near_copies(spark, monkeypatch):
+    """A text with many different near copies, all linked through it: its rows are dealt over parts."""
+    random.seed(12)
+    base = [f"h{i}" for i in range(150)]
+    docs = [(0, " ".join(base))]
+    for n in range(1, 150):
+        copy = list(base)
+        copy[random.randrange(150)] = f"x{n}"
+        docs.append((n, " ".join(copy)))
+    got = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), k=5).collect()
+    assert {r["component_id"] for r in got} == {0} and sum(r["kept"] for r in got) == 1
 
 
 def test_near_duplicates_defined_cases(spark, odd):
@@ -160,6 +166,8 @@ def test_repetition_equals_brute_force(spark):
     text = "a é#\n\na é#\n  \nb|"
     n, chars, symbols, dup, *_ = repetition.measure(text)
     assert (n, chars, symbols, dup) == (5, 8, 3, 1)
+    accents, plain = "é1 é2 é3 é4 é5 " * 2 + "x " * 10, "e1 e2 e3 e4 e5 " * 2 + "x " * 10
+    assert repetition.measure(accents)[7:] == repetition.measure(plain)[7:]  # characters, not bytes
 
 
 def test_repetition_defined_cases(spark, odd):
@@ -172,14 +180,57 @@ def test_repetition_defined_cases(spark, odd):
 
 
 def test_base_spans():
-    text = "mail a.b@c.de, b@x, c@d.e.f; 1.2.3.4 999.1.1.1 1.2.3.4.5 4111 1111-1111 1111 4111111111111112 +49 (30) 1234-5678 +1"
+    text = "mail a.b@c.de, b@x, c@d.e.f; 1.2.3.4 999.1.1.1 1.2.3.4.5, 4111 1111-1111 1111, 4111111111111112 +49 (30) 1234-5678 +1"
     got = [(pii.KINDS[k], text[s:e]) for s, k, e in pii.base_spans(text)]
     assert got == [("email", "a.b@c.de"), ("email", "c@d.e.f"), ("ip", "1.2.3.4"), ("ip", "1.2.3.4"), ("card", "4111 1111-1111 1111"), ("phone", "+49 (30) 1234-5678")]
+    # the leftmost match starts at the 5 and takes both numbers in; it has too many digits, and nothing is tried again
+    run_on = "1.2.3.4.5 4111 1111-1111 1111 4111111111111112"
+    assert [(pii.KINDS[k], run_on[s:e]) for s, k, e in pii.base_spans(run_on)] == [("ip", "1.2.3.4")]
+
+
+def base_brute(text):
+    """The contract's patterns, as they stand."""
+    digits = lambda t: "".join(c for c in t if c in "0123456789")
+
+    def luhn(t):
+        d = [int(c) for c in digits(t)][::-1]
+        return (sum(d[0::2]) + sum(sum(divmod(2 * x, 10)) for x in d[1::2])) % 10 == 0
+
+    rules = [
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda t: True),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda t: all(int(x) <= 255 for x in t.split("."))),
+        ("card", r"[0-9]([\x20-]?[0-9])+", lambda t: 12 <= len(digits(t)) <= 19 and luhn(t)),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda t: 9 <= len(digits(t)) <= 15),
+    ]
+    return [(m.start(), k, m.end()) for k, (_, p, ok) in enumerate(rules) for m in re.finditer(p, text) if ok(m[0])]
+
+
+def test_query_of_personal_data_equals_the_patterns(spark, tmp_path):
+    random.seed(9)
+    pieces = ["a@b.cc", "10.0.0.1", "4111 1111 1111 1111", "4111-1111-1111-1112", "+49 30 1234567", "+1 (2) 3", "x", " ", ".", "7", "@", "é", "password=abc12345", "iban DE89 3704 0044 0532 0130 00", "555.1.1.1"]
+    docs = [(i, "".join(random.choice(pieces) + random.choice(["", " "]) for _ in range(random.randint(0, 12)))) for i in range(400)] + [(400, None)]
+    docs += [(1000 + i, t) for i, t in texts_of(spark)[:100]]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    for r in pii.op6_pii(spark, str(tmp_path)).collect():
+        text = dict(docs)[r["doc_id"]] or ""
+        want = sorted(base_brute(text))
+        said = lambda spans: ",".join(f"{pii.KINDS[k]}:{s}:{e}" for s, k, e in spans)
+        assert [r[f"n_{k}"] for k in pii.KINDS[:4]] == [sum(k == x for _, x, _ in want) for k in range(4)], text
+        assert r["base_sha256"] == hashlib.sha256(said(want).encode()).hexdigest(), text
+        assert r["spans"] == said(pii.spans_of(text)[1]) and set(filter(None, said(want).split(","))) <= set(r["spans"].split(","))
+
+
+def test_context_decides_on_added_kinds():
+    added = lambda t: [(pii.KINDS[k], t[s:e]) for s, k, e in pii.spans_of(t)[1] if k > 3]
+    key = "Zx81kQ02mmPL77aaB3cD"
+    assert added(f"hmm {key} so") == [] and added(f"the bearer is {key} so") == [("key", key)]
+    assert added("no 12345678 here") == [] and added("bank account 12345678 here") == [("account", "12345678")]
+    assert added("password=abc12345") == [("secret", "abc12345")] and added("for example password=abc12345") == []
+    assert added("DE89 3704 0044 0532 0130 00") != [] and added("an example DE89 3704 0044 0532 0130 00") == []
+    assert added("for example, my bank iban is DE89 3704 0044 0532 0130 00") != []
 
 
 def test_emails_equal_the_pattern():
-    import re
-
     pattern = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
     random.seed(5)
     for _ in range(3000):
@@ -188,8 +239,6 @@ def test_emails_equal_the_pattern():
 
 
 def test_ips_equal_the_pattern():
-    import re
-
     pattern = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
     random.seed(6)
     for _ in range(3000):
@@ -211,6 +260,7 @@ def test_pii_is_linear_in_long_runs():
 
     t = time.process_time()
     pii.spans_of("1" * 400_000 + "a" * 400_000 + "@" * 1000 + "+" * 100_000)
+    pii.spans_of("1.2.3.4 password=abc12345 DE89 3704 0044 0532 0130 00 " * 8000)
     assert time.process_time() - t < 20
 
 
@@ -241,6 +291,32 @@ def test_toxicity_learns_and_holds_out(spark):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_risk_is_that_of_the_class_prior(monkeypatch):
+    """A plain risk, the positives' part taken off the unlabelled one and held at 0 or more, falls as the model is fitted."""
+    g = np.random.default_rng(5)
+    word = lambda p: [np.flatnonzero(g.random(40) < q).astype(np.int32) for q in p]
+    common, toxic = np.full(40, 0.2), np.r_[np.full(5, 0.7), np.full(35, 0.2)]
+    positive, free = word([toxic] * 200), word([toxic] * 100 + [common] * 900)
+
+    def risk(w, b, prior=0.1):
+        z = lambda rows: np.array([w[r].sum() + b for r in rows])
+        loss = lambda x: np.log1p(np.exp(-x)).mean()
+        return prior * loss(z(positive)) + max(0.0, loss(-z(free)) - prior * loss(-z(positive)))
+
+    w, b = toxicity.nnpu(positive, free, 0.1, least_lift=1.1)
+    assert risk(w, b) < 0.8 * risk(np.zeros(toxicity.DIM), float(np.log(0.1 / 0.9)))
+    assert w[:5].min() > 0 and np.count_nonzero(w) <= 40
+    few = toxicity.nnpu(positive[:3], free, 0.1, least_lift=1.1)  # overfits: the step goes the other way, weights stay small
+    assert np.abs(few[0]).max() < 12
+
+
+def test_toxicity_reads_all_labelled_rows_on_demand(spark):
+    d = spark.createDataFrame([(i, f"word{i % 7} " + ("fine" if i % 8 else f"vile{i % 3}")) for i in range(400)], "doc_id long, text string")
+    lab = spark.createDataFrame([(i, int(i % 8 == 0)) for i in range(400)], "doc_id long, toxic int")
+    a, b = toxicity.train(d, lab), toxicity.train(d, lab, positives=None, unlabelled=None)
+    assert np.allclose(a[0], b[0]) and a[0].any() and not np.allclose(a[0], toxicity.train(d, lab, positives=9)[0])
+
+
 def test_toxicity_ignores_held_out_labels(spark):
     d = spark.createDataFrame([(i, f"word{i % 7} vile" if i % 3 else "fine") for i in range(60)], "doc_id long, text string")
     lab = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(60)], "doc_id long, toxic int")
