@@ -9,7 +9,7 @@
 4. Survivors are verified on their full shingle sets, and the links' connected components taken.
 5. A bucket whose members are then still in different components has pairs that step 2 didn't compare. In it the
    outsiders, members of another component than its smallest doc_id's, meet all members in blocks of BLOCK by BLOCK
-   inside workers, by the test of step 3 on the signatures. Only for those that pass with somebody of their block are
+   inside workers, each pair in the first band that it shares, by the test of step 3 on the signatures. Only for those that pass with somebody of their block are
    the full sets fetched, to the blocks where they passed; what leaves a worker there is one link for each outsider and
    component. So no candidate pair of different components is left out, and no bucket is held whole or written out
    pair by pair.
@@ -32,7 +32,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import bitmap, by_key, by_parts, in_bitmap, joined_by_parts, mixed, removed, sliced, table, texts, word_hashes, written
@@ -43,6 +43,7 @@ BATCH = 32
 MISS = 1e-6
 BLOCK = 256
 SIZE = BANDS * ROWS
+BAND_BITS = 5  # of a bucket's key
 
 _SEED = np.random.Generator(np.random.PCG64(20240229))
 _XOR = _SEED.integers(0, 1 << 32, SIZE, dtype=np.uint32)
@@ -142,6 +143,16 @@ def _pruned(need: list[tuple[int, int]]):
     return run
 
 
+def _bucket_key(band: str, minima: Column) -> Column:
+    """A hash of the band's minima, with the band in the lowest bits."""
+    return F.shiftleft(F.xxhash64(minima), BAND_BITS).bitwiseOR(F.col(band).cast("long"))
+
+
+def first_shared(one: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Of a signature and others: the first band whose minima are equal (0 where none is)."""
+    return (one.reshape(-1, ROWS) == others.reshape(len(others), -1, ROWS)).all(axis=2).argmax(axis=1)
+
+
 _BLOCK_KEY = ["key", "lb", "rb"]
 
 
@@ -163,11 +174,13 @@ def _near(need: list[tuple[int, int]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in by_key(batches, _BLOCK_KEY, 4096):
             sig, label = _matrix(rows.column("sig")), rows.column("label").to_numpy()
+            band = rows.column("key").to_numpy() & ((1 << BAND_BITS) - 1)
             hit = np.zeros(rows.num_rows, bool)
             for outsiders, members in _blocks(rows):
                 for i in outsiders.tolist():
                     near = members[label[members] != label[i]]
                     near = near[survives(np.broadcast_to(sig[i], (near.size, SIZE)), sig[near], need)]
+                    near = near[first_shared(sig[i], sig[near]) == band[i]]
                     hit[i] |= near.size > 0
                     hit[near] = True
             yield from rows.select([*_BLOCK_KEY, "id", "label", "is_left"]).filter(pa.array(hit)).to_batches()
@@ -181,6 +194,7 @@ def _across(need: list[tuple[int, int]], percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in by_key(batches, _BLOCK_KEY, 512):
             ids, label = rows.column("id").to_numpy(), rows.column("label").to_numpy()
+            band = rows.column("key").to_numpy() & ((1 << BAND_BITS) - 1)
             sets = [np.array(s, np.int64).view(np.uint64) for s in rows.column("set").to_pylist()]
             sig = np.stack([signature(s) for s in sets])
             links = []
@@ -188,6 +202,7 @@ def _across(need: list[tuple[int, int]], percent: int):
                 for i in outsiders.tolist():
                     near = members[label[members] != label[i]]
                     near = near[survives(np.broadcast_to(sig[i], (near.size, SIZE)), sig[near], need)]
+                    near = near[first_shared(sig[i], sig[near]) == band[i]]
                     if near.size:
                         near = near[linked(sets[i], [sets[j] for j in near], percent)]
                         links += [(ids[i], ids[near[j]]) for j in np.unique(label[near], return_index=True)[1]]
@@ -223,7 +238,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
     # a node that has several different sets takes part with each of them
     band = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band")
-    bands = sigs.select("id", "sig", band).select("id", F.xxhash64("band", F.expr(f"substring(sig, band * {4 * ROWS} + 1, {4 * ROWS})")).alias("key"))
+    bands = sigs.select("id", "sig", band).select("id", _bucket_key("band", F.expr(f"substring(sig, band * {4 * ROWS} + 1, {4 * ROWS})")).alias("key"))
     buckets = written(bands.groupBy("key").agg(F.min("id").alias("pivot"), F.count("*").alias("n")).where("n > 1"), "keys", held=held)
     members = written(bands.join(buckets, "key").select("key", "id", "pivot", "n"), "buckets", held=held)
 
