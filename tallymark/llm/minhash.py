@@ -150,7 +150,7 @@ def _bucket_key(band: str, minima: Column) -> Column:
 
 def first_shared(one: np.ndarray, others: np.ndarray) -> np.ndarray:
     """Of a signature and others: the first band whose minima are equal (0 where none is)."""
-    return (one.reshape(-1, ROWS) == others.reshape(len(others), -1, ROWS)).all(axis=2).argmax(axis=1)
+    return (one.reshape(-1, ROWS) == others.reshape(len(others), SIZE // ROWS, ROWS)).all(axis=2).argmax(axis=1)
 
 
 _BLOCK_KEY = ["key", "lb", "rb"]
