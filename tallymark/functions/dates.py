@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .textkeys import ColumnOrName, _col
@@ -12,11 +12,14 @@ _DAY = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 #: Month names, English by the first three letters and German (fixed values).
 MONTHS = {
     "jan": 1, "feb": 2, "mar": 3, "apr": 4, "may": 5, "jun": 6, "jul": 7, "aug": 8, "sep": 9, "oct": 10, "nov": 11, "dec": 12,
-    "januar": 1, "februar": 2, "märz": 3, "april": 4, "mai": 5, "juni": 6, "juli": 7, "august": 8, "september": 9, "oktober": 10, "november": 11, "dezember": 12,
+    "januar": 1, "jänner": 1, "februar": 2, "märz": 3, "maerz": 3, "mär": 3, "april": 4, "mai": 5, "juni": 6, "juli": 7, "august": 8, "september": 9, "oktober": 10, "okt": 10, "november": 11, "dezember": 12, "dez": 12,
 }
 
 #: Countries' time zones, for wall times without one.
-ZONES = {"DE": "Europe/Berlin", "AT": "Europe/Vienna", "CH": "Europe/Zurich", "GB": "Europe/London", "RO": "Europe/Bucharest", "ES": "Europe/Madrid", "FR": "Europe/Paris", "IT": "Europe/Rome"}
+ZONES = {
+    "DE": "Europe/Berlin", "RO": "Europe/Bucharest", "IT": "Europe/Rome", "FR": "Europe/Paris", "AT": "Europe/Vienna", "CH": "Europe/Zurich", "RS": "Europe/Belgrade", "GR": "Europe/Athens",
+    "NL": "Europe/Amsterdam", "BE": "Europe/Brussels", "ES": "Europe/Madrid", "PT": "Europe/Lisbon", "PL": "Europe/Warsaw", "CZ": "Europe/Prague", "HU": "Europe/Budapest", "GB": "Europe/London",
+}
 
 
 def day(x: ColumnOrName) -> Column:
@@ -36,15 +39,28 @@ def span(x: ColumnOrName) -> Column:
 def next_occurrence(source: ColumnOrName, recurring: ColumnOrName, date: ColumnOrName, estimate: ColumnOrName, next_estimate: ColumnOrName, as_of: ColumnOrName, emitting: tuple[str, ...] = ("confirmed", "inferred")) -> Column:
     """struct(start, end, source, reason). Annual rows count from next_estimate, rows per fixture have none,
     others from date or estimate; the reason says why there is no occurrence and is null where there is one."""
-    src = _col(source)
-    raw = F.when(_col(recurring) == "annual", F.nullif(_col(next_estimate), F.lit(""))).otherwise(F.coalesce(F.nullif(_col(date), F.lit("")), F.nullif(_col(estimate), F.lit(""))))
-    found = span(raw)
+    raw = _raw_date(recurring, date, estimate, next_estimate)
+    return _occurrence(_col(source), _col(recurring), raw, span(raw), as_of, emitting)
+
+
+def with_next_occurrence(rows: DataFrame, name: str, source: str, recurring: str, date: ColumnOrName, estimate: ColumnOrName, next_estimate: ColumnOrName, as_of: ColumnOrName, emitting: tuple[str, ...] = ("confirmed", "inferred")) -> DataFrame:
+    """Rows with next_occurrence() as a column; the date is parsed once for each row."""
+    staged = rows.withColumn("_raw", _raw_date(recurring, date, estimate, next_estimate)).withColumn("_found", span("_raw"))
+    return staged.withColumn(name, _occurrence(_col(source), _col(recurring), F.col("_raw"), F.col("_found"), as_of, emitting)).drop("_raw", "_found")
+
+
+def _raw_date(recurring: ColumnOrName, date: ColumnOrName, estimate: ColumnOrName, next_estimate: ColumnOrName) -> Column:
+    filled = lambda c: F.nullif(_col(c), F.lit(""))
+    return F.when(_col(recurring) == "annual", filled(next_estimate)).otherwise(F.coalesce(filled(date), filled(estimate)))
+
+
+def _occurrence(src: Column, recurring: Column, raw: Column, found: Column, as_of: ColumnOrName, emitting: tuple[str, ...]) -> Column:
     reason = (
         F.when(src.isNull(), "no source for the date")
         .when(src == "disputed", "disputed date")
         .when(~src.isin(*emitting), "unknown source for the date")
-        .when(_col(recurring) == "per fixture", "recurs with each fixture")
-        .when(raw.isNull(), F.when(_col(recurring) == "annual", "annual without a next estimate").otherwise("no date"))
+        .when(recurring == "per fixture", "recurs with each fixture")
+        .when(raw.isNull(), F.when(recurring == "annual", "annual without a next estimate").otherwise("no date"))
         .when(found.isNull(), "unparseable date")
         .when(found["end"] < _col(as_of), "in the past")
     )
@@ -178,13 +194,48 @@ def stale(checked: ColumnOrName, as_of: ColumnOrName, days: int) -> Column:
     return F.date_diff(_col(as_of), _col(checked)) > days
 
 
-def future_days_in(x: ColumnOrName, as_of: ColumnOrName) -> Column:
-    """the days after as_of that a text names, as ISO, dotted, or day and month with a year in two languages."""
+_MONTH_WORD = "(" + "|".join(sorted({*MONTHS, "january", "february", "march", "june", "july", "october", "december"}, key=lambda m: (-len(m), m))) + ")"
+
+#: The ways a text names a day: pattern, and the order of year, month and day in what it captures (0 for no year).
+_NAMED_DAYS = [
+    (r"\b([0-9]{4})-([0-9]{2})-([0-9]{2})\b", (1, 2, 3)),
+    (r"\b([0-9]{1,2})\.\s?([0-9]{1,2})\.\s?([0-9]{4}|[0-9]{2})\b", (3, 2, 1)),
+    (r"\b([0-9]{1,2})/([0-9]{1,2})/([0-9]{4}|[0-9]{2})\b", (3, 2, 1)),
+    (rf"(?i)\b([0-9]{{1,2}})\.?\s+{_MONTH_WORD}\b(?:\.?,?\s+([0-9]{{4}})\b)?", (3, 2, 1)),
+    (rf"(?i)\b{_MONTH_WORD}\s+([0-9]{{1,2}})\b(?!\.?\s*{_MONTH_WORD})(?:\.?,?\s+([0-9]{{4}})\b)?", (3, 1, 2)),
+]
+
+
+def days_named(x: ColumnOrName, as_of: ColumnOrName) -> Column:
+    """an array of struct(said, on): the days that a text names, in ISO, dotted, slashed or written form, in two
+    languages. A year of two digits is of this century, a missing one is that of as_of; on is null where there is no
+    such day."""
     t = F.coalesce(_col(x), F.lit(""))
-    iso = F.transform(F.regexp_extract_all(t, F.lit(r"\b([0-9]{4}-[0-9]{2}-[0-9]{2})\b"), 1), day)
-    said = F.transform(F.regexp_extract_all(t, F.lit(r"\b([0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}\.? [A-Za-zäÄ]{3,9}\.? [0-9]{4})\b"), 1), written_date)
-    english = F.transform(F.regexp_extract_all(t, F.lit(r"\b([A-Z][a-z]{2,8} [0-9]{1,2}, [0-9]{4})\b"), 1), lambda s: written_date(F.regexp_replace(s, r"^([A-Za-z]+) ([0-9]{1,2}), ([0-9]{4})$", "$2 $1 $3")))
-    return F.filter(F.array_sort(F.array_distinct(F.array_compact(F.concat(iso, said, english)))), lambda d: d > _col(as_of))
+    return F.array_distinct(F.concat(*(_named_by(t, pattern, order, _col(as_of)) for pattern, order in _NAMED_DAYS)))
+
+
+def _named_by(text: Column, pattern: str, order: tuple[int, int, int], as_of: Column) -> Column:
+    table = F.create_map(*(F.lit(v) for kv in MONTHS.items() for v in kv))
+
+    def one(said: Column) -> Column:
+        y, m, d = (F.regexp_extract(said, pattern, i) for i in order)
+        year = F.when(y == "", F.year(as_of).cast("string")).when(F.length(y) == 2, F.concat(F.lit("20"), y)).otherwise(y)
+        name = F.lower(m)
+        month = F.coalesce(F.element_at(table, name), F.element_at(table, F.substring(name, 1, 3)), m.try_cast("int"))
+        return F.struct(said.alias("said"), day(F.concat_ws("-", year, F.lpad(month.cast("string"), 2, "0"), F.lpad(d, 2, "0"))).alias("on"))
+
+    return F.transform(F.regexp_extract_all(text, F.lit(pattern), 0), one)
+
+
+def future_days_in(x: ColumnOrName, as_of: ColumnOrName) -> Column:
+    """the days after as_of that a text names."""
+    named = F.transform(days_named(x, as_of), lambda n: n["on"])
+    return F.filter(F.array_sort(F.array_distinct(F.array_compact(named))), lambda d: d > _col(as_of))
+
+
+def banned_dates(x: ColumnOrName, as_of: ColumnOrName) -> Column:
+    """what of a text names a day after as_of, or a day that doesn't exist."""
+    return F.transform(F.filter(days_named(x, as_of), lambda n: n["on"].isNull() | (n["on"] > _col(as_of))), lambda n: n["said"])
 
 
 def kickoff(x: ColumnOrName) -> Column:

@@ -6,8 +6,10 @@ leaves initialisms alone, search_key keeps every letter of any script.
 
 from __future__ import annotations
 
+import json
 import unicodedata
 from functools import lru_cache, reduce
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -181,12 +183,38 @@ def first_number(*columns: ColumnOrName, low: int = 100, high: int = 200_000) ->
     return F.coalesce(*(number_in(c, low, high) for c in columns))
 
 
+@lru_cache
+def _entities() -> str:
+    """The named character references, as JSON."""
+    return json.dumps({k: v for k, v in html5.items() if k.endswith(";")})
+
+
+def unescaped(x: ColumnOrName) -> Column:
+    """P10: named and numeric character references as their characters; unknown ones stay. An ampersand that one gives
+    starts no further one."""
+    table = F.from_json(F.lit(_entities()), "map<string,string>")
+    digits = lambda n: F.decode(F.unhex(F.lpad(n, 8, "0")), "UTF-32")
+    decimal = lambda p: F.regexp_extract(p, "^&#([0-9]{1,7});", 1)
+    hexed = lambda p: F.regexp_extract(p, "^&#[xX]([0-9a-fA-F]{1,6});", 1)
+
+    def one(p: Column) -> Column:
+        name = F.regexp_extract(p, "^&([A-Za-z][A-Za-z0-9]*;)", 1)
+        char = F.when(name != "", F.element_at(table, name)).when(decimal(p) != "", _character(F.conv(decimal(p), 10, 16), digits)).when(hexed(p) != "", _character(hexed(p), digits))
+        return F.when(char.isNull(), p).otherwise(F.concat(char, F.regexp_replace(p, "^&[^;]*;", "")))
+
+    return F.when(F.contains(_col(x), F.lit("&")), F.array_join(F.transform(F.split(_col(x), "(?=&)"), one), "")).otherwise(_col(x))
+
+
+def _character(code: Column, decoded) -> Column:
+    """Of a hexadecimal code point; surrogates, zero and what is beyond the last one give the replacement character."""
+    n = F.conv(code, 16, 10).cast("long")
+    return F.when((n == 0) | (n > 0x10FFFF) | n.between(0xD800, 0xDFFF), F.lit("\ufffd")).otherwise(decoded(code))
+
+
 def html_text(x: ColumnOrName) -> Column:
-    """P10: tags as spaces, the common entities, white space collapsed."""
-    out = F.regexp_replace(_col(x), "<[^>]*>", " ")
-    for a, b in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        out = F.replace(out, F.lit(a), F.lit(b))
-    return F.trim(F.regexp_replace(out, r"\s+", " "))
+    """P10: tags as spaces, character references as characters, white space (no-break spaces too) collapsed."""
+    out = unescaped(F.regexp_replace(_col(x), "<[^>]*>", " "))
+    return F.trim(F.regexp_replace(out, r"[\s\u00a0]+", " "))
 
 
 def split_names(x: ColumnOrName) -> Column:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from math import asin, cos, radians, sin, sqrt
+
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,25 +30,39 @@ def shortlist(rows: DataFrame, key: str, level: str, blocked: Column | None = No
 
 def collapsed(rows: DataFrame, key: str, ref: str, lat: str, lon: str, strength: str, order: str, metres: float = 200.0) -> DataFrame:
     """Candidates in order; one with the ref of a kept candidate, or within the distance of one, joins it, and the
-    strongest (smallest) strength wins. The outcome depends on the order, so each key's short list is walked in Python."""
+    strongest (smallest) strength wins.
+
+    The outcome depends on the order, so Python walks each key's rows, looking in a table of refs and in grid cells as
+    large as the distance rather than at every kept row. A key's rows must fit in a worker.
+    """
     schema = rows.schema
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         kept: list[dict] = []
-        for r in group.sort_values([order, ref]).to_dict("records"):
-            same = next((k for k in kept if k[ref] == r[ref] or _metres(k[lat], k[lon], r[lat], r[lon]) <= metres), None)
-            if same is None:
-                kept.append(r)
-            elif r[strength] < same[strength]:
-                same[strength] = r[strength]
-        return pd.DataFrame(kept, columns=schema.names)
+        by_ref: dict[object, dict] = {}
+        by_cell: dict[tuple[int, int], list[dict]] = {}
+        step = metres / 111_000.0
+        for n, r in enumerate(group.sort_values([order, ref]).to_dict("records")):
+            y, x = int(r[lat] // step), int(r[lon] // step)
+            wide = 1 + int(1 / max(0.01, cos(radians(min(89.0, abs(r[lat]) + step)))))
+            near = [k for i in (-1, 0, 1) for j in range(-wide, wide + 1) for k in by_cell.get((y + i, x + j), ())]
+            found = [k for k in near if _metres(k["at"][0], k["at"][1], r[lat], r[lon]) <= metres]
+            if r[ref] in by_ref:
+                found.append(by_ref[r[ref]])
+            if not found:
+                k = {"row": r, "at": (r[lat], r[lon]), "n": n}
+                kept.append(k)
+                by_ref[r[ref]] = k
+                by_cell.setdefault((y, x), []).append(k)
+                continue
+            first = min(found, key=lambda k: k["n"])["row"]
+            first[strength] = min(first[strength], r[strength])
+        return pd.DataFrame([k["row"] for k in kept], columns=schema.names)
 
     return rows.groupBy(key).applyInPandas(run, schema)
 
 
 def _metres(a: float, b: float, c: float, d: float) -> float:
-    from math import asin, cos, radians, sin, sqrt
-
     a, b, c, d = map(radians, (a, b, c, d))
     return 2 * 6_371_000.0 * asin(min(1.0, sqrt(sin((c - a) / 2) ** 2 + cos(a) * cos(c) * sin((d - b) / 2) ** 2)))
 
@@ -68,6 +85,17 @@ def largest_gaps(rows: DataFrame, a: str, b: str, row: str, k: int = 12) -> Data
     return rows.withColumn("gap", F.abs(F.col(a) - F.col(b))).where(F.col("gap").isNotNull()).orderBy(F.desc("gap"), row).limit(k)
 
 
+def placed(rows: DataFrame, order: list[Column]) -> DataFrame:
+    """Rows with their place in the whole order, from 1. Ranges of the order are sorted apart; a place is
+    the row's in its range after the rows of the ranges before, of which there are as many counts as partitions."""
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    # both uses read the same ranges: kept on disk, or made again from the same range bounds
+    ranged = ranged.select("*", F.spark_partition_id().alias("_range"), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_at")).persist(StorageLevel.DISK_ONLY)
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = ranged.groupBy("_range").agg(F.count("*").alias("_n")).select("_range", before.alias("_before"))
+    return ranged.join(counts, "_range").withColumn("place", F.col("_before") + F.col("_at") + 1).drop("_range", "_at", "_before")
+
+
 def match_order(when: str, row: str, nulls_first: bool) -> list[Column]:
     """By time, matches without one first or last, then by id."""
     return [F.col(when).asc_nulls_first() if nulls_first else F.col(when).asc_nulls_last(), F.col(row).asc()]

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import haversine, within
 from ..functions.textkeys import suppression_shape, truthy
+from .summary import largest_spread
 
 __all__ = ["suppression_shape", "truthy"]  # R12 and R11, kept beside the statements they read
 
@@ -34,17 +35,13 @@ def three_source_verdict(a: str, b: str, c: str, candidates: str, same_name: Col
     return F.when(F.coalesce(n, F.lit(0)) == 0, "unmatched").when(n > 1, "ambiguous").when(same_name == F.lit(False), "other-ground").when(have == 0, "neither").when(have == 1, "single").when(agree >= have - 1, "agree").when(agree > 0, "partly").otherwise("differ")
 
 
-#: Sources of R3 in the order of preference, with the independent group that each belongs to.
-GROUPS = {"table": "wikipedia", "stadiumdb": "stadiumdb", "wikidata": "wikipedia", "osm": "osm"}
-
-
-def majority(figures: dict[str, str], groups: dict[str, str] | None = None, share: float = 0.05) -> Column:
-    """struct(verdict, proposed, taken_from, supporters) of figures {source: column}, in the order of preference.
+def majority(figures: dict[str, str], groups: dict[str, str], share: float = 0.05) -> Column:
+    """struct(verdict, proposed, taken_from, supporters) of figures {source: column}, in the order of preference;
+    groups has the independent group that each source belongs to.
 
     Every pair of sources of different groups within the share, with whatever else is within it of both, is a cluster;
     the largest one wins, of equals the one of the first pair in the order of the groups. A null or zero figure is none.
     """
-    groups = groups or GROUPS
     value = {s: F.when(F.col(c) > 0, F.col(c)) for s, c in figures.items()}
     order = list(dict.fromkeys(groups[s] for s in figures))
     in_order = sorted(figures, key=lambda s: order.index(groups[s]))
@@ -222,9 +219,10 @@ def filled_labels(rows: DataFrame, label: str, country: str, tier: str) -> DataF
 
 
 def same_name_notes(rows: DataFrame, key: str, name_key: str, scope: list[str]) -> DataFrame:
-    """Rows with the other ids of equal name and scope: a note, never a decision."""
-    groups = rows.groupBy(name_key, *scope).agg(F.array_sort(F.collect_set(key)).alias("_ids")).where(F.size("_ids") > 1)
-    return rows.join(groups, [name_key, *scope]).withColumn("others", F.array_remove("_ids", F.col(key))).drop("_ids")
+    """Rows whose name and scope others have too, with the first such id and how many others: a note, never a
+    decision."""
+    groups = rows.groupBy(name_key, *scope).agg(F.min(key).alias("first"), (F.count_distinct(key) - 1).cast("int").alias("others")).where("others > 0")
+    return rows.join(groups, [name_key, *scope])
 
 
 def angles(**reasons: Column) -> Column:
@@ -291,10 +289,9 @@ def ranked_position(sources: list[tuple[str, str, str]], metres: float = 150.0)
     return F.struct(first["source"].alias("source"), first["lat"].alias("lat"), first["lon"].alias("lon"), F.greatest(F.lit(0), F.size(rest)).alias("others"), agree.alias("agree"))
 
 
-def spread_usable(points: Column, metres: float = 150.0) -> Column:
-    """Whether an array of struct(lat, lon) of equal-named hits is narrow enough to use; several wide apart aren't."""
-    far = F.array_max(F.flatten(F.transform(points, lambda a: F.transform(points, lambda b: haversine(a["lat"], a["lon"], b["lat"], b["lon"])))))
-    return (F.size(points) == 1) | (far <= metres)
+def spread_usable(rows: DataFrame, by: str, lat: str, lon: str, metres: float = 150.0) -> DataFrame:
+    """Whether a group's equal-named hits are near enough to use; several wide apart aren't."""
+    return largest_spread(rows, by, lat, lon).select(by, (F.col("spread_m") <= metres).alias("usable"))
 
 
 def proposal_verdict(problems: Column, lat: str) -> Column:

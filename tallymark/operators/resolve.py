@@ -7,7 +7,7 @@ split skewed keys as it sees fit.
 
 from __future__ import annotations
 
-from math import cos, radians
+from math import cos, radians, sin
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -56,22 +56,36 @@ def disambiguated(candidates: DataFrame, row: str, agrees: Column) -> DataFrame:
     return out.where(keep).withColumn("verdict", F.when(link, "link").otherwise("ambiguous")).drop("_yes")
 
 
-def _cells(rows: DataFrame, lat: str, lon: str, metres: float, top: float, around: bool) -> DataFrame:
-    """rows with _y and _x, grid cells as large as the distance at latitude `top`; around gives the nine about each."""
+def _cells(rows: DataFrame, lat: str, lon: str, metres: float, around: bool) -> DataFrame:
+    """rows with _y and _x, grid cells at least as large as the distance; around gives those next to each.
+
+    A row of cells is a band of latitudes; it has as many cells as the distance fits round the globe at the edge nearest
+    to a pole of the band and its neighbours, one cell near the poles. So no latitude is out of reach.
+    """
     dy = metres / (EARTH_M * radians(1.0)) * 1.0001
-    dx = dy / max(0.01, cos(radians(min(89.0, top))))
-    wide = max(1, int(360 // dx))  # cells round the globe, so that the last meets the first
-    y, x = F.floor((F.col(lat) + 90) / dy), F.floor((F.col(lon) + 180) / (360.0 / wide))
-    if around:
-        rows = rows.withColumn("_dy", F.explode(F.array(*map(F.lit, (-1, 0, 1))))).withColumn("_dx", F.explode(F.array(*map(F.lit, sorted({d % wide for d in (-1, 0, 1)})))))
-        return rows.withColumn("_y", y + F.col("_dy")).withColumn("_x", F.pmod(x + F.col("_dx"), F.lit(wide))).drop("_dy", "_dx")
-    return rows.withColumn("_y", y).withColumn("_x", F.pmod(x, F.lit(wide)))
-
-
-def distance_join(left: DataFrame, right: DataFrame, metres: float, left_at: tuple[str, str], right_at: tuple[str, str], top: float = 75.0) -> DataFrame:
-    """Pairs at most that far apart, with column metres; points beyond latitude `top` aren't supported."""
-    a = _cells(left, *left_at, metres, top, around=True)
-    b = _cells(right, *right_at, metres, top, around=False)
+    across = sin(min(1.5, metres / EARTH_M))
+    y = F.floor((F.col(lat) + 90) / dy)
+
+    def count(band: Column) -> Column:
+        edge = F.least(F.lit(90.0), F.greatest(F.abs(band * dy - 90), F.abs((band + 1) * dy - 90)) + dy)
+        ratio = F.lit(across) / F.greatest(F.lit(1e-9), F.cos(F.radians(edge)))
+        width = F.degrees(F.asin(F.least(F.lit(1.0), ratio))) * 1.0001
+        return F.when(ratio >= 1, 1).otherwise(F.greatest(F.lit(1), F.floor(360.0 / width))).cast("long")
+
+    def spot(n: Column) -> Column:
+        return F.pmod(F.floor((F.col(lon) + 180) / (360.0 / n)), n)
+
+    if not around:
+        return rows.withColumn("_y", y).withColumn("_x", spot(count(F.col("_y"))))
+    out = rows.withColumn("_y", F.explode(F.array(y - 1, y, y + 1))).withColumn("_n", count(F.col("_y"))).withColumn("_at", spot(F.col("_n")))
+    beside = F.array_distinct(F.array(*(F.pmod(F.col("_at") + i, F.col("_n")) for i in (-1, 0, 1))))
+    return out.withColumn("_x", F.explode(beside)).drop("_n", "_at")
+
+
+def distance_join(left: DataFrame, right: DataFrame, metres: float, left_at: tuple[str, str], right_at: tuple[str, str]) -> DataFrame:
+    """Pairs at most that far apart, with column metres."""
+    a = _cells(left, *left_at, metres, around=True)
+    b = _cells(right, *right_at, metres, around=False)
     return a.join(b, ["_y", "_x"]).drop("_y", "_x").withColumn("metres", haversine(*left_at, *right_at)).where(F.col("metres") <= metres)
 
 
@@ -185,25 +199,60 @@ def next_meeting(pairs: DataFrame, matches: DataFrame, a: str, b: str, home: str
     return out.withColumn("status", status).drop("_sa", "_sb")
 
 
+def _grams(text: str, size: int) -> Column:
+    """The distinct runs of that many characters."""
+    n = F.length(text)
+    return F.array_distinct(F.transform(F.when(n >= size, F.sequence(F.lit(1), n - size + 1)).otherwise(F.array().cast("array<int>")), lambda i: F.substring(F.col(text), i, F.lit(size))))
+
+
+def held_inside(short: DataFrame, long: DataFrame, scope: str = "scope", gram: int = 3) -> DataFrame:
+    """Distinct (scope, short, long) of texts of one scope of which the first stands in the second.
+
+    Texts meet on the short one's rarest run of `gram` characters, so a scope's texts aren't paired with each other;
+    short ones of fewer characters meet on all they have. Null and empty texts hold nothing and stand in nothing.
+    """
+    a = short.select(scope, "short").where("short <> ''").distinct()
+    b = long.select(scope, "long").where("long <> ''").distinct()
+    out = None
+    for size in range(1, gram + 1):
+        mine = a.where(F.length("short") == size) if size < gram else a.where(F.length("short") >= size)
+        held = b.select(scope, "long", F.explode(_grams("long", size)).alias("_g"))
+        seen = held.groupBy(scope, "_g").agg(F.count("*").alias("_n"))
+        rarest = mine.select(scope, "short", F.explode(_grams("short", size)).alias("_g")).join(seen, [scope, "_g"], "left")
+        rarest = rarest.groupBy(scope, "short").agg(F.min_by("_g", F.struct(F.coalesce("_n", F.lit(0)), "_g")).alias("_g"))
+        found = rarest.join(held, [scope, "_g"]).where(F.contains("long", "short")).select(scope, "short", "long")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def _either_inside(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Distinct (scope, l, r) of texts l of left (scope, l) and r of right (scope, r) of which one stands in the other."""
+    a = held_inside(left.select("scope", F.col("l").alias("short")), right.select("scope", F.col("r").alias("long"))).select("scope", F.col("short").alias("l"), F.col("long").alias("r"))
+    b = held_inside(right.select("scope", F.col("r").alias("short")), left.select("scope", F.col("l").alias("long"))).select("scope", F.col("long").alias("l"), F.col("short").alias("r"))
+    return a.unionByName(b).distinct()
+
+
 def confirmed_by(rows: DataFrame, others: DataFrame, row: str, scope: str, key: str, other_key: str) -> DataFrame:
     """Rows with column second: confirms where a row of the same scope in others has an equal key or one inside the
     other, silent where there are others but none such, empty where there are none."""
-    o = others.select(F.col(scope).alias("_s"), F.col(other_key).alias("_k"))
-    there = o.select("_s").distinct().withColumnRenamed("_s", "_has")
-    hit = rows.join(o, F.col(scope) == F.col("_s")).where(F.contains("_k", key) | F.contains(key, "_k")).select(F.col(row).alias("_hit")).distinct()
-    out = rows.join(there, F.col(scope) == F.col("_has"), "left").join(hit, F.col(row) == F.col("_hit"), "left")
-    said = F.when(F.col("_hit").isNotNull(), "confirms").when(F.col("_has").isNotNull(), "silent").otherwise("")
-    return out.withColumn("second", said).drop("_has", "_hit")
+    o = others.select(F.col(scope).alias("scope"), F.col(other_key).alias("r"))
+    there = o.select(F.col("scope").alias("_has")).distinct()
+    hit = _either_inside(rows.select(F.col(scope).alias("scope"), F.col(key).alias("l")), o).select(F.col("scope").alias("_s"), F.col("l").alias("_k")).distinct()
+    out = rows.join(there, F.col(scope) == F.col("_has"), "left").join(hit, (F.col(scope) == F.col("_s")) & (F.col(key) == F.col("_k")), "left")
+    said = F.when(F.col("_k").isNotNull(), "confirms").when(F.col("_has").isNotNull(), "silent").otherwise("")
+    return out.withColumn("second", said).drop("_has", "_s", "_k")
 
 
 def name_candidates(rows: DataFrame, lists: list[DataFrame], scope: str, name: str) -> DataFrame:
     """Codes of lists (scope, code, label) whose label and the row's name hold each other, case folded; a later list
     adds only codes that no earlier one gave the row."""
     out = None
+    named = rows.withColumn("_l", F.lower(name))
     for i, found in enumerate(lists):
-        f = found.select(F.col(scope).alias("_s"), "code", "label")
-        n, lab = F.lower(name), F.lower("label")
-        hit = rows.join(f, F.col(scope) == F.col("_s")).where(F.contains(n, lab) | F.contains(lab, n)).drop("_s").withColumn("source_order", F.lit(i))
+        f = found.select(F.col(scope).alias("_s"), "code", "label", F.lower("label").alias("_r"))
+        pairs = _either_inside(named.select(F.col(scope).alias("scope"), F.col("_l").alias("l")), f.select(F.col("_s").alias("scope"), F.col("_r").alias("r")))
+        hit = named.join(pairs, (F.col(scope) == F.col("scope")) & (F.col("_l") == F.col("l"))).join(f, (F.col("scope") == F.col("_s")) & (F.col("r") == F.col("_r")))
+        hit = hit.select(*rows.columns, "code", "label", F.lit(i).alias("source_order"))
         out = hit if out is None else out.unionByName(hit.join(out.select(*rows.columns, "code"), [*rows.columns, "code"], "left_anti"))
     return out
 
@@ -244,6 +293,7 @@ def corridor(points: DataFrame, line: list[tuple[float, float]], metres: float,
     return points.withColumn("_b", best).where(F.col("_b")["off_m"] <= metres).withColumn("off_m", F.col("_b")["off_m"]).withColumn("along_m", F.col("_b")["along_m"]).drop("_b")
 
 
-def shared_places(rows: DataFrame, lat: str, lon: str, row: str) -> DataFrame:
-    """Groups of two or more rows at exactly one place."""
-    return rows.groupBy(lat, lon).agg(F.count("*").alias("n"), F.array_sort(F.collect_set(row)).alias("members")).where("n > 1")
+def shared_places(rows: DataFrame, lat: str, lon: str) -> DataFrame:
+    """The rows that share exactly one place with others, with n, how many are there."""
+    groups = rows.groupBy(lat, lon).agg(F.count("*").alias("n")).where("n > 1")
+    return rows.join(groups, [lat, lon])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geo import haversine
+from ..functions.geo import EARTH_M, haversine
 
 
 def folded(rows: DataFrame, key: str, order: str, first: list[str], last: list[str] = (), lists: list[str] = ()) -> DataFrame:
@@ -109,17 +109,26 @@ def distinct_members(rows: DataFrame, by: str, member: str, rough: bool = False)
     return rows.groupBy(by).agg((F.approx_count_distinct(member) if rough else F.count_distinct(member)).alias("members"))
 
 
+def group_members(rows: DataFrame, row: str, keys: list[Column]) -> DataFrame:
+    """The distinct pairs of a key, numbered by its place in keys, and a row that has it."""
+    named = F.array(*(F.struct(F.lit(i).alias("rule"), k.cast("string").alias("key")) for i, k in enumerate(keys)))
+    return rows.select(row, F.explode(named).alias("_k")).where(F.col("_k.key").isNotNull()).select("_k.rule", "_k.key", row).distinct()
+
+
 def duplicate_groups(rows: DataFrame, row: str, keys: list[Column]) -> DataFrame:
-    """Sets of two or more rows that share one of the keys; a set that several keys give is listed once."""
-    pairs = rows.select(row, F.explode(F.array(*(F.concat(F.lit(f"{i}:"), k) for i, k in enumerate(keys)))).alias("_k")).where(F.col("_k").isNotNull()).distinct()
-    groups = pairs.groupBy("_k").agg(F.array_sort(F.collect_set(row)).alias("members")).where(F.size("members") > 1)
-    return groups.select("members").distinct()
+    """The sets of two or more rows that share one of the keys: first, last and n. A set that several keys give is
+    listed once, told by its ends, its size and the sum of its rows' hashes; group_members() has who is in it."""
+    members = group_members(rows, row, keys)
+    sums = F.sum(F.xxhash64(row).cast("decimal(38,0)")).alias("_sum")
+    groups = members.groupBy("rule", "key").agg(F.min(row).alias("first"), F.count("*").cast("int").alias("n"), F.max(row).alias("last"), sums).where("n > 1")
+    return groups.select("first", "n", "last", "_sum").distinct().drop("_sum")
 
 
 def shared_target(rows: DataFrame, row: str, target: str) -> DataFrame:
-    """Rows with the others that propose the same target; empty where there are none."""
-    groups = rows.where(F.col(target).isNotNull()).groupBy(target).agg(F.array_sort(F.collect_set(row)).alias("_all")).where(F.size("_all") > 1)
-    return rows.join(groups, target, "left").withColumn("others", F.coalesce(F.array_remove("_all", F.col(row)), F.array().cast("array<string>"))).drop("_all")
+    """Rows with the first row that proposes their target and how many others do; who they are is in the rows of
+    that target, so no row lists its whole group."""
+    groups = rows.where(F.col(target).isNotNull()).groupBy(target).agg(F.min(row).alias("first"), (F.count_distinct(row) - 1).cast("int").alias("others"))
+    return rows.join(groups, target, "left").withColumn("others", F.coalesce("others", F.lit(0)))
 
 
 def translation_coverage(rows: DataFrame, by: str, text: str, translated: str, current: Column) -> DataFrame:
@@ -128,8 +137,30 @@ def translation_coverage(rows: DataFrame, by: str, text: str, translated: str, c
     return rows.groupBy(by).agg(F.count_if(done).alias("done"), F.count("*").alias("total"), F.count_if(F.col(translated).isNotNull() & ~current).alias("stale"), (F.sum(F.when(done, F.length(text)).otherwise(0)) / F.sum(F.length(text))).alias("share"))
 
 
-def largest_spread(rows: DataFrame, by: str, lat: str, lon: str, order: str) -> DataFrame:
-    """The largest distance between two of a group's hits; 0 for one. Groups are short lists of hits, held as arrays."""
-    pts = rows.groupBy(by).agg(F.collect_list(F.struct(lat, lon)).alias("_p"))
-    far = F.array_max(F.flatten(F.transform("_p", lambda a: F.transform("_p", lambda b: haversine(a[lat], a[lon], b[lat], b[lon])))))
-    return pts.select(by, F.coalesce(far, F.lit(0.0)).alias("spread_m"))
+def _chord(lat: str, lon: str) -> tuple[Column, Column, Column]:
+    a, b = F.radians(lat), F.radians(lon)
+    return F.cos(a) * F.cos(b), F.cos(a) * F.sin(b), F.sin(a)
+
+
+def largest_spread(rows: DataFrame, by: str, lat: str, lon: str) -> DataFrame:
+    """The largest distance between two of a group's hits; 0 for one.
+
+    A point's distance to the far corner of its group's box (of chords through the globe) is the most that it can be from
+    any other; the distances among the box's extreme points are a least value of the answer. Only points that can reach
+    it are paired, row by row.
+    """
+    axes = ["_x", "_y", "_z"]
+    pts = rows.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(by, F.col(lat).alias("_lat"), F.col(lon).alias("_lon")).distinct()
+    pts = pts.select("*", *(c.alias(n) for c, n in zip(_chord("_lat", "_lon"), axes, strict=True)))
+    at = F.struct("_lat", "_lon")
+    ends = [f(at, c).alias(f"{n}{c}") for c in axes for n, f in (("lo", F.min_by), ("hi", F.max_by))]
+    box = pts.groupBy(by).agg(*(F.min(c).alias(f"min{c}") for c in axes), *(F.max(c).alias(f"max{c}") for c in axes), *ends)
+    six = F.array(*(F.col(f"{n}{c}") for c in axes for n in ("lo", "hi")))
+    far = F.array_max(F.flatten(F.transform(six, lambda a: F.transform(six, lambda b: haversine(a["_lat"], a["_lon"], b["_lat"], b["_lon"])))))
+    box = box.select(by, far.alias("_least"), *(f"{m}{c}" for m in ("min", "max") for c in axes))
+    span = lambda c: F.greatest(F.col(c) - F.col(f"min{c}"), F.col(f"max{c}") - F.col(c))
+    reach = F.least(F.lit(2.0), F.sqrt(sum((F.pow(span(c), 2) for c in axes), F.lit(0.0))))
+    can = pts.join(box, by).where(2 * EARTH_M * F.asin(reach / 2) * 1.000001 >= F.col("_least"))
+    one = can.select(by, F.col("_lat").alias("_a"), F.col("_lon").alias("_o"))
+    best = can.select(by, "_lat", "_lon").join(one, by).groupBy(by).agg(F.max(haversine("_lat", "_lon", "_a", "_o")).alias("spread_m"))
+    return rows.select(by).distinct().join(best, by, "left").withColumn("spread_m", F.coalesce("spread_m", F.lit(0.0)))

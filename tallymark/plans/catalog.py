@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import links, names, places, records, records_sql
+from . import links, names, places, records, records_sql, rules, stores
 
-QUERIES = {**places.QUERIES, **names.QUERIES, **records.QUERIES, **links.QUERIES}
-ORACLE_SQL = {**places.ORACLE_SQL, **names.ORACLE_SQL, **records_sql.ORACLE_SQL, **links.ORACLE_SQL}
+QUERIES = {**places.QUERIES, **names.QUERIES, **records.QUERIES, **links.QUERIES, **rules.QUERIES, **stores.QUERIES}
+ORACLE_SQL = {**places.ORACLE_SQL, **names.ORACLE_SQL, **records_sql.ORACLE_SQL, **links.ORACLE_SQL, **rules.ORACLE_SQL, **stores.ORACLE_SQL}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import textkeys as T
@@ -65,7 +65,7 @@ def existence_flags(spark: SparkSession, d: str) -> DataFrame:
 
 
 def places_around(spark: SparkSession, d: str) -> DataFrame:
-    c = customers(spark, d).where("c_custkey % 10 = 0").select("c_custkey", F.col("c_lat").alias("lat"), F.col("c_lon").alias("lon"))
+    c = customers(spark, d).select("c_custkey", F.col("c_lat").alias("lat"), F.col("c_lon").alias("lon"))
     out = N.places_around(c, suppliers(spark, d).select("s_suppkey", "lat", "lon"), 30_000, "c_custkey", "s_suppkey")
     return out.select("s_suppkey", "c_custkey", F.round("metres", 1).alias("metres"))
 
@@ -181,18 +181,18 @@ def coverage_of_texts(spark: SparkSession, d: str) -> DataFrame:
 def review_order(spark: SparkSession, d: str) -> DataFrame:
     o = read(spark, d, "orders")
     order = W.review_order("o_orderpriority", ["5-LOW", "1-URGENT"], "o_orderstatus", "o_orderkey")
-    return o.select("o_orderkey", F.row_number().over(Window.orderBy(*order)).alias("place"))
+    return W.placed(o.select("o_orderkey", "o_orderpriority", "o_orderstatus"), order).select("o_orderkey", "place")
 
 
 def bucket_order(spark: SparkSession, d: str) -> DataFrame:
     o = read(spark, d, "orders").select("o_orderkey", "o_orderstatus", F.when(F.col("o_orderkey") % 3 == 0, "day").when(F.col("o_orderkey") % 3 == 1, "month").alias("precision"), F.when(F.col("o_orderkey") % 3 < 2, F.col("o_orderdate").cast("date")).alias("day"), (F.col("o_orderkey") % 10 == 0).alias("fav"))
     order = W.bucket_order("o_orderstatus", "o_orderkey", "precision", "day", "fav", F.lit("1998-06-30").cast("date"))
-    return o.select("o_orderkey", F.row_number().over(Window.orderBy(*order)).alias("place"))
+    return W.placed(o, order).select("o_orderkey", "place")
 
 
 def country_order(spark: SparkSession, d: str) -> DataFrame:
     n = read(spark, d, "nation").withColumn("c", F.when(F.col("n_nationkey") % 6 > 0, F.col("n_name")))
-    return n.select("n_nationkey", F.row_number().over(Window.orderBy(*W.fixed_prefix_order("c", ["NATION_8", "NATION_3"]), "n_nationkey")).alias("place"))
+    return W.placed(n.select("n_nationkey", "c"), [*W.fixed_prefix_order("c", ["NATION_8", "NATION_3"]), F.col("n_nationkey").asc()]).select("n_nationkey", "place")
 
 
 def layered_rules(spark: SparkSession, d: str) -> DataFrame:
@@ -211,7 +211,7 @@ def reviewed_proposals(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {k: f for k, f in list(globals().items()) if callable(f) and getattr(f, "__module__", "") == __name__ and not k.startswith("_")}
 
 _C = "c AS (SELECT c_custkey AS id, c_custkey%40 AS league, c_custkey%60 AS venue, CASE WHEN c_custkey%3>0 THEN c_custkey/10.0 END AS lat, CASE WHEN c_custkey%3>0 THEN c_custkey/20.0 END AS lon FROM customer)"
-_ST = """s AS (SELECT l_orderkey AS id, l_suppkey%50 AS value, CASE l_linenumber%3 WHEN 0 THEN 'preferred' WHEN 1 THEN 'normal' ELSE 'deprecated' END AS rank, CASE WHEN (l_orderkey+l_linenumber)%4=0 THEN 'novalue' ELSE 'value' END AS snaktype FROM lineitem WHERE l_orderkey<3000)"""
+_ST = """s AS (SELECT l_orderkey AS id, l_suppkey%50 AS value, CASE l_linenumber%3 WHEN 0 THEN 'preferred' WHEN 1 THEN 'normal' ELSE 'deprecated' END AS rank, CASE WHEN (l_orderkey+l_linenumber)%4=0 THEN 'novalue' ELSE 'value' END AS snaktype FROM lineitem)"""
 _LIVE = "id%13>0 AND id%17>0"
 ORACLE_SQL = {
     "clubs_in_leagues": f"""WITH {_C} SELECT id, league, venue, s_name AS venue_name, coalesce(CASE WHEN s_suppkey%2=0 THEN s_suppkey/4.0 END, lat) AS lat, coalesce(CASE WHEN s_suppkey%2=0 THEN s_suppkey/8.0 END, lon) AS lon
@@ -224,32 +224,36 @@ ORACLE_SQL = {
         coalesce(bool_and(rank='deprecated') FILTER (snaktype='value' AND value<10), false) AS a, bool_or(rank='preferred') AS p, count(*) FILTER (rank='preferred' AND snaktype='value') AS tp, count(*) FILTER (rank='normal' AND snaktype='value') AS tn FROM s GROUP BY id)
         SELECT id, CASE WHEN b THEN 'B' WHEN c THEN 'C' WHEN a THEN 'A' ELSE '?' END AS shape, CAST(CASE WHEN p THEN tp ELSE tn END AS INTEGER) AS truthy FROM g WHERE n>0""",
     "existence_flags": "SELECT c_custkey AS id, c_custkey%13=0 AS person, c_custkey%17=0 AS gone FROM customer",
-    "places_around": f"""WITH {_SUPPLIERS}, {_CUSTOMERS}, p AS (SELECT s_suppkey, c_custkey, {_hav("c_lat", "c_lon", "lat", "lon")} AS m FROM s, c WHERE c_custkey%10=0),
+    "places_around": f"""WITH {_SUPPLIERS}, {_CUSTOMERS}, p AS (SELECT s_suppkey, c_custkey, {_hav("c_lat", "c_lon", "lat", "lon")} AS m FROM s, c),
         r AS (SELECT *, row_number() OVER (PARTITION BY s_suppkey ORDER BY m, c_custkey) AS k FROM p WHERE m <= 30000) SELECT s_suppkey, c_custkey, round(m, 1) AS metres FROM r WHERE k = 1""",
     "union_aggregate": """WITH u AS (SELECT o_custkey%30 AS "group", o_custkey AS id, o_orderstatus AS a, NULL AS b FROM orders UNION ALL SELECT c_custkey%40, c_custkey, 'Z', CASE WHEN c_custkey%40>20 THEN c_mktsegment END FROM customer)
         SELECT "group", count(DISTINCT id) AS ids, min(a) AS a, min(b) AS b FROM u GROUP BY 1 HAVING count(DISTINCT id)>=5 AND min(b) IS NOT NULL""",
     "tagged_items": f"WITH {_ST} SELECT value, s.id, rank, snaktype, o_orderstatus AS label FROM s LEFT JOIN orders ON o_orderkey=s.id AND o_orderkey%2=0 WHERE value<6",
-    "pointers_at": "SELECT l_orderkey AS source, l_returnflag AS predicate, l_partkey AS target FROM lineitem WHERE l_orderkey<3000 AND l_returnflag IN ('A','R') AND l_partkey IN (SELECT p_partkey FROM part WHERE p_size<10)",
+    "pointers_at": "SELECT l_orderkey AS source, l_returnflag AS predicate, l_partkey AS target FROM lineitem WHERE l_returnflag IN ('A','R') AND l_partkey IN (SELECT p_partkey FROM part WHERE p_size<10)",
     "routes": """WITH a AS (SELECT o_custkey AS k, min(o_orderkey) FILTER (o_orderkey%3=0) AS x, min(o_orderkey) FILTER (o_orderkey%3=1) AS y FROM orders GROUP BY 1) SELECT c_custkey, coalesce(x,y) AS id, CASE WHEN x IS NOT NULL THEN 'first' WHEN y IS NOT NULL THEN 'second' END AS route FROM customer LEFT JOIN a ON k=c_custkey""",
     "redirects": """WITH n AS (SELECT n_nationkey AS k FROM nation), a AS (SELECT k, CASE WHEN k%5>0 THEN (k*3+1)%25 ELSE k END AS x FROM n), b AS (SELECT k, CASE WHEN x%5>0 THEN (x*3+1)%25 ELSE x END AS x FROM a), c AS (SELECT k, CASE WHEN x%5>0 THEN (x*3+1)%25 ELSE x END AS x FROM b)
         SELECT CAST(k AS VARCHAR) AS t, CAST(x AS VARCHAR) AS final FROM c""",
     "two_hops": "SELECT CAST(n_nationkey AS VARCHAR) AS t, CASE WHEN n_nationkey=7 THEN NULL ELSE 'NATION_'||(n_nationkey-n_nationkey%3) END AS id, CASE WHEN n_nationkey%3=0 THEN 'direct' WHEN n_nationkey<>7 THEN 'redirect' END AS route FROM nation",
     "looked_up": "SELECT c_custkey, coalesce(n_name, c_mktsegment) AS label FROM customer LEFT JOIN nation ON c_nationkey=n_nationkey AND n_nationkey<20",
     "parents_known": "WITH p AS (SELECT c_custkey AS id, unnest([c_custkey+1, c_custkey*2]) AS parent FROM customer) SELECT id, parent FROM p JOIN customer k ON k.c_custkey=parent AND k.c_custkey%7=0 AND k.c_custkey%2=id%2",
-    "second_source": """WITH p AS (SELECT p_partkey, p_brand, p_name FROM part WHERE p_partkey<400), o AS (SELECT p_brand, split_part(p_name,' ',2) AS other FROM part WHERE p_partkey%9=0 AND p_size<30 AND p_brand<'Brand#3')
+    "second_source": """WITH p AS (SELECT p_partkey, p_brand, p_name FROM part), o AS (SELECT p_brand, split_part(p_name,' ',2) AS other FROM part WHERE p_partkey%9=0 AND p_size<30 AND p_brand<'Brand#3')
         SELECT p_partkey, CASE WHEN EXISTS (SELECT 1 FROM o WHERE o.p_brand=p.p_brand AND (contains(other,p_name) OR contains(p_name,other))) THEN 'confirms' WHEN EXISTS (SELECT 1 FROM o WHERE o.p_brand=p.p_brand) THEN 'silent' ELSE '' END AS second FROM p""",
+    "best_strength": """WITH p AS (SELECT p_partkey, p_name, list_distinct(string_split(p_name,' ')) AS a, list_filter(list_distinct(string_split(p_name,' ')), lambda w: w<>'ring') AS x FROM part),
+        o AS (SELECT p_name AS other, min(p_partkey) AS o, any_value(a) AS b, any_value(x) AS y FROM p WHERE p_partkey%3=2 GROUP BY 1), m AS (SELECT DISTINCT p_name, a, x FROM p WHERE p_partkey%3<2),
+        s AS (SELECT p_name, other, o, CASE WHEN (list_has_all(a,b) AND list_has_all(b,a)) OR replace(p_name,' ','')=replace(other,' ','') THEN 0 WHEN len(x)=0 OR len(y)=0 THEN NULL WHEN list_has_all(x,y) AND list_has_all(y,x) THEN 0 WHEN list_has_all(x,y) OR list_has_all(y,x) THEN 1 END AS r FROM m, o WHERE list_has_any(a,b)),
+        k AS (SELECT *, row_number() OVER (PARTITION BY p_name ORDER BY r, o) AS n FROM s WHERE r IS NOT NULL) SELECT p_partkey, CASE r WHEN 0 THEN 'exact' ELSE 'contained' END AS strength, other FROM p JOIN k USING (p_name) WHERE n=1 AND p_partkey%3<2""",
     "table_cells": "SELECT s_suppkey, s_name AS name, 'a&b' AS mark, '/s/'||s_suppkey AS link FROM supplier",
-    "flattened_props": "SELECT event_id, 'k' AS path, json_extract_string(props, '$.k') AS leaf FROM events WHERE event_id<2000",
+    "flattened_props": "SELECT event_id, 'k' AS path, json_extract_string(props, '$.k') AS leaf FROM events",
     "flat_points": "SELECT s_suppkey, CASE WHEN s_suppkey%11=0 THEN 'excluded' ELSE 'no position' END AS reason FROM supplier WHERE s_suppkey%11=0 OR (s_suppkey%2=1 AND s_suppkey%3=0)",
     "entities_by_kind": "WITH w AS (SELECT p_partkey, CASE WHEN regexp_matches(lower(p_type),'eco|promo') THEN 'kind '||p_type WHEN regexp_matches(p_name,'widget$') THEN 'name' END AS why FROM part) SELECT * FROM w WHERE why IS NOT NULL",
     "sport_filter": "SELECT p_partkey, CASE WHEN NOT (lower(p_type) IN ('small','red') OR split_part(p_name,' ',1) IN ('small','red')) THEN 'sport' WHEN contains(p_name,'bolt') THEN 'name' END AS why FROM part",
     "counts_by_kind": "SELECT coalesce(CASE WHEN c_nationkey%4>0 THEN CAST(c_nationkey AS VARCHAR) END,'international') AS country, c_mktsegment, count(*) AS n FROM customer GROUP BY ALL",
     "coverage_of_texts": """WITH t AS (SELECT p_brand, length(p_name) AS n, p_partkey%3>0 AS tr, p_partkey%7>0 AS cur FROM part) SELECT p_brand, count(*) FILTER (tr AND cur) AS done, count(*) AS total, count(*) FILTER (tr AND NOT cur) AS stale, round(coalesce(sum(n) FILTER (tr AND cur),0)/sum(n), 6) AS share FROM t GROUP BY 1""",
-    "review_order": "SELECT o_orderkey, CAST(row_number() OVER (ORDER BY CASE o_orderpriority WHEN '5-LOW' THEN 1 WHEN '1-URGENT' THEN 2 ELSE 3 END, o_orderstatus, o_orderkey) AS INTEGER) AS place FROM orders WHERE o_orderkey<1000",
-    "bucket_order": """WITH o AS (SELECT *, CASE WHEN o_orderkey%3<2 THEN CAST(o_orderdate AS DATE) END AS day FROM orders WHERE o_orderkey<500) SELECT o_orderkey, CAST(row_number() OVER (ORDER BY (o_orderkey%10=0)::INT DESC, o_orderstatus,
-        CASE WHEN coalesce(day < DATE '1998-06-30', false) THEN 3 WHEN o_orderkey%3=0 THEN 0 WHEN o_orderkey%3=1 THEN 1 ELSE 2 END, day NULLS LAST, o_orderkey) AS INTEGER) AS place FROM o""",
-    "country_order": "WITH n AS (SELECT n_nationkey, CASE WHEN n_nationkey%6>0 THEN n_name END AS c FROM nation) SELECT n_nationkey, CAST(row_number() OVER (ORDER BY CASE WHEN c IS NULL THEN 3 WHEN c='NATION_8' THEN 0 WHEN c='NATION_3' THEN 1 ELSE 2 END, c NULLS LAST, n_nationkey) AS INTEGER) AS place FROM n",
-    "layered_rules": "SELECT c_custkey, 'nation '||n_name AS rule, 'country' AS layer FROM customer JOIN nation ON n_nationkey=c_nationkey WHERE c_custkey<200 AND n_nationkey%2=0 UNION ALL SELECT c_custkey, 'club', 'club' FROM customer WHERE c_custkey<200 AND c_custkey%5=0",
-    "reviewed_proposals": """WITH r AS (SELECT p_brand, p_name, CASE WHEN min(p_partkey)%80=0 THEN 'rejected' ELSE 'held' END AS decision FROM part WHERE p_partkey%40=0 AND p_partkey<800 GROUP BY 1,2)
+    "review_order": "SELECT o_orderkey, CAST(row_number() OVER (ORDER BY CASE o_orderpriority WHEN '5-LOW' THEN 1 WHEN '1-URGENT' THEN 2 ELSE 3 END, o_orderstatus, o_orderkey) AS BIGINT) AS place FROM orders",
+    "bucket_order": """WITH o AS (SELECT *, CASE WHEN o_orderkey%3<2 THEN CAST(o_orderdate AS DATE) END AS day FROM orders) SELECT o_orderkey, CAST(row_number() OVER (ORDER BY (o_orderkey%10=0)::INT DESC, o_orderstatus,
+        CASE WHEN coalesce(day < DATE '1998-06-30', false) THEN 3 WHEN o_orderkey%3=0 THEN 0 WHEN o_orderkey%3=1 THEN 1 ELSE 2 END, day NULLS LAST, o_orderkey) AS BIGINT) AS place FROM o""",
+    "country_order": "WITH n AS (SELECT n_nationkey, CASE WHEN n_nationkey%6>0 THEN n_name END AS c FROM nation) SELECT n_nationkey, CAST(row_number() OVER (ORDER BY CASE WHEN c IS NULL THEN 3 WHEN c='NATION_8' THEN 0 WHEN c='NATION_3' THEN 1 ELSE 2 END, c NULLS LAST, n_nationkey) AS BIGINT) AS place FROM n",
+    "layered_rules": "SELECT c_custkey, 'nation '||n_name AS rule, 'country' AS layer FROM customer JOIN nation ON n_nationkey=c_nationkey WHERE n_nationkey%2=0 UNION ALL SELECT c_custkey, 'club', 'club' FROM customer WHERE c_custkey%5=0",
+    "reviewed_proposals": """WITH r AS (SELECT p_brand, p_name, CASE WHEN min(p_partkey)%80=0 THEN 'rejected' ELSE 'held' END AS decision FROM part WHERE p_partkey%40=0 GROUP BY 1,2)
         SELECT p_partkey, coalesce(decision, CASE WHEN p_size>20 THEN 'confident' ELSE 'ambiguous' END) AS verdict, decision FROM part LEFT JOIN r USING (p_brand, p_name)""",
 }

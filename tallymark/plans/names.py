@@ -77,8 +77,7 @@ def typeahead(spark: SparkSession, d: str) -> DataFrame:
 
 def duplicate_groups(spark: SparkSession, d: str) -> DataFrame:
     docs = read(spark, d, "documents").select("doc_id", F.md5(T.ascii_key("text")).alias("h"))
-    g = groups_of(docs, "doc_id", [F.col("h")])
-    return g.select(F.array_min("members").alias("first"), F.size("members").alias("n"), F.array_max("members").alias("last"))
+    return groups_of(docs, "doc_id", [F.col("h")])
 
 
 def fingerprints(spark: SparkSession, d: str) -> DataFrame:
@@ -117,7 +116,7 @@ def strengths(spark: SparkSession, d: str) -> DataFrame:
 
 def same_names(spark: SparkSession, d: str) -> DataFrame:
     p = read(spark, d, "part").withColumn("key", T.ascii_key("p_name"))
-    return same_name_notes(p, "p_partkey", "key", ["p_brand"]).select("p_partkey", F.size("others").alias("others"))
+    return same_name_notes(p, "p_partkey", "key", ["p_brand"]).select("p_partkey", "first", "others")
 
 
 def name_lists(spark: SparkSession, d: str) -> DataFrame:
@@ -145,7 +144,7 @@ QUERIES = {
 }
 
 _KEY = "trim(regexp_replace(lower(strip_accents(replace({0}, 'ß', 'ss'))), '[^a-z0-9]+', ' ', 'g'))"
-_N = """n AS (SELECT p_partkey, p_brand, p_name, upper(replace(p_name,' ','-')) || CASE WHEN p_partkey%3=0 THEN ' Small' ELSE '' END || CASE WHEN p_partkey%5=0 THEN ' 1904' ELSE '' END || CASE WHEN p_partkey%7=0 THEN ' II' ELSE '' END AS other FROM part WHERE p_partkey < 300),
+_N = """n AS (SELECT p_partkey, p_brand, p_name, upper(replace(p_name,' ','-')) || CASE WHEN p_partkey%3=0 THEN ' Small' ELSE '' END || CASE WHEN p_partkey%5=0 THEN ' 1904' ELSE '' END || CASE WHEN p_partkey%7=0 THEN ' II' ELSE '' END AS other FROM part),
  w AS (SELECT p_partkey, p_name, string_split(lower(p_name), ' ') AS a, string_split(replace(lower(other),'-',' '), ' ') AS b FROM n)"""
 _PARTS = "list_sort(list_distinct(list_filter({0}, lambda x: x NOT IN ('small','large','ii','b','1904')))) AS {1}c, list_filter({0}, lambda x: x IN ('small','large')) AS {1}f, list_contains({0}, 'ii') AS {1}m"
 _ALNUM = r"""trim(regexp_replace(regexp_replace({0}, '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'))"""
@@ -162,8 +161,12 @@ ORACLE_SQL = {
         r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, f) AS k FROM c) SELECT lang, word, n FROM r WHERE k = 1""",
     "word_pairs": """WITH w AS (SELECT p_partkey, string_split(p_name, ' ') AS w FROM part), g AS (SELECT p_partkey, unnest(list_distinct(list_concat(list_filter(w, lambda x: len(x) >= 3), CASE WHEN len(w) = 2 THEN [p] ELSE [] END,
         list_transform(list_filter(w, lambda x: len(x) >= 6 AND x LIKE '%er'), lambda x: x[:-3])))) AS gram FROM (SELECT *, array_to_string(w, ' ') AS p FROM w)) SELECT gram, count(*) AS n FROM g GROUP BY 1""",
-    "html_text": r"""WITH t AS (SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '\s+', ' ', 'g')) AS t FROM pages)
-        SELECT page_id, md5(t) AS text_md5, CAST(length(t) AS INTEGER) AS n_chars FROM t""",
+    "html_text": r"""WITH e AS (SELECT key AS name, value AS char FROM (SELECT unnest(map_entries(CAST('@'::JSON AS MAP(VARCHAR, VARCHAR))), recursive := true))),
+        p AS (SELECT page_id, unnest(string_split(t, '&')) AS p, generate_subscripts(string_split(t, '&'), 1) AS i FROM (SELECT page_id, regexp_replace(html, '<[^>]*>', ' ', 'g') AS t FROM pages)),
+        q AS (SELECT *, regexp_extract(p, '^([A-Za-z][A-Za-z0-9]*;)', 1) AS n, regexp_extract(p, '^#([0-9]{1,7});', 1) AS d, regexp_extract(p, '^#[xX]([0-9a-fA-F]{1,6});', 1) AS h FROM p),
+        u AS (SELECT page_id, i, CASE WHEN i = 1 THEN p WHEN char IS NOT NULL THEN char || substr(p, length(n) + 1) WHEN d <> '' THEN chr(d::INT) || substr(p, length(d) + 3) WHEN h <> '' THEN chr(('0x' || h)::INT) || substr(p, length(h) + 4) ELSE '&' || p END AS s FROM q LEFT JOIN e ON e.name = q.n),
+        t AS (SELECT page_id, trim(regexp_replace(string_agg(s, '' ORDER BY i), '[\s\x{a0}]+', ' ', 'g')) AS t FROM u GROUP BY 1)
+        SELECT page_id, md5(t) AS text_md5, CAST(length(t) AS INTEGER) AS n_chars FROM t""".replace("@", T._entities().replace("'", "''")),
     "html_host": "WITH h AS (SELECT lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)) AS host FROM pages) SELECT host, count(*) AS n FROM h WHERE host <> '' GROUP BY 1",
     "typeahead": """WITH f AS (SELECT p_partkey, p_name, p_size, CASE WHEN p_name LIKE 're%' THEN 0 WHEN p_name LIKE '% re%' THEN 1 ELSE 2 END AS rank FROM part WHERE p_name LIKE '%re%')
         SELECT p_partkey, p_name, rank, (SELECT greatest(0, count(*) - 8) FROM f) AS more FROM f ORDER BY rank, p_size, p_partkey LIMIT 8""",
@@ -174,16 +177,19 @@ ORACLE_SQL = {
     "stable_ids": "SELECT c_custkey, substr(sha256(lower(c_name || '|' || c_mktsegment)), 1, 12) AS uid FROM customer",
     "numbers_found": """WITH e AS (SELECT doc_id, list_sort(list_distinct(list_transform(regexp_extract_all(text, '([0-9]+(?:[.,''   ][0-9]{3})*)', 1), lambda x: regexp_replace(x, '[^0-9]', '', 'g')))) AS n FROM documents)
         SELECT doc_id, array_to_string(n, ',') AS numbers FROM e WHERE len(n) > 0""",
+    "card_numbers": r"""WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '([^0-9])', '\1\1', 'g') AS t FROM documents WHERE regexp_matches(text, '[0-9]([ -]?[0-9]){12}')),
+        r AS (SELECT doc_id, regexp_replace(unnest(regexp_extract_all(t, '(?:^|[^0-9])([0-9](?:(?:  |--)?[0-9]){12,18})(?:[^0-9]|$)', 1)), '[^0-9]', '', 'g') AS n FROM t)
+        SELECT DISTINCT doc_id, true AS card FROM r WHERE list_sum(list_transform(range(1, length(n)+1), lambda i: CASE WHEN i%2=1 THEN CAST(substr(n, length(n)+1-i, 1) AS INT) ELSE (2*CAST(substr(n, length(n)+1-i, 1) AS INT))%10 + (2*CAST(substr(n, length(n)+1-i, 1) AS INT))//10 END)) % 10 = 0""",
     "figures": "SELECT p_partkey, CAST(CASE WHEN p_partkey*97 BETWEEN 100 AND 200000 THEN p_partkey*97 ELSE 500 END AS BIGINT) AS figure FROM part",
     "wkt_points": "SELECT s_suppkey, s_suppkey*0.25::DOUBLE AS lat, s_suppkey*1.5::DOUBLE AS lon FROM supplier",
     "strengths": f"""WITH {_N}, s AS (SELECT p_partkey, list_distinct(a) AS a, list_distinct(b) AS b, list_filter(a, lambda x: x <> 'ring') AS x, list_filter(b, lambda x: x <> 'ring') AS y FROM w)
         SELECT p_partkey, CASE WHEN list_has_all(a,b) AND list_has_all(b,a) THEN 'exact' WHEN len(x)=0 OR len(y)=0 THEN NULL WHEN list_has_all(x,y) AND list_has_all(y,x) THEN 'exact' WHEN list_has_all(x,y) OR list_has_all(y,x) THEN 'contained' END AS strength FROM s""",
-    "same_names": "WITH p AS (SELECT * FROM part WHERE p_partkey < 500) SELECT a.p_partkey, CAST(count(*) AS INTEGER) AS others FROM p a JOIN p b ON a.p_name = b.p_name AND a.p_brand = b.p_brand AND a.p_partkey <> b.p_partkey GROUP BY 1",
-    "name_lists": """WITH p AS (SELECT p_partkey, p_brand, p_name FROM part WHERE p_partkey < 200), o AS (SELECT DISTINCT p_brand, p_type AS code, split_part(p_name,' ',1) AS label FROM part WHERE p_partkey%3=0),
+    "same_names": "WITH p AS (SELECT * FROM part) SELECT a.p_partkey, least(a.p_partkey, min(b.p_partkey)) AS first, CAST(count(*) AS INTEGER) AS others FROM p a JOIN p b ON a.p_name = b.p_name AND a.p_brand = b.p_brand AND a.p_partkey <> b.p_partkey GROUP BY 1",
+    "name_lists": """WITH p AS (SELECT p_partkey, p_brand, p_name FROM part), o AS (SELECT DISTINCT p_brand, p_type AS code, split_part(p_name,' ',1) AS label FROM part WHERE p_partkey%3=0),
         t AS (SELECT DISTINCT p_brand, p_type AS code, split_part(p_name,' ',2) AS label FROM part WHERE p_partkey%3=1),
         a AS (SELECT p_partkey, code, label, 0 AS source_order FROM p JOIN o USING (p_brand) WHERE contains(p_name, label) OR contains(label, p_name)),
         b AS (SELECT p_partkey, code, label, 1 AS source_order FROM p JOIN t USING (p_brand) WHERE contains(p_name, label) OR contains(label, p_name))
         SELECT * FROM a UNION ALL SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM a WHERE a.p_partkey = b.p_partkey AND a.code = b.code)""",
-    "lost_in_translation": "SELECT o_orderkey, o_orderkey % 4 = 0 AS day_lost, o_orderkey % 6 = 0 AS stale FROM orders WHERE o_orderkey < 2000",
+    "lost_in_translation": "SELECT o_orderkey, o_orderkey % 4 = 0 AS day_lost, o_orderkey % 6 = 0 AS stale FROM orders",
     "reasons_listed": "WITH r AS (SELECT c_custkey, concat_ws(',', CASE WHEN c_acctbal < 0 THEN 'debt' END, CASE WHEN c_mktsegment = 'MACHINERY' THEN 'machinery' END) AS why FROM customer) SELECT * FROM r WHERE why <> ''",
 }

@@ -67,7 +67,7 @@ def distance_band(spark: SparkSession, d: str) -> DataFrame:
 
 def viewport_groups(spark: SparkSession, d: str) -> DataFrame:
     shown = customers(spark, d).where(in_viewport("c_lat", "c_lon", 40.0, 0.0, 46.0, 12.0)).withColumn("lat1", F.floor("c_lat")).withColumn("lon1", F.floor("c_lon"))
-    return shared_places(shown, "lat1", "lon1", "c_custkey").select("lat1", "lon1", "n", F.array_join(F.transform("members", lambda x: x.cast("string")), ",").alias("members"))
+    return shared_places(shown, "lat1", "lon1").select("lat1", "lon1", "n", "c_custkey")
 
 
 def visible_at_zoom(spark: SparkSession, d: str) -> DataFrame:
@@ -126,7 +126,7 @@ def coverage_levels(spark: SparkSession, d: str) -> DataFrame:
 
 
 def spread_by_nation(spark: SparkSession, d: str) -> DataFrame:
-    return largest_spread(suppliers(spark, d), "s_nationkey", "lat", "lon", "s_suppkey").select("s_nationkey", F.round("spread_m", 0).alias("spread_m"))
+    return largest_spread(suppliers(spark, d), "s_nationkey", "lat", "lon").select("s_nationkey", F.round("spread_m", 0).alias("spread_m"))
 
 
 def position_evidence(spark: SparkSession, d: str) -> DataFrame:
@@ -136,8 +136,7 @@ def position_evidence(spark: SparkSession, d: str) -> DataFrame:
 
 
 def usable_hits(spark: SparkSession, d: str) -> DataFrame:
-    pts = suppliers(spark, d).withColumn("g", F.col("s_suppkey") % 40).groupBy("g").agg(F.collect_list(F.struct("lat", "lon")).alias("p"))
-    return pts.select("g", spread_usable(F.col("p"), 900_000).alias("usable"))
+    return spread_usable(suppliers(spark, d).withColumn("g", F.col("s_suppkey") % 40), "g", "lat", "lon", 900_000)
 
 
 QUERIES = {f.__name__: f for f in (near_me, near_me_page, nearest_within_radius, distance_band, viewport_groups, visible_at_zoom, country_boxes, outside_box, corridor, route_cost, great_circle, coverage_levels, spread_by_nation, position_evidence, usable_hits)}
@@ -151,8 +150,8 @@ ORACLE_SQL = {
         r AS (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY m, s_suppkey) AS k FROM p WHERE m <= 60000)
         SELECT c.c_custkey, r.s_suppkey, round(r.m, 1) AS metres FROM c LEFT JOIN r ON c.c_custkey = r.c_custkey AND k = 1""",
     "distance_band": f"WITH {_S}, {_C}, p AS (SELECT s_suppkey, c_custkey, {_hav('lat', 'lon', 'c_lat', 'c_lon')} AS m FROM c, s) SELECT s_suppkey, c_custkey, round(m, 1) AS metres FROM p WHERE m <= 40000",
-    "viewport_groups": f"""WITH {_C} SELECT CAST(floor(c_lat) AS BIGINT) AS lat1, CAST(floor(c_lon) AS BIGINT) AS lon1, count(*) AS n, string_agg(CAST(c_custkey AS VARCHAR), ',' ORDER BY c_custkey) AS members
-        FROM c WHERE c_lat BETWEEN 37.0 AND 49.0 AND c_lon BETWEEN -6.0 AND 18.0 GROUP BY 1, 2 HAVING count(*) > 1""",
+    "viewport_groups": f"""WITH {_C} SELECT CAST(floor(c_lat) AS BIGINT) AS lat1, CAST(floor(c_lon) AS BIGINT) AS lon1, count(*) OVER p AS n, c_custkey
+        FROM c WHERE c_lat BETWEEN 37.0 AND 49.0 AND c_lon BETWEEN -6.0 AND 18.0 WINDOW p AS (PARTITION BY floor(c_lat), floor(c_lon)) QUALIFY count(*) OVER p > 1""",
     "visible_at_zoom": f"""WITH {_S} SELECT zoom, count(*) AS shown FROM range(12) z(zoom), s WHERE zoom >= CASE tier WHEN 1 THEN 0 WHEN 2 THEN 7 ELSE 9 END GROUP BY zoom""",
     "country_boxes": f"""WITH {_S} SELECT s_nationkey, round(min(CASE WHEN tier=1 THEN lat END)-0.15,3) AS south, round(min(CASE WHEN tier=1 THEN lon END)-0.15,3) AS west,
         round(max(CASE WHEN tier=1 THEN lat END)+0.15,3) AS north, round(max(CASE WHEN tier=1 THEN lon END)+0.15,3) AS east FROM s GROUP BY 1""",

@@ -89,7 +89,7 @@ def largest_gaps(spark: SparkSession, d: str) -> DataFrame:
 def majority_capacity(spark: SparkSession, d: str) -> DataFrame:
     k, n = F.col("p_partkey"), F.col("p_partkey") % 50 * 100 + 5000
     p = read(spark, d, "part").select("p_partkey", F.when(k % 2 == 0, n).alias("t"), F.when(k % 3 > 0, n + k % 5 * 100).alias("w"), F.when(k % 5 > 1, n + k % 7 * 60).alias("o"), F.when(k % 4 > 1, n - k % 6 * 70).alias("s"))
-    m = R.majority({"table": "t", "stadiumdb": "s", "wikidata": "w", "osm": "o"})
+    m = R.majority({"table": "t", "stadiumdb": "s", "wikidata": "w", "osm": "o"}, {"table": "encyclopedia", "stadiumdb": "stadiumdb", "wikidata": "encyclopedia", "osm": "osm"})
     return p.withColumn("m", m).select("p_partkey", F.col("m")["verdict"].alias("verdict"), F.col("m")["proposed"].cast("long").alias("proposed"), F.col("m")["taken_from"].alias("taken_from"))
 
 
@@ -208,8 +208,7 @@ def explode_days(spark: SparkSession, d: str) -> DataFrame:
 def recurrence_next(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("o_orderkey")
     o = _orders(spark, d).select("o_orderkey", F.when(k % 9 == 0, None).when(k % 7 == 0, "disputed").when(k % 5 == 0, "guess").otherwise("confirmed").alias("src"), F.when(k % 4 == 0, "annual").when(k % 11 == 0, "per fixture").alias("rec"), F.col("day").cast("string").alias("d1"), F.when(k % 8 > 0, F.concat_ws("/", F.date_add("day", 365).cast("string"), F.date_add("day", 368).cast("string"))).alias("d2"))
-    n = D.next_occurrence("src", "rec", "d1", F.lit(None).cast("string"), "d2", _as_of())
-    return o.withColumn("n", n).select("o_orderkey", F.col("n")["start"].alias("start"), F.col("n")["end"].alias("end"), F.col("n")["reason"].alias("reason"))
+    return D.with_next_occurrence(o, "n", "src", "rec", "d1", F.lit(None).cast("string"), "d2", _as_of()).select("o_orderkey", F.col("n")["start"].alias("start"), F.col("n")["end"].alias("end"), F.col("n")["reason"].alias("reason"))
 
 
 def aged_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -313,7 +312,7 @@ def divisions(spark: SparkSession, d: str) -> DataFrame:
 
 def shared_targets(spark: SparkSession, d: str) -> DataFrame:
     p = read(spark, d, "part").select(F.col("p_partkey").cast("string").alias("row"), F.concat_ws("|", "p_brand", "p_size").alias("target"))
-    return A.shared_target(p, "row", "target").select("row", F.size("others").alias("others")).where("others > 0")
+    return A.shared_target(p, "row", "target").select("row", "first", "others").where("others > 0")
 
 
 def pair_sanity(spark: SparkSession, d: str) -> DataFrame:

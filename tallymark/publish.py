@@ -16,10 +16,18 @@ from .functions.dates import exclusive_end
 from .functions.textkeys import row_hash
 
 
+#: What one published document may hold of rows, in characters, and one calendar of events.
+MOST_BYTES = 256 << 20
+MOST_EVENTS = 200_000
+
+
 def envelope_json(rows: DataFrame, path: str, order: list[str], field: str, **head: str) -> None:
     """K1: a JSON document with the head's fields and the rows in order, keys sorted, no time of writing, so equal input
-    gives equal bytes. For published files of a bounded size: the rows end in one document."""
+    gives equal bytes. The rows end in one document, so more than MOST_BYTES of them are refused."""
     item = F.struct(*(F.col(c) for c in sorted(rows.columns)))
+    size = rows.agg(F.sum(F.length(F.to_json(item)))).first()[0] or 0
+    if size > MOST_BYTES:
+        raise ValueError(f"{size} characters of rows are too many for one document")
     ordered = F.transform(F.array_sort(F.collect_list(F.struct(F.struct(*order).alias("k"), item.alias("v")))), lambda s: s["v"])
     fields = {**{k: F.lit(v) for k, v in head.items()}, field: ordered}
     rows.agg(F.to_json(F.struct(*(fields[k].alias(k) for k in sorted(fields))), {"ignoreNullFields": "false"}).alias("value")).coalesce(1).write.mode("overwrite").text(path)
@@ -126,7 +134,10 @@ def event_lines(events: DataFrame) -> DataFrame:
 
 def calendars(feeds: DataFrame, events: DataFrame, feed: str = "feed", name: str = "name") -> DataFrame:
     """K6 and K7: (feed, text) of every feed, those without events too; events in order of start and uid, lines folded and
-    ended by CR LF."""
+    ended by CR LF. A feed is one text, so one of more than MOST_EVENTS events is refused."""
+    large = events.groupBy(feed).count().where(F.col("count") > MOST_EVENTS).first()
+    if large:
+        raise ValueError(f"{large['count']} events are too many for the calendar {large[feed]}")
     ordered = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("start", "uid", "lines"))), lambda s: s["lines"]))
     bodies = event_lines(events).groupBy(feed).agg(ordered.alias("body"))
     head = F.array(F.lit("BEGIN:VCALENDAR"), F.lit("VERSION:2.0"), F.lit("PRODID:-//tallymark//calendar//EN"), F.lit("CALSCALE:GREGORIAN"), F.lit("METHOD:PUBLISH"), F.concat(F.lit("X-WR-CALNAME:"), escaped(F.col(name))))
@@ -156,7 +167,7 @@ EVIDENCE = ["kind", "tier", "id", "label", "evidence_url", "evidence_text", "det
 
 def write_proposals(evidence: DataFrame, path: str) -> None:
     """K9: evidence rows as CSV with a header, in order of kind, tier and id."""
-    evidence.select(*EVIDENCE).orderBy("kind", "tier", "id", "evidence_url").write.mode("overwrite").option("header", True).csv(path)
+    evidence.select(*EVIDENCE).orderBy("kind", "tier", "id", "evidence_url").write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def proposals_markdown(evidence: DataFrame) -> DataFrame:

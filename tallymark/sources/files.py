@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import io
 import zipfile
 from collections.abc import Iterator
@@ -33,26 +34,40 @@ def rows_of(docs: DataFrame, field: str, keep: list[str] = ()) -> DataFrame:
 
 
 def csv_rows(spark: SparkSession, path: str, spec: TableSpec, sep: str = ",") -> tuple[DataFrame, DataFrame, list[str]]:
-    """S3: (rows, rejected, unknown columns) of a CSV table with a header, read by the header's names in any order. Rows
-    have their line; a row with more values than the header is rejected with the whole line; blank lines are skipped.
+    """S3: (rows, rejected, unknown columns) of CSV tables with a header, read by the header's names in any order. Rows
+    have their line, the one they start at; cells may hold quoted line ends; a row with more values than the header is
+    rejected with the whole row; blank lines are skipped.
 
-    Only the header line comes to the driver. Quoted line ends aren't supported, as a line is a record's place.
+    A line's number needs what is before it, so a file is read in one task; files are read side by side. All of them have
+    the first one's columns. Only the header comes to the driver.
     """
-    lines = spark.read.format("text").load(path).select(F.regexp_replace("value", "^﻿", "").alias("value"), F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_at"))
-    header = lines.orderBy("_file", "_at").first()
-    if header is None:
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    first = files.orderBy("path").select(F.substring("content", 1, 1 << 16).alias("c")).first()
+    if first is None or not bytes(first["c"]).strip():
         raise ValueError(f"{path} is empty")
-    names = [c.strip().strip('"') for c in header["value"].split(sep)]
+    names = [c.strip() for c in next(csv.reader(io.StringIO(bytes(first["c"]).decode("utf-8-sig", "ignore")), delimiter=sep))]
     lacking, unknown = column_problems(names, spec)
     if lacking:
         raise ValueError(f"columns missing: {', '.join(lacking)}")
-    start = lines.groupBy("_file").agg(F.min("_at").alias("_start"))
-    kinds = ", ".join(f"`c{i}` string" for i in range(len(names) + 1))
-    body = lines.join(start, "_file").where((F.trim("value") != "") & (F.col("_at") != F.col("_start")))
-    parsed = body.withColumn("_v", F.from_csv("value", F.lit(kinds), {"sep": sep, "mode": "PERMISSIVE"})).withColumn("line", F.col("_at") - F.col("_start") + 1)
-    over = F.col("_v")[f"c{len(names)}"].isNotNull()
-    good = parsed.where(~over).select("line", *(F.col("_v")[f"c{i}"].alias(n) for i, n in enumerate(names)))
-    return good, parsed.where(over).select("line", F.col("value").alias("lost"), F.lit("more values than the header").alias("reason")), unknown
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column("content"):
+                reader = csv.reader(io.StringIO(content.as_py().decode("utf-8-sig"), newline=""), delimiter=sep)
+                header, rows, line = None, [], 1
+                for cells in reader:
+                    if any(c.strip() for c in cells):
+                        if header is None:
+                            header = [c.strip() for c in cells]
+                        else:
+                            rows.append((line, dict(zip(header, cells)), cells if len(cells) > len(header) else None))  # noqa: B905  a short row lacks its last cells
+                    line = reader.line_num + 1
+                out = [pa.array([r[0] for r in rows], pa.int64()), pa.array([list(map(r[1].get, names)) for r in rows], pa.list_(pa.string())), pa.array([r[2] and sep.join(r[2]) for r in rows], pa.string())]
+                yield pa.RecordBatch.from_arrays(out, names=["line", "cells", "lost"])
+
+    parsed = files.mapInArrow(run, "line long, cells array<string>, lost string")
+    good = parsed.where("lost is null").select("line", *(F.nullif(F.col("cells")[i], F.lit("")).alias(n) for i, n in enumerate(names)))
+    return good, parsed.where("lost is not null").select("line", "lost", F.lit("more values than the header").alias("reason")), unknown
 
 
 #: The columns of hand-written fixtures.
@@ -93,6 +108,11 @@ def sheet_cells(content: bytes, sheet: int = 1) -> Iterator[tuple[int, str, str]
 
 def xlsx_cells(spark: SparkSession, path: str, sheet: int = 1) -> DataFrame:
     """File, row, col and text of the cells of XLSX files; one file is read in one Python task."""
+    return cells_of(spark.read.format("binaryFile").load(path).select("path", "content"), sheet)
+
+
+def cells_of(files: DataFrame, sheet: int = 1) -> DataFrame:
+    """The cells of files that are rows (path, content)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -100,13 +120,13 @@ def xlsx_cells(spark: SparkSession, path: str, sheet: int = 1) -> DataFrame:
                 cells = list(sheet_cells(content, sheet))
                 yield pa.RecordBatch.from_pylist([{"file": name, "row": r, "col": c, "text": t} for r, c, t in cells], pa.schema([("file", pa.string()), ("row", pa.int32()), ("col", pa.string()), ("text", pa.string())]))
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "file string, row int, col string, text string")
+    return files.mapInArrow(run, "file string, row int, col string, text string")
 
 
 def sheet_columns(cells: DataFrame, header_row: int, wanted: dict[str, str]) -> DataFrame:
     """Rows under a header, by the columns whose header text holds the wanted one; each must hold in exactly one
     column, else an error. Only the header comes to the driver."""
-    heads = cells.where(F.col("row") == header_row).select("col", "text").collect()
+    heads = cells.where(F.col("row") == header_row).select("col", "text").distinct().collect()
     at = {}
     for name, text in wanted.items():
         hits = [h["col"] for h in heads if text in h["text"]]

@@ -14,18 +14,20 @@ from ..functions.geo import drawable
 from ..operators.resolve import distance_join
 
 
-def retried(call: Callable[[], tuple[int, bytes]], tries: int = 4, gap: float = 1.0, sleep: Callable[[float], None] = time.sleep) -> bytes:
-    """The body of the first answer with status 200; waits and tries again after 429 and 5xx, longer each time; any
-    other status, or too many tries, raises."""
+def retried(call: Callable[[], tuple[int, bytes, str | None]], tries: int = 4, gap: float = 1.0, sleep: Callable[[float], None] = time.sleep, most: float = 300.0) -> bytes:
+    """The body of the first answer with status 200. After 429, 5xx and network errors (status 0) it waits and tries
+    again: as long as the answer's Retry-After says (seconds, `most` at most), else longer each time. Any other status, such
+    as 403 for a token that doesn't cover what is asked for, or too many tries, raises."""
     for n in range(tries):
-        status, body = call()
+        status, body, after = call()
         if status == 200:
             return body
-        if status != 429 and status < 500:
+        if status not in (0, 429) and status < 500:
             break
         if n < tries - 1:
-            sleep(gap * 2**n)
-    raise OSError(f"status {status} after {n + 1} tries")
+            sleep(min(most, float(after)) if after and after.strip().isdigit() else gap * 2**n)
+    said = "a network error" if status == 0 else f"status {status}"
+    raise OSError(f"{said} after {n + 1} tries")
 
 
 class _Part(InputPartition):
@@ -37,6 +39,7 @@ class _Reader(DataSourceReader):
     def __init__(self, options: dict):
         self.url, self.batch, self.gap = options["url"], int(options.get("batch", 1)), float(options.get("gap", 1.0))
         self.ids = [x for x in options["ids"].split(",") if x]
+        self.headers = json.loads(options.get("headers", "{}"))
 
     def partitions(self) -> list[InputPartition]:
         # one partition: the provider's rate limit is for all requests together
@@ -44,24 +47,27 @@ class _Reader(DataSourceReader):
 
     def read(self, partition: _Part) -> Iterator[tuple]:
         from urllib.error import HTTPError
-        from urllib.request import urlopen
+        from urllib.request import Request, urlopen
 
-        def get(url: str) -> tuple[int, bytes]:
+        def get(url: str) -> tuple[int, bytes, str | None]:
             try:
-                with urlopen(url, timeout=60) as r:  # noqa: S310  the caller's address
-                    return r.status, r.read()
+                with urlopen(Request(url, headers=self.headers), timeout=60) as r:  # noqa: S310  the caller's address
+                    return r.status, r.read(), None
             except HTTPError as e:
-                return e.code, b""
+                return e.code, b"", e.headers.get("Retry-After")
+            except OSError:  # no connection, or one that broke off
+                return 0, b"", None
 
         for i in range(0, len(partition.ids), self.batch):
             some = "|".join(partition.ids[i : i + self.batch])
             if i:
                 time.sleep(self.gap)
-            yield some, retried(lambda: get(self.url.replace("{id}", some))).decode()
+            yield some, retried(lambda: get(self.url.replace("{id}", some)), gap=self.gap).decode()
 
 
 class RestSource(DataSource):
-    """Format "tallymark_rest". Options url with {id}, ids by commas, batch (ids in one request), gap seconds.
+    """Format "tallymark_rest". Options url with {id}, ids by commas, batch (ids in one request), gap seconds,
+    headers (a JSON object, such as one with a token).
     Rows are (id, body); a request that fails for good fails the read, so an absent answer is never an empty one."""
 
     @classmethod

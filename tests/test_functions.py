@@ -62,6 +62,7 @@ def test_numbers_marks_and_parts(spark):
     assert values(spark, T.split_names, ["A, B / C; –"]) == [["A", "B", "C"]]
     assert values(spark, T.split_urls, ["http://a/x;y ; https://b"]) == [["http://a/x;y", "https://b"]]
     assert values(spark, T.html_text, ["<p>a&amp;b <b>c</b>\n</p>"]) == ["a&b c"]
+    assert values(spark, T.html_text, ["<b>K&ouml;ln</b>&nbsp;&#8211;&#x20AC; &amp;lt; a & b &nope;"]) == ["Köln –€ &lt; a & b &nope;"]
     assert values(spark, T.without_marks, ["Inter [a] (C), at Milan"]) == ["Inter"]
     assert values(spark, T.or_null, [" a ", " ", None]) == ["a", None, None]
     assert values(spark, T.host, ["https://U@WWW.Ex.com:80/a", "x"]) == ["www.ex.com", None]
@@ -141,6 +142,14 @@ def test_document_dates(spark):
     assert values(spark, lambda x: D.future_days_in(x, F.lit("2026-11-14").cast("date")), ["on 2026-11-13, 15.11.2026 and May 3, 2027"]) == [[dt.date(2026, 11, 15), dt.date(2027, 5, 3)]]
 
 
+def test_dates_that_a_rule_may_not_name(spark):
+    at = F.lit("2026-11-14").cast("date")
+    texts = ["by 30 June", "late June", "until 30.12.2026", "30/12/26 or 1/2/2026", "31 Feb 2026", "December 24", "24. Dezember 2025", "3. Jänner 2027", "2026-13-40"]
+    got = values(spark, lambda x: D.banned_dates(x, at), texts)
+    assert got == [[], [], ["30.12.2026"], ["30/12/26"], ["31 Feb 2026"], ["December 24"], [], ["3. Jänner 2027"], ["2026-13-40"]]
+    assert values(spark, D.document_dates, ["Stand: Jänner 2025", "Stand: 3. Maerz 2025"]) == [[dt.date(2025, 1, 31)], [dt.date(2025, 3, 3)]]
+
+
 def test_occurrences(spark):
     kind = "array<struct<date:string,dateSource:string>>"
     df = spark.createDataFrame(

@@ -29,6 +29,8 @@ def test_csv_by_header(spark, tmp_path):
     rows, rejected, unknown = S.csv_rows(spark, str(p), TableSpec(required=["a", "b"]))
     assert [(r["a"], r["b"]) for r in rows.collect()] == [("x, y", "1")] and unknown == ["extra"]
     assert [r["lost"] for r in rejected.collect()] == ["2,z,q,too,many"]
+    p.write_text('a,b\n"two\nlines",1\n\nlast,2\nshort\n')
+    assert [tuple(r) for r in S.csv_rows(spark, str(p), TableSpec(required=["a", "b"]))[0].orderBy("line").collect()] == [(2, "two\nlines", "1"), (5, "last", "2"), (6, "short", None)]
     with pytest.raises(ValueError, match="missing"):
         S.csv_rows(spark, str(p), TableSpec(required=["c"]))
     (tmp_path / "f.csv").write_text("date,home,away,feed,leadTimeDays\n2026-01-01, A ,B,My Feed,7\n")
@@ -57,7 +59,10 @@ def test_markup(spark):
     assert M.roster(html, {"team": ("team", "club"), "ground": ("ground",)}, "team") == [{"team": "T & 1", "ground": "G1", "link": "/t1"}]
     assert M.change_links(html) == [("/x", "In: X up"), ("/t1", "T & 1 G1")]
     wiki = "{{Infobox\n| ground = <!-- c -->[[Old Park|The {{nowrap|x}} Park]]<ref>r</ref>\n| capacity = {{n|1|2}} 5\n}}"
-    assert M.linked_name(M.infobox_value(wiki, ("stadium", "ground"))) == ("The Park".replace(" Park", "  Park").replace("  ", " "), "Old Park")
+    assert M.linked_name(M.infobox_value(wiki, ("stadium", "ground"))) == ("The Park", "Old Park")
+    assert M.infobox_value("{{Infobox|ground={{ill|Parc A|fr|Parc B}}, [[Town#East|Town]]<br/>x|a=1}}", ("ground",)) == "Parc A, [[Town#East|Town]]<br/>x"
+    assert M.linked_name("Parc A, [[Town#East|Town]]<br/>x") == ("Parc A, Town", "Town") and M.infobox_value("{{Box | ground = X ]] y", ("ground",)) == "X ]] y"
+    assert M.roster("<table><tr><th>Team</th></tr><tr><td>K&ouml;ln &#8211; 1</td></tr></table>", {"team": ("team",)}, "team")[0]["team"] == "Köln – 1"
     assert M.infobox_value(wiki, ("capacity",)) == "5"
     pages = spark.createDataFrame([(1, html), (2, None)], "k int, html string")
     got = M.scanned(pages, "k", "html", "struct<link:string,text:string>", M.change_links).collect()
@@ -68,10 +73,12 @@ def test_markup(spark):
 
 
 def test_retries_and_consistency(spark):
-    answers, waits = iter([(429, b""), (503, b""), (200, b"ok")]), []
-    assert N.retried(lambda: next(answers), sleep=waits.append) == b"ok" and waits == [1.0, 2.0]
+    answers, waits = iter([(429, b"", "7"), (503, b"", None), (0, b"", None), (200, b"ok", None)]), []
+    assert N.retried(lambda: next(answers), sleep=waits.append) == b"ok" and waits == [7.0, 2.0, 4.0]
     with pytest.raises(OSError, match="404"):
-        N.retried(lambda: (404, b""), sleep=waits.append)
+        N.retried(lambda: (404, b"", None), sleep=waits.append)
+    with pytest.raises(OSError, match="network error after 4"):
+        N.retried(lambda: (0, b"", None), sleep=waits.append)
     df = spark.createDataFrame([("bl1", "2026")], "league string, season string")
     assert N.consistent(df, league="bl1").count() == 1
     with pytest.raises(ValueError):
@@ -86,7 +93,7 @@ def test_rest_source(spark):
         def do_GET(self):
             self.send_response(200)
             self.end_headers()
-            self.wfile.write(self.path.encode())
+            self.wfile.write(f"{self.path} {self.headers['X-Auth-Token']}".encode())
 
         def log_message(self, *a):
             pass
@@ -95,9 +102,9 @@ def test_rest_source(spark):
     threading.Thread(target=server.serve_forever, daemon=True).start()
     spark.dataSource.register(N.RestSource)
     url = f"http://127.0.0.1:{server.server_port}/q?ids={{id}}"
-    rows = spark.read.format("tallymark_rest").option("url", url).option("ids", "a,b,c").option("batch", "2").option("gap", "0").load().collect()
+    rows = spark.read.format("tallymark_rest").option("url", url).option("ids", "a,b,c").option("batch", "2").option("gap", "0").option("headers", '{"X-Auth-Token": "t"}').load().collect()
     server.shutdown()
-    assert [(r["id"], r["body"]) for r in rows] == [("a|b", "/q?ids=a|b"), ("c", "/q?ids=c")]
+    assert [(r["id"], r["body"]) for r in rows] == [("a|b", "/q?ids=a|b t"), ("c", "/q?ids=c t")]
 
 
 def test_kept_and_partial_writes(spark, tmp_path):

@@ -39,7 +39,7 @@ def test_why_status_golden_vectors(spark):
 def test_majority_golden_vectors(spark):
     rows = [(5000, 5600, None, 5000), (7000, 7000, None, None), (None, 12000, 12400, None), (10000, 8000, 5000, 20000), (None, None, None, None)]
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, t int, w int, o int, s int")
-    m = R.majority({"table": "t", "stadiumdb": "s", "wikidata": "w", "osm": "o"})
+    m = R.majority({"table": "t", "stadiumdb": "s", "wikidata": "w", "osm": "o"}, {"table": "encyclopedia", "stadiumdb": "stadiumdb", "wikidata": "encyclopedia", "osm": "osm"})
     got = [(r["m"]["verdict"], r["m"]["proposed"], r["m"]["taken_from"]) for r in df.withColumn("m", m).orderBy("i").collect()]
     assert got == [("agreed", 5000, "table"), ("single-source", None, None), ("agreed", 12000, "wikidata"), ("contested", None, None), ("none", None, None)]
 
@@ -77,8 +77,8 @@ def test_name_strength(spark):
 def test_distance_join_equals_brute_force(spark):
     from tallymark.functions.geo import haversine
 
-    left = spark.range(60).select(F.col("id").alias("a"), (F.rand(1) * 140 - 70).alias("la"), (F.rand(2) * 360 - 180).alias("oa"))
-    right = spark.range(900).select(F.col("id").alias("b"), (F.rand(3) * 140 - 70).alias("lb"), (F.rand(4) * 360 - 180).alias("ob"))
+    left = spark.range(60).select(F.col("id").alias("a"), (F.rand(1) * 180 - 90).alias("la"), (F.rand(2) * 360 - 180).alias("oa"))
+    right = spark.range(900).select(F.col("id").alias("b"), (F.rand(3) * 180 - 90).alias("lb"), (F.rand(4) * 360 - 180).alias("ob"))
     left, right = left.cache(), right.cache()
     near = J.distance_join(left, right, 600_000, ("la", "oa"), ("lb", "ob")).select("a", "b")
     all_pairs = left.crossJoin(right).where(haversine("la", "oa", "lb", "ob") <= 600_000).select("a", "b")
