@@ -202,7 +202,7 @@ _NAMED_DAYS = [
     (r"\b([0-9]{1,2})\.\s?([0-9]{1,2})\.\s?([0-9]{4}|[0-9]{2})\b", (3, 2, 1)),
     (r"\b([0-9]{1,2})/([0-9]{1,2})/([0-9]{4}|[0-9]{2})\b", (3, 2, 1)),
     (rf"(?i)\b([0-9]{{1,2}})\.?\s+{_MONTH_WORD}\b(?:\.?,?\s+([0-9]{{4}})\b)?", (3, 2, 1)),
-    (rf"(?i)\b{_MONTH_WORD}\s+([0-9]{{1,2}})\b(?!\.?\s*(?:{_MONTH_WORD[1:])(?:\.?,?\s+([0-9]{{4}})\b)?", (3, 1, 2)),
+    (rf"(?i)\b{_MONTH_WORD}\s+([0-9]{{1,2}})\b(?!\.?\s*(?:{_MONTH_WORD[1:]})(?:\.?,?\s+([0-9]{{4}})\b)?", (3, 1, 2)),
 ]
 
 
