@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shared_dir, sliced, table, texts, written
+from .common import shared_dir, sliced, small_batches, table, texts, written
 from .tokens import coder, public
 
 MAGIC = b"TMBP"
@@ -144,7 +144,8 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end: int = END, kind:
     keyed = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("hash"), F.spark_partition_id().alias("part"))
     dealt = keyed.repartitionByRange("doc_id", "hash", "part").sortWithinPartitions("doc_id", "hash", "part").select("doc_id", "text")
     rows = dealt.mapInArrow(run, "value binary").select(F.col("value").cast("string"))
-    rows.write.option("lineSep", "\n").option("maxRecordsPerFile", FILE_SEGMENTS).text(path)
+    with small_batches(docs.sparkSession):
+        rows.write.option("lineSep", "\n").option("maxRecordsPerFile", FILE_SEGMENTS).text(path)
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame:

@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -47,10 +48,23 @@ def shared_dir(spark: SparkSession, what: str) -> str:
     return f"{root.rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """While it lasts, Arrow batches of BATCH_ROWS rows at most; afterwards the session is as it was."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(key)
+    spark.conf.set(key, min(BATCH_ROWS, int(was)) if int(was) > 0 else BATCH_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, was)
+
+
 def written(df: DataFrame, what: str, codec: str = "zstd", held: list[str] | None = None) -> DataFrame:
     """df as a Parquet table in the shared folder: cuts the lineage, survives a lost executor. Its folder joins held."""
     path = shared_dir(df.sparkSession, what)
-    df.write.option("compression", codec).parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.option("compression", codec).parquet(path)
     if held is not None:
         held.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
