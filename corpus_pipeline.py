@@ -7,7 +7,7 @@ document to the near-duplicate stage, which keeps one of them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.llm import minhash, mixing, packing, pii, tokens, toxicity
@@ -19,13 +19,16 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Word shingles of five, similarity 0.8 or more; the smallest doc_id of a group stays."""
+    """Word shingles of five, similarity 0.8 or more; the smallest doc_id of a group stays. Of several rows with that
+    doc_id one stays, the one with the smallest text (null before any); rows without a doc_id all stay."""
     judged = minhash.near_duplicates(docs, k=5, percent=80).where("doc_id is not null")
     judged = written(judged.groupBy("doc_id").agg(F.count("*").alias("rows"), F.first("kept").alias("kept")).where("not kept or rows > 1"), "judged")
-    out = docs.join(judged.where("not kept"), docs["doc_id"].cast("long") == judged["doc_id"], "left_anti")
+    own = docs["doc_id"].cast("long") == judged["doc_id"]
+    out = docs.join(judged, own, "left_anti")
     if judged.where("kept").head(1):
-        order = Window.partitionBy("doc_id").orderBy("text")
-        out = out.withColumn("_row", F.when(F.col("doc_id").isNull(), 1).otherwise(F.row_number().over(order))).where("_row = 1").drop("_row")
+        # an aggregation, as very many rows may have one doc_id
+        rows = docs.join(judged.where("kept"), own, "left_semi").select(F.col("doc_id").cast("long").alias("id"), F.struct("text").alias("by"), F.struct("*").alias("row"))
+        out = out.unionByName(rows.groupBy("id").agg(F.min_by("row", "by").alias("row")).select("row.*"))
     return out
 
 
