@@ -9,7 +9,8 @@ tokens, which is the library's default; texts that hold one then go to the libra
 from __future__ import annotations
 
 import json
-from functools import lru_cache
+import struct
+from functools import lru_cache, partial
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -50,13 +51,14 @@ class Coder:
     def __init__(self, path: str, special: bool = False):
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = not special
+        self.model = self.tok.model
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.spaced = (spec["pre_tokenizer"] or {}).get("type") == "ByteLevel"  # a word takes the space before it along
         self.letters = byte_letters()
         self.pieces = _Cache(self._piece)
-        self.words = _Cache(lambda w: self._word(w, ""))
-        self.after_space = _Cache(lambda w: self._word(w, " "))
+        self.words = _Cache(partial(self._word, ""))
+        self.after_space = _Cache(partial(self._word, " "))
         self.added = [t["content"] for t in spec["added_tokens"]]
         self.parted = self._spaced_text if self.spaced else self._words_text
         self.encode = self._special_text if special else self.parted
@@ -68,12 +70,18 @@ class Coder:
         return self.whole(text) if any(t in text for t in self.added) else self.parted(text)
 
     def _piece(self, piece: str) -> bytes:
-        return _bytes([t.id for t in self.tok.model.tokenize("".join(map(self.letters.__getitem__, piece.encode())))])
-
-    def _word(self, word: str, lead: str) -> bytes:
-        core, tail = (word[:-1], word[-1]) if word and word[-1] in _POINTS else (word, "")
-        if core.isalpha() and max(core) < "Ā":
-            return self.pieces[lead + (core if self.spaced else core.lower())] + (self.pieces[tail] if tail else b"")
+        if piece.isascii() and piece.isprintable():
+            shown = piece.replace(" ", self.letters[32])  # all other bytes of it stand for themselves
+        else:
+            shown = "".join(map(self.letters.__getitem__, piece.encode()))
+        ids = [t.id for t in self.model.tokenize(shown)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _word(self, lead: str, word: str) -> bytes:
+        core, tail = (word[:-1], word[-1]) if word[-1:] in _POINTS else (word, "")
+        if core.isalpha() and (core.isascii() or max(core) < "Ā"):
+            out = self.pieces[lead + (core if self.spaced else core.lower())]
+            return out + self.pieces[tail] if tail else out
         return self.whole(lead + word)
 
     def _words_text(self, text: str) -> bytes:
