@@ -10,6 +10,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,18 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterato
             yield batch.slice(at, rows)
 
 
+def sliced_by_bytes(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """The batches in slices whose texts in column have about that many bytes at most; a longer text is a slice alone."""
+    for batch in batches:
+        size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        at, ends = 0, np.cumsum(size)
+        while at < batch.num_rows:
+            start = ends[at] - size[at]
+            end = max(at + 1, int(np.searchsorted(ends, start + most, "right")))
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

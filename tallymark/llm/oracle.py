@@ -49,4 +49,16 @@ _OP7 = """WITH p AS (SELECT page_id, url, coalesce(html, '') AS h FROM pages), s
     SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, array_to_string(list_transform(v, lambda q: array_to_string(list_transform([35, 30, 25, 20, 15, 10, 5, 0], lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((q >> j) & 31)::INT, 1)), '')), '') AS payload_digest,
     CASE WHEN last = page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN last <> page_id THEN last END AS refers_to FROM b"""
 
-ORACLE_SQL = {"op1_minhash": _OP1, "op2_substrings": _OP2, "op3_repetition": _op3(), "op7_warc": _OP7}
+_OP13 = """WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL),
+    o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || x)) AS p FROM t),
+    l AS (SELECT conv_id, list({'role': role, 'x': x} ORDER BY p) AS ts, list_reduce([4294967295] || list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT), lambda crc, c: list_reduce([xor(crc, c), 0, 0, 0, 0, 0, 0, 0, 0], lambda s, k: xor(s >> 1, 3988292384 * (s & 1)))) AS crc FROM o GROUP BY conv_id),
+    h AS (SELECT *, xor(crc, 4294967295) % 6 AS h FROM l),
+    b AS (SELECT h.conv_id, list_concat(coalesce(base.ts[1:h.h], []), h.ts[h.h + 1:]) AS ts FROM h LEFT JOIN l base ON base.conv_id = h.conv_id - h.conv_id % 100),
+    g AS (SELECT d, ts[1:d] AS pre, min(conv_id) AS conv_id, count(*) AS n, sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(ts) = d), '')) AS ends FROM (SELECT *, unnest(range(len(ts) + 1)) AS d FROM b) GROUP BY ALL),
+    c AS (SELECT d - 1 AS d, pre[1:d - 1] AS pre, count(*) AS k FROM g WHERE d > 0 GROUP BY ALL),
+    v AS (SELECT g.*, coalesce(c.k, 0) AS k, CASE WHEN g.d > 0 THEN (g.n - 1) * length(g.pre[g.d].x) ELSE 0 END AS s FROM g LEFT JOIN c ON c.d = g.d AND c.pre = g.pre),
+    r AS (SELECT a, pre[1:a] AS pre, sum((k = 0)::BIGINT) AS leaves, sum(s) AS saved FROM (SELECT *, unnest(range(d + 1)) AS a FROM v) GROUP BY ALL)
+    SELECT v.conv_id, v.d AS depth, up.conv_id AS parent_conv_id, v.n AS n_convs, v.k AS n_children, r.leaves::BIGINT AS n_leaves, r.saved::BIGINT AS saved_tokens, v.ends AS ends_sha256
+    FROM v JOIN r ON r.a = v.d AND r.pre = v.pre LEFT JOIN v up ON up.d = v.d - 1 AND up.pre = v.pre[1:v.d - 1]"""
+
+ORACLE_SQL = {"op1_minhash": _OP1, "op2_substrings": _OP2, "op3_repetition": _op3(), "op7_warc": _OP7, "op13_trie": _OP13}

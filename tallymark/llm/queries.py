@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .archive import op7_warc
 from .bitplanes import op8_bitplanes
+from .bpe import op12_bpe
 from .minhash import op1_minhash
 from .mixing import op9_mixing
 from .neighbours import op5_neighbours
@@ -13,6 +14,7 @@ from .pii import op6_pii
 from .repetition import op3_repetition
 from .substrings import op2_substrings
 from .toxicity import op4_toxicity
+from .tries import op13_trie
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
@@ -27,4 +29,6 @@ QUERIES = {
     "op8_bitplanes": op8_bitplanes,
     "op9_mixing": op9_mixing,
     "op10_packing": op10_packing,
+    "op12_bpe": op12_bpe,
+    "op13_trie": op13_trie,
 }
