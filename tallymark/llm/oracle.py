@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .ranked import TERM
 from .repetition import MOST_COVERED, MOST_IN_LINES
 
 _WORDS = r"regexp_extract_all(coalesce({0}, ''), '[^\x20\x09-\x0D]+')"
@@ -61,4 +62,12 @@ _OP13 = """WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce
     SELECT v.conv_id, v.d AS depth, up.conv_id AS parent_conv_id, v.n AS n_convs, v.k AS n_children, r.leaves::BIGINT AS n_leaves, r.saved::BIGINT AS saved_tokens, v.ends AS ends_sha256
     FROM v JOIN r ON r.a = v.d AND r.pre = v.pre LEFT JOIN v up ON up.d = v.d - 1 AND up.pre = v.pre[1:v.d - 1]"""
 
-ORACLE_SQL = {"op1_minhash": _OP1, "op2_substrings": _OP2, "op3_repetition": _op3(), "op7_warc": _OP7, "op13_trie": _OP13}
+_OP11 = rf"""WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{TERM}') AS w FROM documents),
+    s AS (SELECT count(*) AS docs, sum(len(w)) AS total FROM d WHERE len(w) > 0),
+    p AS (SELECT doc_id, any_value(n) AS n, term, count(*) AS tf FROM (SELECT doc_id, len(w) AS n, unnest(w) AS term FROM d) GROUP BY doc_id, term),
+    f AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM p, s GROUP BY term),
+    i AS (SELECT item_id, term, count(*) AS m FROM (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{TERM}')) AS term FROM benchmark) GROUP BY ALL),
+    r AS (SELECT item_id, doc_id, CAST(sum(m * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // total)))) AS BIGINT) AS score FROM i JOIN p USING (term) JOIN f USING (term), s GROUP BY ALL)
+    SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM r WHERE score > 0) WHERE rank <= 20"""
+
+ORACLE_SQL = {"op1_minhash": _OP1, "op2_substrings": _OP2, "op3_repetition": _op3(), "op7_warc": _OP7, "op11_ranked": _OP11, "op13_trie": _OP13}

@@ -11,6 +11,7 @@ from .neighbours import op5_neighbours
 from .oracle import ORACLE_SQL
 from .packing import op10_packing
 from .pii import op6_pii
+from .ranked import op11_ranked
 from .repetition import op3_repetition
 from .substrings import op2_substrings
 from .toxicity import op4_toxicity
@@ -29,6 +30,7 @@ QUERIES = {
     "op8_bitplanes": op8_bitplanes,
     "op9_mixing": op9_mixing,
     "op10_packing": op10_packing,
+    "op11_ranked": op11_ranked,
     "op12_bpe": op12_bpe,
     "op13_trie": op13_trie,
 }
