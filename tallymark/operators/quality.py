@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import day
@@ -236,16 +236,56 @@ def aged_rows(rows: DataFrame, refs: Column, sources: DataFrame, source_key: str
     return newest.where(F.col("marked") & (F.col("newest") < year_before(as_of))).select(row, "newest")
 
 
-def interval_problems(rows: DataFrame, start: str, end: str, row: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(valid rows with inclusive days, rejected rows, overlapping pairs). Both rows of an overlap stay. Pairs meet on
-    the months they touch, so the join is an equality join."""
+#: Levels of day blocks: the largest has two to this power of days.
+BLOCK_LEVELS = 10
+
+
+def _blocks(first: Column, last: Column) -> Column:
+    """The days from first to last (numbers) as blocks of 1, 2, 4, ... days that start at multiples of their length: each
+    day in exactly one, two of a length at most, but any number of the longest."""
+
+    def level(k: int) -> list[Column]:
+        lo, hi = F.shiftright(first + ((1 << k) - 1), k), F.shiftright(last + 1, k)
+        block = lambda b: F.struct(F.lit(k).alias("level"), b.cast("long").alias("block"))
+        if k == BLOCK_LEVELS:
+            return [F.when(lo < hi, F.transform(F.sequence(lo, F.greatest(lo, hi - 1)), block))]
+        odd = lambda x: x.bitwiseAND(F.lit(1)) == 1
+        return [F.when((lo < hi) & odd(lo), F.array(block(lo))), F.when((lo < hi) & odd(hi), F.array(block(hi - 1)))]
+
+    return F.flatten(F.filter(F.array(*(x for k in range(BLOCK_LEVELS + 1) for x in level(k))), lambda x: x.isNotNull()))
+
+
+def overlapping(rows: DataFrame, start: str, end: str, row: str, scope: list[str] = ()) -> DataFrame:
+    """Pairs (a, b), a before b by row, of intervals of a scope that share a day; start and end are days. A pair comes
+    from the later one's first day alone, which lies in one block of the earlier one: the join is an equality join whose
+    every match but those of one row with itself is a pair, so its work is the result's."""
+    s, e = F.unix_date(start), F.unix_date(end)
+    spans = rows.where(F.col(end) >= F.col(start)).select(F.struct(F.lit(0), *scope).alias("_scope"), F.col(row).alias("_row"), s.alias("_s"), e.alias("_e"))
+    earlier = spans.select("_scope", F.col("_row").alias("_a"), F.col("_s").alias("_sa"), F.explode(_blocks(F.col("_s"), F.col("_e"))).alias("_block"))
+    days = F.array(*(F.struct(F.lit(k).alias("level"), F.shiftright("_s", k).cast("long").alias("block")) for k in range(BLOCK_LEVELS + 1)))
+    later = spans.select("_scope", F.col("_row").alias("_b"), F.col("_s").alias("_sb"), F.explode(days).alias("_block"))
+    pairs = earlier.join(later, ["_scope", "_block"]).where("_sa < _sb or (_sa = _sb and _a < _b)")
+    return pairs.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"))
+
+
+def overlap_totals(rows: DataFrame, start: str, end: str, scope: list[str]) -> DataFrame:
+    """Scope, rows and overlaps, the number of overlapping pairs, without making a pair: an interval overlaps those
+    that are open when it starts, whose number is a running sum over days."""
+    spans = rows.where(F.col(end) >= F.col(start))
+    began = spans.select(*scope, F.col(start).alias("_day"), F.lit(1).alias("_in"), F.lit(0).alias("_out"))
+    ended = spans.select(*scope, F.date_add(end, 1).alias("_day"), F.lit(0).alias("_in"), F.lit(1).alias("_out"))
+    days = began.unionByName(ended).groupBy(*scope, "_day").agg(F.sum("_in").alias("_in"), F.sum("_out").alias("_out"))
+    before = Window.partitionBy(*scope).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    still = F.coalesce(F.sum(F.col("_in") - F.col("_out")).over(before), F.lit(0)) - F.col("_out")
+    met = days.withColumn("_met", F.col("_in") * still + F.floor(F.col("_in") * (F.col("_in") - 1) / 2))
+    return met.groupBy(*scope).agg(F.sum("_in").alias("rows"), F.sum("_met").cast("long").alias("overlaps"))
+
+
+def interval_problems(rows: DataFrame, start: str, end: str, row: str, scope: list[str] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(valid rows with inclusive days, rejected rows, overlapping pairs within a scope). Both rows of an overlap stay."""
     s, e = day(start), day(end)
     parsed = rows.withColumn("_s", s).withColumn("_e", e)
     reason = F.when(F.col("_s").isNull() | F.col("_e").isNull(), "not a day").when(F.col("_e") < F.col("_s"), "ends before it starts")
     valid = parsed.where(reason.isNull())
-    month = F.explode(F.sequence(F.trunc("_s", "month"), F.trunc("_e", "month"), F.expr("interval 1 month")))
-    a = valid.select(F.col(row).alias("a"), F.col("_s").alias("as_"), F.col("_e").alias("ae"), month.alias("m"))
-    b = valid.select(F.col(row).alias("b"), F.col("_s").alias("bs"), F.col("_e").alias("be"), month.alias("m"))
-    overlaps = a.join(b, "m").where("a < b and as_ <= be and bs <= ae").select("a", "b").distinct()
     days = valid.withColumn("days", F.date_diff("_e", "_s") + 1).drop("_s", "_e")
-    return days, parsed.withColumn("reason", reason).where("reason is not null").drop("_s", "_e"), overlaps
+    return days, parsed.withColumn("reason", reason).where("reason is not null").drop("_s", "_e"), overlapping(valid, "_s", "_e", row, scope)

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from math import asin, cos, radians, sin, sqrt
+from collections.abc import Callable, Iterator
+from math import asin, cos, pi, radians, sin, sqrt
 
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geo import drawable, haversine, road_km
+from ..functions.geo import EARTH_M, drawable, haversine, road_km
+from ..storage import stored
 
 
 def first_of_each(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -28,38 +29,94 @@ def shortlist(rows: DataFrame, key: str, level: str, blocked: Column | None = No
     return kept.withColumn("verdict", F.when(one, "confident").otherwise("ambiguous"))
 
 
-def collapsed(rows: DataFrame, key: str, ref: str, lat: str, lon: str, strength: str, order: str, metres: float = 200.0) -> DataFrame:
-    """Candidates in order; one with the ref of a kept candidate, or within the distance of one, joins it, and the
-    strongest (smallest) strength wins.
+#: Undecided rows that one task walks through in order.
+WALK_ROWS = 50_000
+
+
+def _cube(p: Column, side: float) -> Column:
+    return F.transform(p, lambda x: F.floor((x + 1) / side).cast("long"))
+
 
-    The outcome depends on the order, so Python walks each key's rows, looking in a table of refs and in grid cells as
-    large as the distance rather than at every kept row. A key's rows must fit in a worker.
+def _around(cube: Column) -> Column:
+    """The cube and the 26 round it: at any latitude and longitude, all that lies within a cube's side."""
+    return F.explode(F.array(*(F.array(cube[0] + i, cube[1] + j, cube[2] + k) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1))))
+
+
+def collapsed(rows: DataFrame, key: str, ref: str, lat: str, lon: str, strength: str, order: str, metres: float = 200.0) -> DataFrame:
+    """Candidates in order (then by ref); one with the ref of a kept candidate of its key, or within the distance of
+    one, joins the first such candidate, and the strongest (smallest) strength wins. A row without a position meets others
+    by its ref alone, one without a ref by its position; nulls come last in the order.
+
+    The outcome is that of a walk in order, made in rounds. Rows lie in cubes as wide as the distance. A row that comes
+    before all undecided rows of its cube, the cubes around and its ref is kept; then all undecided rows that it takes in
+    are decided too. So no pairs of rows are made, kept ones are sparse, and no task holds a key; when WALK_ROWS or fewer
+    rows are left, one walk decides them.
     """
-    schema = rows.schema
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        kept: list[dict] = []
-        by_ref: dict[object, dict] = {}
-        by_cell: dict[tuple[int, int], list[dict]] = {}
-        step = metres / 111_000.0
-        for n, r in enumerate(group.sort_values([order, ref]).to_dict("records")):
-            y, x = int(r[lat] // step), int(r[lon] // step)
-            wide = 1 + int(1 / max(0.01, cos(radians(min(89.0, abs(r[lat]) + step)))))
-            near = [k for i in (-1, 0, 1) for j in range(-wide, wide + 1) for k in by_cell.get((y + i, x + j), ())]
-            found = [k for k in near if _metres(k["at"][0], k["at"][1], r[lat], r[lon]) <= metres]
-            if r[ref] in by_ref:
-                found.append(by_ref[r[ref]])
-            if not found:
-                k = {"row": r, "at": (r[lat], r[lon]), "n": n}
-                kept.append(k)
-                by_ref[r[ref]] = k
-                by_cell.setdefault((y, x), []).append(k)
-                continue
-            first = min(found, key=lambda k: k["n"])["row"]
-            first[strength] = min(first[strength], r[strength])
-        return pd.DataFrame([k["row"] for k in kept], columns=schema.names)
-
-    return rows.groupBy(key).applyInPandas(run, schema)
+    held: list[str] = []
+    side = 2 * sin(min(pi / 2, metres / EARTH_M / 2)) * 1.0001 + 1e-12
+    a, b = F.radians(F.col(lat)), F.radians(F.col(lon))
+    at = F.when(F.col(lat).isNotNull() & F.col(lon).isNotNull() & ~F.isnan(lat) & ~F.isnan(lon), F.array(F.cos(a) * F.cos(b), F.cos(a) * F.sin(b), F.sin(a)))
+    place = F.struct(F.col(order).isNull().alias("no"), F.col(order).alias("o"), F.col(ref).isNull().alias("nr"), F.col(ref).alias("r"), F.col("_id").alias("id"))
+    base = stored(rows.withColumn("_id", F.monotonically_increasing_id()), "candidates", held)
+    own = base.select("_id", F.struct(F.col(key).alias("k")).alias("_key"), F.col(ref).alias("_ref"), place.alias("_o"), _cube(at, side).alias("_cube"), F.col(lat).cast("double").alias("_lat"), F.col(lon).cast("double").alias("_lon"), F.col(strength).alias("_s"))
+    own = stored(own, "candidates", held)
+    left, rounds = own.drop("_s"), []
+    while (n := left.count()) > WALK_ROWS:
+        lead = left.where("_cube is not null").groupBy("_key", "_cube").agg(F.min("_o").alias("_o"), F.min_by("_ref", "_o").alias("_ref"))
+        beside = lead.select("_key", "_o", "_ref", _around(F.col("_cube")).alias("_cube")).join(lead.select("_key", "_cube", F.col("_o").alias("_other")), ["_key", "_cube"])
+        in_cubes = beside.groupBy("_key", "_o").agg(F.min("_other").alias("_other"), F.first("_ref").alias("_ref")).where("_o = _other")
+        in_refs = left.where("_ref is not null").groupBy("_key", "_ref").agg(F.min("_o").alias("_o"), F.min_by(F.col("_cube").isNull(), "_o").alias("_placeless"))
+        won = in_cubes.where("_ref is null").select("_key", "_o").unionByName(in_refs.where("_placeless").select("_key", "_o"))
+        won = won.unionByName(in_cubes.where("_ref is not null").select("_key", "_o").join(in_refs.select("_key", "_o"), ["_key", "_o"]))
+        won = won.select(F.col("_o.id").alias("_id")).unionByName(left.where("_cube is null and _ref is null").select("_id"))
+        won = stored(left.join(won, "_id", "left_semi"), "kept", held)
+        rounds.append(won)
+        near = won.where("_cube is not null").select(F.col("_key").alias("_wk"), _around(F.col("_cube")).alias("_wc"), F.col("_lat").alias("_wa"), F.col("_lon").alias("_wo"))
+        left = left.join(won.select("_id"), "_id", "left_anti").join(won.where("_ref is not null").select("_key", "_ref"), ["_key", "_ref"], "left_anti")
+        close = (F.col("_key") == F.col("_wk")) & (F.col("_cube") == F.col("_wc")) & (haversine("_lat", "_lon", "_wa", "_wo") <= metres)
+        left = stored(left.join(near, close, "left_anti"), "left", held)
+    if n:
+        # at most WALK_ROWS rows; they alone can still take each other in
+        walk = left.select(F.to_json("_key").alias("_key"), "_id", "_ref", "_cube", "_lat", "_lon", F.col("_o")).coalesce(1).sortWithinPartitions("_key", "_o").drop("_o")
+        rounds.append(own.drop("_s").join(walk.mapInPandas(_walker(metres), "_id long"), "_id", "left_semi"))
+    kept = rounds[0] if rounds else own.drop("_s")
+    for more in rounds[1:]:
+        kept = kept.unionByName(more)
+    kept = stored(kept, "kept", held)
+    others = own.join(kept.select("_id"), "_id", "left_anti")
+    first = kept.select(F.col("_key").alias("_wk"), F.col("_ref").alias("_wr"), F.col("_o").alias("_first"), F.col("_cube").alias("_wc"), F.col("_lat").alias("_wa"), F.col("_lon").alias("_wo"))
+    by_ref = others.join(first.where("_wr is not null"), (F.col("_key") == F.col("_wk")) & (F.col("_ref") == F.col("_wr"))).where("_first < _o").select("_id", "_s", "_first")
+    around = first.where("_wc is not null").withColumn("_wc", _around(F.col("_wc")))
+    by_place = others.join(around, (F.col("_key") == F.col("_wk")) & (F.col("_cube") == F.col("_wc"))).where((F.col("_first") < F.col("_o")) & (haversine("_lat", "_lon", "_wa", "_wo") <= metres)).select("_id", "_s", "_first")
+    joined = by_ref.unionByName(by_place).groupBy("_id").agg(F.min("_first").alias("_first"), F.first("_s").alias("_s"))
+    best = joined.groupBy(F.col("_first.id").alias("_id")).agg(F.min("_s").alias("_best"))
+    out = base.join(kept.select("_id"), "_id", "left_semi").join(best, "_id", "left")
+    return out.select(*(F.least(F.col(c), F.col("_best")).alias(c) if c == strength else F.col(c) for c in rows.columns))
+
+
+def _walker(metres: float) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """The walk in order over rows sorted by key and order: the ids of those that no earlier kept one takes in."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, refs, cubes = None, set(), {}
+        for frame in frames:
+            kept = []
+            for key, i, ref, cube, lat, lon in frame.itertuples(index=False):
+                if key != now:
+                    now, refs, cubes = key, set(), {}
+                at = None if cube is None else tuple(int(c) for c in cube)
+                if ref is not None and ref == ref and ref in refs:
+                    continue
+                if at and any(_metres(lat, lon, *p) <= metres for i_ in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1) for p in cubes.get((at[0] + i_, at[1] + j, at[2] + k), ())):
+                    continue
+                kept.append(i)
+                if ref is not None and ref == ref:
+                    refs.add(ref)
+                if at:
+                    cubes.setdefault(at, []).append((lat, lon))
+            yield pd.DataFrame({"_id": pd.Series(kept, dtype="int64")})
+
+    return run
 
 
 def _metres(a: float, b: float, c: float, d: float) -> float:
@@ -86,11 +143,11 @@ def largest_gaps(rows: DataFrame, a: str, b: str, row: str, k: int = 12) -> Data
 
 
 def placed(rows: DataFrame, order: list[Column]) -> DataFrame:
-    """Rows with their place in the whole order, from 1. Ranges of the order are sorted apart; a place is
-    the row's in its range after the rows of the ranges before, of which there are as many counts as partitions."""
+    """Rows with their place in the whole order, from 1. Ranges of the order are sorted apart and written to
+    the shared folder; a place is the row's in its range after the rows of the ranges before, of which there are as many
+    counts as partitions."""
     ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    # both uses read the same ranges: kept on disk, or made again from the same range bounds
-    ranged = ranged.select("*", F.spark_partition_id().alias("_range"), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_at")).persist(StorageLevel.DISK_ONLY)
+    ranged = stored(ranged.select("*", F.spark_partition_id().alias("_range"), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_at")), "ranges")
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     counts = ranged.groupBy("_range").agg(F.count("*").alias("_n")).select("_range", before.alias("_before"))
     return ranged.join(counts, "_range").withColumn("place", F.col("_before") + F.col("_at") + 1).drop("_range", "_at", "_before")

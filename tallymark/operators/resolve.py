@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import EARTH_M, haversine
 from ..functions.textkeys import name_parts
+from .globe import nearest_metres
 
 
 def lookup(rows: DataFrame, dim: DataFrame, key: str, dim_key: str, fields: dict[str, str]) -> DataFrame:
@@ -90,10 +91,14 @@ def distance_join(left: DataFrame, right: DataFrame, metres: float, left_at: tup
 
 
 def nearest_within(left: DataFrame, right: DataFrame, metres: float, left_at: tuple[str, str], right_at: tuple[str, str], row: str, order: str) -> DataFrame:
-    """Each left row with the nearest right row within the distance, ties to the smaller `order`; nulls without."""
+    """Each left row with the nearest right row within the distance, ties to the smaller `order`, and its distance. Rows
+    without one have nulls for it but the distance of the nearest all the same; rows without a position, or with nothing
+    on the right, have no distance. Only rows without a hit search farther, see globe.nearest_metres()."""
     pairs = distance_join(left, right, metres, left_at, right_at)
     best = pairs.groupBy(row).agg(F.min_by(F.struct(*(c for c in right.columns), "metres"), F.struct("metres", order)).alias("_n"))
-    return left.join(best, row, "left").select(*left.columns, *(F.col("_n")[c].alias(c) for c in [*right.columns, "metres"]))
+    found = left.join(best, row, "left")
+    far = nearest_metres(found.where("_n is null").select(row, *left_at), right, left_at, right_at, row).withColumnRenamed("metres", "_far")
+    return found.join(far, row, "left").select(*left.columns, *(F.col("_n")[c].alias(c) for c in right.columns), F.coalesce(F.col("_n")["metres"], "_far").alias("metres"))
 
 
 def containment_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_words: Column, right_words: Column, common: list[str] | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geo import EARTH_M, haversine
+from .globe import farthest
 
 
 def folded(rows: DataFrame, key: str, order: str, first: list[str], last: list[str] = (), lists: list[str] = ()) -> DataFrame:
@@ -137,30 +137,9 @@ def translation_coverage(rows: DataFrame, by: str, text: str, translated: str, c
     return rows.groupBy(by).agg(F.count_if(done).alias("done"), F.count("*").alias("total"), F.count_if(F.col(translated).isNotNull() & ~current).alias("stale"), (F.sum(F.when(done, F.length(text)).otherwise(0)) / F.sum(F.length(text))).alias("share"))
 
 
-def _chord(lat: str, lon: str) -> tuple[Column, Column, Column]:
-    a, b = F.radians(lat), F.radians(lon)
-    return F.cos(a) * F.cos(b), F.cos(a) * F.sin(b), F.sin(a)
-
-
 def largest_spread(rows: DataFrame, by: str, lat: str, lon: str) -> DataFrame:
-    """The largest distance between two of a group's hits; 0 for one.
-
-    A point's distance to the far corner of its group's box (of chords through the globe) is the most that it can be from
-    any other; the distances among the box's extreme points are a least value of the answer. Only points that can reach
-    it are paired, row by row.
-    """
-    axes = ["_x", "_y", "_z"]
-    pts = rows.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(by, F.col(lat).alias("_lat"), F.col(lon).alias("_lon")).distinct()
-    pts = pts.select("*", *(c.alias(n) for c, n in zip(_chord("_lat", "_lon"), axes, strict=True)))
-    at = F.struct("_lat", "_lon")
-    ends = [f(at, c).alias(f"{n}{c}") for c in axes for n, f in (("lo", F.min_by), ("hi", F.max_by))]
-    box = pts.groupBy(by).agg(*(F.min(c).alias(f"min{c}") for c in axes), *(F.max(c).alias(f"max{c}") for c in axes), *ends)
-    six = F.array(*(F.col(f"{n}{c}") for c in axes for n in ("lo", "hi")))
-    far = F.array_max(F.flatten(F.transform(six, lambda a: F.transform(six, lambda b: haversine(a["_lat"], a["_lon"], b["_lat"], b["_lon"])))))
-    box = box.select(by, far.alias("_least"), *(f"{m}{c}" for m in ("min", "max") for c in axes))
-    span = lambda c: F.greatest(F.col(c) - F.col(f"min{c}"), F.col(f"max{c}") - F.col(c))
-    reach = F.least(F.lit(2.0), F.sqrt(sum((F.pow(span(c), 2) for c in axes), F.lit(0.0))))
-    can = pts.join(box, by).where(2 * EARTH_M * F.asin(reach / 2) * 1.000001 >= F.col("_least"))
-    one = can.select(by, F.col("_lat").alias("_a"), F.col("_lon").alias("_o"))
-    best = can.select(by, "_lat", "_lon").join(one, by).groupBy(by).agg(F.max(haversine("_lat", "_lon", "_a", "_o")).alias("spread_m"))
-    return rows.select(by).distinct().join(best, by, "left").withColumn("spread_m", F.coalesce("spread_m", F.lit(0.0)))
+    """The largest distance between two of a group's hits; 0 for one, or for none with a position. Groups may have any
+    number of hits, anywhere on the globe: see globe.farthest()."""
+    best = farthest(rows, by, lat, lon).withColumnRenamed("metres", "spread_m")
+    groups = rows.select(by).distinct()
+    return groups.join(best.withColumnRenamed(by, "_by"), F.col(by).eqNullSafe(F.col("_by")), "left").select(by, F.coalesce("spread_m", F.lit(0.0)).alias("spread_m"))

@@ -147,8 +147,8 @@ ORACLE_SQL = {
         JOIN region ON n_regionkey = r_regionkey WHERE {_KM} <= 3000 ORDER BY km, tier, s_name LIMIT 50""",
     "near_me_page": f"WITH {_S} SELECT s_suppkey, tier, CAST({_KM} AS BIGINT) AS km FROM s WHERE tier IN (1,2) AND {_KM} <= 1500 ORDER BY km, tier, s_name LIMIT 10 OFFSET 10",
     "nearest_within_radius": f"""WITH {_S}, {_C}, p AS (SELECT c_custkey, s_suppkey, {_hav('c_lat', 'c_lon', 'lat', 'lon')} AS m FROM c, s),
-        r AS (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY m, s_suppkey) AS k FROM p WHERE m <= 60000)
-        SELECT c.c_custkey, r.s_suppkey, round(r.m, 1) AS metres FROM c LEFT JOIN r ON c.c_custkey = r.c_custkey AND k = 1""",
+        r AS (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY m, s_suppkey) AS k FROM p)
+        SELECT c.c_custkey, CASE WHEN r.m <= 60000 THEN r.s_suppkey END AS s_suppkey, round(r.m, 1) AS metres FROM c LEFT JOIN r ON c.c_custkey = r.c_custkey AND k = 1""",
     "distance_band": f"WITH {_S}, {_C}, p AS (SELECT s_suppkey, c_custkey, {_hav('lat', 'lon', 'c_lat', 'c_lon')} AS m FROM c, s) SELECT s_suppkey, c_custkey, round(m, 1) AS metres FROM p WHERE m <= 40000",
     "viewport_groups": f"""WITH {_C} SELECT CAST(floor(c_lat) AS BIGINT) AS lat1, CAST(floor(c_lon) AS BIGINT) AS lon1, count(*) OVER p AS n, c_custkey
         FROM c WHERE c_lat BETWEEN 37.0 AND 49.0 AND c_lon BETWEEN -6.0 AND 18.0 WINDOW p AS (PARTITION BY floor(c_lat), floor(c_lon)) QUALIFY count(*) OVER p > 1""",

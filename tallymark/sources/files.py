@@ -6,15 +6,17 @@ import csv
 import io
 import zipfile
 from collections.abc import Iterator
+from itertools import chain, groupby
 from xml.etree import ElementTree
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.textkeys import or_null, slug
 from ..operators.quality import TableSpec, column_problems
+from ..storage import stored
 
 
 def envelopes(spark: SparkSession, path: str, schema: str | StructType, pattern: str = "*.json") -> DataFrame:
@@ -33,41 +35,141 @@ def rows_of(docs: DataFrame, field: str, keep: list[str] = ()) -> DataFrame:
     return docs.select(*keep, F.posexplode(field).alias("ord", "_r")).select(*keep, "ord", "_r.*")
 
 
+#: The longest cell, in characters.
+LONGEST_CELL = 1 << 30
+
+
+def _lines(value: str) -> list[str]:
+    """What the text reader takes for one line, with its end and parted at lone carriage returns too."""
+    return [value + "\n"] if "\r" not in value else list(io.StringIO(value + "\n", newline=""))
+
+
+def _quoted_after(line: str, quoted: bool, sep: str) -> bool:
+    """Whether a quoted cell is open at a line's end, given whether one is at its start."""
+    if '"' not in line:
+        return quoted
+    reader = csv.reader(iter(['"' + line if quoted else line, "\n"]), delimiter=sep)
+    next(reader)
+    return reader.line_num == 2
+
+
+def _by_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, Iterator[str]]]:
+    """The lines of each chunk of a file: (file, place in the file, lines). A chunk's lines come together, in order."""
+    rows = ((f, at, v) for b in batches for f, at, v in zip(b.column("file").to_pylist(), b.column("at").to_pylist(), b.column("value").to_pylist(), strict=True))
+    for (f, at), found in groupby(rows, key=lambda r: r[:2]):
+        lines = (line for _, _, v in found for line in _lines(v))
+        if at == 0:
+            lines = chain([next(lines).removeprefix("\ufeff")], lines)
+        yield f, at, lines
+
+
+def csv_records(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    """file, line (the one a record starts at) and cells of the records of CSV files that aren't blank, as csv.reader reads
+    them, with quoted line ends. A large file is read by many tasks.
+
+    Spark's text reader cuts files into chunks at line ends. Whether a chunk starts inside a quoted cell depends on all
+    before it: a first pass finds for each chunk, for either start, how it ends, and its number of lines; running over a
+    file's chunks that gives each one's start and first line. The second pass parses the chunks side by side. A record
+    over several chunks comes as pieces, which are put together and parsed last.
+    """
+    csv.field_size_limit(LONGEST_CELL)
+    text = spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value")
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        csv.field_size_limit(LONGEST_CELL)
+        for f, at, lines in _by_chunk(batches):
+            n, plain, quoted = 0, False, True
+            for line in lines:
+                n += 1
+                if '"' in line:
+                    plain, quoted = _quoted_after(line, plain, sep), _quoted_after(line, quoted, sep)
+            yield pa.RecordBatch.from_pydict({"file": [f], "at": [at], "lines": [n], "plain": [plain], "quoted": [quoted]}, pa.schema([("file", pa.string()), ("at", pa.int64()), ("lines", pa.int64()), ("plain", pa.bool_()), ("quoted", pa.bool_())]))
+
+    chunks = stored(text.mapInArrow(ends, "file string, at long, lines long, plain boolean, quoted boolean"), "chunks")
+    # a row for each chunk of a file, in order. A chunk keeps what it starts with, or turns it round, or ends in one way
+    # whatever its start; so a start is that of the last chunk of the third kind, turned round as often as since then
+    order = Window.partitionBy("file").orderBy("at")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    turns = F.sum((F.col("plain") & ~F.col("quoted")).cast("int"))
+    fixed = F.when(F.col("plain") == F.col("quoted"), F.struct(F.col("plain").alias("ends"), F.col("_turns").alias("turns")))
+    chunks = chunks.withColumn("_turns", turns.over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn("_last", F.last(fixed, ignorenulls=True).over(before))
+    since = F.coalesce(turns.over(before), F.lit(0)) - F.coalesce(F.col("_last")["turns"], F.lit(0))
+    start = (since % 2 == 1) != F.coalesce(F.col("_last")["ends"], F.lit(False))
+    starts = stored(chunks.select("file", "at", F.coalesce(F.sum("lines").over(before), F.lit(0)).alias("before"), start.alias("start")), "starts")
+    # at most a name and a number for each chunk of the text reader (128 MB of input unless set otherwise)
+    inside = {(r[0], r[1]) for r in starts.where("start").select("file", "at").toLocalIterator()}
+    shape = pa.schema([("file", pa.string()), ("at", pa.int64()), ("line", pa.int64()), ("cells", pa.list_(pa.string())), ("piece", pa.string()), ("opens", pa.bool_())])
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        csv.field_size_limit(LONGEST_CELL)
+        for f, at, lines in _by_chunk(batches):
+            rows: list[tuple] = []
+            n, held, quoted = 0, [], (f, at) in inside
+            if quoted:  # the end of a record that an earlier chunk began
+                head = []
+                for line in lines:
+                    head.append(line)
+                    quoted = _quoted_after(line, quoted, sep)
+                    if not quoted:
+                        break
+                rows.append((f, at, 0, None, "".join(head), False))
+                n = len(head)
+            for line in lines:
+                held.append(line)
+                quoted = _quoted_after(line, quoted, sep)
+                if quoted:
+                    continue
+                if len(held) == 1 and not line.strip():
+                    n, held = n + 1, []
+                    continue
+                cells = next(csv.reader(iter(held), delimiter=sep))
+                if any(c.strip() for c in cells):
+                    rows.append((f, at, n, cells, None, None))
+                n, held = n + len(held), []
+                if len(rows) >= 4096:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), shape.types, strict=True)], schema=shape)
+                    rows = []
+            if held:
+                rows.append((f, at, n, None, "".join(held), True))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), shape.types, strict=True)], schema=shape)
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        csv.field_size_limit(LONGEST_CELL)
+        for batch in batches:
+            for f, at, line, pieces in zip(*(batch.column(c).to_pylist() for c in ("file", "at", "line", "pieces")), strict=True):
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(([f], [at], [line], [next(csv.reader(io.StringIO("".join(pieces), newline=""), delimiter=sep))]), list(shape.types)[:4], strict=True)], names=["file", "at", "line", "cells"])
+
+    parsed = stored(text.mapInArrow(parse, "file string, at long, line long, cells array<string>, piece string, opens boolean"), "records")
+    pieces = parsed.where("piece is not null")
+    opened = F.max(F.when(F.col("opens"), F.struct("at", "line"))).over(Window.partitionBy("file").orderBy("at", "line").rowsBetween(Window.unboundedPreceding, 0))
+    joined = pieces.withColumn("_of", opened).groupBy("file", F.col("_of.at").alias("at"), F.col("_of.line").alias("line")).agg(F.transform(F.array_sort(F.collect_list(F.struct(F.col("at").alias("a"), F.col("line").alias("l"), "piece"))), lambda s: s["piece"]).alias("pieces"))
+    records = parsed.where("piece is null").select("file", "at", "line", "cells").unionByName(joined.mapInArrow(whole, "file string, at long, line long, cells array<string>"))
+    return records.join(starts.select("file", "at", "before"), ["file", "at"]).select("file", (F.col("line") + F.col("before") + 1).alias("line"), "cells")
+
+
 def csv_rows(spark: SparkSession, path: str, spec: TableSpec, sep: str = ",") -> tuple[DataFrame, DataFrame, list[str]]:
     """S3: (rows, rejected, unknown columns) of CSV tables with a header, read by the header's names in any order. Rows
     have their line, the one they start at; cells may hold quoted line ends; a row with more values than the header is
     rejected with the whole row; blank lines are skipped.
 
-    A line's number needs what is before it, so a file is read in one task; files are read side by side. All of them have
-    the first one's columns. Only the header comes to the driver.
+    Each file's first record is its header; all files have the first one's columns. Only that header comes to the driver.
     """
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    first = files.orderBy("path").select(F.substring("content", 1, 1 << 16).alias("c")).first()
-    if first is None or not bytes(first["c"]).strip():
+    records = csv_records(spark, path, sep)
+    heads = stored(records.groupBy("file").agg(F.min_by("cells", "line").alias("head"), F.min("line").alias("first")), "headers")
+    heads = heads.select("file", "first", F.transform("head", F.trim).alias("head"))
+    lead = heads.orderBy("file").first()
+    if lead is None:
         raise ValueError(f"{path} is empty")
-    names = [c.strip() for c in next(csv.reader(io.StringIO(bytes(first["c"]).decode("utf-8-sig", "ignore")), delimiter=sep))]
+    names = list(lead["head"])
     lacking, unknown = column_problems(names, spec)
     if lacking:
         raise ValueError(f"columns missing: {', '.join(lacking)}")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for content in batch.column("content"):
-                reader = csv.reader(io.StringIO(content.as_py().decode("utf-8-sig"), newline=""), delimiter=sep)
-                header, rows, line = None, [], 1
-                for cells in reader:
-                    if any(c.strip() for c in cells):
-                        if header is None:
-                            header = [c.strip() for c in cells]
-                        else:
-                            rows.append((line, dict(zip(header, cells)), cells if len(cells) > len(header) else None))  # noqa: B905  a short row lacks its last cells
-                    line = reader.line_num + 1
-                out = [pa.array([r[0] for r in rows], pa.int64()), pa.array([list(map(r[1].get, names)) for r in rows], pa.list_(pa.string())), pa.array([r[2] and sep.join(r[2]) for r in rows], pa.string())]
-                yield pa.RecordBatch.from_arrays(out, names=["line", "cells", "lost"])
-
-    parsed = files.mapInArrow(run, "line long, cells array<string>, lost string")
-    good = parsed.where("lost is null").select("line", *(F.nullif(F.col("cells")[i], F.lit("")).alias(n) for i, n in enumerate(names)))
-    return good, parsed.where("lost is not null").select("line", "lost", F.lit("more values than the header").alias("reason")), unknown
+    rows = records.join(heads, "file").where("line > first")
+    long = F.size("cells") > F.size("head")
+    cell = lambda n: F.get("cells", F.size("head") - F.array_position(F.reverse("head"), F.lit(n)).cast("int"))  # noqa: E731  of equal names the last
+    good = rows.where(~long).select("line", *(F.nullif(F.when(F.array_contains("head", n), cell(n)), F.lit("")).alias(n) for n in names))
+    return good, rows.where(long).select("line", F.array_join("cells", sep).alias("lost"), F.lit("more values than the header").alias("reason")), unknown
 
 
 #: The columns of hand-written fixtures.
