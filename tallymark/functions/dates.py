@@ -154,17 +154,17 @@ def written_date(x: Column) -> Column:
     return F.when(x.rlike(r"^[0-9]{1,2}\.[0-9]"), dotted).when(month.isNull(), None).when(dom != "", day(text(F.lpad(dom, 2, "0")))).otherwise(F.last_day(day(text(F.lit("01")))))
 
 
-#: Words before a date that make it a document's own (fixed values).
-MARKERS = r"(?:Stand|gilt ab|gültig ab|valid from|in force from|as of)"
+#: Words before a date that make it a document's own (fixed values); a day on which something was read never is one.
+MARKERS = r"(?:Stand|gilt ab(?: dem)?|g[üu]ltig ab|valid from)"
 
 
-def document_dates(x: ColumnOrName) -> Column:
-    """The days that a marker word names, such as Stand: 14.12.2025."""
-    found = F.regexp_extract_all(F.coalesce(_col(x), F.lit("")), F.lit(rf"(?i){MARKERS}(?: dem)?:?\s+{_WRITTEN}"), 1)
+def marked_days(x: ColumnOrName) -> Column:
+    """The days that a marker word names, such as Stand: 14.12.2025; a marker inside a longer word is none."""
+    found = F.regexp_extract_all(F.coalesce(_col(x), F.lit("")), F.lit(rf"(?iu)(?<![\p{{L}}\p{{N}}_]){MARKERS}\s*:?\s*{_WRITTEN}"), 1)
     return F.array_compact(F.transform(found, written_date))
 
 
-def leading_date(x: ColumnOrName) -> Column:
+def opening_day(x: ColumnOrName) -> Column:
     """The day that a text starts with; null without."""
     return written_date(F.nullif(F.regexp_extract(F.coalesce(_col(x), F.lit("")), rf"^\s*{_WRITTEN}", 1), F.lit("")))
 
@@ -195,14 +195,16 @@ def stale(checked: ColumnOrName, as_of: ColumnOrName, days: int) -> Column:
 
 
 _MONTH_WORD = "(" + "|".join(sorted({*MONTHS, "january", "february", "march", "june", "july", "october", "december"}, key=lambda m: (-len(m), m))) + ")"
+#: Endings of an ordinal number (fixed values).
+_NTH = "(?:st|nd|rd|th)"
 
 #: The ways a text names a day: pattern, and the order of year, month and day in what it captures (0 for no year).
 _NAMED_DAYS = [
     (r"\b([0-9]{4})-([0-9]{2})-([0-9]{2})\b", (1, 2, 3)),
     (r"\b([0-9]{1,2})\.\s?([0-9]{1,2})\.\s?([0-9]{4}|[0-9]{2})\b", (3, 2, 1)),
     (r"\b([0-9]{1,2})/([0-9]{1,2})/([0-9]{4}|[0-9]{2})\b", (3, 2, 1)),
-    (rf"(?i)\b([0-9]{{1,2}})\.?\s+{_MONTH_WORD}\b(?:\.?,?\s+([0-9]{{4}})\b)?", (3, 2, 1)),
-    (rf"(?i)\b{_MONTH_WORD}\s+([0-9]{{1,2}})\b(?!\.?\s*(?:{_MONTH_WORD[1:]})(?:\.?,?\s+([0-9]{{4}})\b)?", (3, 1, 2)),
+    (rf"(?i)\b([0-9]{{1,2}}){_NTH}?(?:\s?[-–]\s?[0-9]{{1,2}}{_NTH}?)?\.?\s+(?:of\s+)?{_MONTH_WORD}\b(?:\.?,?\s+([0-9]{{4}})\b)?", (3, 2, 1)),
+    (rf"(?i)\b{_MONTH_WORD}\b\.?\s+([0-9]{{1,2}}){_NTH}?\b(?!\.?\s*(?:of\s+)?(?:{_MONTH_WORD[1:]})(?:\.?,?\s+([0-9]{{4}})\b)?", (3, 1, 2)),
 ]
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import unicodedata
 from functools import lru_cache, reduce
+from html import unescape
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -185,30 +186,58 @@ def first_number(*columns: ColumnOrName, low: int = 100, high: int = 200_000) ->
 
 @lru_cache
 def _entities() -> str:
-    """The named character references, as JSON."""
-    return json.dumps({k: v for k, v in html5.items() if k.endswith(";")})
+    """The named character references with a semicolon, as JSON."""
+    return json.dumps({k[:-1]: v for k, v in html5.items() if k.endswith(";")})
 
 
-def unescaped(x: ColumnOrName) -> Column:
-    """P10: named and numeric character references as their characters; unknown ones stay. An ampersand that one gives
-    starts no further one."""
-    table = F.from_json(F.lit(_entities()), "map<string,string>")
-    digits = lambda n: F.decode(F.unhex(F.lpad(n, 8, "0")), "UTF-32")
-    decimal = lambda p: F.regexp_extract(p, "^&#([0-9]{1,7});", 1)
-    hexed = lambda p: F.regexp_extract(p, "^&#[xX]([0-9a-fA-F]{1,6});", 1)
+@lru_cache
+def _bare() -> dict[str, str]:
+    """Those that count without one too, at the start of a longer word as well."""
+    return {k: v for k, v in html5.items() if not k.endswith(";")}
 
-    def one(p: Column) -> Column:
-        name = F.regexp_extract(p, "^&([A-Za-z][A-Za-z0-9]*;)", 1)
-        char = F.when(name != "", F.element_at(table, name)).when(decimal(p) != "", _character(F.conv(decimal(p), 10, 16), digits)).when(hexed(p) != "", _character(hexed(p), digits))
-        return F.when(char.isNull(), p).otherwise(F.concat(char, F.regexp_replace(p, "^&[^;]*;", "")))
 
-    return F.when(F.contains(_col(x), F.lit("&")), F.array_join(F.transform(F.split(_col(x), "(?=&)"), one), "")).otherwise(_col(x))
+@lru_cache
+def _codes() -> dict[int, str]:
+    """What numbers up to 159 stand for where that isn't their own character: control characters nothing, those of the
+    second control range what Windows has there."""
+    return {n: c for n in range(160) if (c := unescape(f"&#{n};")) != chr(n)}
 
 
-def _character(code: Column, decoded) -> Column:
-    """Of a hexadecimal code point; surrogates, zero and what is beyond the last one give the replacement character."""
-    n = F.conv(code, 16, 10).cast("long")
-    return F.when((n == 0) | (n > 0x10FFFF) | n.between(0xD800, 0xDFFF), F.lit("\ufffd")).otherwise(decoded(code))
+def unescaped(x: ColumnOrName) -> Column:
+    """P10: named and numeric character references as their characters, as HTML reads them: the older names and numbers
+    need no semicolon, the longest older name at the start of a word counts, numbers of no character are dropped or give
+    the replacement character; what is none stays. An ampersand that one gives starts no further one."""
+    table = F.from_json(F.lit(_entities()), "map<string,string>")
+    bare = F.create_map(*(F.lit(v) for kv in _bare().items() for v in kv))
+    names = "^(" + "|".join(sorted(_bare(), key=lambda n: (-len(n), n))) + ")"
+
+    def one(p: Column) -> Column:
+        parts = F.regexp_extract(p, "^&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\\t\\n\\f <&#;]{1,32};?)", 1)
+        word = F.rtrim(parts, F.lit(";"))
+        rest = F.substring(p, F.length(parts) + 2, F.length(p))
+        named = F.when(F.endswith(parts, F.lit(";")), F.element_at(table, word))
+        first = F.regexp_extract(word, names, 1)
+        older = F.concat(F.element_at(bare, first), F.substring(parts, F.length(first) + 1, F.length(parts)))
+        digits = F.ltrim(F.regexp_extract(word, "^#[xX]?(.*)", 1), F.lit("0"))
+        # ten digits are beyond the last character in either base
+        number = F.when(F.length(digits) > 9, F.lit("99999999")).when(F.lower(F.substring(word, 2, 1)) == "x", F.conv(digits, 16, 10)).otherwise(digits)
+        char = F.when(F.startswith(parts, F.lit("#")), _character(F.coalesce(number.try_cast("long"), F.lit(0)))).when(named.isNotNull(), named).when(first != "", older)
+        return F.when(char.isNull(), p).otherwise(F.concat(char, rest))
+
+    def quick(p: Column) -> Column:
+        out = one(p)
+        for name in ("nbsp", "quot", "gt", "lt", "amp"):
+            out = F.when(F.startswith(p, F.lit(f"&{name};")), F.concat(F.lit(unescape(f"&{name};")), F.substring(p, len(name) + 3, 1 << 30))).otherwise(out)
+        return F.when(F.startswith(p, F.lit("&")), out).otherwise(p)
+
+    return F.when(F.contains(_col(x), F.lit("&")), F.array_join(F.transform(F.split(_col(x), "(?=&)"), quick), "")).otherwise(_col(x))
+
+
+def _character(n: Column) -> Column:
+    codes = F.create_map(*(F.lit(v) for kv in _codes().items() for v in kv))
+    own = F.decode(F.unhex(F.lpad(F.hex(n.cast("long")), 8, "0")), "UTF-32")
+    none = n.between(0xFDD0, 0xFDEF) | (n.cast("long").bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
+    return F.when(n < 160, F.coalesce(F.element_at(codes, n.cast("int")), own)).when((n > 0x10FFFF) | n.between(0xD800, 0xDFFF), F.lit("\ufffd")).when(none, F.lit("")).otherwise(own)
 
 
 def html_text(x: ColumnOrName) -> Column:

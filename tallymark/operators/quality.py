@@ -227,11 +227,11 @@ def aged_rows(rows: DataFrame, refs: Column, sources: DataFrame, source_key: str
     """Rows (confirmed ones are the caller's choice) whose newest document is more than twelve months old: the days
     that markers name in the note and the cited sources, and the day that a source's field starts with; at least one
     marked day is needed."""
-    from ..functions.dates import document_dates, leading_date, year_before
+    from ..functions.dates import marked_days, opening_day, year_before
 
     cited = rows.select(row, F.explode(refs).alias("_ref")).join(sources.select(F.col(source_key).alias("_ref"), F.col(published).alias("_pub")), "_ref")
-    marked = cited.select(row, F.explode(document_dates("_pub")).alias("d"), F.lit(True).alias("marked")).unionByName(rows.select(row, F.explode(document_dates(note)).alias("d"), F.lit(True).alias("marked")))
-    leading = cited.select(row, leading_date("_pub").alias("d"), F.lit(False).alias("marked")).where("d is not null")
+    marked = cited.select(row, F.explode(marked_days("_pub")).alias("d"), F.lit(True).alias("marked")).unionByName(rows.select(row, F.explode(marked_days(note)).alias("d"), F.lit(True).alias("marked")))
+    leading = cited.select(row, opening_day("_pub").alias("d"), F.lit(False).alias("marked")).where("d is not null")
     newest = marked.unionByName(leading).groupBy(row).agg(F.max("d").alias("newest"), F.bool_or("marked").alias("marked"))
     return newest.where(F.col("marked") & (F.col("newest") < year_before(as_of))).select(row, "newest")
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import EARTH_M, haversine
 from ..functions.textkeys import name_parts
+from ..storage import stored
 from .globe import nearest_metres
 
 
@@ -152,17 +153,28 @@ def best_strength(pairs: DataFrame, row: str, strength: str, value: str, order:
     return pairs.where(rank.isNotNull()).groupBy(row).agg(F.min_by(F.struct(strength, value), F.struct(rank, F.col(order))).alias("_b")).select(row, F.col("_b")[strength].alias(strength), F.col("_b")[value].alias(value))
 
 
-def two_hops(rows: DataFrame, title: str, direct: DataFrame, redirects: DataFrame, refuse: Column | None = None) -> DataFrame:
+def two_hops(rows: DataFrame, title: str, direct: DataFrame, redirects: DataFrame, refuse: Column | None = None, batch: Column | None = None) -> DataFrame:
     """The id of a title by `direct` (title, id), else by the title that `redirects` (title, target) names; a
-    hop for which `refuse` holds (over title and target) isn't taken. route says which, null for neither."""
-    d1 = direct.select(F.col("title").alias("_t1"), F.col("id").alias("_id1"))
-    d2 = direct.select(F.col("title").alias("_t2"), F.col("id").alias("_id2"))
-    r = redirects.select(F.col("title").alias("_from"), F.col("target"))
+    hop for which `refuse` holds (over title and target) isn't taken. Of a title's ids or targets the smallest counts, so
+    a row stays one row. route says which: direct, redirect or null for neither.
+
+    With batch, the number of the request that asked for a row's title, a batch none of whose titles has an id is a
+    failed request, not a finding about its titles: its rows have the route failed.
+    """
+    d = direct.groupBy("title").agg(F.min("id").alias("id"))
+    d1, d2 = (d.select(F.col("title").alias(f"_t{i}"), F.col("id").alias(f"_id{i}")) for i in (1, 2))
+    r = redirects.select(F.col("title").alias("_from"), F.col("target").alias("_target"))
     if refuse is not None:
-        r = r.withColumnRenamed("_from", "title").where(~F.coalesce(refuse, F.lit(False))).withColumnRenamed("title", "_from")
-    out = rows.join(d1, rows[title] == F.col("_t1"), "left").join(r, F.col("_id1").isNull() & (rows[title] == F.col("_from")), "left").join(d2, F.col("target") == F.col("_t2"), "left")
+        r = redirects.where(~F.coalesce(refuse, F.lit(False))).select(F.col("title").alias("_from"), F.col("target").alias("_target"))
+    r = r.groupBy("_from").agg(F.min("_target").alias("_target"))
+    out = rows.withColumn("_batch", batch if batch is not None else F.lit(None))
+    out = out.join(d1, out[title] == F.col("_t1"), "left").join(r, F.col("_id1").isNull() & (out[title] == F.col("_from")), "left").join(d2, F.col("_target") == F.col("_t2"), "left")
     route = F.when(F.col("_id1").isNotNull(), "direct").when(F.col("_id2").isNotNull(), "redirect")
-    return out.select(*rows.columns, F.coalesce("_id1", "_id2").alias("id"), route.alias("route"))
+    out = out.withColumn("_id", F.coalesce("_id1", "_id2")).withColumn("_route", route)
+    if batch is not None:
+        dead = out.where("_batch is not null").groupBy(F.col("_batch").alias("_dead")).agg(F.count("_id").alias("_found")).where("_found = 0").select("_dead")
+        out = out.join(dead, F.col("_batch") == F.col("_dead"), "left").withColumn("_route", F.when(F.col("_dead").isNotNull(), "failed").otherwise(F.col("_route")))
+    return out.select(*rows.columns, F.col("_id").alias("id"), F.col("_route").alias("route"))
 
 
 def parent_matches(items: DataFrame, known: DataFrame, same_markers: Column) -> DataFrame:
@@ -250,16 +262,19 @@ def confirmed_by(rows: DataFrame, others: DataFrame, row: str, scope: str, key:
 
 def name_candidates(rows: DataFrame, lists: list[DataFrame], scope: str, name: str) -> DataFrame:
     """Codes of lists (scope, code, label) whose label and the row's name hold each other, case folded; a later list
-    adds only codes that no earlier one gave the row."""
-    out = None
-    named = rows.withColumn("_l", F.lower(name))
+    adds only codes that no earlier one gave the row. Rows of any columns, nulls among them, are rows of their own."""
+    own = stored(rows.select(F.struct(*rows.columns).alias("_row"), F.col(scope).alias("_scope"), F.lower(name).alias("_l"), F.monotonically_increasing_id().alias("_id")), "named")
+    both = None
     for i, found in enumerate(lists):
-        f = found.select(F.col(scope).alias("_s"), "code", "label", F.lower("label").alias("_r"))
-        pairs = _either_inside(named.select(F.col(scope).alias("scope"), F.col("_l").alias("l")), f.select(F.col("_s").alias("scope"), F.col("_r").alias("r")))
-        hit = named.join(pairs, (F.col(scope) == F.col("scope")) & (F.col("_l") == F.col("l"))).join(f, (F.col("scope") == F.col("_s")) & (F.col("r") == F.col("_r")))
-        hit = hit.select(*rows.columns, "code", "label", F.lit(i).alias("source_order"))
-        out = hit if out is None else out.unionByName(hit.join(out.select(*rows.columns, "code"), [*rows.columns, "code"], "left_anti"))
-    return out
+        f = found.select(F.col(scope).alias("_s"), F.col("code").alias("_code"), F.col("label").alias("_label"), F.lower("label").alias("_r"), F.lit(i).alias("_source"))
+        both = f if both is None else both.unionByName(f)
+    pairs = _either_inside(own.select(F.col("_scope").alias("scope"), F.col("_l").alias("l")), both.select(F.col("_s").alias("scope"), F.col("_r").alias("r")))
+    pairs = pairs.select(F.col("scope").alias("_ps"), F.col("l").alias("_pl"), F.col("r").alias("_pr"))
+    hit = own.join(pairs, (F.col("_scope") == F.col("_ps")) & (F.col("_l") == F.col("_pl"))).join(both, (F.col("_ps") == F.col("_s")) & (F.col("_pr") == F.col("_r")))
+    # the first list that gives a row the code keeps it, with all its labels
+    first = hit.groupBy("_id", F.struct("_code").alias("_c")).agg(F.min("_source").alias("_first"))
+    hit = hit.withColumn("_c", F.struct("_code")).join(first, ["_id", "_c"]).where("_source = _first")
+    return hit.select("_row.*", F.col("_code").alias("code"), F.col("_label").alias("label"), F.col("_source").alias("source_order"))
 
 
 def mirrored(edges: DataFrame, a: str, b: str, name: str, rank: str) -> DataFrame:

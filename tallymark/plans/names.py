@@ -164,7 +164,7 @@ ORACLE_SQL = {
     "html_text": r"""WITH e AS (SELECT key AS name, value AS char FROM (SELECT unnest(map_entries(CAST('@'::JSON AS MAP(VARCHAR, VARCHAR))), recursive := true))),
         p AS (SELECT page_id, unnest(string_split(t, '&')) AS p, generate_subscripts(string_split(t, '&'), 1) AS i FROM (SELECT page_id, regexp_replace(html, '<[^>]*>', ' ', 'g') AS t FROM pages)),
         q AS (SELECT *, regexp_extract(p, '^([A-Za-z][A-Za-z0-9]*;)', 1) AS n, regexp_extract(p, '^#([0-9]{1,7});', 1) AS d, regexp_extract(p, '^#[xX]([0-9a-fA-F]{1,6});', 1) AS h FROM p),
-        u AS (SELECT page_id, i, CASE WHEN i = 1 THEN p WHEN char IS NOT NULL THEN char || substr(p, length(n) + 1) WHEN d <> '' THEN chr(d::INT) || substr(p, length(d) + 3) WHEN h <> '' THEN chr(('0x' || h)::INT) || substr(p, length(h) + 4) ELSE '&' || p END AS s FROM q LEFT JOIN e ON e.name = q.n),
+        u AS (SELECT page_id, i, CASE WHEN i = 1 THEN p WHEN char IS NOT NULL THEN char || substr(p, length(n) + 1) WHEN d <> '' THEN chr(d::INT) || substr(p, length(d) + 3) WHEN h <> '' THEN chr(('0x' || h)::INT) || substr(p, length(h) + 4) ELSE '&' || p END AS s FROM q LEFT JOIN e ON e.name || ';' = q.n),
         t AS (SELECT page_id, trim(regexp_replace(string_agg(s, '' ORDER BY i), '[\s\x{a0}]+', ' ', 'g')) AS t FROM u GROUP BY 1)
         SELECT page_id, md5(t) AS text_md5, CAST(length(t) AS INTEGER) AS n_chars FROM t""".replace("@", T._entities().replace("'", "''")),
     "html_host": "WITH h AS (SELECT lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)) AS host FROM pages) SELECT host, count(*) AS n FROM h WHERE host <> '' GROUP BY 1",

@@ -213,7 +213,7 @@ def recurrence_next(spark: SparkSession, d: str) -> DataFrame:
 
 def aged_rows(spark: SparkSession, d: str) -> DataFrame:
     o = _orders(spark, d)
-    note = F.concat(F.lit("Stand: "), F.when(F.col("o_orderkey") % 2 == 0, F.date_format("day", "dd.MM.yyyy")).otherwise(F.date_format("day", "MMM yyyy")))
+    note = F.concat(F.when(F.col("o_orderkey") % 3 == 0, "Bestand 01.01.2031, Stand:").when(F.col("o_orderkey") % 3 == 1, "as of 1 Jan 2031, g\u00fcltig ab ").otherwise("gultig ab: "), F.when(F.col("o_orderkey") % 2 == 0, F.date_format("day", "dd.MM.yyyy")).otherwise(F.date_format("day", "MMM yyyy")))
     out = Q.aged_rows(o.withColumn("note", note).withColumn("refs", F.array((F.col("o_custkey") % 7).cast("string"))), F.col("refs"), spark.createDataFrame([("1", "14.10.1997; read 6 Nov 1999"), ("2", "undated, read 1 Jan 1994")], "id string, published string"), "id", "published", "o_orderkey", "note", _as_of())
     return out
 

@@ -115,7 +115,7 @@ def in_word_set(spark: SparkSession, d: str) -> DataFrame:
 
 
 def dates_banned(spark: SparkSession, d: str) -> DataFrame:
-    text = F.concat(F.lit("until "), F.when(F.col("k") % 4 == 0, F.date_format("day", "yyyy-MM-dd")).when(F.col("k") % 4 == 1, F.date_format("day", "d.M.yyyy")).when(F.col("k") % 4 == 2, F.date_format("day", "d/M/yy")).otherwise(F.date_format("day", "MMMM d")))
+    text = F.concat(F.lit("until "), F.when(F.col("k") % 4 == 0, F.date_format("day", "yyyy-MM-dd")).when(F.col("k") % 4 == 1, F.date_format("day", "d.M.yyyy")).when(F.col("k") % 4 == 2, F.date_format("day", "d/M/yy")).when(F.col("k") % 8 == 3, F.date_format("day", "MMMM d")).when(F.col("k") % 16 == 7, F.date_format("day", "d'th of' MMMM yyyy")).otherwise(F.date_format("day", "MMM. d'rd', yyyy")))
     # slashed years of two digits are of this century, so all of them are to come
     found = D.banned_dates(text, _as_of())
     return _orders(spark, d).select("o_orderkey", F.size(found).alias("n")).where("n > 0")
@@ -276,7 +276,7 @@ ORACLE_SQL = {
     "sentences_picked": r"""WITH t AS (SELECT p_partkey, p_name, p_brand, contains(p_name, 'red ') AND false AS x FROM part)
         SELECT p_partkey, array_to_string(string_split('The ' || p_name || ' was red', ' ')[1:4], ' ') AS sentence, true AS matched, true AS past, split_part(p_name, ' ', 1) AS first, 'was red ' || p_partkey AS clip, lower(regexp_replace(p_brand, '[^A-Za-z0-9]+', '-', 'g')) AS slug FROM t""",
     "in_word_set": "SELECT p_partkey FROM part WHERE list_has_any(string_split(p_name, ' '), ['red', 'ring'])",
-    "dates_banned": f"""WITH {_O}, t AS (SELECT k, CASE k%4 WHEN 2 THEN day + INTERVAL 100 YEAR WHEN 3 THEN try_cast('1998-' || strftime(day, '%m-%d') AS DATE) ELSE day END AS on_ FROM o)
+    "dates_banned": f"""WITH {_O}, t AS (SELECT k, CASE k%4 WHEN 2 THEN day + INTERVAL 100 YEAR WHEN 3 THEN CASE WHEN k%8=3 THEN try_cast('1998-' || strftime(day, '%m-%d') AS DATE) ELSE day END ELSE day END AS on_ FROM o)
         SELECT k AS o_orderkey, 1 AS n FROM t WHERE on_ IS NULL OR on_ > {_D}""",
     "consistent_answer": "SELECT c_custkey FROM customer WHERE c_nationkey = 3",
     "ground_names": "SELECT p_partkey, CASE p_partkey%5 WHEN 0 THEN true WHEN 1 THEN true WHEN 2 THEN false END AS agrees FROM part",

@@ -94,7 +94,7 @@ def rosters_read(spark: SparkSession, d: str) -> DataFrame:
 
 def infoboxes_read(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("s_suppkey")
-    ground = F.when(k % 3 == 0, F.concat(F.lit("[[Park "), k.cast("string"), F.lit("|The {{nowrap|x}} Park]]<ref>r|s</ref>"))).when(k % 3 == 1, F.concat(F.lit("{{ill|Parc "), k.cast("string"), F.lit("|fr|Parc}}, [[Town]]"))).otherwise("{{cite|a=b}}")
+    ground = F.when(k % 3 == 0, F.concat(F.lit("[[Park "), k.cast("string"), F.lit("|The {{nowrap|x}} Park]]<ref>r|s</ref>"))).when(k % 3 == 1, F.concat(F.lit("{{ill|Parc "), k.cast("string"), F.lit("|fr|Parc}}, [[Town]]"))).when(k % 2 == 0, F.concat(F.lit("Old Field "), k.cast("string"), F.lit("<br/>[[Lier]]; x"))).otherwise("{{cite|a=b}}")
     wiki = F.concat(F.lit("{{Infobox\n| name = n\n| ground = "), ground, F.lit("\n| capacity = 5\n}}"))
 
     def scan(text: str) -> list[dict]:
@@ -185,7 +185,7 @@ ORACLE_SQL = {
     "tsv_read": "SELECT p_partkey, p_name, p_type FROM part WHERE p_partkey%5 > 0",
     "sheets_read": "SELECT p_brand, p_partkey, p_size, DATE '1899-12-30' + (45000 + p_size)::INT AS day FROM part",
     "rosters_read": "SELECT s_suppkey, 'Köln ' || s_suppkey AS team, s_name || ' & Co' AS ground, '/s/' || s_suppkey AS link FROM supplier",
-    "infoboxes_read": "SELECT s_suppkey, CASE WHEN s_suppkey%3=0 THEN 'The Park' ELSE 'Parc ' || s_suppkey || ', Town' END AS name, CASE WHEN s_suppkey%3=0 THEN 'Park ' || s_suppkey ELSE 'Town' END AS title FROM supplier WHERE s_suppkey%3 < 2",
+    "infoboxes_read": "SELECT s_suppkey, CASE s_suppkey%3 WHEN 0 THEN 'The Park' WHEN 1 THEN 'Parc ' || s_suppkey ELSE 'Old Field ' || s_suppkey END AS name, CASE WHEN s_suppkey%3=0 THEN 'Park ' || s_suppkey END AS title FROM supplier WHERE s_suppkey%3 < 2 OR s_suppkey%2 = 0",
     "changes_read": "SELECT s_suppkey, '/s/' || s_suppkey AS link, 'In: ' || s_name || ' up' AS text FROM supplier",
     "envelope_written": """WITH t AS (SELECT '{"nations":[' || string_agg('{"n_name":"' || n_name || '","n_nationkey":' || n_nationkey || ',"n_regionkey":' || n_regionkey || '}', ',' ORDER BY n_nationkey) || '],"source":"table"}' AS t FROM nation) SELECT md5(t) AS document, CAST(length(t) AS INTEGER) AS n FROM t""",
     "partial_written": "SELECT c_nationkey AS nation, count(*) * CASE WHEN c_nationkey%3=0 THEN -1 ELSE 1 END AS n FROM customer GROUP BY 1",

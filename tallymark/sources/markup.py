@@ -113,12 +113,17 @@ def infobox_value(wikitext: str, keys: tuple[str, ...]) -> str | None:
     return next((v for k in keys for name, v in fields if name == k), None)
 
 
+_WIKILINK = re.compile(r"\[\[([^\]|]*)(?:\|([^\]]*))?\]\]")
+
+
 def linked_name(value: str) -> tuple[str, str | None]:
-    """(name, title of the first link) of a value; a line break parts the name from what follows."""
-    m = re.search(r"\[\[([^\[\]|#]*)[^\[\]|]*(?:\|([^\[\]]*))?\]\]", value)
-    shown = re.sub(r"\[\[(?:[^\[\]|]*\|)?([^\[\]]*)\]\]", r"\1", value)
-    first = re.split(r"(?i)<br\s*/?>", shown)[0]
-    return " ".join(re.sub(r"<[^>]*>", " ", first).split()), m[1].strip() if m else None
+    """(name, title of its article) of a value. A value that starts with a link has that link's text and title; else
+    there is no article, and the name ends at the first comma, semicolon or line break: what follows is the town."""
+    text = re.sub(r"<[^>]*>", " ", re.sub(r"(?i)<br\s*/?>", ", ", value)).strip()
+    lead = _WIKILINK.match(text)
+    name = (lead[2] or lead[1]) if lead else re.split("[,;\n]", _WIKILINK.sub(lambda m: m[1] if m[2] is None else m[2], text), maxsplit=1)[0]
+    title = lead[1].partition("#")[0].strip() if lead else ""
+    return " ".join(name.split()).strip(" ,;"), title or None
 
 
 def change_links(html: str, heading: str = "changes") -> list[tuple[str, str]]:

@@ -136,9 +136,9 @@ def test_spans_and_partial_dates(spark):
 
 
 def test_document_dates(spark):
-    got = values(spark, D.document_dates, ["Stand: Juni 2025; read 7 Oct 2026", "current (read 7 Oct 2026)", '"gilt ab dem 19.11.2025", read', "terms (Stand 1 Feb 2023)"])
+    got = values(spark, D.marked_days, ["Stand: Juni 2025; read 7 Oct 2026", "current (read 7 Oct 2026)", '"gilt ab dem 19.11.2025", read', "terms (Stand 1 Feb 2023)"])
     assert got == [[dt.date(2025, 6, 30)], [], [dt.date(2025, 11, 19)], [dt.date(2023, 2, 1)]]
-    assert values(spark, D.leading_date, ["18.10.2026; read", "undated, read 1 Jan 2024"]) == [dt.date(2026, 10, 18), None]
+    assert values(spark, D.opening_day, ["18.10.2026; read", "undated, read 1 Jan 2024"]) == [dt.date(2026, 10, 18), None]
     assert values(spark, lambda x: D.future_days_in(x, F.lit("2026-11-14").cast("date")), ["on 2026-11-13, 15.11.2026 and May 3, 2027"]) == [[dt.date(2026, 11, 15), dt.date(2027, 5, 3)]]
 
 
@@ -147,7 +147,7 @@ def test_dates_that_a_rule_may_not_name(spark):
     texts = ["by 30 June", "late June", "until 30.12.2026", "30/12/26 or 1/2/2026", "31 Feb 2026", "December 24", "24. Dezember 2025", "3. Jänner 2027", "2026-13-40"]
     got = values(spark, lambda x: D.banned_dates(x, at), texts)
     assert got == [[], [], ["30.12.2026"], ["30/12/26"], ["31 Feb 2026"], ["December 24"], [], ["3. Jänner 2027"], ["2026-13-40"]]
-    assert values(spark, D.document_dates, ["Stand: Jänner 2025", "Stand: 3. Maerz 2025"]) == [[dt.date(2025, 1, 31)], [dt.date(2025, 3, 3)]]
+    assert values(spark, D.marked_days, ["Stand: Jänner 2025", "Stand: 3. Maerz 2025"]) == [[dt.date(2025, 1, 31)], [dt.date(2025, 3, 3)]]
 
 
 def test_occurrences(spark):

@@ -61,7 +61,7 @@ def test_markup(spark):
     wiki = "{{Infobox\n| ground = <!-- c -->[[Old Park|The {{nowrap|x}} Park]]<ref>r</ref>\n| capacity = {{n|1|2}} 5\n}}"
     assert M.linked_name(M.infobox_value(wiki, ("stadium", "ground"))) == ("The Park", "Old Park")
     assert M.infobox_value("{{Infobox|ground={{ill|Parc A|fr|Parc B}}, [[Town#East|Town]]<br/>x|a=1}}", ("ground",)) == "Parc A, [[Town#East|Town]]<br/>x"
-    assert M.linked_name("Parc A, [[Town#East|Town]]<br/>x") == ("Parc A, Town", "Town") and M.infobox_value("{{Box | ground = X ]] y", ("ground",)) == "X ]] y"
+    assert M.linked_name("Parc A, [[Town#East|Town]]<br/>x") == ("Parc A", None) and M.infobox_value("{{Box | ground = X ]] y", ("ground",)) == "X ]] y"
     assert M.roster("<table><tr><th>Team</th></tr><tr><td>K&ouml;ln &#8211; 1</td></tr></table>", {"team": ("team",)}, "team")[0]["team"] == "Köln – 1"
     assert M.infobox_value(wiki, ("capacity",)) == "5"
     pages = spark.createDataFrame([(1, html), (2, None)], "k int, html string")
