@@ -237,6 +237,19 @@ def holiday_overlaps(spark: SparkSession, d: str) -> DataFrame:
     return Q.interval_problems(o, "s", "e", "o_orderkey")[2]
 
 
+def holiday_totals(spark: SparkSession, d: str) -> DataFrame:
+    """Overlapping spans of one customer or one priority, counted without pairs."""
+    o = _orders(spark, d).select("o_custkey", "o_orderpriority", "day", F.date_add("day", (F.col("o_orderkey") % 90 - 1).cast("int")).alias("e"))
+    one = Q.overlap_totals(o, "day", "e", ["o_custkey"]).select(F.col("o_custkey").cast("string").alias("scope"), "rows", "overlaps")
+    return one.unionByName(Q.overlap_totals(o, "day", "e", ["o_orderpriority"]).select(F.col("o_orderpriority").alias("scope"), "rows", "overlaps"))
+
+
+def holidays_by_scope(spark: SparkSession, d: str) -> DataFrame:
+    """Overlapping spans of one customer, pair by pair."""
+    o = _orders(spark, d).select("o_orderkey", "o_custkey", F.col("day").cast("string").alias("s"), F.date_add("day", (F.col("o_orderkey") % 90 - 1).cast("int")).cast("string").alias("e"))
+    return Q.interval_problems(o, "s", "e", "o_orderkey", ["o_custkey"])[2]
+
+
 def local_to_utc(spark: SparkSession, d: str) -> DataFrame:
     e = read(spark, d, "events").withColumn("t", F.col("ts").cast("timestamp")).withColumn("z", F.when(F.col("user_id") % 3 == 0, "Europe/Bucharest")).withColumn("c", F.when(F.col("user_id") % 3 == 1, "GB"))
     u = D.to_utc("t", "z", "c")

@@ -87,6 +87,9 @@ ORACLE_SQL = {
     "month_ends": f"WITH {_O} SELECT CAST(CASE o_orderkey%3 WHEN 0 THEN make_date(year(day),12,31) WHEN 1 THEN last_day(day) ELSE day END AS DATE) AS \"on\", count(*) AS n FROM o GROUP BY 1",
     "year_before": f"WITH {_O} SELECT o_orderkey, CAST(day - INTERVAL 12 MONTH AS DATE) AS before, day+1 AS after, day-3 AS alarm FROM o",
     "holiday_overlaps": f"""WITH {_O}, v AS (SELECT o_orderkey AS k, day AS s, day + CAST(o_orderkey%9-1 AS INTEGER) AS e FROM o), w AS (SELECT * FROM v WHERE e>=s) SELECT a.k AS a, b.k AS b FROM w a JOIN w b ON a.k<b.k AND a.s<=b.e AND b.s<=a.e""",
+    "holidays_by_scope": f"""WITH {_O}, w AS (SELECT * FROM (SELECT o_orderkey AS k, o_custkey AS c, day AS s, day + CAST(o_orderkey%90-1 AS INTEGER) AS e FROM o) WHERE e>=s) SELECT a.k AS a, b.k AS b FROM w a JOIN w b ON a.c=b.c AND a.k<b.k AND a.s<=b.e AND b.s<=a.e""",
+    "holiday_totals": f"""WITH {_O}, w AS (SELECT * FROM (SELECT o_orderkey AS k, o_custkey::VARCHAR AS c, o_orderpriority AS p, day AS s, day + CAST(o_orderkey%90-1 AS INTEGER) AS e FROM o) WHERE e>=s), x AS (SELECT c AS scope, k, s, e FROM w UNION ALL SELECT p, k, s, e FROM w),
+        n AS (SELECT a.scope, count(*) AS n FROM x a JOIN x b ON a.scope=b.scope AND a.k<b.k AND a.s<=b.e AND b.s<=a.e GROUP BY 1) SELECT scope, count(*) AS rows, coalesce(any_value(n), 0) AS overlaps FROM x LEFT JOIN n USING (scope) GROUP BY scope""",
     "local_to_utc": """SELECT event_id, CASE user_id%3 WHEN 0 THEN timezone('UTC', timezone('Europe/Bucharest', ts)) WHEN 1 THEN timezone('UTC', timezone('Europe/London', ts)) ELSE timezone('UTC', timezone('Europe/Berlin', ts)) END AS utc, user_id%3=2 AS guessed FROM events""",
     "attended_stats": f"WITH {_M} SELECT count(*) AS matches, sum(home+away) FILTER (NOT exhibition)::BIGINT AS goals, count(DISTINCT user_id) AS distinct_user_id, count(DISTINCT event_type) AS distinct_event_type, sum(cards) FILTER (complete)::BIGINT AS cards, max(crowd) AS largest_crowd, min(crowd) AS smallest_crowd FROM m",
     "win_draw_loss": f"""WITH {_M}, s AS (SELECT event_type, CASE side WHEN 'home' THEN home WHEN 'away' THEN away END AS own, CASE side WHEN 'home' THEN away WHEN 'away' THEN home END AS oth FROM m)

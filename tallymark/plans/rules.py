@@ -132,9 +132,14 @@ def ground_names(spark: SparkSession, d: str) -> DataFrame:
 
 
 def collapsed_candidates(spark: SparkSession, d: str) -> DataFrame:
-    s = suppliers(spark, d).select("s_nationkey", (F.col("s_suppkey") % 5).cast("string").alias("ref"), "lat", "lon", F.col("tier"), F.col("s_suppkey").alias("ord"))
-    # far apart, so that rows meet by their refs alone
-    return W.collapsed(s, "s_nationkey", "ref", "lat", "lon", "tier", "ord", 1.0).select("s_nationkey", "ref", "tier", "ord")
+    """Customers a street apart, some on both sides of 180 degrees, some without a position or a ref."""
+    k = F.col("c_custkey")
+    lat = F.when(k % 11 > 0, F.lit(40) + F.pmod(k * 37, F.lit(5)) / 100.0 + F.pmod(k * 7, F.lit(5)) * 0.001)
+    lon = F.when(k % 13 == 0, 179.9995).when(k % 13 == 1, -179.9995).otherwise(F.lit(5) + F.pmod(k * 53, F.lit(3)) * 0.001)
+    ref = F.when(k % 3 > 0, F.concat(F.lit("r"), (k % 101).cast("string")))
+    order = (k * 7919 % 1_000_003) * 1_000_000_000 + k
+    rows = read(spark, d, "customer").select("c_nationkey", ref.alias("ref"), lat.alias("lat"), lon.alias("lon"), (k % 7).alias("tier"), order.alias("ord"))
+    return W.collapsed(rows, "c_nationkey", "ref", "lat", "lon", "tier", "ord", 200.0).select("c_nationkey", "ref", "tier", "ord")
 
 
 def matches_in_order(spark: SparkSession, d: str) -> DataFrame:
@@ -259,6 +264,9 @@ QUERIES = {k: f for k, f in list(globals().items()) if callable(f) and getattr(f
 _D = f"DATE '{AS_OF}'"
 _O = "o AS (SELECT *, CAST(o_orderdate AS DATE) AS day, o_orderkey AS k FROM orders)"
 _E = "e AS (SELECT c_custkey, c_custkey AS k, c_custkey%3>0 AS league, c_custkey%4>0 AS has_lat, c_custkey%4>1 AS has_lon, c_custkey%5>0 AS ground, c_custkey%7=0 AS dissolved, c_custkey%6>0 AS has_tier FROM customer)"
+#: Whether a candidate joins a kept one, in the SQL of collapsed_candidates.
+_JOINS = f"coalesce(x.ref = n[1].ref, false) OR coalesce({_hav('x.lat', 'x.lon', 'n[1].lat', 'n[1].lon')} <= 200, false)"
+
 ORACLE_SQL = {
     "roster_keys": "SELECT p_partkey, 'f c ' || p_name || ' tara ss' AS roster, 'f.c. ' || p_name || ' tara ' AS romanian FROM part",
     "name_variants": "WITH p AS (SELECT p_partkey, string_split(p_name, ' ')[-1] AS place FROM part) SELECT p_partkey, place || 'er sv' || CASE WHEN length(place) + 2 >= 6 THEN '|' || place || ' sv' ELSE '' END AS forms, CASE WHEN length(place) + 2 >= 6 AND length(place) >= 3 THEN place END AS place, '3,1' AS cuts FROM p",
@@ -280,7 +288,12 @@ ORACLE_SQL = {
         SELECT k AS o_orderkey, 1 AS n FROM t WHERE on_ IS NULL OR on_ > {_D}""",
     "consistent_answer": "SELECT c_custkey FROM customer WHERE c_nationkey = 3",
     "ground_names": "SELECT p_partkey, CASE p_partkey%5 WHEN 0 THEN true WHEN 1 THEN true WHEN 2 THEN false END AS agrees FROM part",
-    "collapsed_candidates": f"WITH {_SUPPLIERS}, r AS (SELECT s_nationkey, s_suppkey%5 AS r, min(tier) AS tier, min(s_suppkey) AS ord FROM s GROUP BY 1, 2) SELECT s_nationkey, CAST(r AS VARCHAR) AS ref, tier, ord FROM r",
+    "collapsed_candidates": f"""WITH p AS (SELECT c_nationkey, {{'ref': CASE WHEN c_custkey%3>0 THEN 'r' || c_custkey%101 END, 'lat': CASE WHEN c_custkey%11>0 THEN 40 + (c_custkey*37%5)/100.0 + (c_custkey*7%5)*0.001 END,
+            'lon': CASE c_custkey%13 WHEN 0 THEN 179.9995 WHEN 1 THEN -179.9995 ELSE 5 + (c_custkey*53%3)*0.001 END, 'tier': c_custkey%7, 'ord': (c_custkey*7919%1000003)*1000000000 + c_custkey}} AS r FROM customer),
+        l AS (SELECT c_nationkey, list([r] ORDER BY r.ord) AS rows FROM p GROUP BY 1),
+        k AS (SELECT c_nationkey, unnest(list_reduce(rows, lambda kept, n: CASE WHEN list_contains(list_transform(kept, lambda x: {_JOINS}), true)
+            THEN list_transform(kept, lambda x, i: CASE WHEN i = list_position(list_transform(kept, lambda x: {_JOINS}), true) THEN {{'ref': x.ref, 'lat': x.lat, 'lon': x.lon, 'tier': least(x.tier, n[1].tier), 'ord': x.ord}} ELSE x END) ELSE list_concat(kept, n) END)) AS k FROM l)
+        SELECT c_nationkey, k.ref AS ref, k.tier AS tier, k.ord AS ord FROM k""",
     "matches_in_order": f"WITH {_O} SELECT o_orderkey, row_number() OVER (ORDER BY CASE WHEN k%4>0 THEN day END NULLS FIRST, k) AS place FROM o",
     "nearer_ends": f"WITH {_SUPPLIERS} SELECT s_suppkey, round(CASE WHEN s_suppkey%3>0 THEN least({_hav('47.3', '11.4', 'lat', 'lon')}, {_hav('52.5', '13.4', 'lat', 'lon')}) ELSE {_hav('47.3', '11.4', 'lat', 'lon')} END, 1) AS metres FROM s",
     "spans_read": f"WITH {_O} SELECT o_orderkey, CASE WHEN k%4<2 THEN day END AS start, CASE k%4 WHEN 0 THEN day WHEN 1 THEN day+3 END AS \"end\", CAST(date_diff('month', day, day+40)+1 AS INTEGER) AS months, '-P' || k%7 || 'D' AS trigger FROM o",
