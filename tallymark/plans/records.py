@@ -14,6 +14,7 @@ from ..operators import resolve as J
 from ..operators import sets as U
 from ..operators import summary as A
 from ..publish import kept_last_good
+from ..storage import shared_path
 from ..streaming.flows import sessions, tumbling
 from .places import read
 
@@ -144,6 +145,27 @@ def change_tracking(spark: SparkSession, d: str) -> DataFrame:
     return R.tracked(o.where("o_orderkey % 6 > 0").select("uid", h.alias("hash")), state, "uid", F.lit("19980630"))
 
 
+def change_states(spark: SparkSession, d: str) -> DataFrame:
+    """change_tracking as a stream over two files, the last snapshot as its initial state, state by key in RocksDB."""
+    from ..streaming import flows
+
+    o = read(spark, d, "orders").withColumn("uid", F.col("o_orderkey").cast("string"))
+    h = F.substring(F.sha2(F.concat_ws("|", "o_orderstatus", "o_orderpriority"), 256), 1, 16)
+    at = lambda t: F.lit(t).cast("timestamp")
+    snapshot = o.where("o_orderkey % 5 > 0").select("uid", F.when(F.col("o_orderkey") % 4 == 0, "old").otherwise(h).alias("hash"), F.lit("19980101").alias("dtstamp"), (F.col("o_orderkey") % 3).cast("int").alias("sequence"), at("1998-06-29 12:00:00").alias("at"))
+    now = o.where("o_orderkey % 6 > 0").select("uid", h.alias("hash"), F.lit("19980630").alias("dtstamp"), at("1998-06-30 00:00:00").alias("at"))
+    path = shared_path(spark, "readings")
+    end = spark.range(1).select(F.lit(None).cast("string").alias("uid"), F.lit(None).cast("string").alias("hash"), F.lit(None).cast("string").alias("dtstamp"), at("1998-06-30 11:00:00").alias("at"))
+    for rows in (now.where("cast(uid as long) % 2 = 0"), now.where("cast(uid as long) % 2 = 1"), end):
+        rows.coalesce(1).write.mode("append").parquet(path)
+    with flows.state_store(spark):
+        stream = spark.readStream.schema(flows.READ).option("maxFilesPerTrigger", 1).parquet(path)
+        out = flows.change_stream(stream, snapshot, "12 hours", "30 minutes")
+        sink = shared_path(spark, "changes")
+        out.writeStream.format("parquet").option("path", sink).option("checkpointLocation", shared_path(spark, "changes-log")).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(flows.CHANGE).parquet(sink)
+
+
 def quarantine_orders(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("o_orderkey")
     o = _orders(spark, d).select(F.when(k % 101 == 0, k - 1).otherwise(k).alias("key"), F.when(k % 17 == 0, " ").otherwise(F.col("o_orderstatus")).alias("status"), F.when(k % 23 == 0, "9-NONE").otherwise(F.col("o_orderpriority")).alias("priority"), "o_totalprice")

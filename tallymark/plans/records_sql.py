@@ -122,3 +122,5 @@ ORACLE_SQL = {
     "user_sessions": """WITH g AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS b FROM events), s AS (SELECT *, sum(b) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g)
         SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS events FROM s GROUP BY user_id, k""",
 }
+# the stream's rows are those of the batch
+ORACLE_SQL["change_states"] = ORACLE_SQL["change_tracking"]

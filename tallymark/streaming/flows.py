@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 def read(spark: SparkSession, path: str, name: str, files: int = 8) -> DataFrame:
@@ -37,32 +41,105 @@ def sessions(events: DataFrame, at: str, gap: str, late: str, by: str) -> DataFr
 
 
 CHANGE = "uid string, hash string, dtstamp string, sequence int, change string"
-
-
-def change_stream(rows: DataFrame) -> DataFrame:
-    """R15 as a stream: rows (uid, hash, dtstamp) in, a row of CHANGE out for each new or changed hash; the state of a uid
-    is its last hash and sequence."""
-
-    def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, seq = state.get if state.exists else (None, -1)
+#: Rows of a snapshot, or of a reading: a uid with its hash, and when the reading was made.
+READ = "uid string, hash string, dtstamp string, at timestamp"
+
+
+class ChangeProcessor(StatefulProcessor):
+    """R15 with keyed state: a uid's last hash, stamp and sequence. The state of the last snapshot comes first and sets a
+    timer for each uid; a row of the new reading takes it away and says new, changed or same. When the watermark has
+    passed the timer, the uid was in none of the reading's rows: it is gone, keeps its state and waits for the next
+    reading. A uid that is seen in no reading for `forget_ms` drops out of the state."""
+
+    def __init__(self, wait_ms: int, forget_ms: int):
+        self.wait_ms, self.forget_ms = wait_ms, forget_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "hash string, dtstamp string, sequence int, seen long, told boolean")
+
+    def handleInitialState(self, key: tuple, initialState: pd.DataFrame, timerValues: TimerValues) -> None:  # noqa: N802, N803  Spark's names
+        r = initialState.iloc[-1]
+        seen = int(pd.Timestamp(r["at"]).value // 1_000_000)
+        self.last.update((r["hash"], r["dtstamp"], int(r["sequence"]), seen, False))
+        self.handle.registerTimer(seen + self.wait_ms)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        if key[0] is None:
+            return  # the mark that a reading is at its end
+        had = self.last.get() if self.last.exists() else None
+        h, stamp, seq, seen = had[:4] if had else (None, None, -1, None)
+        if had and not had[4]:
+            self.handle.deleteTimer(seen + self.wait_ms)
+        elif had:
+            self.handle.deleteTimer(seen + self.forget_ms)
         out = []
-        for frame in frames:
-            for r in frame.sort_values("dtstamp").to_dict("records"):
-                if r["hash"] != last:
-                    seq += 1
-                    out.append((key[0], r["hash"], r["dtstamp"], seq, "new" if seq == 0 else "changed"))
-                    last = r["hash"]
-        state.update((last, seq))
-        if out:
-            yield pd.DataFrame(out, columns=["uid", "hash", "dtstamp", "sequence", "change"])
-
-    return rows.groupBy("uid").applyInPandasWithState(run, CHANGE, "hash string, sequence int", "append", GroupStateTimeout.NoTimeout)
+        for frame in rows:
+            for r in frame.sort_values(["at", "dtstamp"]).itertuples(index=False):
+                change = "new" if seq < 0 else "same" if r.hash == h else "changed"
+                if change != "same":
+                    h, stamp, seq = r.hash, r.dtstamp, seq + 1
+                seen = max(seen or 0, int(pd.Timestamp(r.at).value // 1_000_000))
+                out.append((key[0], h, stamp, seq, change))
+        self.last.update((h, stamp, seq, seen, False))
+        self.handle.registerTimer(seen + self.wait_ms)
+        yield pd.DataFrame(out, columns=["uid", "hash", "dtstamp", "sequence", "change"])
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        if not self.last.exists():
+            return
+        h, stamp, seq, seen, told = self.last.get()
+        if told:
+            self.last.clear()
+            return
+        self.last.update((h, stamp, seq, seen, True))
+        self.handle.registerTimer(seen + self.forget_ms)
+        yield pd.DataFrame([(key[0], h, stamp, seq, "gone")], columns=["uid", "hash", "dtstamp", "sequence", "change"])
+
+    def close(self) -> None:
+        pass
+
+
+def change_stream(rows: DataFrame, snapshot: DataFrame | None = None, wait: str = "12 hours", late: str = "1 hour", forget_days: int = 90) -> DataFrame:
+    """R15 as a stream: rows of READ in, a row of CHANGE out for each of them, and one for each uid that is gone.
+
+    snapshot has the state to begin with: uid, hash, dtstamp, sequence and at, the time of its reading. A uid is gone once
+    the readings are more than `wait` past its last one, by the watermark, which stays `late` behind the newest row; a
+    reader may end with a row without a uid to move it. State is kept in RocksDB, so the session needs that provider (see
+    state_store()).
+    """
+    wait_ms = int(pd.Timedelta(wait).total_seconds() * 1000)
+    first = snapshot.groupBy("uid") if snapshot is not None else None
+    return (
+        rows.withWatermark("at", late)
+        .groupBy("uid")
+        .transformWithStateInPandas(statefulProcessor=ChangeProcessor(wait_ms, forget_days * 86_400_000), outputStructType=CHANGE, outputMode="append", timeMode="eventTime", initialState=first)
+    )
+
+
+@contextmanager
+def state_store(spark: SparkSession) -> Iterator[None]:
+    """While it lasts, streams that start keep their state in RocksDB."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    was = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, was)
 
 
 def overwrite_partitions(stream: DataFrame, path: str, partition: str, checkpoint: str):
-    """K3 as a stream: each micro-batch replaces the partitions it has rows of; a batch that runs again writes the same."""
-
-    def put(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    """K3 as a stream: the partitions that a run of the stream has rows of are replaced by all its rows of them. A batch's
+    rows are written under its number, so one that runs again writes the same, and what an earlier batch of the run wrote
+    of a partition is read back with it; a partition that the run has no rows of stays as it is."""
+    ours = f"{path.rstrip('/')}.run-{uuid.uuid4().hex}"
+
+    def put(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{ours}/batch={number}")
+        here = spark.read.schema(batch.schema).parquet(f"{ours}/batch={number}").select(partition).distinct()
+        whole = spark.read.schema(StructType([*batch.schema.fields, StructField("batch", LongType())])).parquet(ours).where(F.col("batch") <= number).drop("batch")
+        whole.join(here, partition, "left_semi").select(batch.columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
     return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

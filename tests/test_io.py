@@ -157,18 +157,3 @@ def test_streams(spark, tmp_path):
     q.awaitTermination(120)
     batch = flows.tumbling(spark.read.parquet("/root/testdata/sf0.001/events.parquet"), "ts", "1 hour", "10 minutes", ["event_type"], F.count("*").alias("n"))
     assert sorted(map(tuple, spark.table("tumbled").collect())) == sorted(map(tuple, batch.collect()))
-
-
-def test_change_stream_and_overwrites(spark, tmp_path):
-    src = tmp_path / "in"
-    schema = "uid string, hash string, dtstamp string"
-    spark.createDataFrame([("a", "1", "t1"), ("b", "1", "t1"), ("a", "1", "t2")], schema).write.parquet(str(src))
-    stream = lambda: spark.readStream.schema(schema).parquet(str(src))
-    run = lambda: flows.change_stream(stream()).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start().awaitTermination(120)
-    run()
-    spark.createDataFrame([("a", "2", "t3"), ("b", "1", "t3")], schema).write.mode("append").parquet(str(src))
-    run()
-    got = spark.read.schema(flows.CHANGE).parquet(str(tmp_path / "out")).orderBy("uid", "sequence").collect()
-    assert [(r["uid"], r["sequence"], r["change"]) for r in got] == [("a", 0, "new"), ("a", 1, "changed"), ("b", 0, "new")]
-    flows.overwrite_partitions(stream(), str(tmp_path / "parts"), "uid", str(tmp_path / "ck2")).awaitTermination(120)
-    assert spark.read.parquet(str(tmp_path / "parts")).count() == 5

@@ -182,3 +182,44 @@ def test_csv_of_files_with_other_orders(spark, tmp_path):
     rows, rejected, unknown = S.csv_rows(spark, str(tmp_path), TableSpec(required=["a"]))
     assert sorted((r["line"], r["a"], r["b"]) for r in rows.collect()) == [(2, "1", "2"), (3, "3", None), (4, "y", "x")]
     assert [tuple(r) for r in rejected.collect()] == [(4, "4,5,6", "more values than the header")] and unknown == ["b"]
+
+
+def test_change_states(spark, tmp_path):
+    from tallymark.streaming import flows
+
+    ts = lambda s: F.lit(s).cast("timestamp")
+    src = str(tmp_path / "in")
+    frame = lambda rows, at: spark.createDataFrame(rows, "uid string, hash string, dtstamp string").withColumn("at", ts(at)).coalesce(1)
+    snapshot = spark.createDataFrame([("a", "1", "t0", 4), ("b", "1", "t0", 0), ("c", "1", "t0", 2)], "uid string, hash string, dtstamp string, sequence int").withColumn("at", ts("2030-01-01 00:00:00"))
+
+    def run() -> list[tuple]:
+        with flows.state_store(spark):
+            stream = spark.readStream.schema(flows.READ).option("maxFilesPerTrigger", 1).parquet(src)
+            flows.change_stream(stream, snapshot, "1 day", "1 hour", 10).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "log")).trigger(availableNow=True).start().awaitTermination()
+        return sorted((r["uid"], r["sequence"], r["hash"], r["change"]) for r in spark.read.schema(flows.CHANGE).parquet(str(tmp_path / "out")).collect())
+
+    frame([("a", "1", "t1"), ("b", "2", "t1"), ("d", "1", "t1")], "2030-01-01 12:00:00").write.parquet(src)
+    first = run()
+    assert first == [("a", 4, "1", "same"), ("b", 1, "2", "changed"), ("d", 0, "1", "new")]  # it is too early to say that c is gone
+    frame([("a", "3", "t2"), ("b", "2", "t2"), (None, None, None)], "2030-01-02 09:00:00").write.mode("append").parquet(src)
+    second = run()
+    assert [x for x in second if x not in first] == [("a", 5, "3", "changed"), ("b", 1, "2", "same"), ("c", 2, "1", "gone")]
+    frame([("c", "1", "t3"), (None, None, None)], "2030-01-03 20:00:00").write.mode("append").parquet(src)
+    third = run()
+    assert sorted(x for x in third if x not in second) == [("a", 5, "3", "gone"), ("b", 1, "2", "gone"), ("c", 2, "1", "same"), ("d", 0, "1", "gone")]
+    frame([("a", "3", "t4"), (None, None, None)], "2030-02-20 00:00:00").write.mode("append").parquet(src)
+    assert ("a", 0, "3", "new") not in run()  # its row came before the watermark took the state away
+    frame([("b", "9", "t5")], "2030-02-21 00:00:00").write.mode("append").parquet(src)
+    assert ("b", 0, "9", "new") in run()  # forgotten, so it starts anew
+
+
+def test_overwrites_keep_what_the_run_wrote(spark, tmp_path):
+    from tallymark.streaming import flows
+
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.createDataFrame([("old", "p1"), ("stays", "p2")], "x string, p string").write.partitionBy("p").parquet(out)
+    for rows in ([("a", "p1")], [("b", "p1"), ("c", "p3")], [("d", "p3")]):
+        spark.createDataFrame(rows, "x string, p string").coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema("x string, p string").option("maxFilesPerTrigger", 1).parquet(src)
+    flows.overwrite_partitions(stream, out, "p", str(tmp_path / "log")).awaitTermination(120)
+    assert sorted(map(tuple, spark.read.parquet(out).select("x", "p").collect())) == [("a", "p1"), ("b", "p1"), ("c", "p3"), ("d", "p3"), ("stays", "p2")]
