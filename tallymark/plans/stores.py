@@ -143,7 +143,7 @@ def written_if_changed(spark: SparkSession, d: str) -> DataFrame:
 def _calendars(spark: SparkSession, d: str) -> DataFrame:
     feeds = read(spark, d, "nation").select(F.concat(F.lit("f"), F.col("n_nationkey").cast("string")).alias("feed"), F.col("n_name").alias("name"))
     k = F.col("o_orderkey")
-    o = _orders(spark, d).where("o_custkey % 40 < 20").select(F.concat(F.lit("f"), (F.col("o_custkey") % 40).cast("string")).alias("feed"), F.concat(F.lit("u"), k.cast("string")).alias("uid"), F.lit("19980630T000000Z").alias("dtstamp"), (k % 3).cast("int").alias("sequence"), F.col("day").alias("start"), F.date_add("day", 1).alias("end"), F.concat(F.lit("Order "), k.cast("string"), F.lit(", "), F.repeat(F.lit("ä"), 40)).alias("summary"), F.when(k % 2 == 0, "hall; east").alias("location"), F.lit("d").alias("description"), F.when(k % 4 == 0, 3).alias("lead_days"))
+    o = _orders(spark, d).select(F.concat(F.lit("f"), (F.col("o_custkey") % 40).cast("string")).alias("feed"), F.concat(F.lit("u"), k.cast("string")).alias("uid"), F.lit("19980630T000000Z").alias("dtstamp"), (k % 3).cast("int").alias("sequence"), F.col("day").alias("start"), F.date_add("day", 1).alias("end"), F.concat(F.lit("Order "), k.cast("string"), F.lit(", "), F.repeat(F.lit("ä"), 40)).alias("summary"), F.when(k % 2 == 0, "hall; east").alias("location"), F.lit("d").alias("description"), F.when(k % 4 == 0, 3).alias("lead_days"))
     return K.calendars(feeds, o)
 
 
@@ -154,15 +154,19 @@ def calendar_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def feeds_written(spark: SparkSession, d: str) -> DataFrame:
+    """Each feed's files as written: events and ends, and whether the manifest agrees with them."""
     path = shared_path(spark, "feeds")
-    K.split_by_feed(_calendars(spark, d), path)
+    manifest = K.split_by_feed(_calendars(spark, d), path).groupBy("feed").agg(F.sum("events").alias("listed"), (F.max("place") == F.count("*")).alias("whole"))
     lines = spark.read.option("lineSep", "\r\n").text(path)
-    return lines.groupBy("feed").agg(F.count_if(F.col("value").startswith("UID:")).alias("events"), F.count_if(F.col("value") == "END:VCALENDAR").alias("ends"))
+    found = lines.groupBy("feed").agg(F.count_if(F.col("value").startswith("UID:")).alias("events"), F.count_if(F.col("value") == "END:VCALENDAR").alias("ends"))
+    return found.join(manifest, "feed").select("feed", "events", "ends", "listed", "whole")
 
 
 def events_skipped(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("o_orderkey")
-    return K.skip_report(_orders(spark, d), "o_orderkey", F.when(k % 5 == 0, "no date").when(k % 7 == 0, "disputed"))[1]
+    feeds = read(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("_feed"))
+    o = _orders(spark, d).join(feeds, F.col("o_custkey") % 40 == F.col("_feed"), "left")
+    return K.skip_report(o, "o_orderkey", F.when(F.col("_feed").isNull(), "no feed").when(k % 5 == 0, "no date").when(k % 7 == 0, "disputed"))[1]
 
 
 def proposals_written(spark: SparkSession, d: str) -> DataFrame:
@@ -177,7 +181,7 @@ def proposals_written(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {k: f for k, f in list(globals().items()) if callable(f) and getattr(f, "__module__", "") == __name__ and not k.startswith("_")}
 
-_CAL = "o AS (SELECT o_custkey%40 AS f, o_orderkey AS k FROM orders WHERE o_custkey%40 < 20), n AS (SELECT 'f' || n_nationkey AS feed, n_nationkey AS f FROM nation)"
+_CAL = "o AS (SELECT o_custkey%40 AS f, o_orderkey AS k FROM orders), n AS (SELECT 'f' || n_nationkey AS feed, n_nationkey AS f FROM nation)"
 ORACLE_SQL = {
     "documents_read": "SELECT c_nationkey, CAST(row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey)-1 AS INTEGER) AS ord, c_custkey, c_name FROM customer",
     "csv_read": "SELECT p_partkey, p_name || ', \"x\"' || chr(10) || 'line ' || p_partkey AS name, 1 AS unknown, 0 AS rejected FROM part",
@@ -192,7 +196,7 @@ ORACLE_SQL = {
     "all_written": "SELECT n_nationkey, 3 AS version, '1,0,1,0' AS wrote FROM nation",
     "written_if_changed": "SELECT count(*) AS n, '1,0,1,0' AS wrote FROM orders WHERE o_orderkey%2=0",
     "calendar_counts": f"WITH {_CAL} SELECT feed, count(k) AS events, count(*) FILTER (k%4=0) AS alarms, count(*) FILTER (k%2=0) AS places, true AS short, count(k) + count(*) FILTER (k%4=0) AS folds FROM n LEFT JOIN o USING (f) GROUP BY 1",
-    "feeds_written": f"WITH {_CAL} SELECT feed, count(k) AS events, 1 AS ends FROM n LEFT JOIN o USING (f) GROUP BY 1",
-    "events_skipped": "SELECT o_orderkey, CASE WHEN o_orderkey%5=0 THEN 'no date' ELSE 'disputed' END AS reason FROM orders WHERE o_orderkey%5=0 OR o_orderkey%7=0",
+    "feeds_written": f"WITH {_CAL} SELECT feed, count(k) AS events, 1 AS ends, count(k) AS listed, true AS whole FROM n LEFT JOIN o USING (f) GROUP BY 1",
+    "events_skipped": "SELECT o_orderkey, CASE WHEN o_custkey%40 >= 25 THEN 'no feed' WHEN o_orderkey%5=0 THEN 'no date' ELSE 'disputed' END AS reason FROM orders WHERE o_custkey%40 >= 25 OR o_orderkey%5=0 OR o_orderkey%7=0",
     "proposals_written": r"""SELECT c_mktsegment AS kind, CAST(c_custkey AS VARCHAR) AS id, c_name || '|x' AS label, 'says "a, b"' AS evidence_text, '| ' || c_nationkey || ' | ' || c_custkey || ' | ' || c_name || '\|x | http://x | says "a, b" |  |' AS line FROM customer""",
 }

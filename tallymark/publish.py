@@ -6,6 +6,7 @@ whole before it is read.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -14,11 +15,10 @@ from pyspark.sql import functions as F
 
 from .functions.dates import exclusive_end
 from .functions.textkeys import row_hash
+from .storage import exists, moved_into_place
 
-
-#: What one published document may hold of rows, in characters, and one calendar of events.
+#: What one published JSON document may hold of rows, in characters.
 MOST_BYTES = 256 << 20
-MOST_EVENTS = 200_000
 
 
 def envelope_json(rows: DataFrame, path: str, order: list[str], field: str, **head: str) -> None:
@@ -42,28 +42,25 @@ def kept_last_good(fresh: DataFrame, failed: DataFrame, previous: DataFrame, key
 def partial_overwrite(rows: DataFrame, complete: DataFrame, path: str, partition: str) -> None:
     """K3: replaces the partitions that complete lists and leaves every other one as it is; where nothing is written yet
     all rows are, partial or not."""
-    spark = rows.sparkSession
-    try:
-        spark.read.parquet(path).limit(1).count()
+    if exists(rows.sparkSession, path):
         rows = rows.join(complete.select(partition).distinct(), partition, "left_semi")
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 
+def replaced(rows: DataFrame, path: str) -> None:
+    """The table at path with these rows instead: written beside it, then moved into its place, so a write that fails
+    leaves the last good one. rows may read what is at path."""
+    fresh = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+    rows.write.parquet(fresh)
+    moved_into_place(rows.sparkSession, fresh, path)
+
+
 def all_or_nothing(rows: DataFrame, wanted: DataFrame, key: str, path: str) -> bool:
-    """K4: overwrites only if rows has every wanted key, or nothing is there yet; says whether it wrote."""
-    spark = rows.sparkSession
+    """K4: replaces the table only if rows has every wanted key, or nothing is there yet; says whether it wrote."""
     lacking = wanted.select(key).distinct().join(rows.select(key).distinct(), key, "left_anti").limit(1).count()
-    if lacking:
-        try:
-            spark.read.parquet(path).limit(1).count()
-            return False
-        except Exception as e:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-    rows.write.mode("overwrite").parquet(path)
+    if lacking and exists(rows.sparkSession, path):
+        return False
+    replaced(rows, path)
     return True
 
 
@@ -75,15 +72,11 @@ def table_digest(rows: DataFrame, columns: list[str]) -> str:
 
 
 def write_if_changed(rows: DataFrame, path: str, columns: list[str]) -> bool:
-    """K5: writes unless the columns at path hold the same rows; says whether it wrote."""
+    """K5: replaces the table unless its columns hold the same rows; says whether it wrote."""
     spark = rows.sparkSession
-    try:
-        if table_digest(spark.read.parquet(path), columns) == table_digest(rows, columns):
-            return False
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-    rows.write.mode("overwrite").parquet(path)
+    if exists(spark, path) and table_digest(spark.read.parquet(path), columns) == table_digest(rows, columns):
+        return False
+    replaced(rows, path)
     return True
 
 
@@ -133,27 +126,35 @@ def event_lines(events: DataFrame) -> DataFrame:
 
 
 def calendars(feeds: DataFrame, events: DataFrame, feed: str = "feed", name: str = "name") -> DataFrame:
-    """K6 and K7: (feed, text) of every feed, those without events too; events in order of start and uid, lines folded and
-    ended by CR LF. A feed is one text, so one of more than MOST_EVENTS events is refused."""
-    large = events.groupBy(feed).count().where(F.col("count") > MOST_EVENTS).first()
-    if large:
-        raise ValueError(f"{large['count']} events are too many for the calendar {large[feed]}")
-    ordered = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("start", "uid", "lines"))), lambda s: s["lines"]))
-    bodies = event_lines(events).groupBy(feed).agg(ordered.alias("body"))
+    """K6 and K7: the calendars of feeds, in pieces: a head, a piece for each event and a foot, lines folded and parted by
+    CR LF. Columns: feed, part (0 head, 1 event, 2 foot), start, uid, text; a calendar is its feed's texts in the order of
+    part, start and uid, each with a line end. No row or task holds a calendar. Feeds without events have calendars too;
+    events of other feeds are left out, see skip_report()."""
     head = F.array(F.lit("BEGIN:VCALENDAR"), F.lit("VERSION:2.0"), F.lit("PRODID:-//tallymark//calendar//EN"), F.lit("CALSCALE:GREGORIAN"), F.lit("METHOD:PUBLISH"), F.concat(F.lit("X-WR-CALNAME:"), escaped(F.col(name))))
-    whole = feeds.join(bodies, feed, "left").select(feed, F.concat(head, F.coalesce("body", F.array().cast("array<string>")), F.array(F.lit("END:VCALENDAR"))).alias("lines"))
+    none = [F.lit(None).cast("date").alias("start"), F.lit(None).cast("string").alias("uid")]
+    tops = feeds.select(feed, F.lit(0).alias("part"), *none, head.alias("lines"))
+    feet = feeds.select(feed, F.lit(2).alias("part"), *none, F.array(F.lit("END:VCALENDAR")).alias("lines"))
+    bodies = event_lines(events.join(feeds.select(feed).distinct(), feed, "left_semi")).select(feed, F.lit(1).alias("part"), "start", F.col("uid").cast("string").alias("uid"), "lines")
+    kind = feeds.schema[feed].dataType.simpleString()
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text = ["\r\n".join(map(folded_line, lines)) + "\r\n" for lines in batch.column("lines").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(feed), pa.array(text, pa.string())], names=[feed, "text"])
-
-    return whole.mapInArrow(fold, f"{feed} string, text string")
-
-
-def split_by_feed(texts: DataFrame, path: str, feed: str = "feed") -> None:
-    """K7: a folder for each feed, with its text."""
-    texts.select(feed, F.regexp_replace("text", "\r\n$", "").alias("text")).write.mode("overwrite").option("lineSep", "\r\n").partitionBy(feed).text(path)
+            text = ["\r\n".join(map(folded_line, lines)) for lines in batch.column("lines").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(text, pa.string())], names=[*batch.schema.names[:-1], "text"])
+
+    return tops.unionByName(bodies).unionByName(feet).mapInArrow(fold, f"{feed} {kind}, part int, start date, uid string, text string")
+
+
+def split_by_feed(pieces: DataFrame, path: str, feed: str = "feed") -> DataFrame:
+    """K7: a folder for each feed with its calendar: files whose texts, in the order of their names, are the document. The
+    pieces are dealt by ranges of feed and place, so a large feed is several files of many tasks. Returns the manifest:
+    feed, place (from 1), file, bytes, and events."""
+    order = [feed, "part", "start", "uid"]
+    ranged = pieces.repartitionByRange(*order).sortWithinPartitions(*order).select(feed, "text")
+    ranged.write.mode("overwrite").option("lineSep", "\r\n").partitionBy(feed).text(path)
+    lines = pieces.sparkSession.read.option("lineSep", "\r\n").text(path).select(feed, F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_size").alias("bytes"), "value")
+    files = lines.groupBy(feed, "file").agg(F.first("bytes").alias("bytes"), F.count_if(F.col("value") == "BEGIN:VEVENT").alias("events"))
+    return files.withColumn("place", F.row_number().over(Window.partitionBy(feed).orderBy("file"))).select(feed, "place", "file", "bytes", "events")
 
 
 def skip_report(events: DataFrame, key: str, reason: Column) -> tuple[DataFrame, DataFrame]:

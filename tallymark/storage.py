@@ -36,8 +36,11 @@ def _folder(spark: SparkSession, path: str):
 
 
 def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table lies at path: a folder with something in it besides marks and logs, or a file."""
     at, files = _folder(spark, path)
-    return bool(files.exists(at))
+    if not files.exists(at):
+        return False
+    return files.getFileStatus(at).isFile() or any(not f.getPath().getName().startswith(("_", ".")) for f in files.listStatus(at))
 
 
 def removed(spark: SparkSession, paths: list[str]) -> None:

@@ -223,3 +223,46 @@ def test_overwrites_keep_what_the_run_wrote(spark, tmp_path):
     stream = spark.readStream.schema("x string, p string").option("maxFilesPerTrigger", 1).parquet(src)
     flows.overwrite_partitions(stream, out, "p", str(tmp_path / "log")).awaitTermination(120)
     assert sorted(map(tuple, spark.read.parquet(out).select("x", "p").collect())) == [("a", "p1"), ("b", "p1"), ("c", "p3"), ("d", "p3"), ("stays", "p2")]
+
+
+def test_a_large_calendar_is_written_by_many_tasks(spark, tmp_path):
+    from tallymark import publish as K
+
+    feeds = spark.createDataFrame([("big", "Big"), ("none", "None"), ("quoted/feed", "x")], "feed string, name string")
+    k = F.col("id")
+    ev = spark.range(20_000, numPartitions=8).select(F.when(k % 500 == 0, "quoted/feed").when(k % 501 == 0, "unknown").otherwise("big").alias("feed"), F.concat(F.lit("u"), k.cast("string")).alias("uid"), F.lit("t").alias("dtstamp"), F.lit(0).alias("sequence"), F.date_add(F.lit("2030-01-01").cast("date"), (k * 7919 % 300).cast("int")).alias("start"), F.lit("2031-01-01").cast("date").alias("end"), F.lit("ä" * 50).alias("summary"), F.lit(None).cast("string").alias("location"), F.lit("d").alias("description"), F.lit(None).cast("int").alias("lead_days"))
+    pieces = K.calendars(feeds, ev)
+    key, was = "spark.sql.adaptive.coalescePartitions.enabled", spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set(key, "false")
+    try:
+        manifest = K.split_by_feed(pieces, str(tmp_path / "c")).collect()
+    finally:
+        spark.conf.set(key, was)
+    big = sorted((r["place"], r["file"], r["bytes"], r["events"]) for r in manifest if r["feed"] == "big")
+    assert len(big) > 1 and [p for p, *_ in big] == list(range(1, len(big) + 1))
+    written = b"".join((tmp_path / "c" / "feed=big" / f).read_bytes() for _, f, _, _ in big)
+    assert sum(b for _, _, b, _ in big) == len(written)
+    small = "".join(r["text"] + "\r\n" for r in pieces.where("feed = 'big'").coalesce(1).sortWithinPartitions("part", "start", "uid").collect())
+    assert written.decode() == small and sum(e for *_, e in big) == small.count("BEGIN:VEVENT") == pieces.where("feed = 'big' and part = 1").count()
+    assert {r["feed"] for r in manifest} == {"big", "none", "quoted/feed"}
+
+
+def test_tables_are_replaced_whole(spark, tmp_path):
+    from tallymark import publish as K
+    from tallymark.storage import exists
+
+    path = str(tmp_path / "t")
+    assert not exists(spark, path)
+    one = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    assert K.write_if_changed(one, path, ["k", "v"]) and not K.write_if_changed(one.orderBy(F.desc("k")), path, ["k", "v"])
+    assert K.write_if_changed(spark.read.parquet(path).withColumn("v", F.lit("c")), path, ["k", "v"])  # rows that read what they replace
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(1, "c"), (2, "c")]
+    bad = one.withColumn("v", F.raise_error(F.lit("no")))
+    with pytest.raises(Exception, match="no"):
+        K.replaced(bad, path)
+    assert spark.read.parquet(path).count() == 2
+    assert not K.all_or_nothing(one.where("k = 1"), one, "k", path) and K.all_or_nothing(one, one, "k", path)
+    assert sorted(f.name for f in tmp_path.iterdir() if "before" in f.name) == []
+    (tmp_path / "empty").mkdir()
+    (tmp_path / "empty" / "_SUCCESS").touch()
+    assert not exists(spark, str(tmp_path / "empty")) and K.all_or_nothing(one.where("k = 1"), one, "k", str(tmp_path / "empty"))
