@@ -42,6 +42,7 @@ WANTED_BITS = 1 << 23
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Letters and digits stay, A-Z lower-cased, other ASCII characters part terms; bytes from 128 on are letters.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 or 48 <= b <= 57 else 32 for b in range(256))
+_IS_TERM = np.frombuffer(_FOLD, np.uint8) != 32
 
 _TIER = "struct<starts: binary, docs: binary, impacts: binary, rest: binary>"
 _INDEX = "docs array<long>, terms array<string>, df array<int>, " + ", ".join(f"tier{k} {_TIER}" for k in range(len(TIERS) + 1))
@@ -60,10 +61,29 @@ def weight(n_docs: int, df: int) -> int:
     return math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df + 1)))
 
 
+def counted(texts: pa.Array) -> np.ndarray:
+    """How many terms each text has: the places where a term's bytes begin."""
+    texts = texts.cast(pa.large_string())
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    letters = _IS_TERM[np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]]
+    begins = letters.copy()
+    begins[1:] &= ~letters[:-1]
+    first = (ends[:-1] - ends[0])[ends[1:] > ends[:-1]]
+    begins[first] = letters[first]
+    return np.diff(np.concatenate([[0], np.cumsum(begins, dtype=np.int64)])[ends - ends[0]])
+
+
 def statistics(docs: DataFrame) -> tuple[int, int]:
     """Documents with a term, and their terms with repeats."""
-    n = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(TERM))
-    row = docs.select(n.alias("n")).where("n > 0").agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).head()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = terms = 0
+        for batch in sliced_by_bytes(batches, "text", SEGMENT_BYTES // 4):
+            n = counted(batch.column("text"))
+            found, terms = found + int((n > 0).sum()), terms + int(n.sum())
+        yield pa.RecordBatch.from_pydict({"found": [found], "terms": [terms]}, pa.schema([("found", pa.int64()), ("terms", pa.int64())]))
+
+    row = docs.select("text").mapInArrow(run, "found long, terms long").agg(F.coalesce(F.sum("found"), F.lit(0)), F.coalesce(F.sum("terms"), F.lit(0))).head()
     return int(row[0]), int(row[1])
 
 

@@ -88,6 +88,14 @@ def test_tiers_bound_what_is_below(monkeypatch):
             assert max(s for d, s in true.items() if low.get(d, 0) < s) <= part.open[i]
 
 
+def test_terms_are_counted():
+    import pyarrow as pa
+
+    texts = ["", "a", " a", "a b", "é-数x", None, "  ", "A1_b2 ", "", "ends", "starts", "\x00a\x00"]
+    for part in (pa.array(texts), pa.array(["skipped", *texts])[1:], pa.array(texts)[2:5], pa.array([], pa.string())):
+        assert ranked.counted(part).tolist() == [len(ranked.terms_of(t or "")) for t in part.to_pylist()]
+
+
 def test_ranked_of_nothing(spark):
     none, one = spark.createDataFrame([], "doc_id long, text string"), spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     q, empty = spark.createDataFrame([(1, "a")], "item_id long, text string"), spark.createDataFrame([], "item_id long, text string")
