@@ -12,9 +12,11 @@ from functools import lru_cache, reduce
 from html import unescape
 from html.entities import html5
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import stored
+
 ColumnOrName = Column | str
 
 
@@ -353,32 +355,63 @@ def fingerprint(x: ColumnOrName) -> Column:
     return F.lpad(F.lower(F.hex(F.aggregate(pairs, F.lit(2166136261).cast("long"), step))), 8, "0")
 
 
-def flattened(json: ColumnOrName, depth: int = 6) -> Column:
-    """P20: an array of (path, leaf) of a JSON text, as a.b[0]. Objects and arrays to the depth are opened."""
-    node = F.array(F.struct(F.lit("").alias("path"), _col(json).alias("leaf")))
-    for _ in range(depth):
-        node = F.flatten(F.transform(node, _opened))
-    return F.transform(node, lambda n: F.struct(F.regexp_replace(n["path"], r"^\.", "").alias("path"), _unquoted(n["leaf"]).alias("leaf")))
-
-
-def _opened(n: Column) -> Column:
-    leaf = F.trim(n["leaf"])
-    fields = F.from_json(F.when(leaf.startswith("{"), leaf), "map<string,string>")
-    items = F.from_json(F.when(leaf.startswith("["), leaf), "array<string>")
-    return (
-        F.when(fields.isNotNull(), F.transform(F.map_entries(fields), lambda e: F.struct(F.concat(n["path"], F.lit("."), e["key"]).alias("path"), e["value"].alias("leaf"))))
-        .when(items.isNotNull(), F.transform(items, lambda v, i: F.struct(F.concat(n["path"], F.lit("["), i.cast("string"), F.lit("]")).alias("path"), v.alias("leaf"))))
-        .otherwise(F.array(n))
-    )
-
-
-def _unquoted(x: Column) -> Column:
-    return F.when(x.rlike('^".*"$'), F.regexp_replace(x, '^"|"$', "")).otherwise(x)
+#: Levels of a JSON document that are opened before its rows are written and looked at again.
+LEVELS = 4
+
+
+def flattened(rows: DataFrame, json: str, keep: list[str]) -> DataFrame:
+    """P20: a row for each leaf of the JSON texts in a column, at any depth: the kept columns, path (as a.b[0]), leaf as
+    text (null for JSON's null) and kind (string, number, boolean, null). Empty objects and lists have no leaves; a null
+    text has none; a text that isn't JSON, or names a key twice, is a leaf of its own at the empty path, of kind text.
+
+    A document is parsed once, into a Variant, whose objects and lists are opened level by level; what has been opened
+    to LEVELS is written, and only what still holds some is opened further.
+    """
+    v = F.try_parse_json(F.col(json).cast("string"))
+    state = [F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)]
+    names = [F.col(f"_k{i}") for i in range(len(keep))]
+    base = rows.where(F.col(json).isNotNull()).select(*state, F.lit("").alias("_path"), v.alias("_v"), F.col(json).cast("string").alias("_text"))
+    odd = base.where("_v is null").select(*names, F.col("_path").alias("path"), F.col("_text").alias("leaf"), F.lit("text").alias("kind"))
+    open_, out = _opened(base.where("_v is not null").drop("_text"), names), [odd]
+    while True:
+        for _ in range(LEVELS - 1):
+            open_ = _opened(open_, names)
+        open_ = stored(open_, "leaves")
+        shut = open_.where("_holds is null").withColumn("_kind", F.substring(F.schema_of_variant("_v"), 1, 4))
+        kind = F.when(F.col("_kind") == "STRI", "string").when(F.col("_kind") == "BOOL", "boolean").when(F.col("_kind") == "VOID", "null").otherwise("number")
+        out.append(shut.select(*names, F.regexp_replace("_path", r"^\.", "").alias("path"), F.col("_v").cast("string").alias("leaf"), kind.alias("kind")))
+        open_ = open_.where("_holds").select(*names, "_path", "_v")
+        if not open_.head(1):
+            break
+        open_ = _opened(open_, names)
+    whole = reduce(DataFrame.unionByName, out)
+    return whole.select(*(F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)), "path", "leaf", "kind")
+
+
+def _opened(rows: DataFrame, names: list[Column]) -> DataFrame:
+    """Rows one level further: an object's or list's members in its place, a leaf as it is; _holds is true for what can be
+    opened again, null for a leaf. Empty ones go."""
+    spark = rows.sparkSession
+    if "_holds" not in rows.columns:
+        rows = rows.withColumn("_holds", _holds(F.col("_v")))
+    rows = rows.where("_holds is null or _holds")
+    inner = rows.lateralJoin(spark.tvf.variant_explode_outer(F.when(F.col("_holds"), F.col("_v")).outer()))
+    step = F.when(F.col("key").isNotNull(), F.concat(F.lit("."), F.col("key"))).when(F.col("pos").isNotNull(), F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]"))).otherwise("")
+    out = inner.select(*names, F.concat("_path", step).alias("_path"), F.when(F.col("_holds"), F.col("value")).otherwise(F.col("_v")).alias("_v"), F.col("_holds").alias("_was"))
+    return out.withColumn("_holds", F.when(F.col("_was"), _holds(F.col("_v")))).drop("_was")
+
+
+def _holds(v: Column) -> Column:
+    """True for an object or list with members, false for an empty one, null for a leaf."""
+    text = F.to_json(v)
+    return F.when(F.substring(text, 1, 1).isin("{", "["), F.length(text) > 2)
 
 
 def path_allowed(path: ColumnOrName, allowed: list[str]) -> Column:
-    """P20: whether the path, its list positions as [], is one of those allowed."""
-    return F.regexp_replace(_col(path), r"\[[0-9]+\]", "[]").isin(*allowed)
+    """P20: whether the path, its list positions as [], is one of those allowed; one that ends in a dot allows all below."""
+    plain = F.regexp_replace(_col(path), r"\[[0-9]+\]", "[]")
+    below = [F.startswith(plain, F.lit(a)) for a in allowed if a.endswith(".")]
+    return reduce(lambda a, b: a | b, below, plain.isin(*allowed))
 
 
 def numbers_in(x: ColumnOrName) -> Column:

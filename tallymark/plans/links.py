@@ -144,8 +144,11 @@ def table_cells(spark: SparkSession, d: str) -> DataFrame:
 
 
 def flattened_props(spark: SparkSession, d: str) -> DataFrame:
-    e = read(spark, d, "events").select("event_id", F.explode(T.flattened("props", 2)).alias("f"))
-    return e.select("event_id", "f.path", "f.leaf")
+    """The leaves of nested documents, ten levels deep, that are among the allowed paths."""
+    e = read(spark, d, "events")
+    text = F.concat(F.lit('{"id": '), F.col("event_id").cast("string"), F.lit(', "p": '), F.col("props"), F.lit(', "deep": {"a": [{"b": {"c": [[{"e": {"f": {"g": {"h": "'), F.col("event_type"), F.lit('"}}}}]]}}], "empty": {}}, "none": null, "more": [true, "t {x}", []]}'))
+    leaves = T.flattened(e.select("event_id", text.alias("doc")), "doc", ["event_id"])
+    return leaves.where(T.path_allowed("path", ["id", "p.", "deep.a[].b.c[][].e.f.g.h", "none", "more[]", "more[][]"]))
 
 
 def flat_points(spark: SparkSession, d: str) -> DataFrame:
@@ -243,7 +246,8 @@ ORACLE_SQL = {
         s AS (SELECT p_name, other, o, CASE WHEN (list_has_all(a,b) AND list_has_all(b,a)) OR replace(p_name,' ','')=replace(other,' ','') THEN 0 WHEN len(x)=0 OR len(y)=0 THEN NULL WHEN list_has_all(x,y) AND list_has_all(y,x) THEN 0 WHEN list_has_all(x,y) OR list_has_all(y,x) THEN 1 END AS r FROM m, o WHERE list_has_any(a,b)),
         k AS (SELECT *, row_number() OVER (PARTITION BY p_name ORDER BY r, o) AS n FROM s WHERE r IS NOT NULL) SELECT p_partkey, CASE r WHEN 0 THEN 'exact' ELSE 'contained' END AS strength, other FROM p JOIN k USING (p_name) WHERE n=1 AND p_partkey%3<2""",
     "table_cells": "SELECT s_suppkey, s_name AS name, 'a&b' AS mark, '/s/'||s_suppkey AS link FROM supplier",
-    "flattened_props": "SELECT event_id, 'k' AS path, json_extract_string(props, '$.k') AS leaf FROM events",
+    "flattened_props": """WITH l AS (SELECT event_id, unnest([{'path': 'id', 'leaf': event_id::VARCHAR, 'kind': 'number'}, {'path': 'p.k', 'leaf': json_extract_string(props, '$.k'), 'kind': 'number'}, {'path': 'deep.a[0].b.c[0][0].e.f.g.h', 'leaf': event_type, 'kind': 'string'},
+        {'path': 'none', 'leaf': NULL, 'kind': 'null'}, {'path': 'more[0]', 'leaf': 'true', 'kind': 'boolean'}, {'path': 'more[1]', 'leaf': 't {x}', 'kind': 'string'}], recursive := true) FROM events) SELECT event_id, path, leaf, kind FROM l""",
     "flat_points": "SELECT s_suppkey, CASE WHEN s_suppkey%11=0 THEN 'excluded' ELSE 'no position' END AS reason FROM supplier WHERE s_suppkey%11=0 OR (s_suppkey%2=1 AND s_suppkey%3=0)",
     "entities_by_kind": "WITH w AS (SELECT p_partkey, CASE WHEN regexp_matches(lower(p_type),'eco|promo') THEN 'kind '||p_type WHEN regexp_matches(p_name,'widget$') THEN 'name' END AS why FROM part) SELECT * FROM w WHERE why IS NOT NULL",
     "sport_filter": "SELECT p_partkey, CASE WHEN NOT (lower(p_type) IN ('small','red') OR split_part(p_name,' ',1) IN ('small','red')) THEN 'sport' WHEN contains(p_name,'bolt') THEN 'name' END AS why FROM part",

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import html
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -79,3 +80,27 @@ def test_name_candidates_with_nulls_and_clashing_names(spark):
     lists = [x.toDF("scope", "code", "label") for x in (one, two)]
     got = J.name_candidates(rows.toDF("scope", "name", "note"), lists, "scope", "name").collect()
     assert sorted((r["name"], str(r["code"]), r["label"], r["source_order"]) for r in got) == sorted(2 * [("Park Hall", "c1", "park", 0), ("Park Hall", "c1", "Park Hall East", 0), ("Park Hall", "c2", "hall", 1)] + [("Mill", "None", "mill", 1)])
+
+
+def leaves(o, path=""):
+    if isinstance(o, dict):
+        return [x for k, v in o.items() for x in leaves(v, f"{path}.{k}" if path else k)]
+    if isinstance(o, list):
+        return [x for i, v in enumerate(o) for x in leaves(v, f"{path}[{i}]")]
+    kind = "null" if o is None else "boolean" if isinstance(o, bool) else "string" if isinstance(o, str) else "number"
+    return [(path, None if o is None else str(o).lower() if kind == "boolean" else str(o), kind)]
+
+
+def test_leaves_at_any_depth(spark):
+    deep = "x"
+    for i in range(50):
+        deep = [deep] if i % 3 == 0 else {f"k{i}": deep, "n": i}
+    docs = [{"a": {"b": ["x", {"c": 1}]}, "d": "y"}, deep, {"e": {}, "l": [], "m": [[], {}], "n": None, "t": True, "s": "{not [open", "q": '"'}, "plain", 5, [], {}, None]
+    rows = [(i, json.dumps(d), "clash") for i, d in enumerate(docs)] + [(90, "no json {", "clash"), (91, None, "clash"), (92, "", "clash"), (None, '{"z": "null id"}', "clash")]
+    got = T.flattened(spark.createDataFrame(rows, "id int, doc string, key string"), "doc", ["id", "key"]).collect()
+    want = [(i, "clash", *x) for i, d in enumerate(docs) for x in leaves(d)] + [(90, "clash", "", "no json {", "text"), (92, "clash", "", "", "text"), (None, "clash", "z", "null id", "string")]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_allowed_paths(spark):
+    assert values(spark, lambda x: T.path_allowed(x, ["a.b[]", "p."]), ["a.b[12]", "a.c", "p.q[3].r", "p", "px.y"]) == [True, False, True, False, False]
