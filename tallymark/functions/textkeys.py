@@ -367,44 +367,35 @@ def flattened(rows: DataFrame, json: str, keep: list[str]) -> DataFrame:
     A document is parsed once, into a Variant, whose objects and lists are opened level by level; what has been opened
     to LEVELS is written, and only what still holds some is opened further.
     """
-    v = F.try_parse_json(F.col(json).cast("string"))
-    state = [F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)]
     names = [F.col(f"_k{i}") for i in range(len(keep))]
-    base = rows.where(F.col(json).isNotNull()).select(*state, F.lit("").alias("_path"), v.alias("_v"), F.col(json).cast("string").alias("_text"))
-    odd = base.where("_v is null").select(*names, F.col("_path").alias("path"), F.col("_text").alias("leaf"), F.lit("text").alias("kind"))
-    open_, out = _opened(base.where("_v is not null").drop("_text"), names), [odd]
+    base = rows.where(F.col(json).isNotNull()).select(*(F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)), F.try_parse_json(F.col(json).cast("string")).alias("_v"), F.col(json).cast("string").alias("_text"))
+    out = [base.where("_v is null").select(*names, F.lit("").alias("path"), F.col("_text").alias("leaf"), F.lit("text").alias("kind"))]
+    left = base.where("_v is not null").select(*names, F.lit("").alias("_path"), "_v")
     while True:
-        for _ in range(LEVELS - 1):
-            open_ = _opened(open_, names)
-        open_ = stored(open_, "leaves")
-        shut = open_.where("_holds is null").withColumn("_kind", F.substring(F.schema_of_variant("_v"), 1, 4))
-        kind = F.when(F.col("_kind") == "STRI", "string").when(F.col("_kind") == "BOOL", "boolean").when(F.col("_kind") == "VOID", "null").otherwise("number")
+        nodes = F.array(F.struct(F.col("_path").alias("path"), F.col("_v").alias("v")))
+        for _ in range(LEVELS):
+            nodes = F.flatten(F.transform(nodes, lambda n: F.coalesce(_members(n["path"], n["v"]), F.array(n))))
+        seen = left.select(*names, F.explode(nodes).alias("_n")).select(*names, F.col("_n.path").alias("_path"), F.col("_n.v").alias("_v"))
+        seen = stored(seen.withColumn("_open", _members(F.lit(""), F.col("_v")).isNotNull()), "leaves")
+        shut = seen.where("not _open").withColumn("_kind", F.schema_of_variant("_v"))
+        kind = F.when(F.col("_kind") == "STRING", "string").when(F.col("_kind") == "BOOLEAN", "boolean").when(F.col("_kind") == "VOID", "null").otherwise("number")
         out.append(shut.select(*names, F.regexp_replace("_path", r"^\.", "").alias("path"), F.col("_v").cast("string").alias("leaf"), kind.alias("kind")))
-        open_ = open_.where("_holds").select(*names, "_path", "_v")
-        if not open_.head(1):
+        left = seen.where("_open").select(*names, "_path", "_v")
+        if not left.head(1):
             break
-        open_ = _opened(open_, names)
     whole = reduce(DataFrame.unionByName, out)
     return whole.select(*(F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)), "path", "leaf", "kind")
 
 
-def _opened(rows: DataFrame, names: list[Column]) -> DataFrame:
-    """Rows one level further: an object's or list's members in its place, a leaf as it is; _holds is true for what can be
-    opened again, null for a leaf. Empty ones go."""
-    spark = rows.sparkSession
-    if "_holds" not in rows.columns:
-        rows = rows.withColumn("_holds", _holds(F.col("_v")))
-    rows = rows.where("_holds is null or _holds")
-    inner = rows.lateralJoin(spark.tvf.variant_explode_outer(F.when(F.col("_holds"), F.col("_v")).outer()))
-    step = F.when(F.col("key").isNotNull(), F.concat(F.lit("."), F.col("key"))).when(F.col("pos").isNotNull(), F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]"))).otherwise("")
-    out = inner.select(*names, F.concat("_path", step).alias("_path"), F.when(F.col("_holds"), F.col("value")).otherwise(F.col("_v")).alias("_v"), F.col("_holds").alias("_was"))
-    return out.withColumn("_holds", F.when(F.col("_was"), _holds(F.col("_v")))).drop("_was")
-
-
-def _holds(v: Column) -> Column:
-    """True for an object or list with members, false for an empty one, null for a leaf."""
-    text = F.to_json(v)
-    return F.when(F.substring(text, 1, 1).isin("{", "["), F.length(text) > 2)
+def _members(path: Column, v: Column) -> Column:
+    """An object's or list's members with their paths; null for a leaf."""
+    fields = F.map_entries(F.try_variant_get(v, "$", "map<string,variant>"))
+    items = F.try_variant_get(v, "$", "array<variant>")
+    node = lambda p, x: F.struct(p.alias("path"), x.alias("v"))
+    return F.coalesce(
+        F.transform(fields, lambda e: node(F.concat(path, F.lit("."), e["key"]), e["value"])),
+        F.transform(items, lambda x, i: node(F.concat(path, F.lit("["), i.cast("string"), F.lit("]")), x)),
+    )
 
 
 def path_allowed(path: ColumnOrName, allowed: list[str]) -> Column:

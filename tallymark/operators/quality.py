@@ -161,6 +161,26 @@ def translation_problems(source: str, translated: str, stated: str, glossary: di
     return F.array_compact(F.array(lost(numbers_in, "number"), lost(dates_in, "day"), lost(urls_in, "address"), *terms, F.when(fingerprint(s) != F.col(stated), "stale")))
 
 
+def glossary_problems(rows: DataFrame, row: str, source: str, translated: str, glossary: DataFrame) -> DataFrame:
+    """(row, term, wanted) where a source text has a term of the glossary (term, wanted) as a phrase and its
+    translation lacks a word of what is wanted for it. A word counts by its stem, without a last vowel, anywhere in the
+    text, both folded; words of less than three letters don't count. A missing translation has no problems here.
+
+    Terms and texts meet on the term's longest word, so the glossary is a table of any size.
+    """
+    g = glossary.where("term is not null and wanted is not null").select("term", "wanted", search_key("term").alias("_term"), F.split(search_key("wanted"), " ").alias("_w")).where("_term <> ''").distinct()
+    word = F.col("_w")
+    stem = lambda w: F.when((F.length(w) > 3) & F.substring(w, -1, 1).isin("a", "e", "i", "u"), F.substring(w, F.lit(1), F.length(w) - 1)).otherwise(w)
+    stems = F.transform(F.filter(word, lambda w: F.length(w) >= 3), stem)
+    longest = F.array_max(F.transform(F.split("_term", " "), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    g = g.select("term", "wanted", "_term", stems.alias("_stems"), longest.alias("_on"))
+    t = rows.where(F.col(translated).isNotNull()).select(F.col(row).alias("_row"), search_key(source).alias("_source"), search_key(translated).alias("_dst"))
+    t = t.withColumn("_on", F.explode(F.array_distinct(F.split("_source", " "))))
+    phrase = F.contains(F.concat(F.lit(" "), F.col("_source"), F.lit(" ")), F.concat(F.lit(" "), F.col("_term"), F.lit(" ")))
+    hit = t.join(g, "_on").where(phrase & ~F.forall("_stems", lambda x: F.contains(F.col("_dst"), x)))
+    return hit.select(F.col("_row").alias(row), "term", "wanted")
+
+
 def quote_problems(quote: str, most: int = 15) -> Column:
     """The quote has too many words."""
     return F.size(words(F.coalesce(F.col(quote), F.lit("")))) > most
@@ -260,11 +280,15 @@ def overlapping(rows: DataFrame, start: str, end: str, row: str, scope: list[str
     from the later one's first day alone, which lies in one block of the earlier one: the join is an equality join whose
     every match but those of one row with itself is a pair, so its work is the result's."""
     s, e = F.unix_date(start), F.unix_date(end)
-    spans = rows.where(F.col(end) >= F.col(start)).select(F.struct(F.lit(0), *scope).alias("_scope"), F.col(row).alias("_row"), s.alias("_s"), e.alias("_e"))
-    earlier = spans.select("_scope", F.col("_row").alias("_a"), F.col("_s").alias("_sa"), F.explode(_blocks(F.col("_s"), F.col("_e"))).alias("_block"))
-    days = F.array(*(F.struct(F.lit(k).alias("level"), F.shiftright("_s", k).cast("long").alias("block")) for k in range(BLOCK_LEVELS + 1)))
-    later = spans.select("_scope", F.col("_row").alias("_b"), F.col("_s").alias("_sb"), F.explode(days).alias("_block"))
-    pairs = earlier.join(later, ["_scope", "_block"]).where("_sa < _sb or (_sa = _sb and _a < _b)")
+    spans = rows.where(F.col(end) >= F.col(start)).select(*(F.col(c).alias(f"_c{i}") for i, c in enumerate(scope)), F.col(row).alias("_row"), s.alias("_s"), e.alias("_e"))
+    key = lambda b: b["block"] * 16 + b["level"]
+    earlier = spans.select(*(F.col(f"_c{i}").alias(f"_a{i}") for i in range(len(scope))), F.col("_row").alias("_a"), F.col("_s").alias("_sa"), F.explode(F.transform(_blocks(F.col("_s"), F.col("_e")), key)).alias("_ka"))
+    days = F.array(*(F.shiftright("_s", k).cast("long") * 16 + k for k in range(BLOCK_LEVELS + 1)))
+    later = spans.select(*(F.col(f"_c{i}").alias(f"_b{i}") for i in range(len(scope))), F.col("_row").alias("_b"), F.col("_s").alias("_sb"), F.explode(days).alias("_kb"))
+    same = F.col("_ka") == F.col("_kb")
+    for i in range(len(scope)):
+        same = same & F.col(f"_a{i}").eqNullSafe(F.col(f"_b{i}"))
+    pairs = earlier.join(later, same & ((F.col("_sa") < F.col("_sb")) | ((F.col("_sa") == F.col("_sb")) & (F.col("_a") < F.col("_b")))))
     return pairs.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import textkeys as T
-from ..operators.quality import translation_problems
+from ..operators.quality import glossary_problems, translation_problems
 from ..operators.ranking import typeahead as typeahead_list
 from ..operators.reconcile import angles, same_name_notes
 from ..operators.resolve import containment_join, name_candidates, name_join, name_strength
@@ -133,6 +133,17 @@ def lost_in_translation(spark: SparkSession, d: str) -> DataFrame:
     return o.select("o_orderkey", F.exists(p, lambda x: x == "day missing").alias("day_lost"), F.exists(p, lambda x: x == "stale").alias("stale"))
 
 
+def glossary_terms(spark: SparkSession, d: str) -> DataFrame:
+    """Names whose translation has a term in another form, lacks one, or has all."""
+    p = read(spark, d, "part")
+    k, words = F.col("p_partkey"), F.split("p_name", " ")
+    dst = F.when(k % 3 == 0, F.array_join(F.transform(words, lambda w: F.concat(w, F.lit("i"))), " ")).when(k % 3 == 1, F.concat(words[0], F.lit("elor"))).otherwise(F.upper("p_name"))
+    terms = p.select(F.explode(words).alias("term")).distinct().select("term", F.concat("term", F.lit("a")).alias("wanted"))
+    phrases = p.select(F.col("p_name").alias("term"), F.concat(F.lit("la "), words[0], F.lit("e "), words[1]).alias("wanted")).distinct()
+    rows = p.select("p_partkey", "p_name", dst.alias("dst"))
+    return glossary_problems(rows, "p_partkey", "p_name", "dst", terms.unionByName(phrases))
+
+
 def reasons_listed(spark: SparkSession, d: str) -> DataFrame:
     c = read(spark, d, "customer")
     return c.select("c_custkey", F.array_join(angles(debt=F.col("c_acctbal") < 0, machinery=F.col("c_mktsegment") == "MACHINERY"), ",").alias("why")).where("why <> ''")
@@ -140,7 +151,7 @@ def reasons_listed(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (name_core_join, token_containment, phrase_in, text_key, german_spelling, common_words, word_pairs, html_text, html_host, typeahead, duplicate_groups, fingerprints, stable_ids, numbers_found, card_numbers, figures, wkt_points, strengths, same_names, name_lists, lost_in_translation, reasons_listed)
+    for f in (name_core_join, token_containment, phrase_in, text_key, german_spelling, common_words, word_pairs, html_text, html_host, typeahead, duplicate_groups, fingerprints, stable_ids, numbers_found, card_numbers, figures, wkt_points, strengths, same_names, name_lists, lost_in_translation, glossary_terms, reasons_listed)
 }
 
 _KEY = "trim(regexp_replace(lower(strip_accents(replace({0}, 'ß', 'ss'))), '[^a-z0-9]+', ' ', 'g'))"
@@ -191,5 +202,9 @@ ORACLE_SQL = {
         b AS (SELECT p_partkey, code, label, 1 AS source_order FROM p JOIN t USING (p_brand) WHERE contains(p_name, label) OR contains(label, p_name))
         SELECT * FROM a UNION ALL SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM a WHERE a.p_partkey = b.p_partkey AND a.code = b.code)""",
     "lost_in_translation": "SELECT o_orderkey, o_orderkey % 4 = 0 AS day_lost, o_orderkey % 6 = 0 AS stale FROM orders",
+    "glossary_terms": """WITH p AS (SELECT p_partkey, p_name, string_split(p_name, ' ') AS w FROM part), t AS (SELECT *, CASE p_partkey%3 WHEN 0 THEN array_to_string(list_transform(w, lambda x: x || 'i'), ' ') WHEN 1 THEN w[1] || 'elor' ELSE p_name END AS dst FROM p),
+        g AS (SELECT DISTINCT unnest(w) AS term FROM p), h AS (SELECT term, term || 'a' AS wanted, [term || 'a'] AS ws FROM g UNION ALL SELECT DISTINCT p_name, 'la ' || w[1] || 'e ' || w[2], [w[1] || 'e', w[2]] FROM p),
+        s AS (SELECT term, wanted, list_transform(list_filter(ws, lambda x: length(x) >= 3), lambda x: CASE WHEN length(x) > 3 AND right(x, 1) IN ('a', 'e', 'i', 'u') THEN x[:-2] ELSE x END) AS stems FROM h)
+        SELECT p_partkey, term, wanted FROM t JOIN s ON contains(' ' || p_name || ' ', ' ' || term || ' ') WHERE NOT list_aggregate(list_transform(stems, lambda x: contains(dst, x)), 'bool_and')""",
     "reasons_listed": "WITH r AS (SELECT c_custkey, concat_ws(',', CASE WHEN c_acctbal < 0 THEN 'debt' END, CASE WHEN c_mktsegment = 'MACHINERY' THEN 'machinery' END) AS why FROM customer) SELECT * FROM r WHERE why <> ''",
 }

@@ -131,6 +131,17 @@ def ground_names(spark: SparkSession, d: str) -> DataFrame:
     return _parts(spark, d).select("p_partkey", J.ground_agrees(F.col("p_name"), other, ["arena"]).alias("agrees"))
 
 
+def rows_conditional(spark: SparkSession, d: str) -> DataFrame:
+    """Cells that need each other, and cells that are a word or a list of ids; rejected rows with their reasons."""
+    k = F.col("c_custkey")
+    scope = F.when(k % 4 == 0, "derby").when(k % 4 == 1, "all")
+    who = F.when(k % 6 == 0, "Q1").when(k % 6 == 3, "Q2;Q3")
+    ids = F.when(k % 5 == 0, "all").when(k % 5 == 1, F.concat(F.lit("Q"), k.cast("string"), F.lit("; Q9"))).when(k % 5 == 2, "unknown").when(k % 5 == 3, "all;Q1").otherwise("")
+    rows = read(spark, d, "customer").select(k.cast("string").alias("id"), scope.alias("scope"), who.alias("opponent"), ids.alias("applies"))
+    spec = Q.TableSpec(required=["id"], optional=["scope", "opponent", "applies"], rules={"scope and opponent": Q.conditional(F.col("scope") == "derby", F.col("opponent").isNotNull()), "applies to": Q.list_or_word("applies", ["all", "unknown"], "^Q[0-9]+$")})
+    return Q.checked(rows, spec)[1].select("id", F.array_join(F.array_sort("reasons"), "; ").alias("reasons"))
+
+
 def collapsed_candidates(spark: SparkSession, d: str) -> DataFrame:
     """Customers a street apart, some on both sides of 180 degrees, some without a position or a ref."""
     k = F.col("c_custkey")
@@ -288,6 +299,7 @@ ORACLE_SQL = {
         SELECT k AS o_orderkey, 1 AS n FROM t WHERE on_ IS NULL OR on_ > {_D}""",
     "consistent_answer": "SELECT c_custkey FROM customer WHERE c_nationkey = 3",
     "ground_names": "SELECT p_partkey, CASE p_partkey%5 WHEN 0 THEN true WHEN 1 THEN true WHEN 2 THEN false END AS agrees FROM part",
+    "rows_conditional": """WITH r AS (SELECT c_custkey::VARCHAR AS id, concat_ws('; ', CASE WHEN c_custkey%5 IN (3, 4) THEN 'applies to' END, CASE WHEN (c_custkey%4 = 0) <> (c_custkey%6 IN (0, 3)) THEN 'scope and opponent' END) AS reasons FROM customer) SELECT id, reasons FROM r WHERE reasons <> ''""",
     "collapsed_candidates": f"""WITH p AS (SELECT c_nationkey, {{'ref': CASE WHEN c_custkey%3>0 THEN 'r' || c_custkey%101 END, 'lat': CASE WHEN c_custkey%11>0 THEN 40 + (c_custkey*37%5)/100.0 + (c_custkey*7%5)*0.001 END,
             'lon': CASE c_custkey%13 WHEN 0 THEN 179.9995 WHEN 1 THEN -179.9995 ELSE 5 + (c_custkey*53%3)*0.001 END, 'tier': c_custkey%7, 'ord': (c_custkey*7919%1000003)*1000000000 + c_custkey}} AS r FROM customer),
         l AS (SELECT c_nationkey, list([r] ORDER BY r.ord) AS rows FROM p GROUP BY 1),

@@ -14,7 +14,7 @@ from .. import publish as K
 from ..operators.quality import TableSpec
 from ..sources import files as S
 from ..sources import markup as M
-from ..storage import shared_path
+from ..storage import named_documents, shared_path
 from .places import read
 
 
@@ -32,6 +32,18 @@ def documents_read(spark: SparkSession, d: str) -> DataFrame:
     return S.rows_of(found, "rows", ["c_nationkey"])
 
 
+def partitions_read(spark: SparkSession, d: str) -> DataFrame:
+    """Documents named by two capital letters among others; only those are partitions."""
+    path = shared_path(spark, "partitions")
+    n = read(spark, d, "nation")
+    name = F.concat(F.lit("N"), F.char(F.lit(65) + F.col("n_nationkey")))
+    docs = n.select(F.when(F.col("n_nationkey") % 5 > 0, name).otherwise(F.concat(F.lower(name), F.lit("-notes"))).alias("doc"), F.to_json(F.struct(F.lit("table").alias("source"), F.array(F.struct("n_name", "n_regionkey")).alias("rows"))).alias("value"))
+    docs.write.partitionBy("doc").text(path)
+    named_documents(spark, path, "doc")
+    found = S.partitions(spark, path, "source string, rows array<struct<n_name:string,n_regionkey:long>>")
+    return S.rows_of(found, "rows", ["partition", "source"]).select("partition", "source", "n_name", "n_regionkey")
+
+
 def csv_read(spark: SparkSession, d: str) -> DataFrame:
     """Cells with commas, quotes and line ends in columns of another order, one of them unknown."""
     path = shared_path(spark, "csv")
@@ -85,11 +97,18 @@ def sheets_read(spark: SparkSession, d: str) -> DataFrame:
 
 
 def rosters_read(spark: SparkSession, d: str) -> DataFrame:
+    """Pages with one table of grounds beside league tables, or with two league tables that share a team; a place that
+    spans two rows, a note across the table."""
     k = F.col("s_suppkey").cast("string")
-    html = F.concat(F.lit("<table><tr><td>x</td></tr></table><table><tr><th>Team name</th><th>Ground</th></tr><tr><td><a href='/s/"), k, F.lit("'>K&ouml;ln "), k, F.lit("</a></td><td>"), "s_name", F.lit(" &amp; Co</td></tr><tr><td>note</td></tr></table>"))
+    link = lambda who: F.concat(F.lit("<a href='/s/"), k, F.lit(f"{who}'>K&ouml;ln "), k, F.lit(f"{who}</a>"))
+    grounds = F.concat(F.lit("<table><tr><th>Team name</th><th>Ground</th><th>Capacity</th></tr><tr><td>"), link("a"), F.lit("</td><td rowspan='2'>"), "s_name", F.lit(" &amp; Co</td><td>5</td></tr><tr><td>"), link("b"), F.lit("</td><td>6</td></tr><tr><td colspan=3>note</td></tr></table>"))
+    league = lambda who: F.concat(F.lit("<table><tr><th>Pos</th><th>Team</th><th>Pld</th></tr><tr><td>1</td><td>"), link(who), F.lit("</td><td>9</td></tr><tr><td>2</td><td>"), link("z"), F.lit("</td><td>9</td></tr></table>"))
+    html = F.concat(F.lit("<table><tr><td>x</td></tr></table>"), F.when(F.col("s_suppkey") % 2 == 0, F.concat(league("c"), grounds)).otherwise(F.concat(league("c"), league("d"))))
     s = read(spark, d, "supplier").select("s_suppkey", html.alias("html"))
-    scan = lambda t: M.roster(t, {"team": ("team", "club"), "ground": ("ground",)}, "team")
-    return M.scanned(s, "s_suppkey", "html", "struct<team:string,ground:string,link:string>", scan).select("s_suppkey", "team", "ground", "link")
+    shapes = {"grounds": {"team": ("team", "club"), "ground": ("ground", "stadium"), "capacity": ("capacit",)}, "league": {"position": ("pos",), "team": ("team", "club"), "played": ("pld",)}}
+    scan = lambda t: M.rosters(t, shapes, "team")
+    kind = "struct<shape:string,team:string,ground:string,capacity:string,position:string,played:string,link:string>"
+    return M.scanned(s, "s_suppkey", "html", kind, scan).select("s_suppkey", "shape", "team", "ground", "capacity", "link")
 
 
 def infoboxes_read(spark: SparkSession, d: str) -> DataFrame:
@@ -184,11 +203,13 @@ QUERIES = {k: f for k, f in list(globals().items()) if callable(f) and getattr(f
 _CAL = "o AS (SELECT o_custkey%40 AS f, o_orderkey AS k FROM orders), n AS (SELECT 'f' || n_nationkey AS feed, n_nationkey AS f FROM nation)"
 ORACLE_SQL = {
     "documents_read": "SELECT c_nationkey, CAST(row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey)-1 AS INTEGER) AS ord, c_custkey, c_name FROM customer",
+    "partitions_read": "SELECT 'N' || chr(65 + n_nationkey::INT) AS partition, 'table' AS source, n_name, n_regionkey FROM nation WHERE n_nationkey%5 > 0",
     "csv_read": "SELECT p_partkey, p_name || ', \"x\"' || chr(10) || 'line ' || p_partkey AS name, 1 AS unknown, 0 AS rejected FROM part",
     "fixtures_read": "SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS date, 'H ' || o_custkey AS home, 'my-feed-' || o_orderkey%3 AS feed, CASE WHEN o_orderkey%2=0 THEN CAST(o_orderkey%30 AS INTEGER) END AS \"leadTimeDays\" FROM orders",
     "tsv_read": "SELECT p_partkey, p_name, p_type FROM part WHERE p_partkey%5 > 0",
     "sheets_read": "SELECT p_brand, p_partkey, p_size, DATE '1899-12-30' + (45000 + p_size)::INT AS day FROM part",
-    "rosters_read": "SELECT s_suppkey, 'Köln ' || s_suppkey AS team, s_name || ' & Co' AS ground, '/s/' || s_suppkey AS link FROM supplier",
+    "rosters_read": """WITH r AS (SELECT s_suppkey AS k, s_name, unnest(CASE WHEN s_suppkey%2=0 THEN ['a', 'b'] ELSE ['c', 'z', 'd'] END) AS w FROM supplier)
+        SELECT k AS s_suppkey, CASE WHEN k%2=0 THEN 'grounds' ELSE 'league' END AS shape, 'Köln ' || k || w AS team, CASE WHEN k%2=0 THEN s_name || ' & Co' END AS ground, CASE w WHEN 'a' THEN '5' WHEN 'b' THEN '6' END AS capacity, '/s/' || k || w AS link FROM r""",
     "infoboxes_read": "SELECT s_suppkey, CASE s_suppkey%3 WHEN 0 THEN 'The Park' WHEN 1 THEN 'Parc ' || s_suppkey ELSE 'Old Field ' || s_suppkey END AS name, CASE WHEN s_suppkey%3=0 THEN 'Park ' || s_suppkey END AS title FROM supplier WHERE s_suppkey%3 < 2 OR s_suppkey%2 = 0",
     "changes_read": "SELECT s_suppkey, '/s/' || s_suppkey AS link, 'In: ' || s_name || ' up' AS text FROM supplier",
     "envelope_written": """WITH t AS (SELECT '{"nations":[' || string_agg('{"n_name":"' || n_name || '","n_nationkey":' || n_nationkey || ',"n_regionkey":' || n_regionkey || '}', ',' ORDER BY n_nationkey) || '],"source":"table"}' AS t FROM nation) SELECT md5(t) AS document, CAST(length(t) AS INTEGER) AS n FROM t""",

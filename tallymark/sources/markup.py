@@ -27,7 +27,6 @@ def table_rows(pages: DataFrame, html: str, keep: list[str], least: int = 4) ->
 
 _TABLE = re.compile(r"(?is)<table\b.*?</table>")
 _ROW = re.compile(r"(?is)<tr\b[^>]*>(.*?)(?=<tr\b|</tr>|</table>)")
-_CELL = re.compile(r"(?is)<(t[hd])\b[^>]*>(.*?)(?=<t[hd]\b|</t[hd]>|\Z)")
 _LINK = re.compile(r"(?is)<a\b[^>]*href=[\"']([^\"']*)[\"'][^>]*>(.*?)</a>")
 
 
@@ -35,31 +34,82 @@ def _text(html: str) -> str:
     return " ".join(unescape(re.sub(r"<[^>]*>", " ", html)).split())
 
 
-def roster(html: str, wanted: dict[str, tuple[str, ...]], entity: str) -> list[dict[str, str | None]]:
-    """The rows of the first table whose header has a word for every wanted column. The entity's cell gives name and
-    link; rows with fewer cells than the header (a span or a note) and rows without a name are no rows."""
-    for table in _TABLE.findall(html):
-        rows = [_CELL.findall(r) for r in _ROW.findall(table)]
-        heads = next((i for i, r in enumerate(rows) if r and all(k.lower() == "th" for k, _ in r)), None)
-        if heads is None:
-            continue
-        names = [_text(c).lower() for _, c in rows[heads]]
-        at = {k: next((i for i, n in enumerate(names) if any(w in n for w in ws)), None) for k, ws in wanted.items()}
-        if None in at.values():
-            continue
-        out = []
-        for r in rows[heads + 1 :]:
-            if len(r) < len(names):
+_SPAN = re.compile(r"(?i)\b(row|col)span\s*=\s*[\"']?\s*([0-9]{1,4})")
+_OPEN = re.compile(r"(?is)<(t[hd])\b([^>]*)>(.*?)(?=<t[hd]\b|</t[hd]>|\Z)")
+
+
+def table_grid(table: str) -> list[list[tuple[str, str, int]]]:
+    """A table's rows of (kind, inner HTML, number of the cell); a cell that spans rows or columns stands in each."""
+    grid, below, n = [], {}, 0
+    for row in _ROW.findall(table):
+        cells, line = iter(_OPEN.findall(row)), []
+        while True:
+            if len(line) in below:
+                cell, left = below.pop(len(line))
+                if left > 1:
+                    below[len(line)] = cell, left - 1
+                line.append(cell)
                 continue
-            found = {k: _text(r[i][1]) or None for k, i in at.items()}
-            link = _LINK.search(r[at[entity]][1])
-            found["link"] = link[1] if link else None
-            if found[entity]:
-                out.append(found)
-        return out
+            found = next(cells, None)
+            if found is None:
+                if any(at > len(line) for at in below):  # a gap before a cell that hangs down further right
+                    line.append(("td", "", -1))
+                    continue
+                break
+            spans = {k.lower(): int(v) for k, v in _SPAN.findall(found[1])}
+            cell = (found[0].lower(), found[2], n)
+            n += 1
+            for _ in range(max(1, min(spans.get("col", 1), 1000))):
+                if spans.get("row", 1) > 1:
+                    below[len(line)] = cell, spans["row"] - 1
+                line.append(cell)
+        grid.append(line)
+    return grid
+
+
+def _table_rows(table: str, wanted: dict[str, tuple[str, ...]], entity: str) -> list[dict[str, str | None]] | None:
+    """The rows under a table's header; None where it has no word for one of the wanted columns."""
+    grid = table_grid(table)
+    heads = next((i for i, r in enumerate(grid) if r and all(k == "th" for k, _, _ in r)), None)
+    if heads is None:
+        return None
+    names = [_text(c).lower() for _, c, _ in grid[heads]]
+    at = {k: next((i for i, n in enumerate(names) if any(w in n for w in ws)), None) for k, ws in wanted.items()}
+    if None in at.values():
+        return None
+    out = []
+    for r in grid[heads + 1 :]:
+        if len(r) < len(names) or len({c for _, _, c in r}) == 1 < len(names):
+            continue  # short, or one note across all columns
+        found = {k: _text(r[i][1]) or None for k, i in at.items()}
+        link = _LINK.search(r[at[entity]][1])
+        found["link"] = link[1] if link else None
+        if found[entity]:
+            out.append(found)
+    return out
+
+
+def rosters(html: str, shapes: dict[str, dict[str, tuple[str, ...]]], entity: str) -> list[dict[str, str | None]]:
+    """The rows of a page's membership tables. shapes names kinds of tables, the better ones first, by the words that
+    head their columns. The first shape that any table has is used alone: all tables of it, united; an entity counts
+    once, by its link or else its name, as its first row has it. Rows have the shape's name and every shape's columns."""
+    columns = list(dict.fromkeys(c for wanted in shapes.values() for c in wanted))
+    tables = _TABLE.findall(html)
+    for shape, wanted in shapes.items():
+        found = [rows for t in tables if (rows := _table_rows(t, wanted, entity)) is not None]
+        if found:
+            once: dict[str, dict[str, str | None]] = {}
+            for row in (r for rows in found for r in rows):
+                once.setdefault(row["link"] or f" {row[entity]}", {"shape": shape, **dict.fromkeys(columns), **row})
+            return list(once.values())
     return []
 
 
+def roster(html: str, wanted: dict[str, tuple[str, ...]], entity: str) -> list[dict[str, str | None]]:
+    """The rows of all tables of one shape, see rosters()."""
+    return [{k: v for k, v in r.items() if k != "shape"} for r in rosters(html, {"": wanted}, entity)]
+
+
 _ASIDE = re.compile(r"(?s)<!--.*?-->|<ref\b[^>]*/>|<ref\b.*?</ref>")
 _TOKEN = re.compile(r"(?s)(?P<open>\[\[|\{\{)|(?P<close>\]\]|\}\})|(?P<bar>\|)|(?P<text>.[^\[\]{}|]*)")
 _NAMED = re.compile(r"(?is)^\{\{\s*(?:ill|interlanguage link)\s*\|\s*([^|{}]+)")

@@ -51,6 +51,18 @@ def removed(spark: SparkSession, paths: list[str]) -> None:
     paths.clear()
 
 
+def named_documents(spark: SparkSession, path: str, column: str) -> None:
+    """Of a folder that is partitioned by column, each partition's one file as <value>.json beside the partitions, which
+    go. For a bounded number of published documents: the driver renames them one by one."""
+    at, files = _folder(spark, path)
+    for folder in [f.getPath() for f in files.listStatus(at) if f.getPath().getName().startswith(f"{column}=")]:
+        parts = [f.getPath() for f in files.listStatus(folder) if f.getPath().getName().startswith("part-")]
+        if len(parts) != 1:
+            raise ValueError(f"{folder.getName()} holds {len(parts)} files, not one document")
+        files.rename(parts[0], spark._jvm.org.apache.hadoop.fs.Path(at, folder.getName().partition("=")[2] + ".json"))
+        files.delete(folder, True)
+
+
 def moved_into_place(spark: SparkSession, fresh: str, path: str) -> None:
     """Puts the written folder fresh at path. What was there is set aside first and deleted last, so at each moment the
     old or the new table is whole, and a move that fails puts the old one back."""

@@ -71,7 +71,8 @@ def test_cells_bound_their_points(spark):
     for level in (2, 5, 9):
         cells = globe.cells(on, [], level)
         assert cells.agg(F.sum("c.n")).first()[0] == 500
-        out = on.withColumn("cell", globe.cell_of(level)).join(cells, "cell").where(globe._angle(F.col("_p"), F.col("c.centre")) > F.col("c.reach") + 1e-9)
+        xy, z = globe.cell_of(level)
+        out = on.withColumn("xy", xy).withColumn("z", z).join(cells, ["xy", "z"]).where(globe._angle(F.col("_p"), F.col("c.centre")) > F.col("c.reach") + 1e-9)
         assert out.count() == 0
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallymark.functions import dates as D
 from tallymark.functions import textkeys as T
+from tallymark.operators import quality as Q
 from tallymark.operators import resolve as J
 from tallymark.sources import markup as M
 
@@ -104,3 +105,59 @@ def test_leaves_at_any_depth(spark):
 
 def test_allowed_paths(spark):
     assert values(spark, lambda x: T.path_allowed(x, ["a.b[]", "p."]), ["a.b[12]", "a.c", "p.q[3].r", "p", "px.y"]) == [True, False, True, False, False]
+
+LEAGUE = "<table class=wikitable><tr><th>Pos</th><th>Team</th><th>Pld</th></tr>{}</table>"
+SHAPES = {"grounds": {"team": ("team",), "ground": ("stadium", "ground"), "capacity": ("capacit",)}, "league": {"position": ("pos",), "team": ("team",), "played": ("pld",)}}
+
+
+def league(*teams):
+    return LEAGUE.format("".join(f"<tr><td>{i}</td><td><a href='/{t}'>{t}</a></td><td>9</td></tr>" for i, t in enumerate(teams, 1)))
+
+
+def test_all_league_tables_are_united():
+    found = M.rosters(league("a", "b") + "<p>x</p>" + league("c", "b"), SHAPES, "team")
+    assert [(r["shape"], r["team"], r["link"], r["ground"]) for r in found] == [("league", "a", "/a", None), ("league", "b", "/b", None), ("league", "c", "/c", None)]
+
+
+def test_the_better_shape_is_used_alone():
+    grounds = "<table><tr><th>Team</th><th>Stadium</th><th>Capacity</th></tr><tr><td>x</td><td rowspan=2>G</td><td>1</td></tr><tr><td>y</td><td>2</td></tr><tr><td colspan=3>note</td></tr><tr><td></td><td>G</td><td>3</td></tr><tr><td>z</td></tr></table>"
+    found = M.rosters(league("a") + grounds, SHAPES, "team")
+    assert [(r["shape"], r["team"], r["ground"], r["capacity"]) for r in found] == [("grounds", "x", "G", "1"), ("grounds", "y", "G", "2")]
+    assert M.rosters("", SHAPES, "team") == M.rosters("<table><tr><td>no head</td></tr></table>", SHAPES, "team") == []
+
+
+def test_spans_fill_the_grid():
+    grid = M.table_grid("<table><tr><td rowspan=3>a</td><td colspan='2'>b</td></tr><tr><td>c</td><td rowspan=2>d</td></tr><tr><td>e</td></tr><tr><td>f</td></tr></table>")
+    assert [[c for _, c, _ in r] for r in grid] == [["a", "b", "b"], ["a", "c", "d"], ["a", "e", "d"], ["f"]]
+
+
+def test_glossary_by_stems(spark):
+    glossary = spark.createDataFrame([("away end", "tribuna oaspeților"), ("final", "finală"), ("to", "la"), ("ground", "teren"), (None, "x"), ("final", None), ("final", "finală")], "term string, wanted string")
+    rows = [
+        (1, "The final at the ground", "Finalei pe TERENUL mare"),
+        (2, "The away end", "Tribunei oaspeților"),
+        (3, "The away end is full", "Sectorul oaspeților"),
+        (4, "Endings away from it", "nimic"),
+        (5, "the finals", "nimic"),
+        (6, "Final to the ground", "jocul"),
+        (7, "final", None),
+        (8, None, "x"),
+    ]
+    got = Q.glossary_problems(spark.createDataFrame(rows, "row int, en string, ro string"), "row", "en", "ro", glossary)
+    assert sorted(map(tuple, got.collect())) == [(3, "away end", "tribuna oaspeților"), (6, "final", "finală"), (6, "ground", "teren")]
+
+
+def test_documents_are_named_by_their_partition(spark, tmp_path):
+    from tallymark.sources import files as S
+    from tallymark.storage import named_documents
+
+    df = spark.createDataFrame([("AT", '{"a": 1}'), ("notes", '{"a": 2}')], "doc string, value string")
+    df.coalesce(1).write.partitionBy("doc").text(str(tmp_path / "d"))
+    named_documents(spark, str(tmp_path / "d"), "doc")
+    assert [(r["partition"], r["a"]) for r in S.partitions(spark, str(tmp_path / "d"), "a int").collect()] == [("AT", 1)]
+
+
+def test_conditions_and_lists(spark):
+    df = spark.createDataFrame([("d", "x", "Q1;Q2"), ("d", None, "all"), (None, "x", "all;Q1"), (None, None, ""), (None, None, "unknown")], "s string, o string, ids string")
+    got = df.select(Q.conditional(F.col("s") == "d", F.col("o").isNotNull()).alias("c"), Q.list_or_word("ids", ["all", "unknown"], "^Q[0-9]+$").alias("l")).collect()
+    assert [(r["c"], r["l"]) for r in got] == [(False, False), (True, False), (True, True), (False, True), (False, False)]
