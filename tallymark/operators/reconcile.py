@@ -6,6 +6,9 @@ nothing is known; no rule turns unknown into false before its verdict.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
+
 from collections.abc import Callable
 from itertools import combinations
 
@@ -179,6 +182,60 @@ def classified(branches: dict[str, DataFrame], columns: list[str]) -> DataFrame:
     return out
 
 
+@dataclass(frozen=True)
+class Rule:
+    """A kind of evidence, when a row is one, and what it says. Of the rules of one group the first that holds counts;
+    a rule without a group stands by itself."""
+
+    kind: str
+    when: Column
+    detail: Column | None = None
+    group: str = ""
+
+
+def by_rules(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Rows with branch (the rule's number), kind and detail, once for each rule that counts for them: one pass over
+    the rows, whatever the number of rules."""
+    found: list[Column] = []
+    for name in dict.fromkeys(r.group or f" {i}" for i, r in enumerate(rules)):
+        first = None
+        for i, r in enumerate(rules):
+            if (r.group or f" {i}") == name:
+                said = F.struct(F.lit(i).alias("branch"), F.lit(r.kind).alias("kind"), (r.detail if r.detail is not None else F.lit(None)).cast("string").alias("detail"))
+                first = F.when(r.when, said) if first is None else first.when(r.when, said)
+        found.append(first)
+    return rows.withColumn("_e", F.explode(F.array_compact(F.array(*found)))).select(*rows.columns, "_e.*")
+
+
+def roster_evidence(roster: DataFrame, infos: DataFrame, twins: DataFrame) -> DataFrame:
+    """Id, tier, branch, kind and detail of the evidence that a roster (id, tier) and what is known of entities
+    (id, tagged, the tier of their tag, shape, why a tag doesn't count, grounds, their number, dissolved) give.
+
+    A roster's entity is read once, at its best tier. twins (id, twin) names team items that stand for a roster's entity:
+    where that has no tag the twin's is read, and a twin is no extra. Entities with a tag that are on no roster are extras.
+    """
+    own = roster.groupBy("id").agg(F.min("tier").alias("tier"), F.count("*").alias("_times"))
+    info = infos.select("id", F.struct("tagged", "shape", "grounds", "dissolved").alias("_i"))
+    twin = twins.join(infos.select(F.col("id").alias("twin"), F.struct("tagged", "shape", "grounds").alias("_t")), "twin").groupBy("id").agg(F.min_by(F.struct("twin", "_t.*"), "twin").alias("_t"))
+    side = own.join(info, "id", "left").join(twin, "id", "left")
+    via = F.col("_i.tagged").isNull() & F.col("_t.tagged").isNotNull()
+    tagged, shape = F.coalesce("_i.tagged", "_t.tagged"), F.coalesce("_i.shape", "_t.shape")
+    grounds = F.when(via, F.col("_t.grounds")).otherwise(F.col("_i.grounds"))
+    said = F.concat_ws("; ", F.concat(F.lit("tagged "), tagged.cast("string")), F.when(via, F.concat(F.lit("via "), F.col("_t.twin").cast("string"))), F.when(F.col("_times") > 1, "in several tiers"))
+    main = [
+        Rule("roster-untagged", F.col("_i").isNull(), F.lit("no entity"), "roster"),
+        Rule("roster-ok", tagged == F.col("tier"), said, "roster"),
+        Rule("roster-wrong-tier", tagged.isNotNull(), said, "roster"),
+        Rule("rank-shape", shape.isNotNull(), shape, "roster"),
+        Rule("roster-untagged", F.lit(True), F.when(F.col("_i.dissolved"), "dissolved").otherwise("no tag"), "roster"),
+        Rule("two-grounds", (grounds > 1) & F.col("_i").isNotNull(), grounds),
+    ]
+    extras = infos.where("tagged is not null").join(own.select("id"), "id", "left_anti").join(twins.select(F.col("twin").alias("id")).distinct(), "id", "left_anti")
+    rest = [Rule("extra-dissolved", F.coalesce("dissolved", F.lit(False)), None, "extra"), Rule("extra", F.lit(True), None, "extra")]
+    beside = by_rules(extras.select("id", F.col("tagged").alias("tier"), "dissolved"), rest).withColumn("branch", F.col("branch") + len(main))
+    return by_rules(side, main).select("id", "tier", "branch", "kind", "detail").unionByName(beside.select("id", "tier", "branch", "kind", "detail"))
+
+
 def same_division(a: Column, b: Column) -> Column:
     """struct(same, reason): true, false, or null with what is unknown; a and b are structs of country, tier, group."""
     unknown = F.when(a.isNull() | b.isNull(), "no such entity").when(a["tier"].isNull() | b["tier"].isNull(), "no tier").when((a["country"] == b["country"]) & (a["tier"] == b["tier"]) & (a["group"].isNull() | b["group"].isNull()), "no group")

@@ -187,6 +187,16 @@ def classified_evidence(spark: SparkSession, d: str) -> DataFrame:
     return R.classified(parts, ["c_custkey", "detail"]).select("branch", "kind", "c_custkey", F.col("detail").isNotNull().alias("has_detail"))
 
 
+def evidence_by_rules(spark: SparkSession, d: str) -> DataFrame:
+    """Customers as a roster, as entities with tags, and as team items that stand for others."""
+    c = read(spark, d, "customer").select(F.col("c_custkey").alias("id"))
+    k = F.col("id")
+    roster = c.where("id % 3 > 0").select("id", (k % 4).alias("tier")).unionByName(c.where("id % 33 = 1").select("id", F.lit(9).cast("long").alias("tier")))
+    infos = c.where("id % 5 > 0").select("id", F.when(k % 2 == 0, k % 4).when(k % 8 == 1, k % 3).alias("tagged"), F.when(k % 7 == 0, "old").alias("shape"), (k % 6 - 2).alias("grounds"), (k % 11 == 0).alias("dissolved"))
+    twins = c.where("id % 3 = 2 and id % 5 < 4").select("id", (k + 1).alias("twin"))
+    return R.roster_evidence(roster, infos, twins)
+
+
 def _entities(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("c_custkey")
     return read(spark, d, "customer").select("c_custkey", F.when(k % 3 > 0, F.array(F.lit("L"))).alias("leagues"), F.when(k % 4 > 0, k / 10.0).alias("lat"), F.when(k % 4 > 1, k / 20.0).alias("lon"), F.when(k % 5 > 0, k / 30.0).alias("ground_lat"), F.when(k % 7 == 0, "1990").alias("dissolved"), F.when(k % 6 > 0, k % 3).alias("tier"))
@@ -312,6 +322,16 @@ ORACLE_SQL = {
     "occurrences": f"""WITH {_O}, x AS (SELECT k, unnest(CASE WHEN k%3=0 THEN ['-0','-1','-2'] ELSE [''] END) AS suffix, day FROM o), y AS (SELECT *, CASE WHEN suffix='-2' THEN day+400 WHEN k%3=2 AND k%2=1 THEN NULL ELSE day END AS d FROM x),
         z AS (SELECT *, CASE WHEN suffix='-1' THEN 'disputed date' WHEN d IS NULL THEN 'no date' WHEN d < {_D} THEN 'in the past' END AS reason FROM y) SELECT k AS o_orderkey, suffix, CASE WHEN reason IS NULL THEN d END AS start, reason FROM z""",
     "classified_evidence": "SELECT 0 AS branch, 'debt' AS kind, CAST(c_custkey AS VARCHAR) AS c_custkey, true AS has_detail FROM customer WHERE c_acctbal < 0 UNION ALL SELECT 1, 'machinery', CAST(c_custkey AS VARCHAR), false FROM customer WHERE c_mktsegment = 'MACHINERY'",
+    "evidence_by_rules": """WITH c AS (SELECT c_custkey AS k FROM customer), o AS (SELECT k, min(t) AS tier, count(*) AS times FROM (SELECT k, k%4 AS t FROM c WHERE k%3>0 UNION ALL SELECT k, 9 FROM c WHERE k%33=1) GROUP BY k),
+        i AS (SELECT k, CASE WHEN k%2=0 THEN k%4 WHEN k%8=1 THEN k%3 END AS tag, CASE WHEN k%7=0 THEN 'old' END AS shape, k%6-2 AS g, k%11=0 AS gone FROM c WHERE k%5>0), w AS (SELECT k, k+1 AS twin FROM c WHERE k%3=2 AND k%5<4),
+        s AS (SELECT o.k, o.tier, times, i.k IS NOT NULL AS there, coalesce(i.tag, t.tag) AS tag, i.tag IS NULL AND t.tag IS NOT NULL AS via, coalesce(i.shape, t.shape) AS shape, CASE WHEN i.tag IS NULL AND t.tag IS NOT NULL THEN t.g ELSE i.g END AS g, i.gone, w.twin
+            FROM o LEFT JOIN i ON i.k=o.k LEFT JOIN w ON w.k=o.k LEFT JOIN i t ON t.k=w.twin),
+        d AS (SELECT *, concat_ws('; ', 'tagged ' || tag, CASE WHEN via THEN 'via ' || twin END, CASE WHEN times > 1 THEN 'in several tiers' END) AS said FROM s)
+        SELECT k AS id, tier, CASE WHEN NOT there THEN 0 WHEN tag=tier THEN 1 WHEN tag IS NOT NULL THEN 2 WHEN shape IS NOT NULL THEN 3 ELSE 4 END AS branch,
+            CASE WHEN NOT there THEN 'roster-untagged' WHEN tag=tier THEN 'roster-ok' WHEN tag IS NOT NULL THEN 'roster-wrong-tier' WHEN shape IS NOT NULL THEN 'rank-shape' ELSE 'roster-untagged' END AS kind,
+            CASE WHEN NOT there THEN 'no entity' WHEN tag IS NOT NULL THEN said WHEN shape IS NOT NULL THEN shape WHEN gone THEN 'dissolved' ELSE 'no tag' END AS detail FROM d
+        UNION ALL SELECT k, tier, 5, 'two-grounds', g::VARCHAR FROM d WHERE there AND g > 1
+        UNION ALL SELECT k, tag, CASE WHEN gone THEN 6 ELSE 7 END, CASE WHEN gone THEN 'extra-dissolved' ELSE 'extra' END, NULL FROM i WHERE tag IS NOT NULL AND k NOT IN (SELECT k FROM o) AND k NOT IN (SELECT twin FROM w)""",
     "diagnosed": f"WITH {_E} SELECT c_custkey, CASE WHEN has_lat THEN 'own' WHEN ground THEN 'ground' END AS position, concat_ws(',', CASE WHEN NOT league THEN 'no league' END, CASE WHEN NOT has_lat AND NOT ground THEN 'no position' END, CASE WHEN dissolved THEN 'dissolved' END, CASE WHEN k%11=0 THEN 'person' END) AS stopped_by FROM e",
     "unplaced_entities": f"WITH {_E} SELECT c_custkey FROM e WHERE has_tier AND NOT (has_lat AND has_lon)",
     "agreement_groups": """WITH h AS (SELECT c_custkey, c_custkey%2>0 AS a, c_custkey%3>0 AS b, c_custkey%5>0 AS c, c_custkey%7>3 AS ab, c_custkey%11>4 AS bc FROM customer), l AS (SELECT *, a AND b AND ab AS lb, b AND c AND bc AS mc FROM h)

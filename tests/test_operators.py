@@ -139,3 +139,17 @@ def test_redirects_and_routes(spark):
     assert sorted(map(tuple, J.followed(df, red, "t").collect())) == [("a", "d"), ("x", "x")]
     direct = spark.createDataFrame([("b", "Q1"), ("x", "Q2")], "title string, id string")
     assert sorted((r["t"], r["id"], r["route"]) for r in J.two_hops(df, "t", direct, red).collect()) == [("a", "Q1", "redirect"), ("x", "Q2", "direct")]
+
+
+def test_rules_of_a_group_exclude_each_other(spark):
+    df = spark.createDataFrame([(1, 5), (2, None), (3, 50)], "k int, v int")
+    rules = [R.Rule("small", F.col("v") < 10, F.col("v"), "size"), R.Rule("any", F.col("v").isNotNull(), None, "size"), R.Rule("odd", F.col("k") % 2 == 1)]
+    assert sorted(map(tuple, R.by_rules(df, rules).collect()), key=str) == sorted([(1, 5, 0, "small", "5"), (1, 5, 2, "odd", None), (3, 50, 1, "any", None), (3, 50, 2, "odd", None)], key=str)
+
+
+def test_roster_evidence_reads_each_once(spark):
+    roster = spark.createDataFrame([("a", 2), ("a", 1), ("b", 1), ("c", 1)], "id string, tier int")
+    infos = spark.createDataFrame([("a", 1, None, 2, False), ("t", 1, None, 3, False), ("b", None, None, 0, False), ("x", 4, None, 0, True)], "id string, tagged int, shape string, grounds int, dissolved boolean")
+    twins = spark.createDataFrame([("b", "t")], "id string, twin string")
+    got = sorted((r["id"], r["kind"], r["detail"]) for r in R.roster_evidence(roster, infos, twins).collect())
+    assert got == [("a", "roster-ok", "tagged 1; in several tiers"), ("a", "two-grounds", "2"), ("b", "roster-ok", "tagged 1; via t"), ("b", "two-grounds", "3"), ("c", "roster-untagged", "no entity"), ("x", "extra-dissolved", None)]
