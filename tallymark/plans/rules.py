@@ -122,7 +122,13 @@ def dates_banned(spark: SparkSession, d: str) -> DataFrame:
 
 
 def consistent_answer(spark: SparkSession, d: str) -> DataFrame:
-    return N.consistent(read(spark, d, "customer").where("c_nationkey = 3"), c_nationkey="3").select("c_custkey")
+    """The answer for one nation, and whether the guard refuses one that holds others too."""
+    whole = read(spark, d, "customer")
+    try:
+        refused = N.consistent(whole, c_nationkey="3") is None
+    except ValueError:
+        refused = True
+    return N.consistent(whole.where("c_nationkey = 3"), c_nationkey="3").select("c_custkey", F.lit(refused).alias("whole_refused"))
 
 
 def ground_names(spark: SparkSession, d: str) -> DataFrame:
@@ -307,7 +313,7 @@ ORACLE_SQL = {
     "in_word_set": "SELECT p_partkey FROM part WHERE list_has_any(string_split(p_name, ' '), ['red', 'ring'])",
     "dates_banned": f"""WITH {_O}, t AS (SELECT k, CASE k%4 WHEN 2 THEN day + INTERVAL 100 YEAR WHEN 3 THEN CASE WHEN k%8=3 THEN try_cast('1998-' || strftime(day, '%m-%d') AS DATE) ELSE day END ELSE day END AS on_ FROM o)
         SELECT k AS o_orderkey, 1 AS n FROM t WHERE on_ IS NULL OR on_ > {_D}""",
-    "consistent_answer": "SELECT c_custkey FROM customer WHERE c_nationkey = 3",
+    "consistent_answer": "SELECT c_custkey, EXISTS (SELECT 1 FROM customer WHERE c_nationkey <> 3) AS whole_refused FROM customer WHERE c_nationkey = 3",
     "ground_names": "SELECT p_partkey, CASE p_partkey%5 WHEN 0 THEN true WHEN 1 THEN true WHEN 2 THEN false END AS agrees FROM part",
     "rows_conditional": """WITH r AS (SELECT c_custkey::VARCHAR AS id, concat_ws('; ', CASE WHEN c_custkey%5 IN (3, 4) THEN 'applies to' END, CASE WHEN (c_custkey%4 = 0) <> (c_custkey%6 IN (0, 3)) THEN 'scope and opponent' END) AS reasons FROM customer) SELECT id, reasons FROM r WHERE reasons <> ''""",
     "collapsed_candidates": f"""WITH p AS (SELECT c_nationkey, {{'ref': CASE WHEN c_custkey%3>0 THEN 'r' || c_custkey%101 END, 'lat': CASE WHEN c_custkey%11>0 THEN 40 + (c_custkey*37%5)/100.0 + (c_custkey*7%5)*0.001 END,

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import json
 import time
+import uuid
 from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions.geo import drawable
 from ..operators.resolve import distance_join
+from ..storage import exists
 
 
 def retried(call: Callable[[], tuple[int, bytes, str | None]], tries: int = 4, gap: float = 1.0, sleep: Callable[[float], None] = time.sleep, most: float = 300.0) -> bytes:
@@ -46,23 +49,69 @@ class _Reader(DataSourceReader):
         return [_Part(self.ids)]
 
     def read(self, partition: _Part) -> Iterator[tuple]:
-        from urllib.error import HTTPError
-        from urllib.request import Request, urlopen
-
-        def get(url: str) -> tuple[int, bytes, str | None]:
-            try:
-                with urlopen(Request(url, headers=self.headers), timeout=60) as r:  # noqa: S310  the caller's address
-                    return r.status, r.read(), None
-            except HTTPError as e:
-                return e.code, b"", e.headers.get("Retry-After")
-            except OSError:  # no connection, or one that broke off
-                return 0, b"", None
-
         for i in range(0, len(partition.ids), self.batch):
             some = "|".join(partition.ids[i : i + self.batch])
             if i:
                 time.sleep(self.gap)
-            yield some, retried(lambda: get(self.url.replace("{id}", some)), gap=self.gap).decode()
+            yield some, retried(lambda: _got(self.url.replace("{id}", some), self.headers), gap=self.gap).decode()
+
+
+def _got(url: str, headers: dict[str, str]) -> tuple[int, bytes, str | None]:
+    """Status (0 for a network error), body and Retry-After of one request."""
+    from urllib.error import HTTPError
+    from urllib.request import Request, urlopen
+
+    try:
+        with urlopen(Request(url, headers=headers), timeout=60) as r:  # noqa: S310  the caller's address
+            return r.status, r.read(), None
+    except HTTPError as e:
+        return e.code, b"", e.headers.get("Retry-After")
+    except OSError:  # no connection, or one that broke off
+        return 0, b"", None
+
+
+def fetched(ids: DataFrame, key: str, url: str, path: str, batch: int = 1, gap: float = 1.0, lanes: int = 1, headers: dict[str, str] | None = None, tries: int = 4) -> DataFrame:
+    """S5 and S16 with ids as rows: ids (an array) and body of every answer at path, which the call adds to.
+
+    The ids are dealt over lanes, tasks that ask side by side; each waits gap times lanes between its requests, so
+    together they keep the provider's rate. Answers are kept even if other requests fail for good: then the call raises
+    after it has written, and the next one asks for what has no answer yet. Null ids are not asked for, repeated ones once.
+    """
+    spark, head = ids.sparkSession, headers or {}
+    asked = ids.select(F.col(key).cast("string").alias("id")).where("id is not null").distinct()
+    if exists(spark, path):
+        asked = asked.join(spark.read.parquet(path).where("body is not null").select(F.explode("ids").alias("id")), "id", "left_anti")
+    run_id = uuid.uuid4().hex
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[str] = []
+        first = True
+
+        def ask(some: list[str]) -> pa.RecordBatch:
+            nonlocal first
+            if not first:
+                time.sleep(gap * lanes)
+            first, body, error = False, None, None
+            try:
+                body = retried(lambda: _got(url.replace("{id}", "|".join(some)), head), tries=tries, gap=gap * lanes).decode()
+            except OSError as e:
+                error = str(e)
+            return pa.RecordBatch.from_arrays([pa.array([some]), pa.array([body], pa.string()), pa.array([error], pa.string()), pa.array([run_id])], names=["ids", "body", "error", "run"])
+
+        for found in batches:
+            held += found.column("id").to_pylist()
+            while len(held) >= batch:
+                yield ask(held[:batch])
+                held = held[batch:]
+        if held:
+            yield ask(held)
+
+    asked.repartition(lanes, "id").mapInArrow(run, "ids array<string>, body string, error string, run string").write.mode("append").parquet(path)
+    rows = spark.read.parquet(path)
+    failed = rows.where((F.col("run") == run_id) & F.col("error").isNotNull()).agg(F.count("*").alias("n"), F.min("error").alias("error")).head()
+    if failed["n"]:
+        raise OSError(f"{failed['n']} requests failed ({failed['error']}); the other answers are kept")
+    return rows.where("body is not null").select("ids", "body")
 
 
 class RestSource(DataSource):
