@@ -22,7 +22,9 @@ Defined cases: null html is an empty payload; a null url becomes "urn:page:<id>"
 are percent-coded; a null page_id has no page field and is read back as null, and its record is a response and revisits
 nothing; repeated rows with one page_id and one payload are all responses, none refers to itself, and as they are one
 capture they have one record id; ARC dates of fewer than 14 digits count from the start of the year, month or day they
-name; an empty table gives no records; extra columns are ignored. Where no two pages share a payload nothing is joined
+name; an empty table gives no records; extra columns are ignored; an ARC record that can't be read (a URL
+line without the declared fields, a length that doesn't end at a line end, no date, a broken gzip member) is reported
+with its offset, and reading goes on at the next URL line; blanks in a URL or content type are part of it. Where no two pages share a payload nothing is joined
 to the html.
 """
 
@@ -32,6 +34,7 @@ import base64
 import gzip
 import hashlib
 import io
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -48,6 +51,16 @@ ARC_FIELDS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
     2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length",
 }
+_FIRST, _LAST = ["URL", "IP-address", "Archive-date", "Content-type"], ["Archive-length"]
+#: URL, address, date and content type, of which the first and the last may hold blanks.
+_HEAD = re.compile(r"(\S.*) ([0-9A-Fa-f.:]+|-) ([0-9]{4,14}) (.*)")
+#: How a line has to start where reading goes on.
+_SCHEME = re.compile(rb"[A-Za-z][A-Za-z0-9+.-]*:")
+#: How a URL line starts that follows a body without a line end between; the rest of a cut scheme mustn't pass for one.
+_SCHEMES = (b"http:", b"https:", b"dns:", b"ftp:")
+#: A URL line's bytes at most, and those of a body, which has to fit a row.
+LINE_BYTES = 1 << 16
+ROW_BYTES = (1 << 31) - 1 - LINE_BYTES
 _NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:arc-to-warc")
 CRAWLED = datetime(2005, 1, 1, tzinfo=timezone.utc)
 #: A file's records at most, and the bytes of payload beyond which it has fewer.
@@ -55,6 +68,8 @@ FILE_RECORDS = 4000
 FILE_BYTES = 256 << 20
 #: An empty gzip member.
 _NOTHING = gzip.compress(b"", mtime=0)
+#: How a gzip member starts.
+_MEMBER = re.compile(rb"\x1f\x8b\x08")
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 
 
@@ -77,34 +92,107 @@ def arc_file(version: int, name: str, records: list[tuple[str, str, datetime, st
     return b"".join(out)
 
 
-def arc_records(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(fields by name, body) of each record, the version block first. Raises ValueError on a line that doesn't fit."""
-    file = io.BytesIO(gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content)
-    line = file.readline()
+class _Lines:
+    """A file's lines and byte runs, with the place in it; what was read can be put back."""
+
+    def __init__(self, file: io.BufferedIOBase):
+        self.file, self.held, self.at = file, io.BytesIO(), 0
+
+    def take(self, n: int) -> bytes:
+        out = self.held.read(n)
+        out += self.file.read(n - len(out)) if len(out) < n else b""
+        self.at += len(out)
+        return out
+
+    def line(self) -> bytes:
+        """To the line's end, or LINE_BYTES of it."""
+        out = self.held.readline(LINE_BYTES)
+        if not out.endswith(b"\n") and len(out) < LINE_BYTES:
+            out += self.file.readline(LINE_BYTES - len(out))
+        self.at += len(out)
+        return out
+
+    def back(self, data: bytes) -> None:
+        self.held = io.BytesIO(data + self.held.read())
+        self.at -= len(data)
+
+    def to_header(self, names: list[str]) -> None:
+        """On to the next line that reads as a URL line with a scheme, or to the end."""
+        starts = True
+        while line := self.line():
+            if starts and _SCHEME.match(line) and _fields(line, names):
+                return self.back(line)
+            starts = line.endswith(b"\n")
+
+
+def arc_scan(content: bytes | memoryview) -> Iterator[tuple[int, dict[str, str] | None, bytes, str | None]]:
+    """(offset, fields by name, body, problem) of each record, the version block first; offsets are in unpacked bytes.
+
+    What can't be read has a problem, no body, and fields where its URL line could be read. Reading goes on at the next
+    line that reads as a URL line: after a line that doesn't, from the start of a body whose declared length doesn't end
+    at a line end (the length may reach over the next records), and after a gzip member that is broken.
+    """
+    broken: list[int] = []
+    zipped = bytes(content[:2]) == b"\x1f\x8b"
+    file = _Lines(io.BufferedReader(Unzipped(memoryview(content), broken), 1 << 16) if zipped else io.BytesIO(content))
+    line = file.line()
     first = line.split()
-    if not first or not first[0].startswith(b"filedesc://"):
-        raise ValueError("not an ARC file: no filedesc line")
-    block = file.read(int(first[-1]))
-    version, names, *_ = block.split(b"\n") + [b""]
-    if version.split()[:1] not in ([b"1"], [b"2"]):
-        raise ValueError(f"ARC version {version!r}")
-    fields = names.decode().split()
-    yield _fields(line, fields), block
-    while line := file.readline():
+    if not first or not first[0].startswith(b"filedesc://") or not first[-1].isdigit():
+        yield 0, None, b"", "not an ARC file: no filedesc line"
+        return
+    block = file.take(int(first[-1]))
+    version, declared, *_ = block.split(b"\n") + [b""]
+    names = declared.decode("utf-8", "replace").split()
+    if version.split()[:1] not in ([b"1"], [b"2"]) or names[:4] != _FIRST or names[4:][-1:] != _LAST:
+        yield 0, None, b"", f"ARC version {version[:40]!r} with the fields {declared[:200]!r}"
+        return
+    info = _fields(line, names)
+    yield 0, info, block if info else b"", None if info else "the filedesc line doesn't hold the declared fields"
+    while line := file.line():
         if not line.strip():
             continue
-        found = _fields(line, fields)
-        body = file.read(size := int(found["Archive-length"]))
-        if len(body) != size:
-            raise ValueError(f"record cut short: {len(body)} of {size} bytes")
-        yield found, body
-
-
-def _fields(line: bytes, names: list[str]) -> dict[str, str]:
-    values = line.decode("utf-8", "surrogateescape").rstrip("\r\n").split(" ")
-    if len(values) != len(names) or not values[-1].isdigit():
-        raise ValueError(f"{len(values)} fields where the version declares {len(names)}")
-    return dict(zip(names, values, strict=True))
+        at = file.at - len(line)
+        if not (found := _fields(line, names)):
+            yield at, None, b"", f"a line without the declared fields: {line[:80]!r}"
+            file.to_header(names)
+            continue
+        body = file.take(size := int(found["Archive-length"]))
+        after = file.line()
+        if len(body) == size and (not after.strip() or after.startswith(_SCHEMES) and _fields(after, names)):
+            if after.strip():
+                file.back(after)
+            try:
+                iso_date(found["Archive-date"])
+                yield at, found, body, None
+            except ValueError:
+                yield at, found, b"", f"no date: {found['Archive-date']}"
+            continue
+        yield at, found, b"", f"record cut short: {len(body)} of {size} bytes" if len(body) < size else f"the record doesn't end after its {size} bytes"
+        file.back(body + after)
+        file.to_header(names)
+    for place in broken:
+        yield file.at, None, b"", f"broken gzip data at byte {place} of the file"
+
+
+def arc_records(content: bytes | memoryview) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(fields by name, body) of each record, the version block first. Raises ValueError on the first problem."""
+    for at, fields, body, problem in arc_scan(content):
+        if problem:
+            raise ValueError(f"{problem} (byte {at})")
+        yield fields, body
+
+
+def _fields(line: bytes, names: list[str]) -> dict[str, str] | None:
+    """A URL line's fields; None where it doesn't hold the declared ones. Blanks may stand in the URL and in the content
+    type: the fields after the type are counted from the right, the address and date before it are known by their form."""
+    if not line.endswith(b"\n"):
+        return None
+    text = line.decode("utf-8", "surrogateescape").rstrip("\r\n")
+    rest, *tail = text.rsplit(" ", len(names) - len(_FIRST))
+    head = _HEAD.fullmatch(rest)
+    if len(tail) != len(names) - len(_FIRST) or not head or not tail[-1].isascii() or not tail[-1].isdigit() or int(tail[-1]) > ROW_BYTES:
+        return None
+    return dict(zip(names, [*head.groups(), *tail], strict=True))
 
 
 def payload_of(response: bytes) -> tuple[bytes, bytes]:
@@ -168,10 +256,12 @@ def warc_records(file: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], byte
 
 
 class Unzipped(io.RawIOBase):
-    """A gzip file of any number of members, unpacked as it is read."""
+    """A gzip file of any number of members, unpacked as it is read. With broken, a list, a member that can't be unpacked
+    is no error: its place joins the list, a line end takes the place of its rest, and reading goes on at the next one."""
 
-    def __init__(self, data: memoryview):
-        self.data, self.at, self.unzip, self.ready = data, 0, zlib.decompressobj(31), b""
+    def __init__(self, data: memoryview, broken: list[int] | None = None):
+        self.data, self.at, self.unzip, self.ready, self.broken = data, 0, zlib.decompressobj(31), b"", broken
+        self.start = 0
 
     def readable(self) -> bool:
         return True
@@ -180,13 +270,21 @@ class Unzipped(io.RawIOBase):
         while not self.ready:
             if self.unzip.eof:
                 self.at -= len(self.unzip.unused_data)
-                self.unzip = zlib.decompressobj(31)
+                self.unzip, self.start = zlib.decompressobj(31), self.at
             more = bytes(self.unzip.unconsumed_tail) or bytes(self.data[self.at : self.at + 65536])
             if not self.unzip.unconsumed_tail:
                 self.at += len(more)
             if not more:
                 return 0
-            self.ready = self.unzip.decompress(more, 1 << 20)
+            try:
+                self.ready = self.unzip.decompress(more, 1 << 20)
+            except zlib.error:
+                if self.broken is None:
+                    raise
+                self.broken.append(self.start)
+                following = _MEMBER.search(self.data, self.start + 1)
+                self.start = self.at = following.start() if following else len(self.data)
+                self.unzip, self.ready = zlib.decompressobj(31), b"\n"
         n = min(len(out), len(self.ready))
         out[:n], self.ready = self.ready[:n], self.ready[n:]
         return n
@@ -238,38 +336,48 @@ def write_warc(pages: DataFrame, path: str, least_bytes: int = 0, file_records:
     _put(rows.mapInArrow(_convert, "value binary"), path, max(1, min(file_records, FILE_BYTES // (longest + 1))))
 
 
-_ARC = "file string, url string, ip string, archive_date string, content_type string, record_type string, payload_bytes long, payload_digest string, body binary"
+_ARC = "file string, url string, ip string, archive_date string, content_type string, record_type string, payload_bytes long, payload_digest string, body binary, offset long, problem string"
 
 
 def read_arc(spark: SparkSession, path: str) -> DataFrame:
     """A row for each record of the ARC files at path, gzipped or not, their version blocks (record_type warcinfo) too. A
-    file is read in one task."""
+    record that can't be read has a problem and no record_type, payload or body; offset is the record's in the unpacked
+    file. A file is read in one task, record by record."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [x.split()[0] for x in _ARC.split(", ")]
+        schema = pa.schema([(n, {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}[t]) for n, t in (x.split() for x in _ARC.split(", "))])
         for batch in batches:
             for file, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
-                for f, body in arc_records(content.as_py()):
-                    kind = kind_of(f)
-                    payload = payload_of(body)[1] if kind == "response" else body
-                    row = (file, f["URL"], f["IP-address"], f["Archive-date"], f["Content-type"], kind, len(payload), digest(payload), body)
-                    yield pa.RecordBatch.from_arrays([pa.array([x]) for x in row], names=names)
+                for at, f, body, problem in arc_scan(memoryview(content.as_buffer())):
+                    said = [_shown(f[k]) for k in ("URL", "IP-address", "Archive-date", "Content-type")] if f else [None] * 4
+                    if problem:
+                        row = (file, *said, None, None, None, None, at, problem)
+                    else:
+                        payload = payload_of(body)[1] if (kind := kind_of(f)) == "response" else body
+                        row = (file, *said, kind, len(payload), digest(payload), body, at, None)
+                    yield pa.RecordBatch.from_pylist([dict(zip(schema.names, row, strict=True))], schema)
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, _ARC)
 
 
+def _shown(field: str) -> str:
+    """Bytes of a URL line that aren't UTF-8 are percent-coded, as WARC and Spark take UTF-8 only."""
+    return re.sub("[\udc80-\udcff]", lambda m: f"%{ord(m[0]) - 0xDC00:02X}", field)
+
+
 def convert_arc(spark: SparkSession, arc_path: str, path: str, file_records: int = FILE_RECORDS) -> None:
-    """The ARC files at arc_path as WARC files in the folder path, each record gzipped."""
+    """The ARC files at arc_path as WARC files in the folder path, each record gzipped. Records with a problem are left
+    out; read_arc() has them with their places. White space in a URL is percent-coded."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, 64):
             out = []
             for r in batch.to_pylist():
-                fields = {"URL": r["url"], "IP-address": r["ip"], "Archive-date": r["archive_date"], "Content-type": r["content_type"]}
+                fields = {"URL": arc_url(r["url"]), "IP-address": r["ip"], "Archive-date": r["archive_date"], "Content-type": r["content_type"]}
                 out.append(gzip.compress(to_warc(fields, r["body"]), 6, mtime=0))
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
 
-    _put(read_arc(spark, arc_path).mapInArrow(run, "value binary"), path, file_records)
+    _put(read_arc(spark, arc_path).where("problem is null").mapInArrow(run, "value binary"), path, file_records)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -128,6 +128,59 @@ def test_arc_files_are_read_and_converted(spark, tmp_path):
     assert sum(x.startswith(b"WARC/1.0") for x in alone) == len([x for x in alone if x]) >= 3
 
 
+def _record(url, body, length=None, date="20050101000000", kind="text/html"):
+    return f"{url} 1.2.3.4 {date} {kind} {len(body) if length is None else length}\n".encode() + body + b"\n"
+
+
+def test_bad_arc_lines_cost_only_their_record():
+    head = arc_of(1)
+    good = lambda n: _record(f"http://{n}/", b"body %d\nof lines" % n)
+    bad = {
+        "blank in URL": (_record("http://x/a b c", b"abc"), ["http://x/a b c"]),
+        "blanks in content type": (_record("http://x/", b"abc", kind="text/html; charset=x y"), ["http://x/"]),
+        "no content type": (_record("http://x/", b"abc", kind=""), ["http://x/"]),
+        "no length": (_record("http://x/", b"abc\nhttp: not a line\n", length="?"), []),
+        "length too short": (_record("http://x/", b"abcdefgh\nijk", length=4), []),
+        "length into the next line": (_record("http://x/", b"abc", length=7), []),
+        "length over the next record": (_record("http://x/", b"abc", length=60), []),
+        "length over the end": (_record("http://x/", b"abc", length=10**7), []),
+        "length over what a row holds": (_record("http://x/", b"abc", length=10**12), []),
+        "no such day": (_record("http://x/", b"abc", date="20051399000000"), []),
+        "binary without a line end": (b"\x00\xff" * 100_000 + b"\n", []),
+        "no line end between": (_record("http://x/", b"abc")[:-1], ["http://x/"]),
+    }
+    for name, (record, urls) in bad.items():
+        got = list(archive.arc_scan(head + good(1) + record + good(2) + good(3)))
+        assert [(f["URL"], b) for _, f, b, problem in got[1:] if not problem] == [("http://1/", b"body 1\nof lines"), *((u, b"abc") for u in urls), ("http://2/", b"body 2\nof lines"), ("http://3/", b"body 3\nof lines")], name
+        lost = [at for at, _, _, problem in got if problem]
+        assert lost == ([] if urls else [len(head + good(1))]), name
+
+
+@pytest.mark.parametrize("content", [b"", b"\n", b"<html>", b"filedesc://a 0.0.0.0 2005 text/plain x\n", b"filedesc://a 0.0.0.0 2005 text/plain 9\n3 0 x\nURL\n\n"])
+def test_other_files_are_one_problem(content):
+    ((at, fields, body, problem),) = archive.arc_scan(content)
+    assert at == 0 and fields is None and body == b"" and problem.startswith(("not an ARC file", "ARC version"))
+
+
+def test_broken_arc_files_are_read_and_converted(spark, tmp_path):
+    import gzip
+
+    records = [f"http://{n}/p q 1.2.3.4 20050101000000 text/html 200 - - 0 a.arc {len(b)}\n".encode() + b + b"\n" for n, b in enumerate([b"x" * 50, bytes(range(256)) * 300, b"z"])]
+    members = [gzip.compress(x) for x in [arc_of(2), *records]]
+    members[2] = members[2][:100] + b"\xff" * 40 + members[2][140:]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "broken.arc.gz").write_bytes(b"".join(members))
+    (tmp_path / "in" / "latin.arc").write_bytes(arc_of(1) + b"http://b/\xe9 1.2.3.4 20050101000000 text/html 1\n!\n")
+    (tmp_path / "in" / "none.arc").write_bytes(b"nothing of the kind")
+    rows = archive.read_arc(spark, str(tmp_path / "in")).collect()
+    assert {r["url"] for r in rows if not r["problem"]} == {"filedesc://a.arc", "http://0/p q", "http://2/p q", "http://b/%E9"}
+    told = {(r["file"].rpartition("/")[2], r["problem"].split(" ")[0]) for r in rows if r["problem"]}
+    assert ("none.arc", "not") in told and ("broken.arc.gz", "broken") in told
+    archive.convert_arc(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    got = archive.read_warc(spark, str(tmp_path / "out")).collect()
+    assert sorted(r["url"] for r in got if r["url"]) == ["http://0/p%20q", "http://2/p%20q", "http://b/%E9"]
+
+
 def test_gzip_members_are_read_as_they_come():
     import gzip
 
