@@ -39,6 +39,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from datetime import datetime, timezone
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -205,6 +206,7 @@ def record_id(*said: object) -> str:
     return f"<urn:uuid:{uuid.uuid5(_NAMESPACE, ' '.join(map(str, said)))}>"
 
 
+@lru_cache(maxsize=4096)
 def iso_date(stamp: str) -> str:
     """An ARC date of up to 14 digits; what it doesn't say starts at the beginning."""
     digits = stamp[:14]
