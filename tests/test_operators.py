@@ -153,3 +153,12 @@ def test_roster_evidence_reads_each_once(spark):
     twins = spark.createDataFrame([("b", "t")], "id string, twin string")
     got = sorted((r["id"], r["kind"], r["detail"]) for r in R.roster_evidence(roster, infos, twins).collect())
     assert got == [("a", "roster-ok", "tagged 1; in several tiers"), ("a", "two-grounds", "2"), ("b", "roster-ok", "tagged 1; via t"), ("b", "two-grounds", "3"), ("c", "roster-untagged", "no entity"), ("x", "extra-dissolved", None)]
+
+
+def test_overlaps_keep_rows_off_the_driver(spark):
+    df = spark.range(2000).select(F.col("id").alias("row"), F.lit("a").alias("who"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") * 5).cast("int")).alias("s"))
+    for scope in ([],):
+        pairs = Q.overlapping(df.withColumn("e", F.date_add("s", 5)), "s", "e", "row", scope)
+        plan = pairs._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+        assert pairs.count() == 1999
