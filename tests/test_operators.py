@@ -157,7 +157,7 @@ def test_roster_evidence_reads_each_once(spark):
 
 def test_overlaps_keep_rows_off_the_driver(spark):
     df = spark.range(2000).select(F.col("id").alias("row"), F.lit("a").alias("who"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") * 5).cast("int")).alias("s"))
-    for scope in ([],):
+    for scope in ([], ["who"]):
         pairs = Q.overlapping(df.withColumn("e", F.date_add("s", 5)), "s", "e", "row", scope)
         plan = pairs._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "Broadcast" not in plan
