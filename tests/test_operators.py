@@ -162,3 +162,16 @@ def test_overlaps_keep_rows_off_the_driver(spark):
         plan = pairs._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "Broadcast" not in plan
         assert pairs.count() == 1999
+
+
+def test_name_join_opens_classes_in_lists(spark):
+    from tallymark.operators import pairs
+
+    rows = spark.range(3000).select(F.col("id").alias("a"), F.concat(F.lit("red ring"), F.when(F.col("id") % 3 == 0, " small").when(F.col("id") % 3 == 1, " large").otherwise("")).alias("n"))
+    other = rows.where("a < 40").union(spark.createDataFrame([(None, "red ring"), (90, None)], "a long, n string")).toDF("b", "m")
+    got = J.name_join(rows, other, F.col("n"), F.col("m"), ["small", "large"], [])
+    assert got.columns == ["a", "n", "b", "m"]
+    pairs_of = lambda a: 14 + 13 + 1 if a % 3 == 0 else 13 + 13 + 1 if a % 3 == 1 else 41
+    assert got.count() == sum(map(pairs_of, range(3000))) and got.where("b is null").count() == 3000 and got.distinct().count() == got.count()
+    sizes = pairs.listed(rows.select(F.lit(None).cast("string").alias("k"), "a"), ["k"], F.col("a"), "l").select(F.size("l")).collect()
+    assert len(sizes) == 3 and sum(r[0] for r in sizes) == 3000 and max(r[0] for r in sizes) < 1300
