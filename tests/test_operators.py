@@ -175,3 +175,20 @@ def test_name_join_opens_classes_in_lists(spark):
     assert got.count() == sum(map(pairs_of, range(3000))) and got.where("b is null").count() == 3000 and got.distinct().count() == got.count()
     sizes = pairs.listed(rows.select(F.lit(None).cast("string").alias("k"), "a"), ["k"], F.col("a"), "l").select(F.size("l")).collect()
     assert len(sizes) == 3 and sum(r[0] for r in sizes) == 3000 and max(r[0] for r in sizes) < 1300
+
+
+def compared(monkeypatch):
+    """How many positions each call compares."""
+    seen, real = [], J._near
+    monkeypatch.setattr(J, "_near", lambda a, b, *rest: seen.append((a.count(), b.count())) or real(a, b, *rest))
+    return seen
+
+
+def test_nearest_compares_a_position_once(spark, monkeypatch):
+    seen = compared(monkeypatch)
+    at = lambda k, n: ((F.col("id") % n) * 0.001).cast("double").alias(k)
+    left = spark.range(400).select(F.col("id").alias("a"), at("la", 3), F.lit(0.0).alias("oa")).union(spark.createDataFrame([(400, None, 0.0)], "a long, la double, oa double"))
+    right = spark.range(500).select((499 - F.col("id")).alias("b"), at("lb", 2), F.lit(0.0).alias("ob"))
+    got = J.nearest_within(left, right, 50, ("la", "oa"), ("lb", "ob"), "a", "b")
+    assert {(r["a"] % 3, r["b"], round(r["metres"])) for r in got.where("a < 400").collect()} == {(0, 1, 0), (1, 0, 0), (2, None, 111)} and got.count() == 401
+    assert seen == [(3, 2)]
