@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions.geo import drawable
-from ..operators.resolve import distance_join
+from ..operators.resolve import nearest_centres
 from ..storage import exists
 
 
@@ -179,9 +179,7 @@ def existence_flags(rows: DataFrame, key: str, **tables: DataFrame) -> DataFrame
 
 def places_around(centres: DataFrame, places: DataFrame, metres: float, key: str, place: str) -> DataFrame:
     """The union of the places around each centre, with the nearest centre's distance; both have lat and lon."""
-    c = centres.select(key, F.col("lat").alias("_clat"), F.col("lon").alias("_clon"))
-    pairs = distance_join(c, places, metres, ("_clat", "_clon"), ("lat", "lon"))
-    return pairs.groupBy(place).agg(F.min("metres").alias("metres"), F.min_by(key, F.struct("metres", key)).alias(key))
+    return nearest_centres(centres, places, metres, ("lat", "lon"), ("lat", "lon"), key, place)
 
 
 def trapped(parts: list[DataFrame], least: int = 2) -> DataFrame:

@@ -192,3 +192,14 @@ def test_nearest_compares_a_position_once(spark, monkeypatch):
     got = J.nearest_within(left, right, 50, ("la", "oa"), ("lb", "ob"), "a", "b")
     assert {(r["a"] % 3, r["b"], round(r["metres"])) for r in got.where("a < 400").collect()} == {(0, 1, 0), (1, 0, 0), (2, None, 111)} and got.count() == 401
     assert seen == [(3, 2)]
+
+
+def test_places_around_compare_a_position_once(spark, monkeypatch):
+    from tallymark.sources import remote as N
+
+    seen = compared(monkeypatch)
+    centres = spark.range(2000).select(F.col("id").alias("c"), ((F.col("id") % 2) * 0.01).cast("double").alias("lat"), F.lit(0.0).alias("lon"))
+    places = spark.createDataFrame([(1, 0.011, 0.0), (1, 0.0013, 0.0), (2, 0.011, 0.0), (3, 1.0, 0.0), (4, None, 0.0)], "p long, lat double, lon double")
+    out = N.places_around(centres, places, 5_000, "c", "p")
+    assert sorted((r["p"], r["c"], round(r["metres"])) for r in out.collect()) == [(1, 1, 111), (2, 1, 111)]
+    assert out.columns == ["p", "metres", "c"] and seen == [(2, 4)]
