@@ -203,3 +203,12 @@ def test_places_around_compare_a_position_once(spark, monkeypatch):
     out = N.places_around(centres, places, 5_000, "c", "p")
     assert sorted((r["p"], r["c"], round(r["metres"])) for r in out.collect()) == [(1, 1, 111), (2, 1, 111)]
     assert out.columns == ["p", "metres", "c"] and seen == [(2, 4)]
+
+
+def test_distance_join_compares_a_position_once(spark, monkeypatch):
+    seen = compared(monkeypatch)
+    left = spark.range(300).select(F.col("id").alias("a"), ((F.col("id") % 2) * 1.0).alias("la"), F.lit(0.0).alias("oa"))
+    right = spark.createDataFrame([(1, 0.0, 0.001), (2, 0.0, 0.001), (3, None, 0.0), (3, 1.0, 0.0)], "b long, lb double, ob double")
+    got = J.distance_join(left, right, 200, ("la", "oa"), ("lb", "ob")).groupBy("b", F.round("metres").alias("m")).count().collect()
+    assert sorted(map(tuple, got)) == [(1, 111.0, 150), (2, 111.0, 150), (3, 0.0, 150)]
+    assert seen[0][0] == 2
