@@ -212,3 +212,13 @@ def test_distance_join_compares_a_position_once(spark, monkeypatch):
     got = J.distance_join(left, right, 200, ("la", "oa"), ("lb", "ob")).groupBy("b", F.round("metres").alias("m")).count().collect()
     assert sorted(map(tuple, got)) == [(1, 111.0, 150), (2, 111.0, 150), (3, 0.0, 150)]
     assert seen[0][0] == 2
+
+
+def test_candidates_of_classes_equal_candidates_of_rows(spark):
+    rows = spark.range(300).select(F.col("id").alias("a"), F.when(F.col("id") % 7 > 0, F.col("id") % 7).alias("k"))
+    others = spark.createDataFrame([(1, 1, True), (2, 2, True), (3, 2, False), (4, 3, None), (5, 3, False), (6, 4, True), (7, 4, True), (8, None, True)], "b long, k long, ok boolean")
+    got = J.disambiguated_alike(rows, others, ["k"], F.col("ok"))
+    want = J.disambiguated(rows.join(others, "k"), "a", F.col("ok"))
+    columns = ["a", "b", "candidates", "agreeing", "verdict"]
+    assert sorted(map(tuple, got.select(columns).collect())) == sorted(map(tuple, want.select(columns).collect())) != []
+    assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
