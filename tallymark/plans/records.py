@@ -145,7 +145,7 @@ def change_tracking(spark: SparkSession, d: str) -> DataFrame:
 
 
 def change_states(spark: SparkSession, d: str) -> DataFrame:
-    """change_tracking as a stream over two files, the last snapshot as its initial state, state by key in RocksDB."""
+    """change_tracking as a stream of files in three batches or four, the last snapshot as its initial state, state by key in RocksDB."""
     from ..streaming import flows
 
     o = read(spark, d, "orders").withColumn("uid", F.col("o_orderkey").cast("string"))
@@ -156,10 +156,11 @@ def change_states(spark: SparkSession, d: str) -> DataFrame:
     path = shared_path(spark, "readings")
     end = spark.range(1).select(F.lit(None).cast("string").alias("uid"), F.lit(None).cast("string").alias("hash"), F.lit(None).cast("string").alias("dtstamp"), at("1998-06-30 11:00:00").alias("at"))
     for rows in (now.where("cast(uid as long) % 2 = 0"), now.where("cast(uid as long) % 2 = 1"), end):
-        rows.coalesce(1).write.mode("append").parquet(path)
+        rows.write.mode("append").parquet(path)
+    files = len(spark.read.parquet(path).inputFiles())
     with flows.state_store(spark):
-        stream = spark.readStream.schema(flows.READ).option("maxFilesPerTrigger", 1).parquet(path)
-        out = flows.change_stream(stream, snapshot, "12 hours", "30 minutes")
+        stream = spark.readStream.schema(flows.READ).option("maxFilesPerTrigger", -(-files // 3)).parquet(path)
+        out = flows.change_stream(stream, snapshot, "12 hours", "30 minutes", buckets=max(16, o.count() // 2000))
         sink = shared_path(spark, "changes")
         out.writeStream.format("parquet").option("path", sink).option("checkpointLocation", shared_path(spark, "changes-log")).trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(flows.CHANGE).parquet(sink)

@@ -45,74 +45,104 @@ CHANGE = "uid string, hash string, dtstamp string, sequence int, change string"
 READ = "uid string, hash string, dtstamp string, at timestamp"
 
 
+#: A bucket's state: a row for each of its uids, as columns; told says that a uid was called gone.
+STATE = "uid array<string>, hash array<string>, dtstamp array<string>, sequence array<int>, seen array<bigint>, told array<boolean>"
+_HELD = ["uid", "hash", "dtstamp", "sequence", "seen", "told"]
+
+
 class ChangeProcessor(StatefulProcessor):
-    """R15 with keyed state: a uid's last hash, stamp and sequence. The state of the last snapshot comes first and sets a
-    timer for each uid; a row of the new reading takes it away and says new, changed or same. When the watermark has
-    passed the timer, the uid was in none of the reading's rows: it is gone, keeps its state and waits for the next
-    reading. A uid that is seen in no reading for `forget_ms` drops out of the state."""
+    """R15 with keyed state: a uid's last hash, stamp and sequence. The state of the last snapshot comes first; a row of
+    the new reading says new, changed or same. When the watermark is `wait_ms` past a uid's last row, it was in none of
+    the reading's rows: it is gone, keeps its state and waits for the next reading. A uid that is seen in no reading for
+    `forget_ms` drops out of the state.
+
+    The keys are buckets of uids by hash, so that state crosses to Python once for many uids, not once for each. A bucket
+    has one timer, for the uid that is due first.
+    """
 
     def __init__(self, wait_ms: int, forget_ms: int):
         self.wait_ms, self.forget_ms = wait_ms, forget_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("last", "hash string, dtstamp string, sequence int, seen long, told boolean")
+        self.last = handle.getValueState("last", STATE)
+
+    def _held(self) -> dict[str, list]:
+        return {r[0]: list(r[1:]) for r in zip(*self.last.get(), strict=True)} if self.last.exists() else {}
+
+    def _due(self, seen: int, told: bool) -> int:
+        return seen + (self.forget_ms if told else self.wait_ms)
+
+    def _keep(self, held: dict[str, list]) -> None:
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t)
+        if not held:
+            self.last.clear()
+            return
+        self.last.update((list(held), *(list(c) for c in zip(*held.values(), strict=True))))
+        self.handle.registerTimer(min(self._due(h[3], h[4]) for h in held.values()))
 
     def handleInitialState(self, key: tuple, initialState: pd.DataFrame, timerValues: TimerValues) -> None:  # noqa: N802, N803  Spark's names
-        r = initialState.iloc[-1]
-        seen = int(pd.Timestamp(r["at"]).value // 1_000_000)
-        self.last.update((r["hash"], r["dtstamp"], int(r["sequence"]), seen, False))
-        self.handle.registerTimer(seen + self.wait_ms)
+        held = self._held()
+        for r in initialState.itertuples(index=False):
+            held[r.uid] = [r.hash, r.dtstamp, int(r.sequence), _ms(r.at), False]
+        self._keep(held)
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        if key[0] is None:
-            return  # the mark that a reading is at its end
-        had = self.last.get() if self.last.exists() else None
-        h, stamp, seq, seen = had[:4] if had else (None, None, -1, None)
-        if had and not had[4]:
-            self.handle.deleteTimer(seen + self.wait_ms)
-        elif had:
-            self.handle.deleteTimer(seen + self.forget_ms)
-        out = []
+        held, out = None, []
         for frame in rows:
+            frame = frame[frame["uid"].notna()]  # a row without one is the mark that a reading is at its end
+            if held is None and len(frame):
+                held = self._held()
             for r in frame.sort_values(["at", "dtstamp"]).itertuples(index=False):
+                h, stamp, seq, seen, _ = held.get(r.uid, (None, None, -1, 0, False))
                 change = "new" if seq < 0 else "same" if r.hash == h else "changed"
                 if change != "same":
                     h, stamp, seq = r.hash, r.dtstamp, seq + 1
-                seen = max(seen or 0, int(pd.Timestamp(r.at).value // 1_000_000))
-                out.append((key[0], h, stamp, seq, change))
-        self.last.update((h, stamp, seq, seen, False))
-        self.handle.registerTimer(seen + self.wait_ms)
-        yield pd.DataFrame(out, columns=["uid", "hash", "dtstamp", "sequence", "change"])
+                held[r.uid] = [h, stamp, seq, max(seen, _ms(r.at)), False]
+                out.append((r.uid, h, stamp, seq, change))
+        if held is not None:
+            self._keep(held)
+            yield pd.DataFrame(out, columns=["uid", "hash", "dtstamp", "sequence", "change"])
 
     def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        if not self.last.exists():
-            return
-        h, stamp, seq, seen, told = self.last.get()
-        if told:
-            self.last.clear()
-            return
-        self.last.update((h, stamp, seq, seen, True))
-        self.handle.registerTimer(seen + self.forget_ms)
-        yield pd.DataFrame([(key[0], h, stamp, seq, "gone")], columns=["uid", "hash", "dtstamp", "sequence", "change"])
+        now, held, out = timerValues.getCurrentWatermarkInMs(), self._held(), []
+        for uid, (h, stamp, seq, seen, told) in list(held.items()):
+            if self._due(seen, told) > now:
+                continue
+            if told:
+                del held[uid]
+            else:
+                held[uid][4] = True
+                out.append((uid, h, stamp, seq, "gone"))
+        self._keep(held)
+        if out:
+            yield pd.DataFrame(out, columns=["uid", "hash", "dtstamp", "sequence", "change"])
 
     def close(self) -> None:
         pass
 
 
-def change_stream(rows: DataFrame, snapshot: DataFrame | None = None, wait: str = "12 hours", late: str = "1 hour", forget_days: int = 90) -> DataFrame:
+def _ms(at: object) -> int:
+    return int(pd.Timestamp(at).value // 1_000_000)
+
+
+def change_stream(rows: DataFrame, snapshot: DataFrame | None = None, wait: str = "12 hours", late: str = "1 hour", forget_days: int = 90, buckets: int = 4096) -> DataFrame:
     """R15 as a stream: rows of READ in, a row of CHANGE out for each of them, and one for each uid that is gone.
 
     snapshot has the state to begin with: uid, hash, dtstamp, sequence and at, the time of its reading. A uid is gone once
     the readings are more than `wait` past its last one, by the watermark, which stays `late` behind the newest row; a
     reader may end with a row without a uid to move it. State is kept in RocksDB, so the session needs that provider (see
-    state_store()).
+    state_store()). A batch reads and writes the state of the buckets it has uids of: choose so many that one holds some
+    thousand uids at most, and don't change their number while a checkpoint is in use.
     """
     wait_ms = int(pd.Timedelta(wait).total_seconds() * 1000)
-    first = snapshot.groupBy("uid") if snapshot is not None else None
+    bucket = F.pmod(F.xxhash64("uid"), F.lit(buckets)).cast("int").alias("bucket")
+    first = snapshot.select(bucket, "*").groupBy("bucket") if snapshot is not None else None
     return (
         rows.withWatermark("at", late)
-        .groupBy("uid")
+        .select(bucket, "*")
+        .groupBy("bucket")
         .transformWithStateInPandas(statefulProcessor=ChangeProcessor(wait_ms, forget_days * 86_400_000), outputStructType=CHANGE, outputMode="append", timeMode="eventTime", initialState=first)
     )
 

@@ -214,6 +214,23 @@ def test_change_states(spark, tmp_path):
     assert ("b", 0, "9", "new") in run()  # forgotten, so it starts anew
 
 
+def test_change_states_share_buckets(spark, tmp_path):
+    from tallymark.streaming import flows
+
+    k, at = F.col("id"), F.lit("2030-01-01 00:00:00").cast("timestamp")
+    uid, seen = k.cast("string").alias("uid"), at.alias("at")
+    snapshot = spark.range(900).select(uid, F.lit("1").alias("hash"), F.lit("t0").alias("dtstamp"), F.lit(3).alias("sequence"), seen)
+    new = spark.range(600, 1000).select(uid, F.when(k % 2 == 0, "1").otherwise("2").alias("hash"), F.lit("t1").alias("dtstamp"), (at + F.expr("interval 12 hours")).alias("at"))
+    end = spark.range(1).select(F.lit(None).cast("string").alias("uid"), F.lit(None).cast("string").alias("hash"), F.lit(None).cast("string").alias("dtstamp"), (at + F.expr("interval 26 hours")).alias("at"))
+    new.union(end).coalesce(1).write.parquet(str(tmp_path / "in"))
+    with flows.state_store(spark):
+        stream = spark.readStream.schema(flows.READ).parquet(str(tmp_path / "in"))
+        out = flows.change_stream(stream, snapshot, "1 day", "1 hour", 10, buckets=5)
+        out.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "log")).trigger(availableNow=True).start().awaitTermination()
+    got = spark.read.schema(flows.CHANGE).parquet(str(tmp_path / "out")).groupBy("change", "sequence").count().collect()
+    assert sorted(map(tuple, got)) == [("changed", 4, 150), ("gone", 3, 600), ("new", 0, 100), ("same", 3, 150)]
+
+
 def test_overwrites_keep_what_the_run_wrote(spark, tmp_path):
     from tallymark.streaming import flows
 
