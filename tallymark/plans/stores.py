@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -73,12 +74,15 @@ def tsv_read(spark: SparkSession, d: str) -> DataFrame:
 _SHEET = '<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>{}</sheetData></worksheet>'
 
 
-def _workbook(rows: list[tuple]) -> bytes:
+def _workbook(rows: Iterable[tuple]) -> bytes:
     cell = lambda c, r, v: f'<c r="{c}{r}" t="inlineStr"><is><t>{v}</t></is></c>' if isinstance(v, str) else f'<c r="{c}{r}"><v>{v}</v></c>'
-    body = "".join(f'<row r="{i}">{"".join(cell(c, i, v) for c, v in zip("ABC", row, strict=True))}</row>' for i, row in enumerate(rows, 1))
+    before, after = _SHEET.split("{}")
     out = io.BytesIO()
-    with zipfile.ZipFile(out, "w") as z:
-        z.writestr("xl/worksheets/sheet1.xml", _SHEET.format(body))
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z, z.open("xl/worksheets/sheet1.xml", "w", force_zip64=True) as part:
+        part.write(before.encode())
+        for i, row in enumerate(rows, 1):
+            part.write(f'<row r="{i}">{"".join(cell(c, i, v) for c, v in zip("ABC", row, strict=True))}</row>'.encode())
+        part.write(after.encode())
     return out.getvalue()
 
 
@@ -88,8 +92,10 @@ def sheets_read(spark: SparkSession, d: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            books = [_workbook([("Part no", "Size cm", "Serial"), *((r["p_partkey"], r["p_size"], 45_000 + r["p_size"]) for r in rows)]) for rows in batch.column("rows").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("p_brand"), pa.array(books, pa.binary())], names=["path", "content"])
+            for i in range(batch.num_rows):  # one workbook at a time
+                rows = ((r["p_partkey"].as_py(), r["p_size"].as_py()) for r in batch.column("rows")[i])
+                book = _workbook(chain([("Part no", "Size cm", "Serial")], ((k, n, 45_000 + n) for k, n in rows)))
+                yield pa.RecordBatch.from_arrays([batch.column("p_brand").slice(i, 1), pa.array([book], pa.binary())], names=["path", "content"])
 
     cells = S.cells_of(p.mapInArrow(run, "path string, content binary"))
     rows = S.sheet_columns(cells, 1, {"part": "Part", "size": "Size", "serial": "Serial"})

@@ -6,7 +6,7 @@ import csv
 import io
 import zipfile
 from collections.abc import Iterator
-from itertools import chain, groupby
+from itertools import chain, groupby, islice
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -199,13 +199,27 @@ def sheet_cells(content: bytes, sheet: int = 1) -> Iterator[tuple[int, str, str]
         shared = []
         if "xl/sharedStrings.xml" in z.namelist():
             shared = ["".join(t.text or "" for t in si.iter(f"{_MAIN}t")) for si in ElementTree.fromstring(z.read("xl/sharedStrings.xml")).iter(f"{_MAIN}si")]
-        for cell in ElementTree.fromstring(z.read(f"xl/worksheets/sheet{sheet}.xml")).iter(f"{_MAIN}c"):
-            place = cell.get("r", "")
-            letters = place.rstrip("0123456789")
-            value = cell.find(f"{_MAIN}v")
-            text = "".join(t.text or "" for t in cell.iter(f"{_MAIN}t")) if cell.get("t") == "inlineStr" else value.text if value is not None else None
-            if text is not None and place:
-                yield int(place[len(letters) :]), letters, shared[int(text)] if cell.get("t") == "s" else text
+        with z.open(f"xl/worksheets/sheet{sheet}.xml") as part:
+            above = []
+            for event, cell in ElementTree.iterparse(part, ("start", "end")):
+                if event == "start":
+                    above.append(cell)
+                    continue
+                above.pop()
+                if cell.tag == f"{_MAIN}row":
+                    above[-1].remove(cell)  # what has been read isn't held
+                if cell.tag != f"{_MAIN}c":
+                    continue
+                place = cell.get("r", "")
+                letters = place.rstrip("0123456789")
+                value = cell.find(f"{_MAIN}v")
+                text = "".join(t.text or "" for t in cell.iter(f"{_MAIN}t")) if cell.get("t") == "inlineStr" else value.text if value is not None else None
+                if text is not None and place:
+                    yield int(place[len(letters) :]), letters, shared[int(text)] if cell.get("t") == "s" else text
+
+
+#: Cells of a sheet that are handed on at once.
+CELLS = 10_000
 
 
 def xlsx_cells(spark: SparkSession, path: str, sheet: int = 1) -> DataFrame:
@@ -217,10 +231,13 @@ def cells_of(files: DataFrame, sheet: int = 1) -> DataFrame:
     """The cells of files that are rows (path, content)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.schema([("file", pa.string()), ("row", pa.int32()), ("col", pa.string()), ("text", pa.string())])
         for batch in batches:
-            for name, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
-                cells = list(sheet_cells(content, sheet))
-                yield pa.RecordBatch.from_pylist([{"file": name, "row": r, "col": c, "text": t} for r, c, t in cells], pa.schema([("file", pa.string()), ("row", pa.int32()), ("col", pa.string()), ("text", pa.string())]))
+            for i in range(batch.num_rows):
+                name = batch.column("path")[i].as_py()
+                cells = sheet_cells(batch.column("content")[i].as_py(), sheet)
+                while some := list(islice(cells, CELLS)):
+                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(some)), *map(pa.array, zip(*some, strict=True))], names=kind.names).cast(kind)
 
     return files.mapInArrow(run, "file string, row int, col string, text string")
 

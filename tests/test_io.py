@@ -3,6 +3,7 @@ import json
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,6 +55,23 @@ def test_xlsx(spark, tmp_path):
     assert str(spark.range(1).select(S.excel_day(F.lit(45000))).first()[0]) == "2023-03-15"
 
 
+def test_a_large_sheet_is_handed_on_in_parts(spark, monkeypatch):
+    from tallymark.plans.stores import _workbook
+
+    book = _workbook((i, "x", i + 1) for i in range(50))
+    monkeypatch.setattr(S, "CELLS", 7)
+    run = []
+
+    class Files:
+        def mapInArrow(self, f, kind):  # noqa: N802  Spark's name
+            run.append(f)
+
+    S.cells_of(Files())
+    parts = list(run[0]([pa.RecordBatch.from_pydict({"path": ["a", "b"], "content": [book, book]})]))
+    assert max(p.num_rows for p in parts) == 7 and sum(p.num_rows for p in parts) == 300
+    assert parts[0].slice(3, 1).to_pylist() == [{"file": "a", "row": 2, "col": "A", "text": "1"}]
+
+
 def test_markup(spark):
     html = '<h3>Team changes</h3><table><caption>In</caption><tr><td><a href="/x">X</a> up</td></tr></table><table><tr><th>Team</th><th>Ground</th></tr><tr><td><a href="/t1">T &amp; 1</a></td><td>G1</td></tr><tr><td>only</td></tr></table>'
     assert M.roster(html, {"team": ("team", "club"), "ground": ("ground",)}, "team") == [{"team": "T & 1", "ground": "G1", "link": "/t1"}]
