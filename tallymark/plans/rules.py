@@ -38,7 +38,9 @@ def roster_keys(spark: SparkSession, d: str) -> DataFrame:
 
 
 def name_variants(spark: SparkSession, d: str) -> DataFrame:
-    p = _parts(spark, d).withColumn("place", F.element_at(F.split("p_name", " "), -1)).withColumn("name", F.concat("place", F.lit("er SV")))
+    # a small file is one task, and the forms cost far more than reading it
+    spread = _parts(spark, d).select("p_partkey", "p_name").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "p_partkey")
+    p = spread.withColumn("place", F.element_at(F.split("p_name", " "), -1)).withColumn("name", F.concat("place", F.lit("er SV")))
     forms = T.name_forms("name")
     return p.select("p_partkey", F.array_join(F.transform(forms, lambda f: f["form"]), "|").alias("forms"), T.place_in_name(F.concat("place", F.lit(" am See")), "name", ["am"]).alias("place"), F.array_join(T.place_cuts(F.concat("place", F.lit(" am See")), ["am"]), ",").alias("cuts"))
 

@@ -222,3 +222,10 @@ def test_candidates_of_classes_equal_candidates_of_rows(spark):
     columns = ["a", "b", "candidates", "agreeing", "verdict"]
     assert sorted(map(tuple, got.select(columns).collect())) == sorted(map(tuple, want.select(columns).collect())) != []
     assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_name_variants_are_spread(spark):
+    from tallymark.plans import rules
+
+    out = rules.name_variants(spark, "/root/testdata/sf0.001")
+    assert out.select(F.spark_partition_id().alias("p")).distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
