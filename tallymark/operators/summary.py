@@ -35,9 +35,10 @@ def distinct_places(rows: DataFrame, key: str, place: str, label: str) -> DataFr
 
 def sides(matches: DataFrame, order: str, home: list[str], away: list[str], names: list[str]) -> DataFrame:
     """A4: one row for each side of the matches, the last one in order; names[0] is its id."""
-    a = matches.select(order, *(F.col(h).alias(n) for h, n in zip(home, names, strict=True)))
-    b = matches.select(order, *(F.col(h).alias(n) for h, n in zip(away, names, strict=True)))
-    both = a.unionByName(b)
+    side = lambda cols: F.struct(*(F.col(c).alias(n) for c, n in zip(cols, names, strict=True)))
+    # a task sorts its sides before it sums them up: a number of parts that isn't merged by size keeps that small
+    spread = matches.repartition(int(matches.sparkSession.conf.get("spark.sql.shuffle.partitions")), order)
+    both = spread.select(order, F.explode(F.array(side(home), side(away))).alias("_s")).select(order, "_s.*")
     return both.groupBy(names[0]).agg(F.max_by(F.struct(*names[1:]), order).alias("_s")).select(names[0], *(F.col("_s")[n].alias(n) for n in names[1:]))
 
 

@@ -54,7 +54,9 @@ def mode_with_ties(spark: SparkSession, d: str) -> DataFrame:
 
 
 def match_sides(spark: SparkSession, d: str) -> DataFrame:
-    m = read(spark, d, "lineitem").withColumn("ord", F.col("l_orderkey") * 10 + F.col("l_linenumber")).groupBy("ord").agg(F.min("l_partkey").alias("home"), F.max("l_suppkey").alias("away"))
+    li = read(spark, d, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ord"), "l_partkey", "l_suppkey")
+    # dealt as the sides are, so the rows move once
+    m = li.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "ord").groupBy("ord").agg(F.min("l_partkey").alias("home"), F.max("l_suppkey").alias("away"))
     m = m.withColumn("hn", F.concat(F.lit("h"), F.col("ord").cast("string"))).withColumn("an", F.concat(F.lit("a"), F.col("ord").cast("string")))
     return A.sides(m, "ord", ["home", "hn"], ["away", "an"], ["team", "name"]).where("team >= 100")
 

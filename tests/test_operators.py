@@ -7,6 +7,7 @@ from tallymark.operators import quality as Q
 from tallymark.operators import ranking as W
 from tallymark.operators import reconcile as R
 from tallymark.operators import resolve as J
+from tallymark.operators import summary as A
 
 SRC = ["https://en.wikipedia.org/wiki/Ruhr"]
 
@@ -164,6 +165,17 @@ def test_overlaps_keep_rows_off_the_driver(spark):
         assert pairs.count() == 1999
 
 
+def test_sides_in_parts_of_a_set_number(spark):
+    m = spark.range(300).select(F.col("id").alias("o"), (F.col("id") % 7).alias("h"), (F.col("id") % 5).cast("int").alias("a"), F.lit("x").alias("hn"), F.lit("y").alias("an"))
+    got = A.sides(m, "o", ["h", "hn"], ["a", "an"], ["team", "name"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    # the matches are read once, and not in as few parts as their size asks for, as each part is sorted
+    assert "Union" not in plan and "REPARTITION_BY_NUM" in plan
+    last = {i: max([(o, "x") for o in range(300) if o % 7 == i] + [(o, "y") for o in range(300) if o % 5 == i])[1] for i in range(7)}
+    tied = {o % 7 for o in range(295, 300) if o % 7 == o % 5}
+    assert got.columns == ["team", "name"] and {r["team"]: r["name"] for r in got.collect() if r["team"] not in tied} == {k: v for k, v in last.items() if k not in tied}
+
+
 def test_name_join_opens_classes_in_lists(spark):
     from tallymark.operators import pairs
 
