@@ -94,7 +94,9 @@ def seasons_read(spark: SparkSession, d: str) -> DataFrame:
 
 
 def claims_read(spark: SparkSession, d: str) -> DataFrame:
-    li = read(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_suppkey"))).alias("l"))
+    # parts of a set number: by their size they would be few, and reading claims costs far more than moving rows
+    spread = read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "l_orderkey")
+    li = spread.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_suppkey"))).alias("l"))
     one = lambda x: F.format_string('{"rank":"%s","mainsnak":{"snaktype":"value","datavalue":{"type":"wikibase-entityid","value":{"id":"Q%s"}}},"qualifiers":{"P580":[{"snaktype":"value","datavalue":{"type":"time","value":{"time":"+2020-0%s-01T00:00:00Z","precision":10}}}]}}', F.when(x["l_linenumber"] % 2 == 0, "preferred").otherwise("normal"), x["l_suppkey"], x["l_linenumber"])
     claims = F.concat(F.lit('{"P118":['), F.array_join(F.transform("l", one), ","), F.lit("]}"))
     found = li.select("l_orderkey", F.posexplode(T.statements(claims, "P118")).alias("place", "s"))

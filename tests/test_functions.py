@@ -107,6 +107,16 @@ def test_statements_and_suppression(spark):
     assert shape(["Q1"], CLAIMS.replace("preferred", "normal")) == "A"
 
 
+def test_statements_read_each_value_once(spark):
+    claims = spark.createDataFrame([(CLAIMS,)], "c string").select(T.statements("c", "P118").alias("s"))
+    plan = claims._jdf.queryExecution().analyzed().toString()
+    # once for the value, the start and the end
+    assert plan.count("$.time)") == plan.count("$.precision)") == 3
+    times = ["-0044-03-15T00:00:00Z", "+0000-01-02", "1904-05-06\nx", "+00012-01-02T", "1904", "x1904-05-06", "", None]
+    read = [values(spark, lambda x, p=p: T.time_at_precision(x, F.lit(p).cast("int")), times) for p in (9, 10, None)]
+    assert read == [["-44", "0", "1904", "12", None, None, None, None], ["-44-03", "0-01", "1904-05", "12-01", None, None, None, None], ["-44-03-15", "0-01-02", "1904-05-06", "12-01-02", None, None, None, None]]
+
+
 def test_haversine_and_roads(spark):
     d = values(spark, lambda x: G.haversine(F.lit(50.0), F.lit(8.0), x, F.lit(8.0)), [50.0, 51.0], "double")
     assert d[0] == 0 and 110_000 < d[1] < 112_500
