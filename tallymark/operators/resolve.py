@@ -305,18 +305,20 @@ def confirmed_by(rows: DataFrame, others: DataFrame, row: str, scope: str, key:
 def name_candidates(rows: DataFrame, lists: list[DataFrame], scope: str, name: str) -> DataFrame:
     """Codes of lists (scope, code, label) whose label and the row's name hold each other, case folded; a later list
     adds only codes that no earlier one gave the row. Rows of any columns, nulls among them, are rows of their own."""
-    own = stored(rows.select(F.struct(*rows.columns).alias("_row"), F.col(scope).alias("_scope"), F.lower(name).alias("_l"), F.monotonically_increasing_id().alias("_id")), "named")
+    own = rows.select(F.struct(*rows.columns).alias("_row"), F.col(scope).alias("_scope"), F.lower(name).alias("_l"))
     both = None
     for i, found in enumerate(lists):
         f = found.select(F.col(scope).alias("_s"), F.col("code").alias("_code"), F.col("label").alias("_label"), F.lower("label").alias("_r"), F.lit(i).alias("_source"))
         both = f if both is None else both.unionByName(f)
     pairs = _either_inside(own.select(F.col("_scope").alias("scope"), F.col("_l").alias("l")), both.select(F.col("_s").alias("scope"), F.col("_r").alias("r")))
     pairs = pairs.select(F.col("scope").alias("_ps"), F.col("l").alias("_pl"), F.col("r").alias("_pr"))
-    hit = own.join(pairs, (F.col("_scope") == F.col("_ps")) & (F.col("_l") == F.col("_pl"))).join(both, (F.col("_ps") == F.col("_s")) & (F.col("_pr") == F.col("_r")))
-    # the first list that gives a row the code keeps it, with all its labels
-    first = hit.groupBy("_id", F.struct("_code").alias("_c")).agg(F.min("_source").alias("_first"))
-    hit = hit.withColumn("_c", F.struct("_code")).join(first, ["_id", "_c"]).where("_source = _first")
-    return hit.select("_row.*", F.col("_code").alias("code"), F.col("_label").alias("label"), F.col("_source").alias("source_order"))
+    # what a name is given is the same for all rows of that name, so the codes are chosen before the rows are joined
+    given = pairs.join(both, (F.col("_ps") == F.col("_s")) & (F.col("_pr") == F.col("_r"))).select("_ps", "_pl", F.struct("_code").alias("_c"), "_label", "_source")
+    # the first list that gives a name the code keeps it, with all its labels
+    first = given.groupBy("_ps", "_pl", "_c").agg(F.min("_source").alias("_source"))
+    kept = given.join(first, ["_ps", "_pl", "_c", "_source"])
+    hit = own.join(kept, (F.col("_scope") == F.col("_ps")) & (F.col("_l") == F.col("_pl")))
+    return hit.select("_row.*", F.col("_c._code").alias("code"), F.col("_label").alias("label"), F.col("_source").alias("source_order"))
 
 
 def mirrored(edges: DataFrame, a: str, b: str, name: str, rank: str) -> DataFrame:

@@ -83,6 +83,17 @@ def test_name_candidates_with_nulls_and_clashing_names(spark):
     assert sorted((r["name"], str(r["code"]), r["label"], r["source_order"]) for r in got) == sorted(2 * [("Park Hall", "c1", "park", 0), ("Park Hall", "c1", "Park Hall East", 0), ("Park Hall", "c2", "hall", 1)] + [("Mill", "None", "mill", 1)])
 
 
+def test_name_candidates_are_chosen_by_name(spark):
+    rows = spark.range(200).select(F.lit("s").alias("scope"), F.when(F.col("id") % 2 == 0, "Park Hall").otherwise("Mill").alias("name"), F.col("id").alias("n"))
+    one = spark.createDataFrame([("s", None, "park"), ("s", None, "park"), ("s", "c1", "mill")], "scope string, code string, label string")
+    two = spark.createDataFrame([("s", None, "hall"), ("s", "c1", "hall"), ("s", "c1", "mill")], "scope string, code string, label string")
+    got = J.name_candidates(rows, [one, two], "scope", "name")
+    # rows of one name aren't grouped one by one: nothing but the last join grows with the rows
+    assert "_id#" not in got._jdf.queryExecution().analyzed().toString()
+    want = [(i, *x) for i in range(200) for x in ([("None", "park", 0)] * 2 + [("c1", "hall", 1)] if i % 2 == 0 else [("c1", "mill", 0)])]
+    assert sorted((r["n"], str(r["code"]), r["label"], r["source_order"]) for r in got.collect()) == sorted(want)
+
+
 def leaves(o, path=""):
     if isinstance(o, dict):
         return [x for k, v in o.items() for x in leaves(v, f"{path}.{k}" if path else k)]
