@@ -114,6 +114,15 @@ def test_leaves_at_any_depth(spark):
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
 
 
+def test_leaves_of_a_small_file_are_opened_by_all_tasks(spark, monkeypatch):
+    parts = []
+    monkeypatch.setattr(T, "stored", lambda df, what: parts.append(df.rdd.getNumPartitions()) or df)
+    one = spark.createDataFrame([(i, json.dumps({"a": [[i]], "b": "x"})) for i in range(40)], "id int, doc string").coalesce(1)
+    got = T.flattened(one, "doc", ["id"])
+    assert parts == [int(spark.conf.get("spark.sql.shuffle.partitions"))]
+    assert sorted(map(tuple, got.collect())) == sorted(x for i in range(40) for x in ((i, "a[0][0]", str(i), "number"), (i, "b", "x", "string")))
+
+
 def test_allowed_paths(spark):
     assert values(spark, lambda x: T.path_allowed(x, ["a.b[]", "p."]), ["a.b[12]", "a.c", "p.q[3].r", "p", "px.y"]) == [True, False, True, False, False]
 
