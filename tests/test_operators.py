@@ -241,3 +241,27 @@ def test_name_variants_are_spread(spark):
 
     out = rules.name_variants(spark, "/root/testdata/sf0.001")
     assert out.select(F.spark_partition_id().alias("p")).distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_pairs_are_not_shuffled(spark):
+    rows = spark.range(3000).select(F.col("id").alias("a"), F.lit("red ring").alias("n"))
+    near = spark.range(300).select(F.col("id").alias("a"), F.lit(1.0).alias("la"), F.lit(1.0).alias("oa"))
+    for got in (J.name_join(rows, rows.toDF("b", "m"), F.col("n"), F.col("m"), [], []), J.distance_join(near, near.toDF("b", "lb", "ob"), 200, ("la", "oa"), ("lb", "ob")), J.disambiguated_alike(rows, rows.toDF("b", "n"), ["n"], F.col("b") > 0)):
+        above = got._jdf.queryExecution().executedPlan().toString().partition("SortMergeJoin")
+        assert above[1] and "Exchange" not in above[0]
+
+
+def test_pairs_of_a_grid_are_all_pairs(spark, monkeypatch):
+    from tallymark.operators import pairs
+
+    for k, v in {"LISTED": 20, "CELL": 500, "HELD": 150, "SAMPLED": 2}.items():
+        monkeypatch.setattr(pairs, k, v)
+    rows = spark.range(1000).select(F.col("id").alias("a"), F.when(F.col("id") < 700, "big").when(F.col("id") < 990, F.concat(F.lit("k"), (F.col("id") % 50).cast("string"))).alias("k"))
+    x, y = (pairs.listed(rows.where("k is not null"), ["k"], F.col("a"), name, ordered=name == "l") for name in "lr")
+    met = []
+    got = pairs.paired(x, y, "k", "l", "r", lambda lists: met.append(lists) or lists)
+    assert got.where("l is null or r is null").count() == 0
+    assert got.count() == got.distinct().count() == rows.alias("x").join(rows.alias("y"), "k").count()
+    cells = met[0].where("k = 'big'").groupBy("_i", "_j").agg(F.sum(F.size("r")).alias("n")).collect()
+    assert len({r["_i"] for r in cells}) > 1 and len({r["_j"] for r in cells}) > 1
+    assert met[0].where("k <> 'big'").agg(F.max("_i"), F.max("_j")).first() == (0, 0)
