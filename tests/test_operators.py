@@ -265,3 +265,12 @@ def test_pairs_of_a_grid_are_all_pairs(spark, monkeypatch):
     cells = met[0].where("k = 'big'").groupBy("_i", "_j").agg(F.sum(F.size("r")).alias("n")).collect()
     assert len({r["_i"] for r in cells}) > 1 and len({r["_j"] for r in cells}) > 1
     assert met[0].where("k <> 'big'").agg(F.max("_i"), F.max("_j")).first() == (0, 0)
+
+
+def test_overlaps_shuffle_lists(spark, monkeypatch):
+    sides, real = [], Q.paired
+    monkeypatch.setattr(Q, "paired", lambda x, y, *rest: sides.extend([x.count(), y.count()]) or real(x, y, *rest))
+    df = spark.range(3000).select(F.col("id").alias("row"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 2 * 400).cast("int")).alias("s"))
+    assert Q.overlapping(df.withColumn("e", F.date_add("s", 5)), "s", "e", "row").count() == 2 * 1500 * 1499 // 2
+    # every row in one list of a side, at most, and lists hold hundreds
+    assert sum(sides) < 40
